@@ -61,7 +61,10 @@ def mean_by_entity_job(spark: SparkSession, input_dir: str, output_dir: str | No
                        output_format: str = DEFAULT_FORMAT, show_summary: bool = False,
                        facts_name: str = "flights.csv", dim_name: str = "airlines.csv",
                        key: str = "AIRLINE", measure: str = "ARRIVAL_DELAY", dim_key: str = "IATA_CODE",
-                       dim_label: str = "AIRLINE", facts_schema=None, dim_schema=None):
+                       dim_label: str = "AIRLINE", facts_schema=None, dim_schema=None,
+                       name_col: str = "AIRLINE_NAME", count_col: str = "FLIGHTS_COUNT",
+                       mean_text_col: str = "AVG_ARRIVAL_DELAY_BY_MINUTES",
+                       result_name: str = "avg_arrival_delay_by_airline", unit: str = "flights"):
     """Q3: rows and mean measure per entity with its name, least mean first.
 
     Returns ``(result, summary)``; ``summary`` is ``(lines, total)`` when asked for, else None.
@@ -69,14 +72,14 @@ def mean_by_entity_job(spark: SparkSession, input_dir: str, output_dir: str | No
     base = input_dir.rstrip("/")
     facts = read_csv(spark, f"{base}/{facts_name}", schema=facts_schema)
     dim = read_csv(spark, f"{base}/{dim_name}", schema=dim_schema)
-    result = mean_by_entity(facts, key, measure, dim, dim_key, dim_label, name_col="AIRLINE_NAME",
-                            count_col="FLIGHTS_COUNT", mean_text_col="AVG_ARRIVAL_DELAY_BY_MINUTES")
+    result = mean_by_entity(facts, key, measure, dim, dim_key, dim_label, name_col=name_col,
+                            count_col=count_col, mean_text_col=mean_text_col)
     if output_dir:
-        write_files(result, f"{output_dir.rstrip('/')}/avg_arrival_delay_by_airline", output_format)
+        write_files(result, f"{output_dir.rstrip('/')}/{result_name}", output_format)
     summary = None
     if show_summary:
-        summary = (summary_lines(result, "AIRLINE_NAME", "FLIGHTS_COUNT", "AVG_ARRIVAL_DELAY_BY_MINUTES"),
-                   total_line(result, "FLIGHTS_COUNT"))
+        summary = (summary_lines(result, name_col, count_col, mean_text_col),
+                   total_line(result, count_col, unit))
     return result, summary
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators.aggregates import count_by_group, mean_by_entity
+from kestrel.plans import text_queries
 from kestrel.plans.batch_jobs import mean_by_entity_sql, summary_lines, total_line
 from kestrel.session import ensure_utc
 
@@ -109,6 +110,8 @@ QUERIES: dict[str, QueryFn] = {
     "grand_total": q_grand_total,
     "report_lines": q_report_lines,
 }
+QUERIES.update(text_queries.QUERIES)
+ORACLE.update(text_queries.ORACLE)
 
 
 def _with_utc(fn: QueryFn) -> QueryFn:
