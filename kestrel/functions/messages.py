@@ -58,15 +58,22 @@ def iso_stamp(ts: Column) -> Column:
     return F.date_format(ts, ISO_MILLIS_OFFSET)
 
 
-def encode_messages(df: DataFrame, id_col: Column, text_col: Column, ts_text: Column | None = None,
-                    rules: Column | None = None) -> DataFrame:
-    """``key`` = message id, ``value`` = envelope JSON; non-ASCII text is kept as is (C4)."""
+def envelope_json(id_col: Column, text_col: Column, ts_text: Column | None = None,
+                  rules: Column | None = None) -> Column:
+    """Envelope JSON text of one message; non-ASCII text is kept as is (C4)."""
     fields = [F.struct(id_col.cast("string").alias("id"), text_col.alias("text")).alias("data")]
     if rules is not None:
         fields.append(rules.alias("matching_rules"))
     if ts_text is not None:
         fields.append(ts_text.alias("ts"))
-    return df.select(id_col.cast("string").alias("key"), F.to_json(F.struct(*fields)).alias("value"))
+    return F.to_json(F.struct(*fields))
+
+
+def encode_messages(df: DataFrame, id_col: Column, text_col: Column, ts_text: Column | None = None,
+                    rules: Column | None = None) -> DataFrame:
+    """Kafka-shaped records: ``key`` = message id, ``value`` = envelope JSON."""
+    return df.select(id_col.cast("string").alias("key"),
+                     envelope_json(id_col, text_col, ts_text, rules).alias("value"))
 
 
 def stamp_feed_lines(lines: DataFrame, stamp: Column | None = None, column: str = "value") -> DataFrame:

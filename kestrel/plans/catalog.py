@@ -1,4 +1,4 @@
-"""Registered queries over the driver tables, each with its DuckDB twin.
+"""All registered queries over the driver tables, each with its DuckDB twin where one exists.
 
 Every query reads whole tables (or data Spark derives from them), so its work grows with the
 data. Output columns carry the same names in both forms.
@@ -9,109 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from kestrel.operators.aggregates import count_by_group, mean_by_entity
-from kestrel.plans import text_queries
-from kestrel.plans.batch_jobs import mean_by_entity_sql, summary_lines, total_line
+from kestrel.plans import catalog_tables, file_queries, stream_queries, text_queries
 from kestrel.session import ensure_utc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
+MODULES = (catalog_tables, text_queries, stream_queries, file_queries)
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-# ---------------------------------------------------------------------------------------------
-# Q1, Q3, Q4 on lineitem / supplier / customer
-# ---------------------------------------------------------------------------------------------
-
-def _segments(spark, sf_dir):
-    # One segment is unknown (NULL) to exercise the NULL group of the count.
-    return table(spark, sf_dir, "customer").select(
-        F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_mktsegment")).alias("segment"))
-
-
-def q_count_by_group_ranked(spark, sf_dir):
-    return count_by_group(_segments(spark, sf_dir), "segment", "n_customers")
-
-
-def _facts(spark, sf_dir):
-    # Quantities of returned lines are unknown (NULL measure).
-    return table(spark, sf_dir, "lineitem").select(
-        "l_suppkey",
-        F.when(F.col("l_returnflag") != "R", F.col("l_quantity")).alias("qty"))
-
-
-def _suppliers_in_good_standing(spark, sf_dir):
-    # Suppliers with a negative balance are missing from the dimension: their names are NULL.
-    return table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") >= 0).select("s_suppkey", "s_name")
-
-
-def q_mean_by_entity(spark, sf_dir):
-    return mean_by_entity(_facts(spark, sf_dir), "l_suppkey", "qty",
-                          _suppliers_in_good_standing(spark, sf_dir), "s_suppkey", "s_name")
-
-
-def q_mean_by_entity_sql(spark, sf_dir):
-    return mean_by_entity_sql(spark, _facts(spark, sf_dir), _suppliers_in_good_standing(spark, sf_dir),
-                              "l_suppkey", "qty", "s_suppkey", "s_name",
-                              facts_view="kestrel_facts", dim_view="kestrel_dim")
-
-
-def q_grand_total(spark, sf_dir):
-    return total_line(q_mean_by_entity(spark, sf_dir), "entity_count", unit="rows")
-
-
-def q_report_lines(spark, sf_dir):
-    return summary_lines(q_mean_by_entity(spark, sf_dir), "entity_name", "entity_count", "avg_measure_fmt")
-
-
-_FACTS_SQL = """
-  f AS (SELECT l_suppkey, CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS qty FROM lineitem),
-  s AS (SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal >= 0),
-  a AS (SELECT l_suppkey, count(l_suppkey) AS entity_count, avg(qty) AS m FROM f GROUP BY l_suppkey),
-  r AS (SELECT s.s_name AS entity_name, a.entity_count,
-               CASE WHEN a.m IS NOT NULL THEN format('{:,.2f}', a.m) END AS avg_measure_fmt, a.m, a.l_suppkey
-        FROM a LEFT JOIN s ON a.l_suppkey = s.s_suppkey)
-"""
-
-ORACLE = {
-    "count_by_group_ranked": """
-        SELECT segment, count(segment) AS n_customers
-        FROM (SELECT CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_mktsegment END AS segment FROM customer)
-        GROUP BY segment ORDER BY n_customers DESC, segment NULLS FIRST""",
-    "mean_by_entity": f"""
-        WITH {_FACTS_SQL}
-        SELECT entity_name, entity_count, avg_measure_fmt FROM r ORDER BY m NULLS FIRST, l_suppkey""",
-    "mean_by_entity_sql": """
-        WITH f AS (SELECT l_suppkey, CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS qty FROM lineitem),
-             s AS (SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal >= 0)
-        SELECT min(s.s_name) AS entity_name, count(f.l_suppkey) AS entity_count, avg(f.qty) AS avg_measure
-        FROM f LEFT JOIN s ON f.l_suppkey = s.s_suppkey
-        GROUP BY f.l_suppkey ORDER BY avg_measure NULLS FIRST, f.l_suppkey""",
-    "grand_total": f"""
-        WITH {_FACTS_SQL}
-        SELECT CAST(sum(entity_count) AS BIGINT) AS total,
-               'Total ' || format('{{:,}}', CAST(sum(entity_count) AS BIGINT)) || ' rows.' AS total_line
-        FROM r""",
-    "report_lines": f"""
-        WITH {_FACTS_SQL}
-        SELECT format('{{:<32}} {{:>10d}} {{:>8}}', coalesce(entity_name, ''), entity_count,
-                      coalesce(avg_measure_fmt, '')) AS line
-        FROM r""",
-}
-
-QUERIES: dict[str, QueryFn] = {
-    "count_by_group_ranked": q_count_by_group_ranked,
-    "mean_by_entity": q_mean_by_entity,
-    "mean_by_entity_sql": q_mean_by_entity_sql,
-    "grand_total": q_grand_total,
-    "report_lines": q_report_lines,
-}
-QUERIES.update(text_queries.QUERIES)
-ORACLE.update(text_queries.ORACLE)
+QUERIES: dict[str, QueryFn] = {}
+ORACLE: dict[str, str] = {}
+for _module in MODULES:
+    QUERIES.update(_module.QUERIES)
+    ORACLE.update(_module.ORACLE)
 
 
 def _with_utc(fn: QueryFn) -> QueryFn:
