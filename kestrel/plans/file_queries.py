@@ -10,7 +10,7 @@ from kestrel.functions.messages import envelope_json, stamp_feed_lines
 from kestrel.plans.batch_jobs import count_by_group_job, mean_by_entity_job
 from kestrel.plans.catalog_tables import (ORACLE as TABLE_ORACLE, facts, q_mean_by_entity, segments,
                                           suppliers_in_good_standing)
-from kestrel.plans.text_queries import doc_rules, table
+from kestrel.plans.text_queries import doc_rules, text_table
 from kestrel.session import shared_path
 from kestrel.sinks.files import write_files
 from kestrel.sources.files import read_json_lines
@@ -58,7 +58,7 @@ FIXED_STAMP = "2024-01-01T09:00:00.000+09:00"
 def q_feed_enrichment(spark, sf_dir):
     """Q11: JSON lines (with blank keep-alive lines) → stamped, keyed records; the stamp is fixed
     here so the output can be checked (the job default is the arrival time)."""
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
     line = envelope_json(F.col("doc_id"), F.col("text"), None, doc_rules())
     lines = docs.select(F.explode(F.when(F.col("lang") == "fr", F.array(line, F.lit(" ")))
                                   .otherwise(F.array(line))).alias("value"))

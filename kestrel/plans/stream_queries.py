@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from kestrel.functions.messages import envelope_json, iso_stamp
-from kestrel.plans.text_queries import (SQL_DOC_COUNTS, SQL_DOC_TS, doc_rules, doc_time, table)
+from kestrel.plans.text_queries import (SQL_DOC_COUNTS, SQL_DOC_TS, doc_rules, doc_time, table, text_table)
 from kestrel.session import shared_path
 from kestrel.sources.files import non_blank_lines
 from kestrel.sources.streams import file_stream, text_line_stream
@@ -26,7 +26,7 @@ WINDOW_TABLE_SCHEMA = StructType([
 def write_document_feed(spark: SparkSession, sf_dir: str, blank_lines: bool = False) -> str:
     """Documents as a JSON-line feed in the shared folder (one envelope per line); optionally a
     blank keep-alive line after each French message."""
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
     line = envelope_json(F.col("doc_id"), F.col("text"), iso_stamp(doc_time()), doc_rules())
     with_blank = F.lit(blank_lines) & (F.col("lang") == "fr")
     lines = docs.select(F.explode(F.when(with_blank, F.array(line, F.lit(""))).otherwise(F.array(line)))

@@ -9,6 +9,7 @@ from kestrel.functions.keywords import (ALLOWED_TOKEN, MAX_TOKEN_LENGTH, NOUN_ST
                                         SINGLE_CHAR_STOP, URL_PATTERN, VERB_STOP, WORD_PATTERN,
                                         extract_keywords, keyword_array)
 from kestrel.functions.messages import decode_messages, encode_messages, iso_stamp, split_rejects
+from kestrel.operators.partitioning import spread_for_cpu
 from kestrel.plans.reports import alltime_span, alltime_top, latest_window_bag, latest_window_ranking
 from kestrel.sources.streams import payload_text
 from kestrel.streaming.windows import as_wall_clock, count_per_window, keyword_counts
@@ -20,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of long texts, spread over the cores when it arrives in too few splits."""
+    return spread_for_cpu(table(spark, sf_dir, name))
+
+
 def doc_time() -> F.Column:
     """Documents carry no time; message time is 2024-01-01 plus ``doc_id`` seconds."""
     return F.timestamp_seconds(F.lit(EPOCH_2024) + F.col("doc_id"))
@@ -31,7 +37,7 @@ def doc_rules() -> F.Column:
 
 def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as Kafka-shaped records: key = id, value = envelope JSON as binary."""
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
     records = encode_messages(docs, F.col("doc_id"), F.col("text"), iso_stamp(doc_time()), doc_rules())
     return records.select("key", F.col("value").cast("binary").alias("value"))
 
@@ -46,7 +52,7 @@ def q_message_decode(spark, sf_dir):
 def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A feed with faults: German messages name their text ``body`` (no text), Spanish ones are
     cut in half (malformed JSON); the rest are whole."""
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
 
     def envelope(text_field: str) -> F.Column:
         data = F.struct(F.col("doc_id").cast("string").alias("id"), F.col("text").alias(text_field))
@@ -75,12 +81,12 @@ def q_message_kept(spark, sf_dir):
 # --- keywords ---------------------------------------------------------------------------------
 
 def q_keyword_tokens(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
     return extract_keywords(docs, "text", []).groupBy("keyword").agg(F.count("*").alias("appearances"))
 
 
 def q_keywords_per_document(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.size(keyword_array(F.col("text"))).alias("n_keywords"))
 
 
@@ -113,7 +119,7 @@ TEST_LEXICON = [
 
 
 def q_keyword_lexicon(spark, sf_dir, pos_mode="subclass"):
-    conv = table(spark, sf_dir, "conversations")
+    conv = text_table(spark, sf_dir, "conversations")
     kw = extract_keywords(conv, "text", ["role"], lexicon=TEST_LEXICON, pos_mode=pos_mode)
     return kw.groupBy("role", "keyword").agg(F.count("*").alias("appearances"))
 
@@ -132,7 +138,7 @@ def q_window_counts_batch(spark, sf_dir):
 
 def document_keyword_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keyword table of Q5 in batch form: every window, 30 s wide."""
-    docs = table(spark, sf_dir, "documents").select(doc_time().alias("ts"), "text")
+    docs = text_table(spark, sf_dir, "documents").select(doc_time().alias("ts"), "text")
     return keyword_counts(docs, "ts", "text", "30 seconds")
 
 

@@ -10,6 +10,7 @@ created; size it for the cluster before the first start. For large state, the Ro
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,21 +86,30 @@ def start_keyword_job(spark: SparkSession, messages: DataFrame, sink: BatchSink,
     return started
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> None:
-    """Wait until every query ends; the first failure of any of them is raised at once."""
+def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> bool:
+    """Wait until every query ends or ``timeout`` seconds pass; returns whether all ended.
+
+    The first failure of any query is raised at once and stops the others (T9), instead of
+    going unnoticed while the job waits on another query.
+    """
+    deadline = None if timeout is None else time.monotonic() + timeout
     pending = list(queries)
     while pending:
-        spark.streams.awaitAnyTermination(timeout)
+        left = None if deadline is None else max(0.0, deadline - time.monotonic())
+        try:
+            spark.streams.awaitAnyTermination(left)
+        except Exception:
+            for q in pending:
+                if q.isActive:
+                    q.stop()
+            raise
         for q in list(pending):
             if not q.isActive:
                 pending.remove(q)
-                if q.exception() is not None:
-                    for other in pending:
-                        other.stop()
-                    raise RuntimeError(f"query {q.name} failed: {q.exception()}")
         spark.streams.resetTerminated()
-        if timeout is not None and pending:
+        if deadline is not None and time.monotonic() >= deadline:
             break
+    return not pending
 
 
 def run_to_end(writer: DataStreamWriter, timeout: float = 600) -> StreamingQuery:
@@ -111,3 +121,21 @@ def run_to_end(writer: DataStreamWriter, timeout: float = 600) -> StreamingQuery
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return query
+
+
+def run_keyword_job(spark: SparkSession, bootstrap_servers: str, topic: str, sink: BatchSink,
+                    checkpoint_location: str, window: str = "30 seconds", watermark: str = "30 seconds",
+                    num_output_rows: int = 128, lexicon=None, pos_mode: str = "subclass",
+                    starting_offsets: str = "latest", fail_on_data_loss: bool = False,
+                    trigger: dict | None = None, rejects_path: str | None = None,
+                    timeout: float | None = None, **kafka_options) -> list[StreamingQuery]:
+    """Q5 + Q6 as one job: subscribe to ``topic``, count keywords per window into ``sink``
+    (e.g. ``JdbcBatchSink``), print texts, and wait; a failure of either query ends the job."""
+    from kestrel.sources.streams import kafka_stream
+
+    messages = kafka_stream(spark, bootstrap_servers, topic, starting_offsets, fail_on_data_loss,
+                            **kafka_options)
+    started = start_keyword_job(spark, messages, sink, checkpoint_location, window, watermark,
+                                num_output_rows, lexicon, pos_mode, trigger, True, rejects_path)
+    await_all(spark, started, timeout)
+    return started
