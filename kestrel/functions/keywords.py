@@ -34,6 +34,7 @@ INDEPENDENT_ADJECTIVE = "形容詞,自立"
 
 # Our own split rule: a token is a maximal run of Unicode letters and digits.
 WORD_PATTERN = r"[\p{L}\p{N}]+"
+SEPARATOR_PATTERN = r"[^\p{L}\p{N}]+"
 
 POS_MODES = ("subclass", "level1")
 LEXICON_SCHEMA = StructType([StructField("surface", StringType()), StructField("pos", StringType()),
@@ -48,14 +49,21 @@ def strip_urls(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """All tokens of a text, in order, as ``array<string>``; NULL text gives NULL."""
-    return F.regexp_extract_all(strip_urls(text), F.lit(WORD_PATTERN), 0)
+    """All tokens of a text, in order, as ``array<string>``; NULL text gives NULL.
+
+    Cut at runs of separators, which is cheaper than extracting the letter runs; the only extra
+    pieces are empty strings at the ends, and no empty string passes ``surface_ok``.
+    """
+    return F.split(strip_urls(text), SEPARATOR_PATTERN)
 
 
 def surface_ok(surface: Column) -> Column:
     """At most 32 characters, only allowed characters, not a one-character stop word."""
-    one_char_stop = surface.rlike(SINGLE_CHAR_STOP) & ~surface.rlike(SINGLE_CHAR_KEEP)
-    return (F.length(surface) <= MAX_TOKEN_LENGTH) & surface.rlike(ALLOWED_TOKEN) & ~one_char_stop
+    length = F.length(surface)
+    # The stop pattern matches single characters only; the length test spares longer tokens
+    # two regular-expression matches (``And`` stops at the first false operand).
+    one_char_stop = (length == 1) & surface.rlike(SINGLE_CHAR_STOP) & ~surface.rlike(SINGLE_CHAR_KEEP)
+    return (length <= MAX_TOKEN_LENGTH) & surface.rlike(ALLOWED_TOKEN) & ~one_char_stop
 
 
 def noun_ok(surface: Column) -> Column:
@@ -147,3 +155,20 @@ def extract_keywords(df: DataFrame, text_col: str, keep: list[str], lexicon=None
     lex, broadcast = (None, False) if lexicon is None else lexicon_frame(df.sparkSession, lexicon)
     tokens = explode_tokens(df.filter(F.col(text_col).isNotNull()), text_col, keep)
     return classify(tokens, lex, broadcast, keyword_name=keyword_name, pos_mode=pos_mode)
+
+
+def count_keywords(df: DataFrame, text_col: str, group_cols: list[str], lexicon=None,
+                   pos_mode: str = "subclass", count_name: str = "appearances") -> DataFrame:
+    """Keyword appearances per group (and overall when ``group_cols`` is empty).
+
+    With a lexicon table of unbounded size (not broadcast), surfaces are counted per group before
+    the join, so the join sees each distinct surface once per group instead of every token.
+    """
+    lex, broadcast = (None, False) if lexicon is None else lexicon_frame(df.sparkSession, lexicon)
+    tokens = explode_tokens(df.filter(F.col(text_col).isNotNull()), text_col, group_cols)
+    if lex is not None and not broadcast and not df.isStreaming:
+        per_surface = tokens.groupBy(*group_cols, "surface").agg(F.count("*").alias("_n"))
+        return (classify(per_surface, lex, False, pos_mode=pos_mode)
+                .groupBy(*group_cols, "keyword").agg(F.sum("_n").cast("bigint").alias(count_name)))
+    keywords = classify(tokens, lex, broadcast, pos_mode=pos_mode)
+    return keywords.groupBy(*group_cols, "keyword").agg(F.count("keyword").alias(count_name))

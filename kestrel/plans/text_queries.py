@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.keywords import (ALLOWED_TOKEN, MAX_TOKEN_LENGTH, NOUN_STOP, SINGLE_CHAR_KEEP,
                                         SINGLE_CHAR_STOP, URL_PATTERN, VERB_STOP, WORD_PATTERN,
-                                        extract_keywords, keyword_array)
+                                        count_keywords, keyword_array)
 from kestrel.functions.messages import decode_messages, encode_messages, iso_stamp, split_rejects
 from kestrel.operators.partitioning import spread_for_cpu
 from kestrel.plans.reports import alltime_span, alltime_top, latest_window_bag, latest_window_ranking
@@ -82,7 +82,7 @@ def q_message_kept(spark, sf_dir):
 
 def q_keyword_tokens(spark, sf_dir):
     docs = text_table(spark, sf_dir, "documents")
-    return extract_keywords(docs, "text", []).groupBy("keyword").agg(F.count("*").alias("appearances"))
+    return count_keywords(docs, "text", [])
 
 
 def q_keywords_per_document(spark, sf_dir):
@@ -120,8 +120,7 @@ TEST_LEXICON = [
 
 def q_keyword_lexicon(spark, sf_dir, pos_mode="subclass"):
     conv = text_table(spark, sf_dir, "conversations")
-    kw = extract_keywords(conv, "text", ["role"], lexicon=TEST_LEXICON, pos_mode=pos_mode)
-    return kw.groupBy("role", "keyword").agg(F.count("*").alias("appearances"))
+    return count_keywords(conv, "text", ["role"], lexicon=TEST_LEXICON, pos_mode=pos_mode)
 
 
 def q_keyword_lexicon_level1(spark, sf_dir):

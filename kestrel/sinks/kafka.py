@@ -1,4 +1,4 @@
-"""Keyed message sink (K6) and the console sink (K5).
+"""Keyed message sink (K6).
 
 Kafka needs the ``spark-sql-kafka`` package on the classpath; the DataFrame handed over has the
 Kafka shape (``key``, ``value`` strings), so everything up to the write is testable without it.
@@ -38,15 +38,3 @@ def kafka_stream_writer(records: DataFrame, bootstrap_servers: str, topic: str,
     for key, value in kafka_options.items():
         writer = writer.option(key, value)
     return writer
-
-
-def console_stream_writer(df: DataFrame, checkpoint: str, num_rows: int = 128,
-                          truncate: bool = False, query_name: str | None = None) -> DataStreamWriter:
-    """Print each micro-batch, untruncated, at most ``num_rows`` rows."""
-    writer = (df.writeStream.format("console").outputMode("append")
-              .option("truncate", str(truncate).lower())
-              .option("numRows", str(num_rows))
-              .option("checkpointLocation", checkpoint))
-    if query_name:
-        writer = writer.queryName(query_name)
-    return writer

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from kestrel.functions.messages import decode_messages, split_rejects
-from kestrel.sinks.kafka import console_stream_writer
+from kestrel.sinks.console import console_stream_writer
 from kestrel.sources.streams import payload_text
 from kestrel.streaming.windows import keyword_counts
 

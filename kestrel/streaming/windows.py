@@ -53,9 +53,17 @@ def keyword_counts(df: DataFrame, ts_col: str = "ts", text_col: str = "text", wi
         rows = rows.withWatermark(ts_col, delay)
     lex, broadcast = (None, False) if lexicon is None else lexicon_frame(df.sparkSession, lexicon)
     tokens = explode_tokens(rows, text_col, [ts_col])
-    keywords = classify(tokens, lex, broadcast, pos_mode=pos_mode)
-    counts = keywords.groupBy(F.window(F.col(ts_col), width).alias("window"), "keyword") \
-        .agg(F.count("keyword").alias("appearances"))
+    if lex is not None and not broadcast and not df.isStreaming:
+        # A lexicon of unbounded size may be joined by shuffle: count each surface per window
+        # first, so the join sees one row per (window, surface) and never a hot word's raw rows.
+        per_surface = tokens.groupBy(F.window(F.col(ts_col), width).alias("window"), "surface") \
+            .agg(F.count("*").alias("n"))
+        counts = classify(per_surface, lex, False, pos_mode=pos_mode) \
+            .groupBy("window", "keyword").agg(F.sum("n").alias("appearances"))
+    else:
+        keywords = classify(tokens, lex, broadcast, pos_mode=pos_mode)
+        counts = keywords.groupBy(F.window(F.col(ts_col), width).alias("window"), "keyword") \
+            .agg(F.count("keyword").alias("appearances"))
     return counts.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
                          "keyword", "appearances")
 

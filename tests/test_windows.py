@@ -83,3 +83,19 @@ def test_late_rows_fixed_batches_restart_and_replay(spark, scratch):
     store(replay, last_id)
     assert store.read(spark).filter(F.col("keyword") == "x").count() == 1
     assert store.read(spark).count() <= stored_before + 1
+
+
+def test_table_lexicon_preaggregates_and_matches_list_lexicon(spark, capsys):
+    lexicon = [("is", "動詞,自立,*,*", "be"), ("the", "連体詞,*,*,*", "the"), ("dog", "名詞,一般,*,*", "dog")]
+    df = spark.createDataFrame([(BASE + dt.timedelta(seconds=s), t) for s, t in
+                                [(1, "the dog is here"), (2, "the dog is the dog"), (40, "is it")]],
+                               "ts timestamp, text string")
+    from_list = keyword_counts(df, lexicon=lexicon)
+    table = spark.createDataFrame(lexicon, "surface string, pos string, base_form string")
+    from_table = keyword_counts(df, lexicon=table)
+    rows = lambda d: sorted((r["window_start"].second, r["keyword"], r["appearances"]) for r in d.collect())
+    assert rows(from_list) == rows(from_table) == [
+        (0, "be", 2), (0, "dog", 3), (0, "here", 1), (30, "be", 1), (30, "it", 1)]
+    from_table.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("partial_count") >= 1 and "partial_sum" in plan
