@@ -39,8 +39,9 @@ SEPARATOR_PATTERN = r"[^\p{L}\p{N}]+"
 POS_MODES = ("subclass", "level1")
 LEXICON_SCHEMA = StructType([StructField("surface", StringType()), StructField("pos", StringType()),
                              StructField("base_form", StringType())])
-# A lexicon given as Python rows has a known size; up to this many rows it is broadcast.
-LEXICON_BROADCAST_MAX_ROWS = 2_000_000
+# A lexicon given as Python rows has a known size; up to this many rows it is broadcast. Larger
+# dictionaries belong in a table (passed as a DataFrame), not in driver memory.
+LEXICON_BROADCAST_MAX_ROWS = 200_000
 
 
 def strip_urls(text: Column) -> Column:

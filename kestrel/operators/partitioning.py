@@ -15,7 +15,11 @@ from pyspark.sql import DataFrame
 def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan as it is
+        return df
+    if current >= target:
         return df
     return df.repartition(target)
