@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.formatting import iso_text, shift_hours
 from kestrel.operators.aggregates import rows_at_max, span, top_k
-from kestrel.operators.expand import repeat_by_weight
+from kestrel.operators.expand import repeat_by_weight, weight_chunks
 
 LOCAL_CLOCK_HOURS = 9
 
@@ -30,12 +30,16 @@ def latest_window_bag(counts: DataFrame, shift: int = LOCAL_CLOCK_HOURS) -> Data
     return repeat_by_weight(weighted, "appearances")
 
 
-def bag_text_pieces(bag: DataFrame) -> DataFrame:
-    """The bag as space-joined text, one piece per keyword (C13). Concatenating the pieces with
-    spaces gives the whole text; no single row or task holds all of it."""
-    return (bag.groupBy("window_end_local", "keyword").agg(F.count("*").alias("n"))
-            .select("window_end_local", "keyword",
-                    F.array_join(F.array_repeat(F.col("keyword"), F.col("n").cast("int")), " ").alias("piece")))
+def bag_text_pieces(counts: DataFrame, shift: int = LOCAL_CLOCK_HOURS) -> DataFrame:
+    """The newest window's word bag as space-joined text pieces (C13), each a bounded number of
+    repetitions of one keyword. Joining all pieces with spaces gives the word-cloud text; no single
+    row or task holds all of it, however hot a keyword is."""
+    newest = rows_at_max(counts, "window_end")
+    weighted = newest.select(shift_hours(F.col("window_end"), shift).alias("window_end_local"),
+                             "keyword", "appearances")
+    return weight_chunks(weighted, "appearances").select(
+        "window_end_local", "keyword",
+        F.array_join(F.array_repeat(F.col("keyword"), F.col("chunk").cast("int")), " ").alias("piece"))
 
 
 def alltime_span(counts: DataFrame, shift: int = LOCAL_CLOCK_HOURS) -> DataFrame:

@@ -25,7 +25,7 @@ def test_latest_window_ranking(spark):
 def test_word_bag(spark):
     bag = sorted(r["keyword"] for r in latest_window_bag(_counts(spark)).collect())
     assert bag == ["b", "b", "c"]
-    pieces = sorted(r["piece"] for r in bag_text_pieces(latest_window_bag(_counts(spark))).collect())
+    pieces = sorted(r["piece"] for r in bag_text_pieces(_counts(spark)).collect())
     assert pieces == ["b b", "c"]
 
 
@@ -36,8 +36,18 @@ def test_span_and_top(spark):
     assert top == [("a", 3), ("b", 2)]
 
 
+def test_text_pieces_are_bounded(spark):
+    from kestrel.operators.expand import weight_chunks
+    df = spark.createDataFrame([("hot", 1_000_000)], "k string, w long")
+    chunks = weight_chunks(df, "w", max_chunk=100, fanout=16).collect()
+    assert sum(r["chunk"] for r in chunks) == 1_000_000
+    assert max(r["chunk"] for r in chunks) <= 100 and len(chunks) < 11_000
+    small = weight_chunks(spark.createDataFrame([("b", 2)], "k string, w long"), "w").collect()
+    assert [r["chunk"] for r in small] == [2]
+
+
 def test_repeat_by_weight_splits_large_weights(spark):
     df = spark.createDataFrame([("hot", 100_003), ("one", 1), ("zero", 0), ("none", None)], "k string, w long")
-    out = repeat_by_weight(df, "w", fanout=16)
+    out = repeat_by_weight(df, "w", max_chunk=50, fanout=16)
     counts = {r["k"]: r["n"] for r in out.groupBy("k").agg(F.count("*").alias("n")).collect()}
     assert counts == {"hot": 100_003, "one": 1}
