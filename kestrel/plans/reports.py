@@ -13,9 +13,18 @@ from kestrel.operators.expand import repeat_by_weight, weight_chunks
 LOCAL_CLOCK_HOURS = 9
 
 
+def newest_window_rows(counts: DataFrame) -> DataFrame:
+    """Rows of the newest window. On a stored table partitioned by ``window_day`` the newest day
+    is found first; Spark turns that into a partition filter at run time, so only the last day's
+    files are read for the window itself."""
+    if "window_day" in counts.columns:
+        counts = rows_at_max(counts, "window_day")
+    return rows_at_max(counts, "window_end")
+
+
 def latest_window_ranking(counts: DataFrame, shift: int = LOCAL_CLOCK_HOURS) -> DataFrame:
     """Q7: keywords of the newest window by appearances (ties by keyword), end on the local clock."""
-    newest = rows_at_max(counts, "window_end")
+    newest = newest_window_rows(counts)
     return (newest.select(shift_hours(F.col("window_end"), shift).alias("window_end_local"),
                           "keyword", "appearances")
             .orderBy(F.col("appearances").desc(), F.col("keyword")))
@@ -24,7 +33,7 @@ def latest_window_ranking(counts: DataFrame, shift: int = LOCAL_CLOCK_HOURS) ->
 def latest_window_bag(counts: DataFrame, shift: int = LOCAL_CLOCK_HOURS) -> DataFrame:
     """Q8: each keyword of the newest window repeated ``appearances`` times, one row each: the
     input of a word cloud, kept distributed."""
-    newest = rows_at_max(counts, "window_end")
+    newest = newest_window_rows(counts)
     weighted = newest.select(shift_hours(F.col("window_end"), shift).alias("window_end_local"),
                              "keyword", "appearances")
     return repeat_by_weight(weighted, "appearances")
@@ -34,7 +43,7 @@ def bag_text_pieces(counts: DataFrame, shift: int = LOCAL_CLOCK_HOURS) -> DataFr
     """The newest window's word bag as space-joined text pieces (C13), each a bounded number of
     repetitions of one keyword. Joining all pieces with spaces gives the word-cloud text; no single
     row or task holds all of it, however hot a keyword is."""
-    newest = rows_at_max(counts, "window_end")
+    newest = newest_window_rows(counts)
     weighted = newest.select(shift_hours(F.col("window_end"), shift).alias("window_end_local"),
                              "keyword", "appearances")
     return weight_chunks(weighted, "appearances").select(

@@ -14,7 +14,7 @@ from kestrel.session import shared_path
 from kestrel.sources.files import non_blank_lines
 from kestrel.sources.streams import file_stream, text_line_stream
 from kestrel.streaming.jobs import decoded_texts, keyword_sink_writer, run_to_end
-from kestrel.streaming.sinks import FileBatchSink
+from kestrel.streaming.sinks import FileBatchSink, WindowTableSink
 from kestrel.streaming.windows import as_wall_clock, count_per_window
 
 WINDOW_TABLE_SCHEMA = StructType([
@@ -39,10 +39,11 @@ def write_document_feed(spark: SparkSession, sf_dir: str, blank_lines: bool = Fa
 def q_keyword_counts_stream(spark, sf_dir):
     """Q5: feed → decode → keywords → 30 s windows, 30 s watermark → replay-safe batch sink."""
     feed = write_document_feed(spark, sf_dir)
-    sink = FileBatchSink(shared_path(spark, "keywords"))
+    sink = WindowTableSink(shared_path(spark, "keywords"))
     run_to_end(keyword_sink_writer(text_line_stream(spark, feed), sink, shared_path(spark, "ckpt"),
                                    "30 seconds", "30 seconds"))
-    return as_wall_clock(sink.read(spark, schema=WINDOW_TABLE_SCHEMA), "window_start", "window_end")
+    table = sink.read(spark, schema=WINDOW_TABLE_SCHEMA).select(*WINDOW_TABLE_SCHEMA.fieldNames())
+    return as_wall_clock(table, "window_start", "window_end")
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

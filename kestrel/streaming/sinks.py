@@ -3,9 +3,9 @@
 Spark may hand the same ``batch_id`` to the sink again after a failure (the batch ran, the commit
 was not recorded). These sinks make that harmless:
 
-* ``FileBatchSink`` writes batch N to its own folder ``batch_id=N`` in overwrite mode, so a
-  replay replaces the earlier attempt, partial or complete. The folder set reads back as one
-  table partitioned by ``batch_id``.
+* ``FileBatchSink`` writes batch N to its own folders ``batch_id=N`` with dynamic partition
+  overwrite, so a replay replaces the earlier attempt, partial or complete. The folders read
+  back as one table partitioned by ``batch_id`` (and any time partition columns).
 * ``JdbcBatchSink`` stores ``batch_id`` with the rows and skips a batch whose id is already in
   the table; the batch is written from one partition, so it is one transaction.
 """
@@ -17,27 +17,33 @@ from pyspark.sql import functions as F
 
 from kestrel.sinks.jdbc import write_jdbc
 from kestrel.sources.jdbc import read_jdbc
+from kestrel.streaming.windows import with_window_day
 
 
 class FileBatchSink:
-    def __init__(self, path: str, fmt: str = "parquet", **options):
+    """Writes micro-batch N under ``batch_id=N`` (inside optional ``partition_by`` folders, e.g.
+    a day of event time) with dynamic partition overwrite: a replayed batch replaces exactly the
+    folders its first attempt wrote, and readers can prune on the partition columns."""
+
+    def __init__(self, path: str, fmt: str = "parquet", partition_by: list[str] | None = None, **options):
         self.path = path.rstrip("/")
         self.fmt = fmt
+        self.partition_by = list(partition_by or [])
         self.options = options
 
-    def batch_path(self, batch_id: int) -> str:
-        return f"{self.path}/batch_id={batch_id}"
-
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        writer = batch_df.write.format(self.fmt).mode("overwrite")
+        writer = (batch_df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                  .write.format(self.fmt).mode("overwrite")
+                  .option("partitionOverwriteMode", "dynamic")
+                  .partitionBy(*self.partition_by, "batch_id"))
         for key, value in self.options.items():
             writer = writer.option(key, value)
-        writer.save(self.batch_path(batch_id))
+        writer.save(self.path)
 
     def read(self, spark, drop_batch_id: bool = True, schema=None) -> DataFrame:
         """All stored batches as one table; empty (with ``schema``) before the first batch."""
         try:
-            df = spark.read.format(self.fmt).option("basePath", self.path).load(self.path)
+            df = spark.read.format(self.fmt).load(self.path)
         except Exception:
             if schema is None:
                 raise
@@ -45,6 +51,17 @@ class FileBatchSink:
         return df.drop("batch_id") if drop_batch_id else df
 
 
+class WindowTableSink(FileBatchSink):
+    """A window table ``(window_start, window_end, keyword, appearances)`` stored by day of the
+    window start, so the reports read only the days they need."""
+
+    def __init__(self, path: str, fmt: str = "parquet", **options):
+        super().__init__(path, fmt, partition_by=["window_day"], **options)
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        super().__call__(with_window_day(batch_df), batch_id)
+
+
 class JdbcBatchSink:
     def __init__(self, url: str, table: str, properties: dict | None = None,
                  id_column: str = "batch_id", batchsize: int = 4096,

@@ -73,3 +73,9 @@ def as_wall_clock(df: DataFrame, *cols: str) -> DataFrame:
     for c in cols:
         df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
     return df
+
+
+def with_window_day(counts: DataFrame) -> DataFrame:
+    """Adds ``window_day`` (the UTC date of the window start), the partition column of a stored
+    window table: the newest window always lies in the newest day."""
+    return counts.withColumn("window_day", F.to_date(F.col("window_start")))
