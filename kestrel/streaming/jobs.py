@@ -55,7 +55,7 @@ def keyword_sink_writer(messages: DataFrame, sink: BatchSink, checkpoint_base: s
 
 
 def text_console_writer(messages: DataFrame, checkpoint_base: str, num_output_rows: int = 128,
-                        trigger: dict | None = None, query_name: str = "tweets to console") -> DataStreamWriter:
+                        trigger: dict | None = None, query_name: str = "texts to console") -> DataStreamWriter:
     texts, _ = decoded_texts(messages)
     writer = console_stream_writer(texts.select("text"), checkpoint_dir(checkpoint_base, "console"),
                                    num_output_rows, query_name=query_name)

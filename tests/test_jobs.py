@@ -22,7 +22,7 @@ def test_two_queries_one_source_with_rejects(spark, scratch):
     rejects = os.path.join(scratch, "rejects")
     queries = start_keyword_job(spark, text_line_stream(spark, feed), sink, os.path.join(scratch, "ckpt"),
                                 trigger={"availableNow": True}, rejects_path=rejects)
-    assert [q.name for q in queries] == ["keywords to database", "tweets to console", "rejected messages"]
+    assert [q.name for q in queries] == ["keywords to database", "texts to console", "rejected messages"]
     await_all(spark, queries, timeout=300)
     stored = sorted((r["keyword"], r["appearances"]) for r in sink.read(spark).collect())
     assert stored == [("alpha", 1), ("beta", 1)]  # the window of gamma is still open
