@@ -25,6 +25,35 @@ LOCAL_DEFAULTS = {
 }
 
 
+def cluster_settings(largest_shuffle_bytes: int, executor_memory_bytes: int = 8 << 30,
+                     executor_cores: int = 4, executors: int = 1000, stateful_stream: bool = False) -> dict:
+    """Settings for a large cluster, to pass to ``spark-submit --conf``.
+
+    ``largest_shuffle_bytes`` is the biggest exchange of the job, not the input: after column
+    pruning and the partial aggregate, counting keywords of 100 TB of text shuffles a small
+    fraction of it. Each reduce task should fit that share in its part of execution memory
+    (about 60% of the heap split over the cores), so spills stay rare; at least 3 tasks per core
+    keep every core busy. AQE then coalesces partitions that turn out small and splits skewed ones.
+    Scan splits get the same target size. A stateful stream keeps its partition count for the
+    life of its checkpoint, and large state goes to RocksDB.
+    """
+    per_task = max(64 << 20, min(512 << 20, int(executor_memory_bytes * 0.6 / executor_cores)))
+    partitions = max(3 * executors * executor_cores, -(-largest_shuffle_bytes // per_task))
+    settings = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(per_task // 2),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(per_task // 2),
+        "spark.sql.session.timeZone": "UTC",
+    }
+    if stateful_stream:
+        settings["spark.sql.streaming.stateStore.providerClass"] = \
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    return settings
+
+
 def get_session(master: str | None = None, app_name: str = "kestrel",
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Return the active session unchanged, or build one with ``LOCAL_DEFAULTS``."""

@@ -93,3 +93,12 @@ def test_mean_plan_partial_aggregate_and_pruned_scan(spark, capsys):
     assert "partial_count" in plan and "partial_avg" in plan
     assert "ReadSchema: struct<l_suppkey:bigint,l_quantity:double>" in plan
     assert "ReadSchema: struct<s_suppkey:bigint,s_name:string>" in plan
+
+
+def test_cluster_settings_scale_with_shuffle_size():
+    from kestrel.session import cluster_settings
+    small = cluster_settings(1 << 30, executors=10)
+    big = cluster_settings(10 * 10**12)
+    assert int(small["spark.sql.shuffle.partitions"]) == 3 * 10 * 4
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-10 * 10**12 // (512 << 20))
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
