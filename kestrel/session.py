@@ -83,13 +83,16 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (a shared file system or object store). Only when it is unset,
-    as in local tests, a folder of our own is made and registered.
+    On a cluster this must be set (a shared file system or object store); an unset one is an
+    error there. Only in local mode (tests) a folder of our own is made and registered.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store): "
+                           "a machine-local folder is not visible to the other executors")
     root = tempfile.mkdtemp(prefix="kestrel-ckpt-")
     sc.setCheckpointDir(root)
     # setCheckpointDir adds a random sub folder; use that one as the root.
