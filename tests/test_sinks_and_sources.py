@@ -69,3 +69,27 @@ def test_json_lines_skip_blank(spark, scratch):
     with open(path, "w") as f:
         f.write('{"a":1}\n\n   \n{"a":2}\n')
     assert read_json_lines(spark, path).count() == 2
+
+
+def test_cli_jobs(spark, scratch, capsys):
+    from kestrel import cli
+
+    os.makedirs(os.path.join(scratch, "d"))
+    with open(os.path.join(scratch, "d", "airlines.csv"), "w") as f:
+        f.write("IATA_CODE,AIRLINE\nAA,American Airlines Inc.\nUA,United Air Lines Inc.\n")
+    with open(os.path.join(scratch, "d", "flights.csv"), "w") as f:
+        f.write("AIRLINE,ARRIVAL_DELAY\nAA,5\nAA,-3\nUA,10\n")
+    cli.main(["mean-by-entity", "--input_dir", os.path.join(scratch, "d"), "--output_dir",
+              os.path.join(scratch, "o"), "--show_summary"])
+    out = capsys.readouterr().out
+    assert "Total 3 flights." in out and "Elapsed time(sec)" in out
+    assert f"{'United Air Lines Inc.':32} {1:10d} {'10.00':>8}" in out
+    cli.main(["mean-by-entity-sql", "--input_dir", os.path.join(scratch, "d")])
+    out = capsys.readouterr().out
+    assert "AVG_ARRIVAL_DELAY" in out and "American Airlin" in out and "10.0" in out
+    with open(os.path.join(scratch, "airports.csv"), "w") as f:
+        f.write("IATA,STATE\nA1,TX\nA2,TX\nA3,CA\n")
+    cli.main(["count-by-group", "--input_file", os.path.join(scratch, "airports.csv"), "--output_file",
+              os.path.join(scratch, "c"), "--single_file", "--output_format", "csv"])
+    parts = glob.glob(os.path.join(scratch, "c", "part-*"))
+    assert len(parts) == 1 and open(parts[0]).read().splitlines() == ["STATE,COUNT", "TX,2", "CA,1"]
