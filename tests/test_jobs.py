@@ -47,3 +47,18 @@ def test_pluggable_analyzer(spark):
     df = spark.createDataFrame([(1, "inu wa hashiru https://t.co/x1 123"), (2, None)], "i int, text string")
     rows = [r["keyword"] for r in analyzed_tokens(df, "text", ["i"], _toy_analyzer).collect()]
     assert rows == ["inu", "hashiru"]
+
+
+def test_stream_with_lexicon(spark, scratch):
+    from kestrel.streaming.jobs import keyword_sink_writer, run_to_end
+
+    feed = os.path.join(scratch, "feed")
+    os.makedirs(feed)
+    with open(os.path.join(feed, "a.json"), "w") as f:
+        f.write("\n".join([_line(1, 1, "dog is running"), _line(2, 2, "the dog"), _line(3, 100, "late")]) + "\n")
+    lexicon = [("is", "動詞,自立,*,*", "be"), ("the", "連体詞,*,*,*", "the"), ("running", "動詞,自立,*,*", "run")]
+    sink = FileBatchSink(os.path.join(scratch, "out"))
+    run_to_end(keyword_sink_writer(text_line_stream(spark, feed), sink, os.path.join(scratch, "ckpt"),
+                                   lexicon=lexicon))
+    got = sorted((r["keyword"], r["appearances"]) for r in sink.read(spark).collect())
+    assert got == [("be", 1), ("dog", 2), ("run", 1)]
