@@ -5,7 +5,7 @@
     spark-submit kestrel/cli.py mean-by-entity --input_dir data --output_dir out [--show_summary]
     spark-submit kestrel/cli.py mean-by-entity-sql --input_dir data
     spark-submit kestrel/cli.py keyword-stream --bootstrap-servers host:9092 --topic t --checkpoint-location s3a://... \\
-        --url jdbc:... --table TWEET_KEYWORDS
+        --url jdbc:... --table KEYWORDS
     spark-submit kestrel/cli.py publish-feed --input path --bootstrap-servers host:9092 --topic t
 
 Database user and password come from ``--user`` / ``--password`` or the ``DB_USER`` /
