@@ -56,18 +56,26 @@ def cluster_settings(largest_shuffle_bytes: int, executor_memory_bytes: int = 8
 
 def get_session(master: str | None = None, app_name: str = "kestrel",
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    """Return the active session unchanged, or build one with ``LOCAL_DEFAULTS``."""
+    """Return the active session unchanged, or build one.
+
+    ``LOCAL_DEFAULTS`` fill only settings that were not given at launch (``spark-submit --conf``);
+    ``shuffle_partitions`` and ``extra`` are explicit and always apply.
+    """
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
+    from pyspark import SparkConf
+
+    launched = SparkConf()  # the spark.* settings the launcher passed in
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(LOCAL_DEFAULTS)
+    for key, value in LOCAL_DEFAULTS.items():
+        if not launched.contains(key):
+            builder = builder.config(key, value)
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for key, value in conf.items():
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
