@@ -51,3 +51,19 @@ def test_repeat_by_weight_splits_large_weights(spark):
     out = repeat_by_weight(df, "w", max_chunk=50, fanout=16)
     counts = {r["k"]: r["n"] for r in out.groupBy("k").agg(F.count("*").alias("n")).collect()}
     assert counts == {"hot": 100_003, "one": 1}
+
+
+def test_sql_forms_equal_dataframe_forms(spark):
+    from kestrel.plans.report_sql import (ALLTIME_SPAN, ALLTIME_TOP, LATEST_WINDOW_RANKING, register_keyword_table,
+                                          run_report)
+    from kestrel.plans.text_queries import document_keyword_counts
+    from kestrel.streaming.windows import as_wall_clock
+
+    counts = as_wall_clock(document_keyword_counts(spark, "/root/testdata/sf0.001"), "window_start", "window_end")
+    view = register_keyword_table(counts, "kw_test")
+    pairs = [(run_report(spark, LATEST_WINDOW_RANKING, view), latest_window_ranking(counts)),
+             (run_report(spark, ALLTIME_SPAN, view), alltime_span(counts)),
+             (run_report(spark, ALLTIME_TOP, view), alltime_top(counts, 100))]
+    for sql_form, df_form in pairs:
+        assert sql_form.columns == df_form.columns
+        assert [tuple(r) for r in sql_form.collect()] == [tuple(r) for r in df_form.collect()]
