@@ -139,3 +139,20 @@ def run_keyword_job(spark: SparkSession, bootstrap_servers: str, topic: str, sin
                                 num_output_rows, lexicon, pos_mode, trigger, True, rejects_path)
     await_all(spark, started, timeout)
     return started
+
+
+def window_table_writer(messages: DataFrame, path: str, checkpoint_base: str, window: str = "30 seconds",
+                        watermark: str = "30 seconds", lexicon=None, pos_mode: str = "subclass",
+                        trigger: dict | None = None) -> DataStreamWriter:
+    """Closed windows appended to a parquet table partitioned by ``window_day`` through Spark's
+    file sink, whose metadata log makes each micro-batch land exactly once (no ``foreachBatch``
+    needed). Readers must read the table through that log: ``spark.read.parquet(path)``."""
+    from kestrel.streaming.windows import with_window_day
+
+    texts, _ = decoded_texts(messages)
+    counts = with_window_day(keyword_counts(texts, "ts", "text", window, watermark, lexicon, pos_mode))
+    writer = (counts.writeStream.format("parquet").outputMode("append").partitionBy("window_day")
+              .option("path", path)
+              .option("checkpointLocation", checkpoint_dir(checkpoint_base, "window-table"))
+              .queryName("keywords to table"))
+    return with_trigger(writer, trigger)

@@ -62,3 +62,20 @@ def test_stream_with_lexicon(spark, scratch):
                                    lexicon=lexicon))
     got = sorted((r["keyword"], r["appearances"]) for r in sink.read(spark).collect())
     assert got == [("be", 1), ("dog", 2), ("run", 1)]
+
+
+def test_file_sink_window_table_equals_batch_sink(spark, scratch):
+    from kestrel.streaming.jobs import keyword_sink_writer, run_to_end, window_table_writer
+
+    feed = os.path.join(scratch, "feed")
+    os.makedirs(feed)
+    with open(os.path.join(feed, "a.json"), "w") as f:
+        f.write("\n".join([_line(1, 1, "alpha beta"), _line(2, 40, "beta"), _line(3, 300, "gamma")]) + "\n")
+    table = os.path.join(scratch, "table")
+    run_to_end(window_table_writer(text_line_stream(spark, feed), table, os.path.join(scratch, "c1")))
+    sink = FileBatchSink(os.path.join(scratch, "batches"))
+    run_to_end(keyword_sink_writer(text_line_stream(spark, feed), sink, os.path.join(scratch, "c2")))
+    rows = lambda df: sorted(tuple(r) for r in df.select("window_start", "keyword", "appearances").collect())
+    stored = spark.read.parquet(table)
+    assert "window_day" in stored.columns
+    assert rows(stored) == rows(sink.read(spark)) and len(rows(stored)) == 3
