@@ -93,3 +93,25 @@ def test_cli_jobs(spark, scratch, capsys):
               os.path.join(scratch, "c"), "--single_file", "--output_format", "csv"])
     parts = glob.glob(os.path.join(scratch, "c", "part-*"))
     assert len(parts) == 1 and open(parts[0]).read().splitlines() == ["STATE,COUNT", "TX,2", "CA,1"]
+
+
+def test_dataset_directory_preview_and_order(spark, scratch):
+    from kestrel.operators.ordering import ordered
+    from kestrel.sinks.files import preview
+    from kestrel.sources.files import read_table, table_path
+
+    assert table_path("/d/", "airlines", "csv") == "/d/airlines.csv"
+    df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "k int, v string")
+    write_files(df, table_path(scratch, "t", "parquet"), "parquet")
+    back = read_table(spark, scratch, "t")
+    assert [r["k"] for r in ordered(back, "k").collect()] == [1, 2, 3]
+    assert preview(ordered(back, F.col("k").desc()), 2).count() == 2
+
+
+def test_cut_lineage_uses_the_shared_folder(spark):
+    from kestrel.session import checkpoint_root, cut_lineage
+
+    df = spark.range(100).withColumn("x", F.col("id") * 2)
+    cut = cut_lineage(df)
+    assert cut.count() == 100 and os.path.isdir(checkpoint_root(spark).replace("file:", ""))
+    assert "Range" not in cut._jdf.queryExecution().optimizedPlan().toString()
