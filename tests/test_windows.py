@@ -138,3 +138,18 @@ def test_jdbc_batch_sink_skips_replayed_batch(spark, monkeypatch):
     sink(batch, 0)   # replay of batch 0
     sink(batch, 1)
     assert sorted((r["keyword"], r["batch_id"]) for r in stored) == [("a", 0), ("a", 1), ("b", 0), ("b", 1)]
+
+
+def test_state_stays_bounded_by_the_watermark(spark, scratch):
+    feed = os.path.join(scratch, "feed")
+    os.makedirs(feed)
+    # Six batches in event-time order, 30 s apart, each with 20 distinct keywords.
+    for b in range(6):
+        words = " ".join(f"k{b}x{i}" for i in range(20))
+        _write_batch(feed, b, [_message(b * 10 + j, b * 30 + j, words) for j in range(5)])
+    sink = FileBatchSink(os.path.join(scratch, "out"))
+    query = run_to_end(keyword_sink_writer(text_line_stream(spark, feed, max_files_per_trigger=1), sink,
+                                           os.path.join(scratch, "ckpt"), "30 seconds", "30 seconds"))
+    state_rows = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(state_rows) <= 3 * 20          # a few open windows, never the whole history
+    assert sink.read(spark).count() >= 4 * 20  # closed windows were emitted along the way
