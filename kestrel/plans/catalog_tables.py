@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.operators.aggregates import count_by_group, mean_by_entity
 from kestrel.plans.batch_jobs import mean_by_entity_sql, summary_lines, total_line
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+from kestrel.plans.tables import table
 
 
 # ---------------------------------------------------------------------------------------------

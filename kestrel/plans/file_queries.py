@@ -10,7 +10,8 @@ from kestrel.functions.messages import envelope_json, stamp_feed_lines
 from kestrel.plans.batch_jobs import count_by_group_job, mean_by_entity_job
 from kestrel.plans.catalog_tables import (ORACLE as TABLE_ORACLE, facts, q_mean_by_entity, segments,
                                           suppliers_in_good_standing)
-from kestrel.plans.text_queries import doc_rules, text_table
+from kestrel.plans.tables import text_table
+from kestrel.plans.text_queries import doc_rules
 from kestrel.session import shared_path
 from kestrel.sinks.files import write_files
 from kestrel.sources.files import read_json_lines

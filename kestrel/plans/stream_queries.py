@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from kestrel.functions.messages import envelope_json, iso_stamp
-from kestrel.plans.text_queries import (SQL_DOC_COUNTS, SQL_DOC_TS, doc_rules, doc_time, table, text_table)
+from kestrel.plans.tables import table, text_table
+from kestrel.plans.text_queries import SQL_DOC_COUNTS, SQL_DOC_TS, doc_rules, doc_time
 from kestrel.session import shared_path
 from kestrel.sources.files import non_blank_lines
 from kestrel.sources.streams import file_stream, text_line_stream

@@ -9,7 +9,7 @@ from kestrel.functions.keywords import (ALLOWED_TOKEN, MAX_TOKEN_LENGTH, NOUN_ST
                                         SINGLE_CHAR_STOP, URL_PATTERN, VERB_STOP, WORD_PATTERN,
                                         count_keywords, keyword_array)
 from kestrel.functions.messages import decode_messages, encode_messages, iso_stamp, split_rejects
-from kestrel.operators.partitioning import spread_for_cpu
+from kestrel.plans.tables import table, text_table
 from kestrel.plans.reports import alltime_span, alltime_top, latest_window_bag, latest_window_ranking
 from kestrel.sources.streams import payload_text
 from kestrel.session import shared_path
@@ -19,15 +19,6 @@ from kestrel.streaming.windows import as_wall_clock, count_per_window, keyword_c
 EPOCH_2024 = 1704067200  # 2024-01-01 00:00:00 UTC
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of long texts, spread over the cores when it arrives in too few splits."""
-    return spread_for_cpu(table(spark, sf_dir, name))
-
-
 def doc_time() -> F.Column:
     """Documents carry no time; message time is 2024-01-01 plus ``doc_id`` seconds."""
     return F.timestamp_seconds(F.lit(EPOCH_2024) + F.col("doc_id"))

@@ -108,7 +108,7 @@ def test_stream_equals_batch_on_closed_windows(spark):
     sf = "/root/testdata/sf0.001"
     streamed = stream_queries.q_keyword_counts_stream(spark, sf)
     batch = text_queries.q_keyword_counts_batch(spark, sf)
-    last = text_queries.text_table(spark, sf, "documents").agg(F.max("doc_id")).collect()[0][0]
+    last = text_queries.table(spark, sf, "documents").agg(F.max("doc_id")).collect()[0][0]
     limit = dt.datetime(2024, 1, 1) + dt.timedelta(seconds=last - 30)
     closed = batch.filter(F.col("window_end") <= F.lit(limit).cast("timestamp_ntz"))
     key = lambda d: sorted(tuple(r) for r in d.select("window_start", "window_end", "keyword", "appearances").collect())
