@@ -122,14 +122,17 @@ def lexicon_frame(spark: SparkSession, entries: list[tuple[str, str, str]] | Dat
     Rows given in Python have a known count and are broadcast up to
     ``LEXICON_BROADCAST_MAX_ROWS``; a lexicon DataFrame is left to Spark's size-based choice.
     """
+    # One reading per surface (the smallest), so a token is never counted twice.
     if isinstance(entries, DataFrame):
-        lex, broadcast = entries.select("surface", "pos", "base_form"), False
-    else:
-        lex = spark.createDataFrame(list(entries), LEXICON_SCHEMA)
-        broadcast = len(entries) <= LEXICON_BROADCAST_MAX_ROWS
-    # Keep one reading per surface (the smallest), so a token is never counted twice.
-    one = lex.groupBy("surface").agg(F.min(F.struct("pos", "base_form")).alias("r"))
-    return one.select("surface", F.col("r.pos").alias("pos"), F.col("r.base_form").alias("base_form")), broadcast
+        one = entries.groupBy("surface").agg(F.min(F.struct("pos", "base_form")).alias("r"))
+        return one.select("surface", F.col("r.pos").alias("pos"), F.col("r.base_form").alias("base_form")), False
+    readings: dict = {}
+    for surface, pos, base_form in entries:
+        key = (pos is not None, pos or "", base_form is not None, base_form or "")
+        if surface not in readings or key < readings[surface][0]:
+            readings[surface] = (key, (surface, pos, base_form))
+    rows = [row for _, row in readings.values()]
+    return spark.createDataFrame(rows, LEXICON_SCHEMA), len(rows) <= LEXICON_BROADCAST_MAX_ROWS
 
 
 def classify(tokens: DataFrame, lexicon: DataFrame | None, broadcast: bool = False,
