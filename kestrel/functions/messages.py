@@ -79,14 +79,18 @@ def encode_messages(df: DataFrame, id_col: Column, text_col: Column, ts_text: Co
 def stamp_feed_lines(lines: DataFrame, stamp: Column | None = None, column: str = "value") -> DataFrame:
     """Feed enrichment (Q11): each JSON-object line gets a top-level ``ts`` and is keyed by
     ``data.id``. Every other field is passed through untouched, so the line is not re-encoded.
-    Blank keep-alive lines are dropped; a line with no ``data.id`` gets a NULL key.
+    Blank keep-alive lines are dropped; a line with no ``data.id`` gets a NULL key, and a line that
+    is not a JSON object gets a NULL value (a reject, never published).
     """
     stamp = arrival_stamp() if stamp is None else stamp
     body = F.trim(F.col(column))
     inner = F.regexp_replace(body, r"\}$", "")
     empty_object = F.regexp_like(body, F.lit(r"^\{\s*\}$"))
+    # Only a JSON object can take a field: anything else (an array, broken text) gets a NULL value.
+    is_object = body.startswith("{") & body.endswith("}") & F.get_json_object(body, "$").isNotNull()
     # An ISO timestamp has no character that needs escaping inside a JSON string.
     stamped = F.concat(F.when(empty_object, F.lit("{")).otherwise(F.concat(inner, F.lit(","))),
                        F.lit('"ts":"'), stamp, F.lit('"}'))
     return (lines.filter(F.length(body) > 0)
-            .select(F.get_json_object(body, "$.data.id").alias("key"), stamped.alias("value")))
+            .select(F.get_json_object(body, "$.data.id").alias("key"),
+                    F.when(is_object, stamped).alias("value")))

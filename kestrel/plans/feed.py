@@ -7,6 +7,7 @@ keep-alive lines, add ``ts``, and write ``(key, value)`` records to a Kafka topi
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kestrel.functions.messages import stamp_feed_lines
@@ -16,12 +17,13 @@ from kestrel.sources.streams import text_line_stream
 
 
 def stamped_feed(lines: DataFrame) -> DataFrame:
-    return stamp_feed_lines(non_blank_lines(lines))
+    """Publishable records only: lines that are not JSON objects (NULL value) are left out."""
+    return stamp_feed_lines(non_blank_lines(lines)).filter(F.col("value").isNotNull())
 
 
 def publish_feed_files(spark: SparkSession, path: str, bootstrap_servers: str, topic: str,
                        **kafka_options) -> DataFrame:
-    records = stamp_feed_lines(read_json_lines(spark, path))
+    records = stamped_feed(read_json_lines(spark, path))
     write_kafka(records, bootstrap_servers, topic, **kafka_options)
     return records
 
