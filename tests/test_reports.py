@@ -67,3 +67,25 @@ def test_sql_forms_equal_dataframe_forms(spark):
     for sql_form, df_form in pairs:
         assert sql_form.columns == df_form.columns
         assert [tuple(r) for r in sql_form.collect()] == [tuple(r) for r in df_form.collect()]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.integers(-3, 5000)), min_size=1, max_size=12),
+       st.integers(1, 9), st.integers(2, 7))
+def test_weight_expansion_property(spark, weights, max_chunk, fanout):
+    from kestrel.operators.expand import weight_chunks
+
+    df = spark.createDataFrame([(f"k{i}", w) for i, w in enumerate(weights)], "k string, w long")
+    chunks = weight_chunks(df, "w", max_chunk=max_chunk, fanout=fanout).collect()
+    assert all(0 < r["chunk"] <= max_chunk for r in chunks)
+    expected = {f"k{i}": w for i, w in enumerate(weights) if w is not None and w > 0}
+    got = {}
+    for r in chunks:
+        got[r["k"]] = got.get(r["k"], 0) + r["chunk"]
+    assert got == expected
+    units = repeat_by_weight(df, "w", max_chunk=max_chunk, fanout=fanout).groupBy("k").count().collect()
+    assert {r["k"]: r["count"] for r in units} == expected
