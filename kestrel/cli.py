@@ -73,6 +73,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--num-output-rows", type=int, default=128)
     p.add_argument("--checkpoint-location", required=True)
     p.add_argument("--rejects-path")
+    p.add_argument("--max-offsets-per-trigger", type=int, help="bound the records of one micro-batch")
+    p.add_argument("--min-partitions", type=int, help="split topic partitions over at least this many tasks")
+    p.add_argument("--starting-offsets", default="latest")
     _add_db(p)
 
     p = sub.add_parser("publish-feed", help="stamp JSON lines and publish them keyed by id")
@@ -123,8 +126,14 @@ def run(args) -> None:
         from kestrel.streaming.sinks import JdbcBatchSink
 
         sink = JdbcBatchSink(args.url, args.table, _db_properties(args))
+        kafka_options = {}
+        if args.max_offsets_per_trigger:
+            kafka_options["maxOffsetsPerTrigger"] = str(args.max_offsets_per_trigger)
+        if args.min_partitions:
+            kafka_options["minPartitions"] = str(args.min_partitions)
         run_keyword_job(spark, args.bootstrap_servers, args.topic, sink, args.checkpoint_location,
-                        args.window, args.watermark, args.num_output_rows, rejects_path=args.rejects_path)
+                        args.window, args.watermark, args.num_output_rows,
+                        starting_offsets=args.starting_offsets, rejects_path=args.rejects_path, **kafka_options)
     elif args.job == "publish-feed":
         from kestrel.plans import feed
 

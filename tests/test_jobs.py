@@ -79,3 +79,14 @@ def test_file_sink_window_table_equals_batch_sink(spark, scratch):
     stored = spark.read.parquet(table)
     assert "window_day" in stored.columns
     assert rows(stored) == rows(sink.read(spark)) and len(rows(stored)) == 3
+
+
+def test_kafka_job_reaches_the_source(spark, scratch):
+    """No Kafka connector here: the job is wired up to the point where Spark looks for it."""
+    import pytest
+
+    from kestrel import cli
+
+    with pytest.raises(Exception, match="(?i)kafka"):
+        cli.main(["keyword-stream", "--topic", "t", "--checkpoint-location", os.path.join(scratch, "c"),
+                  "--url", "jdbc:none", "--table", "T", "--max-offsets-per-trigger", "1000"])
