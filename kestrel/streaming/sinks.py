@@ -25,13 +25,24 @@ class FileBatchSink:
     a day of event time) with dynamic partition overwrite: a replayed batch replaces exactly the
     folders its first attempt wrote, and readers can prune on the partition columns."""
 
-    def __init__(self, path: str, fmt: str = "parquet", partition_by: list[str] | None = None, **options):
+    def __init__(self, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
+                 files_per_folder: int | None = None, **options):
         self.path = path.rstrip("/")
         self.fmt = fmt
         self.partition_by = list(partition_by or [])
+        self.files_per_folder = files_per_folder
         self.options = options
 
+    def _bounded_files(self, batch_df: DataFrame) -> DataFrame:
+        """At most ``files_per_folder`` files per partition folder: rows are hashed on the
+        partition columns plus a salt from the row's own hash (deterministic, so a retried task
+        writes the same rows), instead of every writing task leaving a file in every folder."""
+        salt = F.pmod(F.hash(*[F.col(c) for c in batch_df.columns]), F.lit(self.files_per_folder))
+        return batch_df.repartition(*[F.col(c) for c in self.partition_by], salt)
+
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        if self.files_per_folder:
+            batch_df = self._bounded_files(batch_df)
         writer = (batch_df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
                   .write.format(self.fmt).mode("overwrite")
                   .option("partitionOverwriteMode", "dynamic")
@@ -53,10 +64,12 @@ class FileBatchSink:
 
 class WindowTableSink(FileBatchSink):
     """A window table ``(window_start, window_end, keyword, appearances)`` stored by day of the
-    window start, so the reports read only the days they need."""
+    window start, so the reports read only the days they need; a micro-batch adds at most
+    ``files_per_folder`` files to a day (a stream with short triggers would otherwise leave one
+    file per task per batch)."""
 
-    def __init__(self, path: str, fmt: str = "parquet", **options):
-        super().__init__(path, fmt, partition_by=["window_day"], **options)
+    def __init__(self, path: str, fmt: str = "parquet", files_per_folder: int | None = 4, **options):
+        super().__init__(path, fmt, partition_by=["window_day"], files_per_folder=files_per_folder, **options)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         super().__call__(with_window_day(batch_df), batch_id)

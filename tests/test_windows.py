@@ -153,3 +153,21 @@ def test_state_stays_bounded_by_the_watermark(spark, scratch):
     state_rows = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
     assert max(state_rows) <= 3 * 20          # a few open windows, never the whole history
     assert sink.read(spark).count() >= 4 * 20  # closed windows were emitted along the way
+
+
+def test_window_table_sink_bounds_files_per_day(spark, scratch):
+    import glob
+
+    from kestrel.streaming.sinks import WindowTableSink
+
+    rows = [(BASE + dt.timedelta(days=d, seconds=s), BASE + dt.timedelta(days=d, seconds=s + 30), f"k{s}", 1)
+            for d in range(2) for s in range(0, 3000, 30)]
+    batch = spark.createDataFrame(rows, "window_start timestamp, window_end timestamp, keyword string, "
+                                        "appearances long").repartition(16)
+    sink = WindowTableSink(os.path.join(scratch, "t"), files_per_folder=2)
+    sink(batch, 7)
+    sink(batch, 7)  # replay
+    for day in ("2024-01-01", "2024-01-02"):
+        files = glob.glob(os.path.join(scratch, "t", f"window_day={day}", "batch_id=7", "part-*"))
+        assert 1 <= len(files) <= 2
+    assert sink.read(spark).count() == len(rows)
