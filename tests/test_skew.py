@@ -48,3 +48,20 @@ def test_hot_keyword(spark, capsys):
     assert plan.index("partial_count") > plan.index("Exchange")  # partial count sits below the exchange
     overall = {r["keyword"]: r["appearances"] for r in count_keywords(df, "text", []).collect()}
     assert overall["hot"] == 30_000 and sum(overall.values()) == 33_000
+
+
+def test_range_sort_stays_balanced_when_counts_tie(spark):
+    """9,000 of 9,010 groups have count 1; the unique key at the end of the sort order lets the
+    range partitioner split them evenly instead of sending every tied row to one partition."""
+    from collections import Counter
+
+    from pyspark.sql.functions import spark_partition_id
+
+    df = spark.range(12_000).select(F.when(F.col("id") < 3000, F.col("id") % 10).otherwise(F.col("id")).alias("k"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ranked = count_by_group(df, "k", "n").withColumn("p", spark_partition_id())
+        sizes = Counter(r["p"] for r in ranked.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 8 and max(sizes.values()) < 2 * (sum(sizes.values()) / len(sizes))
