@@ -3,7 +3,8 @@
 A naive ``explode(array_repeat(x, n))`` builds an n-element array in one task, so one hot row
 (one keyword holding a third of all appearances) would sit in one task's memory. Here a weight is
 cut into bounded pieces over three rounds, with a round-robin repartition after the first two, so
-no array is long and the pieces of a hot key spread over all tasks.
+no array is long and the pieces of a hot key spread over all tasks. The round-robin repartitions
+stay deterministic under task retries (Spark sorts rows before dealing them out).
 """
 
 from __future__ import annotations

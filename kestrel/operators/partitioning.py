@@ -5,6 +5,10 @@ fewer splits than the cluster has cores (one large row group, an unsplittable fi
 would run in those few tasks. ``spread_for_cpu`` then deals the rows round-robin over the
 cluster's default parallelism. On a large input, which already has more splits than cores, it
 leaves the plan unchanged, so it never adds a shuffle of a big table.
+
+Round-robin repartitioning survives executor loss: Spark sorts each input partition before
+dealing its rows (``spark.sql.execution.sortBeforeRepartition``, on by default), so a recomputed
+map task sends the same rows to the same partitions.
 """
 
 from __future__ import annotations
