@@ -76,6 +76,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max-offsets-per-trigger", type=int, help="bound the records of one micro-batch")
     p.add_argument("--min-partitions", type=int, help="split topic partitions over at least this many tasks")
     p.add_argument("--starting-offsets", default="latest")
+    p.add_argument("--no-console", action="store_true", help="skip the text preview query")
     _add_db(p)
 
     p = sub.add_parser("publish-feed", help="stamp JSON lines and publish them keyed by id")
@@ -133,7 +134,8 @@ def run(args) -> None:
             kafka_options["minPartitions"] = str(args.min_partitions)
         run_keyword_job(spark, args.bootstrap_servers, args.topic, sink, args.checkpoint_location,
                         args.window, args.watermark, args.num_output_rows,
-                        starting_offsets=args.starting_offsets, rejects_path=args.rejects_path, **kafka_options)
+                        starting_offsets=args.starting_offsets, rejects_path=args.rejects_path,
+                        console=not args.no_console, **kafka_options)
     elif args.job == "publish-feed":
         from kestrel.plans import feed
 

@@ -128,15 +128,19 @@ def run_keyword_job(spark: SparkSession, bootstrap_servers: str, topic: str, sin
                     num_output_rows: int = 128, lexicon=None, pos_mode: str = "subclass",
                     starting_offsets: str = "latest", fail_on_data_loss: bool = False,
                     trigger: dict | None = None, rejects_path: str | None = None,
-                    timeout: float | None = None, **kafka_options) -> list[StreamingQuery]:
+                    timeout: float | None = None, console: bool = True, **kafka_options) -> list[StreamingQuery]:
     """Q5 + Q6 as one job: subscribe to ``topic``, count keywords per window into ``sink``
-    (e.g. ``JdbcBatchSink``), print texts, and wait; a failure of either query ends the job."""
+    (e.g. ``JdbcBatchSink``), print texts, and wait; a failure of either query ends the job.
+
+    Each query reads the topic on its own (two reads of every record); ``console=False`` keeps
+    only the keyword query for production runs.
+    """
     from kestrel.sources.streams import kafka_stream
 
     messages = kafka_stream(spark, bootstrap_servers, topic, starting_offsets, fail_on_data_loss,
                             **kafka_options)
     started = start_keyword_job(spark, messages, sink, checkpoint_location, window, watermark,
-                                num_output_rows, lexicon, pos_mode, trigger, True, rejects_path)
+                                num_output_rows, lexicon, pos_mode, trigger, console, rejects_path)
     await_all(spark, started, timeout)
     return started
 
