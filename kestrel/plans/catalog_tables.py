@@ -46,6 +46,21 @@ def q_mean_by_entity_sql(spark, sf_dir):
                               facts_view="kestrelfacts", dim_view="kestrel_dim")
 
 
+def q_count_by_customer_ranked(spark, sf_dir):
+    """Q1 at a larger cardinality: orders per customer (many groups, many tied counts)."""
+    return count_by_group(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("customer")),
+                          "customer", "n_orders")
+
+
+def q_mean_by_part_sql(spark, sf_dir):
+    """Q4 at a larger cardinality: rows and mean quantity per part, named from the part table."""
+    parts_facts = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", F.when(F.col("l_returnflag") != "R", F.col("l_quantity")).alias("qty"))
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    return mean_by_entity_sql(spark, parts_facts, parts, "l_partkey", "qty", "p_partkey", "p_name",
+                              facts_view="kestrel_part_facts", dim_view="kestrel_parts")
+
+
 def q_grand_total(spark, sf_dir):
     return total_line(q_mean_by_entity(spark, sf_dir), "entity_count", unit="rows")
 
@@ -77,6 +92,14 @@ ORACLE = {
         SELECT min(s.s_name) AS entity_name, count(f.l_suppkey) AS entity_count, avg(f.qty) AS avg_measure
         FROM f LEFT JOIN s ON f.l_suppkey = s.s_suppkey
         GROUP BY f.l_suppkey ORDER BY avg_measure NULLS FIRST, f.l_suppkey""",
+    "count_by_customer_ranked": """
+        SELECT o_custkey AS customer, count(o_custkey) AS n_orders FROM orders
+        GROUP BY o_custkey ORDER BY n_orders DESC, customer NULLS FIRST""",
+    "mean_by_part_sql": """
+        WITH f AS (SELECT l_partkey, CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS qty FROM lineitem)
+        SELECT min(p.p_name) AS entity_name, count(f.l_partkey) AS entity_count, avg(f.qty) AS avg_measure
+        FROM f LEFT JOIN part p ON f.l_partkey = p.p_partkey
+        GROUP BY f.l_partkey ORDER BY avg_measure NULLS FIRST, f.l_partkey""",
     "grand_total": f"""
         WITH {FACTS_SQL}
         SELECT CAST(sum(entity_count) AS BIGINT) AS total,
@@ -95,4 +118,6 @@ QUERIES = {
     "mean_by_entity_sql": q_mean_by_entity_sql,
     "grand_total": q_grand_total,
     "report_lines": q_report_lines,
+    "count_by_customer_ranked": q_count_by_customer_ranked,
+    "mean_by_part_sql": q_mean_by_part_sql,
 }

@@ -21,6 +21,8 @@ SCALE_NOTES = {
     "count_by_group_ranked": "One shuffle of partial counts (one row per group per task), then a range sort of the groups. A group holding a third of the rows costs one row per task.",
     "mean_by_entity": "Partial count/avg before the shuffle; the join sees one row per entity. The dimension is broadcast only when Spark measures it under the threshold, else sort-merge join on the already hash-partitioned aggregate side. Range sort of the result.",
     "mean_by_entity_sql": "Same as mean_by_entity, with the dimension also aggregated per key (sort aggregate of min(name)), so duplicated keys never multiply fact rows in the join.",
+    "count_by_customer_ranked": "As count_by_group_ranked with one group per customer; the unique key at the end of the sort keeps the range partitions even though most counts tie.",
+    "mean_by_part_sql": "As mean_by_entity_sql with one group per part; the part dimension is joined after both sides are aggregated.",
     "grand_total": "The sort of the input is dropped by the optimizer; partial sums, one row to the final task.",
     "report_lines": "Per-row format_string on the sorted result; no extra shuffle beyond the range sort.",
     "message_decode": "Map-only: from_json per row, no shuffle.",
