@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 # Report line layout: name left-aligned in 32, count right-aligned in 10, formatted mean in 8.
 REPORT_LINE_FORMAT = "%-32s %10d %8s"
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
-ISO_MILLIS_OFFSET = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
+# Offset as +HH:MM, also for UTC (the form of Python's isoformat).
+ISO_MILLIS_OFFSET = "yyyy-MM-dd'T'HH:mm:ss.SSSxxx"
 
 
 def two_decimals(col: Column | str) -> Column:
