@@ -115,3 +115,20 @@ def test_cut_lineage_uses_the_shared_folder(spark):
     cut = cut_lineage(df)
     assert cut.count() == 100 and os.path.isdir(checkpoint_root(spark).replace("file:", ""))
     assert "Range" not in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_partitioned_jdbc_read_needs_bounds(spark):
+    import pytest
+
+    from kestrel.sources.jdbc import read_jdbc
+
+    with pytest.raises(ValueError, match="lower_bound"):
+        read_jdbc(spark, "jdbc:none", "T", partition_column="id", num_partitions=8)
+
+
+def test_sasl_options():
+    from kestrel.sinks.kafka import sasl_plain_options
+
+    opts = sasl_plain_options("u", "p")
+    assert opts["kafka.security.protocol"] == "SASL_SSL" and opts["kafka.sasl.mechanism"] == "PLAIN"
+    assert 'username="u"' in opts["kafka.sasl.jaas.config"] and 'password="p"' in opts["kafka.sasl.jaas.config"]
