@@ -25,6 +25,9 @@ LOCAL_DEFAULTS = {
 }
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def cluster_settings(largest_shuffle_bytes: int, executor_memory_bytes: int = 8 << 30,
                      executor_cores: int = 4, executors: int = 1000, stateful_stream: bool = False) -> dict:
     """Settings for a large cluster, to pass to ``spark-submit --conf``.
@@ -49,8 +52,7 @@ def cluster_settings(largest_shuffle_bytes: int, executor_memory_bytes: int = 8
         "spark.sql.session.timeZone": "UTC",
     }
     if stateful_stream:
-        settings["spark.sql.streaming.stateStore.providerClass"] = \
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        settings["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
     return settings
 
 

@@ -5,7 +5,8 @@ checkpoint (T5) and name (T8).
 The state of the windowed count is bounded by the watermark: only windows not yet closed are
 kept. Its partition count is fixed by ``spark.sql.shuffle.partitions`` when a checkpoint is first
 created; size it for the cluster before the first start. For large state, the RocksDB state store
-(``spark.sql.streaming.stateStore.providerClass``) keeps it off the JVM heap.
+(``spark.sql.streaming.stateStore.providerClass``, see ``session.ROCKSDB_PROVIDER`` and
+``session.cluster_settings``) keeps it off the JVM heap.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from kestrel.sources.streams import payload_text
 from kestrel.streaming.windows import keyword_counts
 
 BatchSink = Callable[[DataFrame, int], None]
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def checkpoint_dir(base: str, name: str) -> str:
