@@ -55,6 +55,7 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("count-by-group-to-db", help="rows per group replacing the rows of a table")
     p.add_argument("--input_file", required=True)
     p.add_argument("--key", default="STATE")
+    p.add_argument("--num-partitions", type=int, help="at most this many database connections write")
     p.add_argument("--show_summary", action="store_true")
     _add_db(p)
 
@@ -100,7 +101,8 @@ def run(args) -> None:
             result.show()
     elif args.job == "count-by-group-to-db":
         result = batch_jobs.count_by_group_to_db(spark, args.input_file, args.url, args.table,
-                                                 _db_properties(args), key=args.key)
+                                                 _db_properties(args), key=args.key,
+                                                 num_partitions=args.num_partitions)
         if args.show_summary:
             result.show()
     elif args.job == "mean-by-entity":
