@@ -42,6 +42,8 @@ LEXICON_SCHEMA = StructType([StructField("surface", StringType()), StructField("
 # A lexicon given as Python rows has a known size; up to this many rows it is broadcast. Larger
 # dictionaries belong in a table (passed as a DataFrame), not in driver memory.
 LEXICON_BROADCAST_MAX_ROWS = 200_000
+# Copies of each lexicon row when a lexicon table is joined to raw tokens by shuffle.
+SALT_BUCKETS = 16
 
 
 def strip_urls(text: Column) -> Column:
@@ -110,9 +112,14 @@ def keyword_of(surface: Column, pos: Column, base_form: Column, pos_mode: str =
             .when(verb, F.when(verb_ok(base_form), base_form)))
 
 
-def explode_tokens(df: DataFrame, text_col: str, keep: list[str], surface_name: str = "surface") -> DataFrame:
-    """One row per token that passes the surface rules (C6, F3-F5); NULL or empty text gives none."""
-    tokens = df.select(*keep, F.explode(words(F.col(text_col))).alias(surface_name))
+def explode_tokens(df: DataFrame, text_col: str, keep: list[str], surface_name: str = "surface",
+                   position_name: str | None = None) -> DataFrame:
+    """One row per token that passes the surface rules (C6, F3-F5); NULL or empty text gives none.
+    With ``position_name`` the token's position in its text is kept too."""
+    if position_name:
+        tokens = df.select(*keep, F.posexplode(words(F.col(text_col))).alias(position_name, surface_name))
+    else:
+        tokens = df.select(*keep, F.explode(words(F.col(text_col))).alias(surface_name))
     return tokens.filter(surface_ok(F.col(surface_name)))
 
 
@@ -137,17 +144,31 @@ def lexicon_frame(spark: SparkSession, entries: list[tuple[str, str, str]] | Dat
 
 def classify(tokens: DataFrame, lexicon: DataFrame | None, broadcast: bool = False,
              surface_col: str = "surface", keyword_name: str = "keyword",
-             pos_mode: str = "subclass") -> DataFrame:
+             pos_mode: str = "subclass", salt_col: str | None = None,
+             salt_buckets: int = 0) -> DataFrame:
     """Turn surface rows into keyword rows (F6-F8), dropping tokens that give none.
 
-    All columns of ``tokens`` other than the surface are kept.
+    All columns of ``tokens`` other than the surface (and the salt source) are kept. A lexicon
+    that is not broadcast is joined by shuffle; with ``salt_col`` and ``salt_buckets`` the join
+    key is (surface, salt): each token's salt comes from ``salt_col`` (e.g. its position in the
+    text, so retries give the same salt), each lexicon row is copied once per salt, and a word
+    holding a third of all tokens is spread over ``salt_buckets`` tasks instead of one.
     """
-    keep = [c for c in tokens.columns if c != surface_col]
+    keep = [c for c in tokens.columns if c not in (surface_col, salt_col)]
     surface = F.col(surface_col)
     if lexicon is None:
         return tokens.filter(noun_ok(surface)).select(*keep, surface.alias(keyword_name))
-    lex = F.broadcast(lexicon) if broadcast else lexicon
-    joined = tokens.join(lex, tokens[surface_col] == lex["surface"], "left")
+    if broadcast:
+        lex = F.broadcast(lexicon)
+        joined = tokens.join(lex, tokens[surface_col] == lex["surface"], "left")
+    elif salt_col and salt_buckets > 1:
+        lex = lexicon.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        salted = tokens.withColumn("_salt", F.pmod(F.col(salt_col), F.lit(salt_buckets)).cast("int"))
+        joined = salted.join(lex, (salted[surface_col] == lex["surface"]) & (salted["_salt"] == lex["_salt"]), "left")
+        tokens = salted
+    else:
+        lex = lexicon
+        joined = tokens.join(lex, tokens[surface_col] == lex["surface"], "left")
     keyword = keyword_of(tokens[surface_col], lex["pos"], lex["base_form"], pos_mode)
     out = joined.select(*[tokens[c] for c in keep], keyword.alias(keyword_name))
     return out.filter(F.col(keyword_name).isNotNull())
@@ -157,8 +178,11 @@ def extract_keywords(df: DataFrame, text_col: str, keep: list[str], lexicon=None
                      pos_mode: str = "subclass", keyword_name: str = "keyword") -> DataFrame:
     """One row per keyword occurrence: ``keep`` columns plus ``keyword`` (U1 as a plan)."""
     lex, broadcast = (None, False) if lexicon is None else lexicon_frame(df.sparkSession, lexicon)
-    tokens = explode_tokens(df.filter(F.col(text_col).isNotNull()), text_col, keep)
-    return classify(tokens, lex, broadcast, keyword_name=keyword_name, pos_mode=pos_mode)
+    salted = lex is not None and not broadcast
+    tokens = explode_tokens(df.filter(F.col(text_col).isNotNull()), text_col, keep,
+                            position_name="_pos" if salted else None)
+    return classify(tokens, lex, broadcast, keyword_name=keyword_name, pos_mode=pos_mode,
+                    salt_col="_pos" if salted else None, salt_buckets=SALT_BUCKETS if salted else 0)
 
 
 def count_keywords(df: DataFrame, text_col: str, group_cols: list[str], lexicon=None,

@@ -90,3 +90,21 @@ def test_kafka_job_reaches_the_source(spark, scratch):
     with pytest.raises(Exception, match="(?i)kafka"):
         cli.main(["keyword-stream", "--topic", "t", "--checkpoint-location", os.path.join(scratch, "c"),
                   "--url", "jdbc:none", "--table", "T", "--max-offsets-per-trigger", "1000"])
+
+
+def test_stream_with_lexicon_table_is_salted(spark, scratch):
+    from kestrel.streaming.jobs import keyword_sink_writer, run_to_end
+
+    feed = os.path.join(scratch, "feed")
+    os.makedirs(feed)
+    with open(os.path.join(feed, "a.json"), "w") as f:
+        f.write("\n".join([_line(1, 1, "dog is running " * 20), _line(2, 2, "the dog"), _line(3, 100, "late")]) + "\n")
+    lexicon = [("is", "動詞,自立,*,*", "be"), ("the", "連体詞,*,*,*", "the"), ("running", "動詞,自立,*,*", "run")]
+    table = spark.createDataFrame(lexicon, "surface string, pos string, base_form string")
+    results = []
+    for name, lex in (("list", lexicon), ("table", table)):
+        sink = FileBatchSink(os.path.join(scratch, name))
+        run_to_end(keyword_sink_writer(text_line_stream(spark, feed), sink, os.path.join(scratch, "c" + name),
+                                       lexicon=lex))
+        results.append(sorted((r["keyword"], r["appearances"]) for r in sink.read(spark).collect()))
+    assert results[0] == results[1] == [("be", 20), ("dog", 21), ("run", 20)]

@@ -62,3 +62,13 @@ def test_keyword_array_matches_exploded_form(spark):
 
 def test_duplicates_in_one_message_count_separately(spark):
     assert _keywords(spark, ["alpha beta alpha"]) == ["alpha", "beta", "alpha"]
+
+
+def test_lexicon_table_join_is_salted(spark, capsys):
+    texts = ["犬 走っ " * 30, "ほげ 犬"]
+    table = spark.createDataFrame(LEXICON, "surface string, pos string, base_form string")
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    salted = extract_keywords(df, "text", ["i"], lexicon=table)
+    salted.explain()
+    assert "_salt" in capsys.readouterr().out
+    assert sorted(r["keyword"] for r in salted.collect()) == sorted(_keywords(spark, texts, LEXICON))
