@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.keywords import (ALLOWED_TOKEN, MAX_TOKEN_LENGTH, NOUN_STOP, SINGLE_CHAR_KEEP,
                                         SINGLE_CHAR_STOP, URL_PATTERN, VERB_STOP, WORD_PATTERN,
-                                        count_keywords, keyword_array)
+                                        count_keywords, extract_keywords, keyword_array)
 from kestrel.functions.messages import decode_messages, encode_messages, iso_stamp, split_rejects
 from kestrel.plans.tables import table, text_table
 from kestrel.plans.reports import alltime_span, alltime_top, latest_window_bag, latest_window_ranking
@@ -120,6 +120,24 @@ def q_keyword_lexicon_level1(spark, sf_dir):
     return q_keyword_lexicon(spark, sf_dir, "level1")
 
 
+def lexicon_table(spark: SparkSession) -> DataFrame:
+    """The test lexicon as a table: a lexicon of unknown size, never broadcast by us."""
+    return spark.createDataFrame(TEST_LEXICON, "surface string, pos string, base_form string")
+
+
+def q_keyword_lexicon_table(spark, sf_dir):
+    """Keyword counts per role with a lexicon table: surfaces are counted per role before the join."""
+    conv = text_table(spark, sf_dir, "conversations")
+    return count_keywords(conv, "text", ["role"], lexicon=lexicon_table(spark))
+
+
+def q_keyword_occurrences_table(spark, sf_dir):
+    """Keyword occurrences joined to a lexicon table by a salted join, counted per conversation."""
+    conv = text_table(spark, sf_dir, "conversations")
+    occurrences = extract_keywords(conv, "text", ["conv_id"], lexicon=lexicon_table(spark))
+    return occurrences.groupBy("conv_id", "keyword").agg(F.count("*").alias("appearances"))
+
+
 # --- windows and reports ----------------------------------------------------------------------
 
 def q_window_counts_batch(spark, sf_dir):
@@ -180,6 +198,8 @@ QUERIES = {
     "keywords_per_document": q_keywords_per_document,
     "keyword_lexicon": q_keyword_lexicon,
     "keyword_lexicon_level1": q_keyword_lexicon_level1,
+    "keyword_lexicon_table": q_keyword_lexicon_table,
+    "keyword_occurrences_table": q_keyword_occurrences_table,
     "window_counts_batch": q_window_counts_batch,
     "keyword_counts_batch": q_keyword_counts_batch,
     "latest_window_ranking": q_latest_window_ranking,
@@ -209,7 +229,7 @@ def sql_lexicon() -> str:
     return f"SELECT * FROM (VALUES {rows}) AS v(surface, pos, base_form)"
 
 
-def sql_lexicon_keywords(pos_mode: str) -> str:
+def sql_lexicon_keywords(pos_mode: str, group: str = "role") -> str:
     if pos_mode == "level1":
         noun = "split_part(pos, ',', 1) = '名詞'"
         verb = "split_part(pos, ',', 1) IN ('動詞', '形容詞')"
@@ -218,16 +238,16 @@ def sql_lexicon_keywords(pos_mode: str) -> str:
         verb = "(starts_with(pos, '動詞,自立') OR starts_with(pos, '形容詞,自立'))"
     return f"""
         WITH lex AS ({sql_lexicon()}),
-        t AS ({sql_tokens('SELECT role, text FROM conversations', 'role')}),
+        t AS ({sql_tokens(f'SELECT {group}, text FROM conversations', group)}),
         s AS (SELECT * FROM t WHERE {SQL_SURFACE_OK}),
-        k AS (SELECT s.role,
+        k AS (SELECT s.{group},
                      CASE WHEN lex.pos IS NULL OR {noun}
                                THEN CASE WHEN NOT regexp_matches(s.surface, '{NOUN_STOP}') THEN s.surface END
                           WHEN {verb}
                                THEN CASE WHEN NOT regexp_matches(lex.base_form, '{VERB_STOP}') THEN lex.base_form END
                      END AS keyword
               FROM s LEFT JOIN lex ON s.surface = lex.surface)
-        SELECT role, keyword, count(*) AS appearances FROM k WHERE keyword IS NOT NULL GROUP BY role, keyword"""
+        SELECT {group}, keyword, count(*) AS appearances FROM k WHERE keyword IS NOT NULL GROUP BY {group}, keyword"""
 
 
 SQL_DOC_COUNTS = f"""
@@ -260,6 +280,8 @@ ORACLE = {
         FROM documents""",
     "keyword_lexicon": sql_lexicon_keywords("subclass"),
     "keyword_lexicon_level1": sql_lexicon_keywords("level1"),
+    "keyword_lexicon_table": sql_lexicon_keywords("subclass"),
+    "keyword_occurrences_table": sql_lexicon_keywords("subclass", "conv_id"),
     "window_counts_batch": """
         SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS window_start,
                time_bucket(INTERVAL 30 MINUTE, ts) + INTERVAL 30 MINUTE AS window_end,

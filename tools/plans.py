@@ -32,6 +32,8 @@ SCALE_NOTES = {
     "keywords_per_document": "Map-only: a higher-order filter per document.",
     "keyword_lexicon": "The lexicon is a bounded Python list (<= 200,000 rows), broadcast; partial counts before the one shuffle. A lexicon table of unknown size instead goes through count-per-surface first (count_keywords).",
     "keyword_lexicon_level1": "As keyword_lexicon.",
+    "keyword_lexicon_table": "The lexicon is a table of unknown size: surfaces are counted per role first (partial counts, one shuffle), then joined (Spark broadcasts it only if it measures small), then summed per keyword.",
+    "keyword_occurrences_table": "Raw tokens meet the lexicon table: unless Spark broadcasts it by measured size, the join key is (surface, position mod 16) with the lexicon copied 16 times, so a hot word spreads over 16 tasks.",
     "window_counts_batch": "Partial count per (window, key); one shuffle.",
     "keyword_counts_batch": "As keyword_tokens, keyed by (window, keyword).",
     "latest_window_ranking": "The scalar max(window_end) is pushed below the aggregate, so the main branch tokenizes only the newest window's texts; the subquery is one pass of split + max.",
