@@ -190,13 +190,18 @@ def count_keywords(df: DataFrame, text_col: str, group_cols: list[str], lexicon=
     """Keyword appearances per group (and overall when ``group_cols`` is empty).
 
     With a lexicon table of unbounded size (not broadcast), surfaces are counted per group before
-    the join, so the join sees each distinct surface once per group instead of every token.
+    the join, so the join sees each distinct surface once per group instead of every token; on a
+    stream, where that would add a stateful step, the join is salted instead.
     """
     lex, broadcast = (None, False) if lexicon is None else lexicon_frame(df.sparkSession, lexicon)
-    tokens = explode_tokens(df.filter(F.col(text_col).isNotNull()), text_col, group_cols)
-    if lex is not None and not broadcast and not df.isStreaming:
+    shuffled_lexicon = lex is not None and not broadcast
+    salted = shuffled_lexicon and df.isStreaming
+    tokens = explode_tokens(df.filter(F.col(text_col).isNotNull()), text_col, group_cols,
+                            position_name="_pos" if salted else None)
+    if shuffled_lexicon and not salted:
         per_surface = tokens.groupBy(*group_cols, "surface").agg(F.count("*").alias("_n"))
         return (classify(per_surface, lex, False, pos_mode=pos_mode)
                 .groupBy(*group_cols, "keyword").agg(F.sum("_n").cast("bigint").alias(count_name)))
-    keywords = classify(tokens, lex, broadcast, pos_mode=pos_mode)
+    keywords = classify(tokens, lex, broadcast, pos_mode=pos_mode, salt_col="_pos" if salted else None,
+                        salt_buckets=SALT_BUCKETS if salted else 0)
     return keywords.groupBy(*group_cols, "keyword").agg(F.count("keyword").alias(count_name))
