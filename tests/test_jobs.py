@@ -108,3 +108,22 @@ def test_stream_with_lexicon_table_is_salted(spark, scratch):
                                        lexicon=lex))
         results.append(sorted((r["keyword"], r["appearances"]) for r in sink.read(spark).collect()))
     assert results[0] == results[1] == [("be", 20), ("dog", 21), ("run", 20)]
+
+
+def test_count_keywords_on_a_stream_with_lexicon_table(spark, scratch):
+    from kestrel.functions.keywords import count_keywords
+    from kestrel.streaming.jobs import decoded_texts, run_to_end
+
+    feed = os.path.join(scratch, "feed")
+    os.makedirs(feed)
+    with open(os.path.join(feed, "a.json"), "w") as f:
+        f.write("\n".join([_line(1, 1, "dog is running"), _line(2, 2, "the dog is")]) + "\n")
+    table = spark.createDataFrame([("is", "動詞,自立,*,*", "be"), ("the", "連体詞,*,*,*", "the")],
+                                  "surface string, pos string, base_form string")
+    texts, _ = decoded_texts(text_line_stream(spark, feed))
+    counts = count_keywords(texts, "text", [], lexicon=table)
+    writer = (counts.writeStream.format("memory").outputMode("complete").queryName("kw_stream_table")
+              .option("checkpointLocation", os.path.join(scratch, "ckpt")))
+    run_to_end(writer)
+    got = sorted((r["keyword"], r["appearances"]) for r in spark.sql("SELECT * FROM kw_stream_table").collect())
+    assert got == [("be", 2), ("dog", 2), ("running", 1)]
