@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from kestrel.functions.formatting import two_decimals
 from kestrel.operators.aggregates import count_by_group, grand_total, mean_by_entity, rows_at_max, span, top_k
 from kestrel.plans.batch_jobs import mean_by_entity_sql, summary_lines, total_line
@@ -102,3 +104,22 @@ def test_cluster_settings_scale_with_shuffle_size():
     assert int(small["spark.sql.shuffle.partitions"]) == 3 * 10 * 4
     assert int(big["spark.sql.shuffle.partitions"]) == -(-10 * 10**12 // (512 << 20))
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_lookup_join_broadcast_only_when_asked_or_measured_small(spark, capsys):
+    from kestrel.operators.joins import lookup_join
+
+    facts = spark.range(100).select((F.col("id") % 10).alias("k"))
+    dim = spark.range(10).select(F.col("id").alias("dk"), F.col("id").cast("string").alias("name"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        lookup_join(facts, dim, facts["k"] == dim["dk"]).explain()
+        default_plan = capsys.readouterr().out
+        lookup_join(facts, dim, facts["k"] == dim["dk"], broadcast=True).explain()
+        forced_plan = capsys.readouterr().out
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in default_plan and "BroadcastHashJoin" not in default_plan
+    assert "BroadcastHashJoin" in forced_plan
