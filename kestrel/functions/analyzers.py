@@ -5,9 +5,9 @@ speech and a base form, which the letter-run split cannot do. ``analyzed_tokens`
 analyzer as an Arrow-batched pandas UDF (one call per batch of texts, not per row) and hands its
 ``(surface, pos, base_form)`` triples to the same native rules as the lexicon path (F3-F8).
 
-The analyzer is any Python callable ``text -> iterable of (surface, pos, base_form)``. Its module
-and this one are pickled by value with the UDF; libraries it imports (the analyzer's dictionary)
-must be installed on the executors. The UDF is marked nondeterministic so the optimizer neither runs it
+The analyzer is any Python callable ``text -> iterable of (surface, pos, base_form)``, importable
+on the executors (shipped with ``--py-files`` or installed); a dictionary-backed analyzer should
+build its tokenizer once per worker process (a module-level or cached object), not per call. The UDF is marked nondeterministic so the optimizer neither runs it
 twice nor moves it.
 """
 
@@ -38,8 +38,11 @@ def _ship_by_value(*modules) -> None:
             cloudpickle.register_pickle_by_value(module)
 
 
-def analyzer_udf(analyze: Analyzer):
-    _ship_by_value(__name__, getattr(analyze, "__module__", None))
+def analyzer_udf(analyze: Analyzer, ship_analyzer_module: bool = False):
+    """The analyzer as a nondeterministic pandas UDF. The analyzer's module normally travels by
+    reference (installed on the executors, its dictionaries loaded once per worker);
+    ``ship_analyzer_module=True`` sends its code with the UDF instead, for small analyzers only."""
+    _ship_by_value(__name__, getattr(analyze, "__module__", None) if ship_analyzer_module else None)
 
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else
@@ -48,9 +51,10 @@ def analyzer_udf(analyze: Analyzer):
 
 
 def analyzed_tokens(df: DataFrame, text_col: str, keep: list[str], analyze: Analyzer,
-                    pos_mode: str = "subclass", keyword_name: str = "keyword") -> DataFrame:
+                    pos_mode: str = "subclass", keyword_name: str = "keyword",
+                    ship_analyzer_module: bool = False) -> DataFrame:
     """One row per keyword occurrence, tokens and tags from ``analyze``."""
-    udf = analyzer_udf(analyze)
+    udf = analyzer_udf(analyze, ship_analyzer_module)
     texts = df.filter(F.col(text_col).isNotNull()).select(*keep, strip_urls(F.col(text_col)).alias("_text"))
     tokens = texts.select(*keep, F.explode(udf(F.col("_text"))).alias("t"))
     surface, pos, base = F.col("t.surface"), F.col("t.pos"), F.col("t.base_form")

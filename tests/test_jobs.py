@@ -45,7 +45,8 @@ def _toy_analyzer(text):
 
 def test_pluggable_analyzer(spark):
     df = spark.createDataFrame([(1, "inu wa hashiru https://t.co/x1 123"), (2, None)], "i int, text string")
-    rows = [r["keyword"] for r in analyzed_tokens(df, "text", ["i"], _toy_analyzer).collect()]
+    rows = [r["keyword"] for r in analyzed_tokens(df, "text", ["i"], _toy_analyzer,
+                                                  ship_analyzer_module=True).collect()]
     assert rows == ["inu", "hashiru"]
 
 
