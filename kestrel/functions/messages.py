@@ -87,7 +87,7 @@ def stamp_feed_lines(lines: DataFrame, stamp: Column | None = None, column: str
     inner = F.regexp_replace(body, r"\}$", "")
     empty_object = F.regexp_like(body, F.lit(r"^\{\s*\}$"))
     # Only a JSON object can take a field: anything else (an array, broken text) gets a NULL value.
-    is_object = body.startswith("{") & body.endswith("}") & F.get_json_object(body, "$").isNotNull()
+    is_object = body.startswith("{") & body.endswith("}") & F.json_object_keys(body).isNotNull()
     # An ISO timestamp has no character that needs escaping inside a JSON string.
     stamped = F.concat(F.when(empty_object, F.lit("{")).otherwise(F.concat(inner, F.lit(","))),
                        F.lit('"ts":"'), stamp, F.lit('"}'))
