@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.functions.messages import envelope_json, stamp_feed_lines
+from kestrel.operators.partitioning import spread_for_cpu
 from kestrel.plans.batch_jobs import count_by_group_job, mean_by_entity_job
 from kestrel.plans.catalog_tables import (ORACLE as TABLE_ORACLE, facts, q_mean_by_entity, segments,
                                           suppliers_in_good_standing)
@@ -35,7 +36,8 @@ def roundtrip(fmt: str):
 def q_csv_mean_by_entity(spark, sf_dir):
     """Q3 as the job runs it: a directory of CSV files with headers, types inferred."""
     base = shared_path(spark, "csv-dataset")
-    write_files(facts(spark, sf_dir), f"{base}/lineitem.csv", "csv")
+    # Many CSV files, as a large input would have; the one-row-group test table would give one.
+    write_files(spread_for_cpu(facts(spark, sf_dir)), f"{base}/lineitem.csv", "csv")
     write_files(suppliers_in_good_standing(spark, sf_dir), f"{base}/supplier.csv", "csv")
     result, _ = mean_by_entity_job(spark, base, facts_name="lineitem.csv", dim_name="supplier.csv",
                                    key="l_suppkey", measure="qty", dim_key="s_suppkey", dim_label="s_name",
