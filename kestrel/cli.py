@@ -42,6 +42,8 @@ def _add_db(p):
 
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="kestrel")
+    ap.add_argument("--sampling-ratio", type=float,
+                    help="infer CSV types from this fraction of the rows instead of a full pass")
     sub = ap.add_subparsers(dest="job", required=True)
 
     p = sub.add_parser("count-by-group", help="rows per group, most frequent first, to files")
@@ -94,20 +96,22 @@ def run(args) -> None:
 
     spark = get_session(app_name=f"kestrel-{args.job}")
     ensure_utc(spark)
+    csv_options = {"samplingRatio": str(args.sampling_ratio)} if args.sampling_ratio else None
     if args.job == "count-by-group":
         result = batch_jobs.count_by_group_job(spark, args.input_file, args.output_file, args.output_format,
-                                               key=args.key, single_file=args.single_file)
+                                               key=args.key, single_file=args.single_file,
+                                               csv_options=csv_options)
         if args.show_summary:
             result.show()
     elif args.job == "count-by-group-to-db":
         result = batch_jobs.count_by_group_to_db(spark, args.input_file, args.url, args.table,
                                                  _db_properties(args), key=args.key,
-                                                 num_partitions=args.num_partitions)
+                                                 num_partitions=args.num_partitions, csv_options=csv_options)
         if args.show_summary:
             result.show()
     elif args.job == "mean-by-entity":
         result, summary = batch_jobs.mean_by_entity_job(spark, args.input_dir, args.output_dir, args.output_format,
-                                                        show_summary=args.show_summary)
+                                                        show_summary=args.show_summary, csv_options=csv_options)
         if summary is not None:
             lines, total = summary
             lines.show(100, truncate=False)
@@ -116,8 +120,9 @@ def run(args) -> None:
         from kestrel.sources.files import read_csv
 
         base = args.input_dir.rstrip("/")
-        dim = read_csv(spark, f"{base}/airlines.csv")
-        result = batch_jobs.mean_by_entity_sql(spark, read_csv(spark, f"{base}/flights.csv"), dim, "AIRLINE",
+        dim = read_csv(spark, f"{base}/airlines.csv", **(csv_options or {}))
+        facts = read_csv(spark, f"{base}/flights.csv", **(csv_options or {}))
+        result = batch_jobs.mean_by_entity_sql(spark, facts, dim, "AIRLINE",
                                                "ARRIVAL_DELAY", "IATA_CODE", "AIRLINE", "FLIGHTS", "AIRLINES",
                                                "AIRLINE_NAME", "FLIGHTS_COUNT", "AVG_ARRIVAL_DELAY")
         if args.output_dir:

@@ -20,13 +20,15 @@ from kestrel.sources.files import read_csv
 
 def count_by_group_job(spark: SparkSession, input_file: str, output_file: str | None = None,
                        output_format: str = DEFAULT_FORMAT, key: str = "STATE",
-                       count_name: str = "COUNT", schema=None, single_file: bool = False) -> DataFrame:
+                       count_name: str = "COUNT", schema=None, single_file: bool = False,
+                       csv_options: dict | None = None) -> DataFrame:
     """Q1: rows per group, most frequent first, written as files.
 
     ``single_file=True`` writes one sorted file; use it only when the number of groups is small.
     Otherwise the globally sorted parts read in order are the sorted result.
     """
-    counts = count_by_group(read_csv(spark, input_file, schema=schema), key, count_name, ranked=False)
+    counts = count_by_group(read_csv(spark, input_file, schema=schema, **(csv_options or {})), key, count_name,
+                            ranked=False)
     if single_file:
         result = one_sorted_partition(counts, F.col(count_name).desc_nulls_last(), F.col(key).asc_nulls_first())
     else:
@@ -38,9 +40,10 @@ def count_by_group_job(spark: SparkSession, input_file: str, output_file: str |
 
 def count_by_group_to_db(spark: SparkSession, input_file: str, url: str, table: str,
                          properties: dict | None = None, key: str = "STATE",
-                         count_name: str = "COUNT", schema=None, num_partitions: int | None = None) -> DataFrame:
+                         count_name: str = "COUNT", schema=None, num_partitions: int | None = None,
+                         csv_options: dict | None = None) -> DataFrame:
     """Q2: the Q1 result replaces the rows of a database table, keeping its definition."""
-    result = count_by_group(read_csv(spark, input_file, schema=schema), key, count_name)
+    result = count_by_group(read_csv(spark, input_file, schema=schema, **(csv_options or {})), key, count_name)
     write_jdbc(result, url, table, properties, mode="overwrite", truncate=True,
                num_partitions=num_partitions)
     return result
@@ -65,15 +68,19 @@ def mean_by_entity_job(spark: SparkSession, input_dir: str, output_dir: str | No
                        dim_label: str = "AIRLINE", facts_schema=None, dim_schema=None,
                        name_col: str = "AIRLINE_NAME", count_col: str = "FLIGHTS_COUNT",
                        mean_text_col: str = "AVG_ARRIVAL_DELAY_BY_MINUTES",
-                       result_name: str = "avg_arrival_delay_by_airline", unit: str = "flights"):
+                       result_name: str = "avg_arrival_delay_by_airline", unit: str = "flights",
+                       csv_options: dict | None = None):
     """Q3: rows and mean measure per entity with its name, least mean first.
 
+    ``csv_options`` go to the CSV reader, e.g. ``{"samplingRatio": "0.01"}`` to infer types from a
+    sample instead of a full extra pass over a large input.
+
     Returns ``(result, summary)``; ``summary`` is ``(lines, total)`` when asked for, else None.
     With both an output and a summary the result is persisted; ``result.unpersist()`` frees it.
     """
     base = input_dir.rstrip("/")
-    facts = read_csv(spark, f"{base}/{facts_name}", schema=facts_schema)
-    dim = read_csv(spark, f"{base}/{dim_name}", schema=dim_schema)
+    facts = read_csv(spark, f"{base}/{facts_name}", schema=facts_schema, **(csv_options or {}))
+    dim = read_csv(spark, f"{base}/{dim_name}", schema=dim_schema, **(csv_options or {}))
     result = mean_by_entity(facts, key, measure, dim, dim_key, dim_label, name_col=name_col,
                             count_col=count_col, mean_text_col=mean_text_col)
     if output_dir and show_summary:

@@ -84,7 +84,7 @@ def test_cli_jobs(spark, scratch, capsys):
     out = capsys.readouterr().out
     assert "Total 3 flights." in out and "Elapsed time(sec)" in out
     assert f"{'United Air Lines Inc.':32} {1:10d} {'10.00':>8}" in out
-    cli.main(["mean-by-entity-sql", "--input_dir", os.path.join(scratch, "d")])
+    cli.main(["--sampling-ratio", "0.5", "mean-by-entity-sql", "--input_dir", os.path.join(scratch, "d")])
     out = capsys.readouterr().out
     assert "AVG_ARRIVAL_DELAY" in out and "American Airlin" in out and "10.0" in out
     with open(os.path.join(scratch, "airports.csv"), "w") as f:
