@@ -20,6 +20,7 @@ def segments(spark, sf_dir):
 
 
 def q_count_by_group_ranked(spark, sf_dir):
+    """Q1: customers per market segment (one segment unknown), most frequent first."""
     return count_by_group(segments(spark, sf_dir), "segment", "n_customers")
 
 
@@ -36,11 +37,13 @@ def suppliers_in_good_standing(spark, sf_dir):
 
 
 def q_mean_by_entity(spark, sf_dir):
+    """Q3: line items and mean quantity per supplier with its name, least mean first."""
     return mean_by_entity(facts(spark, sf_dir), "l_suppkey", "qty",
                           suppliers_in_good_standing(spark, sf_dir), "s_suppkey", "s_name")
 
 
 def q_mean_by_entity_sql(spark, sf_dir):
+    """Q4: the same question as SQL text over temp views, raw mean."""
     return mean_by_entity_sql(spark, facts(spark, sf_dir), suppliers_in_good_standing(spark, sf_dir),
                               "l_suppkey", "qty", "s_suppkey", "s_name",
                               facts_view="kestrelfacts", dim_view="kestrel_dim")
@@ -62,10 +65,12 @@ def q_mean_by_part_sql(spark, sf_dir):
 
 
 def q_grand_total(spark, sf_dir):
+    """The summed counts of Q3 as one row with its "Total n rows." line."""
     return total_line(q_mean_by_entity(spark, sf_dir), "entity_count", unit="rows")
 
 
 def q_report_lines(spark, sf_dir):
+    """K8/C14: one padded summary line per Q3 row."""
     return summary_lines(q_mean_by_entity(spark, sf_dir), "entity_name", "entity_count", "avg_measure_fmt")
 
 

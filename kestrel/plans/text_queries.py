@@ -38,6 +38,7 @@ def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- messages ---------------------------------------------------------------------------------
 
 def q_message_decode(spark, sf_dir):
+    """Documents encoded as binary envelopes, decoded back to id, text, ts, rules."""
     decoded = decode_messages(payload_text(document_messages(spark, sf_dir)))
     return decoded.select("id", "text", F.col("ts").cast("timestamp_ntz").alias("ts"), "matching_rules")
 
@@ -60,12 +61,14 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_message_rejects(spark, sf_dir):
+    """The rejects of a faulty feed (malformed or without text) with their reason."""
     decoded = decode_messages(damaged_messages(spark, sf_dir), keep=["value"])
     _, rejects = split_rejects(decoded)
     return rejects.select("reason", "id")
 
 
 def q_message_kept(spark, sf_dir):
+    """The messages of a faulty feed that decode with text."""
     decoded = decode_messages(damaged_messages(spark, sf_dir), keep=["value"])
     kept, _ = split_rejects(decoded)
     return kept.select("id", "text", F.col("ts").cast("timestamp_ntz").alias("ts"))
@@ -74,11 +77,13 @@ def q_message_kept(spark, sf_dir):
 # --- keywords ---------------------------------------------------------------------------------
 
 def q_keyword_tokens(spark, sf_dir):
+    """Keyword appearances over all documents (no lexicon: every token a noun)."""
     docs = text_table(spark, sf_dir, "documents")
     return count_keywords(docs, "text", [])
 
 
 def q_keywords_per_document(spark, sf_dir):
+    """U1 as one array expression per document: its number of keywords."""
     docs = text_table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.size(keyword_array(F.col("text"))).alias("n_keywords"))
 
@@ -112,11 +117,13 @@ TEST_LEXICON = [
 
 
 def q_keyword_lexicon(spark, sf_dir, pos_mode="subclass"):
+    """Keyword appearances per role with the in-memory lexicon (broadcast)."""
     conv = text_table(spark, sf_dir, "conversations")
     return count_keywords(conv, "text", ["role"], lexicon=TEST_LEXICON, pos_mode=pos_mode)
 
 
 def q_keyword_lexicon_level1(spark, sf_dir):
+    """As keyword_lexicon with the first-level part-of-speech rule."""
     return q_keyword_lexicon(spark, sf_dir, "level1")
 
 
@@ -141,6 +148,7 @@ def q_keyword_occurrences_table(spark, sf_dir):
 # --- windows and reports ----------------------------------------------------------------------
 
 def q_window_counts_batch(spark, sf_dir):
+    """Events per (30-minute window, event type)."""
     events = table(spark, sf_dir, "events")
     counts = count_per_window(events, "ts", "event_type", "30 minutes")
     return as_wall_clock(counts, "window_start", "window_end")
@@ -153,20 +161,24 @@ def document_keyword_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_keyword_counts_batch(spark, sf_dir):
+    """Q5 in batch form: keyword appearances per 30-second window."""
     return as_wall_clock(document_keyword_counts(spark, sf_dir), "window_start", "window_end")
 
 
 def q_latest_window_ranking(spark, sf_dir):
+    """Q7 (F1, A5, O4, C10): keywords of the newest window by appearances."""
     counts = as_wall_clock(document_keyword_counts(spark, sf_dir), "window_start", "window_end")
     return latest_window_ranking(counts)
 
 
 def q_latest_window_bag(spark, sf_dir):
+    """Q8 (C12): the newest window's keywords, one row per appearance."""
     counts = as_wall_clock(document_keyword_counts(spark, sf_dir), "window_start", "window_end")
     return latest_window_bag(counts)
 
 
 def q_alltime_span(spark, sf_dir):
+    """Q9 (A6, C10, C11): first window start and last window end, with a caption."""
     counts = as_wall_clock(document_keyword_counts(spark, sf_dir), "window_start", "window_end")
     return alltime_span(counts)
 
@@ -187,6 +199,7 @@ def q_latest_window_from_table(spark, sf_dir):
 
 
 def q_alltime_top100(spark, sf_dir):
+    """Q10 (A4, O5, F2): the 100 keywords with the most appearances."""
     return alltime_top(document_keyword_counts(spark, sf_dir), 100)
 
 
