@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, decontaminate, language_id, secrets, toxicity
+from kestrel.llm import bpe, decontaminate, fingerprints, language_id, licenses, lm_score, near_dup, secrets, sharding, toxicity
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -27,6 +27,11 @@ def held_out(column: str, n: int, value: int) -> Column:
     return F.coalesce(remainder(column, n) == value, F.lit(False))
 
 
+def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near copies of every document."""
+    return near_dup.find(table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from rows outside the held-out quarter."""
     docs = table(spark, sf_dir, "documents")
@@ -35,6 +40,18 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, equal texts together, counts at most one apart."""
+    found = sharding.assign(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document, of its edited text, and their likeness."""
+    return fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
     found = secrets.scan(table(spark, sf_dir, "documents"), BYTE_RANKS)
@@ -72,7 +89,23 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word",
+                        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document, learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    out = held_out("doc_id", 5, 1)
+    model, tokens = lm_score.fit(docs.where(~out))
+    return lm_score.score(docs.withColumn("held_out", out), model, tokens, keep=["doc_id", "held_out"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op5_secret_scan, op6_toxicity, op7_decontaminate, op8_bpe)}
+    f.__name__: f for f in (op1_near_dup, op2_language_id, op3_shards, op4_fingerprints, op5_secret_scan, op6_toxicity,
+                            op7_decontaminate, op8_bpe, op9_licenses, op10_lm_score)}
 
 ORACLE: dict[str, str] = {}
