@@ -47,6 +47,32 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+# The library that defines the ids knows Unicode 16 (and case pairs of Unicode 17), this
+# Python's tables end at 15.1. Letters and numbers added since then, and lower cases.
+ADDED_LETTERS = (
+    "1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B 1138E "
+    "11390-113B5 113B7 113D1 113D3 11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF 1E5D0-1E5ED 1E5F0")
+ADDED_NUMBERS = "10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA"
+ADDED_LOWER = ("1C89:1C8A A7CB:0264 A7CC:A7CD A7CE:A7CF A7D2:A7D3 A7D4:A7D5 A7DA:A7DB A7DC:019B "
+               "10D50-10D65:10D70 16EA0-16EB8:16EBB")
+
+
+def code_points(ranges: str) -> list[int]:
+    ends = [r.split("-") for r in ranges.split()]
+    return [c for r in ends for c in range(int(r[0], 16), int(r[-1], 16) + 1)]
+
+
+LATER_LOWER = {c: int(pair.split(":")[1], 16) + k for pair in ADDED_LOWER.split()
+               for k, c in enumerate(code_points(pair.split(":")[0]))}
+#: a known character of the same class in the place of a later one, for the word pattern
+LATER_CLASS = dict.fromkeys(code_points(ADDED_LETTERS), "\u02B0") | dict.fromkeys(code_points(ADDED_NUMBERS), "\u0660")
+
+
+def known_class(c: str) -> str:
+    """The character itself if this Python's tables have it, else one of its class."""
+    return c if unicodedata.category(c) != "Cn" else LATER_CLASS.get(ord(c), "\u2022")
+
+
 class Recent(dict):
     """The entries met most recently: of two halves the older one goes when the newer is full."""
 
@@ -166,12 +192,13 @@ class Vocabulary:
         """Ids of a text without white space and special tokens."""
         if not chunk.isascii():
             # lower case character by character: a word-final sigma is not treated on its own
-            chunk = "".join(map(str.lower, unicodedata.normalize("NFC", chunk)))
+            chunk = "".join(map(str.lower, unicodedata.normalize("NFC", chunk))).translate(LATER_LOWER)
         else:
             chunk = chunk.lower()
         if chunk.isalpha():
             return list(self.encode_word(chunk))
-        return [i for m in self.pattern.findall(chunk) for i in self.encode_word(m)]
+        known = chunk if chunk.isascii() else "".join(map(known_class, chunk))
+        return [i for m in self.pattern.finditer(known) for i in self.encode_word(chunk[m.start():m.end()])]
 
     def chunk(self, chunk: str) -> tuple[bytes, str]:
         """(ids as little-endian unsigned 32-bit integers, their tokens joined by spaces)."""

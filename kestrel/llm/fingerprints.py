@@ -58,7 +58,7 @@ def phrase_starts(x: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Where the phrases of symbols begin; ``first`` are the texts' first symbols. No symbol equals
     its left neighbour in the same text."""
     labels = toss(x, first)
-    for _ in range(2 if x.dtype == np.uint8 else 3):
+    for _ in range(2 if x.dtype == np.uint8 else 3):  # 256 or 2**64 symbols: down to six labels
         labels = toss(labels, first)
     start = np.zeros(len(x), bool)
     start[1:-1] = (labels[1:-1] > labels[:-2]) & (labels[1:-1] > labels[2:])
@@ -76,14 +76,8 @@ def parse(x: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     new[0], new[1:] = True, x[1:] != x[:-1]
     new[first] = True
     at = np.flatnonzero(new)
-    if len(at) < len(x):  # runs of one symbol become one
-        run = np.diff(np.append(at, len(x))).astype(np.uint64)
-        starts = phrase_starts(x[at] if x.dtype == np.uint8 and not (run > 1).any() else
-                               np.where(run > 1, mix(x[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + run), x[at].astype(np.uint64)),
-                               np.searchsorted(at, first))
-        starts = at[starts]
-    else:
-        starts = phrase_starts(x, first)
+    # a run of one symbol counts as one: its length is in the phrase's name, not in where it begins
+    starts = at[phrase_starts(x[at], np.searchsorted(at, first))]
     n = len(x)
     total = np.empty(n + 1, np.uint64)
     total[0] = 0
