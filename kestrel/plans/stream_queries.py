@@ -10,10 +10,12 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from kestrel.functions.messages import envelope_json, iso_stamp
 from kestrel.plans.tables import table, text_table
-from kestrel.plans.text_queries import SQL_DOC_COUNTS, SQL_DOC_TS, doc_rules, doc_time
+from kestrel.plans.text_queries import (SQL_DOC_COUNTS, SQL_DOC_TS, doc_rules, doc_time, lexicon_table,
+                                        sql_lexicon_keywords)
 from kestrel.session import shared_path
 from kestrel.sources.files import non_blank_lines
-from kestrel.sources.streams import file_stream, text_line_stream
+from kestrel.sinks.files import write_files
+from kestrel.sources.streams import file_stream, table_stream, text_line_stream
 from kestrel.streaming.jobs import decoded_texts, keyword_sink_writer, run_to_end
 from kestrel.streaming.sinks import FileBatchSink, WindowTableSink
 from kestrel.streaming.windows import as_wall_clock, count_per_window
@@ -48,8 +50,7 @@ def q_keyword_counts_stream(spark, sf_dir):
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
-    return file_stream(spark, sf_dir, schema, "parquet", glob="events.parquet")
+    return table_stream(spark, sf_dir, "events", table(spark, sf_dir, "events").schema)
 
 
 def q_window_counts_stream(spark, sf_dir):
@@ -62,6 +63,33 @@ def q_window_counts_stream(spark, sf_dir):
     return as_wall_clock(sink.read(spark, schema=WINDOW_TABLE_SCHEMA), "window_start", "window_end")
 
 
+def q_window_counts_late_rows(spark, sf_dir):
+    """The feed arrives in two deliveries, the second one late (every fifth event, of any time).
+    After the first delivery the watermark stands 30 minutes before its newest event; late rows of
+    windows it has closed are dropped, the others are counted."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    late = F.coalesce(F.col("event_id") % 5 == 0, F.lit(False))
+    feed, checkpoint = shared_path(spark, "events-feed"), shared_path(spark, "ckpt")
+    sink = FileBatchSink(shared_path(spark, "event-windows"))
+    for delivery in (~late, late):
+        write_files(events.filter(delivery), feed, "parquet", mode="append")
+        counts = count_per_window(file_stream(spark, feed, events.schema), "ts", "event_type", "30 minutes",
+                                  delay="30 minutes")
+        run_to_end(counts.writeStream.outputMode("append").foreachBatch(sink)
+                   .option("checkpointLocation", checkpoint).queryName("event windows with late rows"))
+    return as_wall_clock(sink.read(spark, schema=WINDOW_TABLE_SCHEMA), "window_start", "window_end")
+
+
+def q_keyword_counts_stream_lexicon(spark, sf_dir):
+    """Q5 with the part-of-speech rules: the keyword stream joined to a lexicon table."""
+    feed = write_document_feed(spark, sf_dir)
+    sink = WindowTableSink(shared_path(spark, "keywords"))
+    run_to_end(keyword_sink_writer(text_line_stream(spark, feed), sink, shared_path(spark, "ckpt"),
+                                   "30 seconds", "30 seconds", lexicon=lexicon_table(spark)))
+    stored = sink.read(spark, schema=WINDOW_TABLE_SCHEMA).select(*WINDOW_TABLE_SCHEMA.fieldNames())
+    return as_wall_clock(stored, "window_start", "window_end")
+
+
 def q_stream_foreach_batch(spark, sf_dir):
     """Every micro-batch is delivered twice with the same id (a replay); rows are stored once."""
     sink = FileBatchSink(shared_path(spark, "events-copy"))
@@ -92,10 +120,14 @@ def q_stream_passthrough(spark, sf_dir):
 QUERIES = {
     "keyword_counts_stream": q_keyword_counts_stream,
     "window_counts_stream": q_window_counts_stream,
+    "window_counts_late_rows": q_window_counts_late_rows,
+    "keyword_counts_stream_lexicon": q_keyword_counts_stream_lexicon,
     "stream_foreach_batch": q_stream_foreach_batch,
     "stream_passthrough": q_stream_passthrough,
 }
 
+SQL_DOC_WINDOWS = f"SELECT time_bucket(INTERVAL 30 SECOND, {SQL_DOC_TS}) AS window_start, text FROM documents"
+
 ORACLE = {
     # Only windows the watermark (latest event time minus the delay) has passed come out.
     "keyword_counts_stream": f"""
@@ -109,6 +141,21 @@ ORACLE = {
                  event_type AS keyword, count(event_type) AS appearances
           FROM events GROUP BY ALL)
         SELECT * FROM c WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 30 MINUTE""",
+    # The second delivery's rows count where the watermark after the first one has not closed their
+    # window; what comes out in the end is what the final watermark has passed.
+    "window_counts_late_rows": """
+        WITH e AS (
+          SELECT ts, event_type, coalesce(event_id % 5 = 0, false) AS late,
+                 time_bucket(INTERVAL 30 MINUTE, ts) AS window_start,
+                 time_bucket(INTERVAL 30 MINUTE, ts) + INTERVAL 30 MINUTE AS window_end FROM events),
+        m AS (SELECT max(ts) FILTER (WHERE NOT late) - INTERVAL 30 MINUTE AS first_mark,
+                     max(ts) - INTERVAL 30 MINUTE AS last_mark FROM e)
+        SELECT window_start, window_end, event_type AS keyword, count(event_type) AS appearances
+        FROM e, m WHERE (NOT late OR window_end > first_mark) AND window_end <= last_mark GROUP BY ALL""",
+    "keyword_counts_stream_lexicon": f"""
+        WITH k AS ({sql_lexicon_keywords("subclass", "window_start", SQL_DOC_WINDOWS)})
+        SELECT window_start, window_start + INTERVAL 30 SECOND AS window_end, keyword, appearances FROM k
+        WHERE window_start + INTERVAL 30 SECOND <= (SELECT max({SQL_DOC_TS}) FROM documents) - INTERVAL 30 SECOND""",
     "stream_foreach_batch": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "stream_passthrough": "SELECT CAST(doc_id AS VARCHAR) AS id, text FROM documents",
 }

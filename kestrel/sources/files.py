@@ -6,11 +6,38 @@ Paths are passed straight to Spark, so any Hadoop file-system URI works (S3): ``
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def _file_status(spark: SparkSession, path: str):
+    """Hadoop's view of a path: (file system, path), for any URI Spark can read."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _file_status(spark, path)
+    return fs.exists(hadoop_path)
+
+
+def is_directory(spark: SparkSession, path: str) -> bool:
+    """Whether the path is a directory; a missing path is an error."""
+    fs, hadoop_path = _file_status(spark, path)
+    return fs.getFileStatus(hadoop_path).isDirectory()
+
+
+def newest_partition(stored: DataFrame, column: str) -> str | None:
+    """The largest value of a partition column, as text, among the folders of a stored table; None
+    if the files are not laid out by it."""
+    folder = re.compile(rf"/{re.escape(column)}=([^/]+)/")
+    values = [m[1] for f in stored.inputFiles() if (m := folder.search(f)) and m[1] != "__HIVE_DEFAULT_PARTITION__"]
+    return max(values, default=None)
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              header: bool = True, **options) -> DataFrame:
     """CSV scan with a header row.
@@ -50,7 +77,7 @@ def read_table(spark: SparkSession, base_dir: str, name: str, fmt: str = "parque
 
 def non_blank_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Keep-alive lines of a feed are empty or whitespace; drop them."""
-    return lines.filter(F.length(F.trim(F.col(column))) > 0)
+    return lines.filter(F.col(column).rlike(r"\S"))
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:

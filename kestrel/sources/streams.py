@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from kestrel.sources.files import is_directory, table_path
+
 
 def kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str,
                  starting_offsets: str = "latest", fail_on_data_loss: bool = False,
@@ -45,6 +47,16 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "
     return reader.load(path)
 
 
+def table_stream(spark: SparkSession, base_dir: str, name: str, schema: StructType, fmt: str = "parquet",
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """A named table of a dataset directory as a stream: the part files of a directory table, or
+    the one file of a single-file table."""
+    path = table_path(base_dir, name, fmt)
+    if is_directory(spark, path):
+        return file_stream(spark, path, schema, fmt, max_files_per_trigger=max_files_per_trigger)
+    return file_stream(spark, base_dir, schema, fmt, glob=f"{name}.{fmt}", max_files_per_trigger=max_files_per_trigger)
+
+
 def text_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """JSON-line files as a stream of text lines in ``value``: the stand-in for a message topic."""
     reader = spark.readStream.format("text")

@@ -29,10 +29,11 @@ def checkpoint_dir(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
-def decoded_texts(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``value`` stream → (``ts, id, text`` rows with text, rejects)."""
+def decoded_texts(messages: DataFrame, need_time: bool = True) -> tuple[DataFrame, DataFrame]:
+    """``value`` stream → (``ts, id, text`` rows with text, rejects). A message without a usable
+    time is a reject, unless ``need_time`` is False (its text can still be shown)."""
     decoded = decode_messages(payload_text(messages), keep=["value"])
-    kept, rejects = split_rejects(decoded)
+    kept, rejects = split_rejects(decoded, need_time=need_time)
     return kept.select("ts", "id", "text"), rejects
 
 
@@ -56,7 +57,7 @@ def keyword_sink_writer(messages: DataFrame, sink: BatchSink, checkpoint_base: s
 
 def text_console_writer(messages: DataFrame, checkpoint_base: str, num_output_rows: int = 128,
                         trigger: dict | None = None, query_name: str = "texts to console") -> DataStreamWriter:
-    texts, _ = decoded_texts(messages)
+    texts, _ = decoded_texts(messages, need_time=False)
     writer = console_stream_writer(texts.select("text"), checkpoint_dir(checkpoint_base, "console"),
                                    num_output_rows, query_name=query_name)
     return with_trigger(writer, trigger)
@@ -64,7 +65,7 @@ def text_console_writer(messages: DataFrame, checkpoint_base: str, num_output_ro
 
 def rejects_writer(messages: DataFrame, path: str, checkpoint_base: str,
                    trigger: dict | None = None) -> DataStreamWriter:
-    """Messages without text, with the reason, to a file table (exactly once via the file sink log)."""
+    """Messages without text or time, with the reason, to a file table (exactly once via the file sink log)."""
     _, rejects = decoded_texts(messages)
     writer = (rejects.writeStream.format("parquet").outputMode("append").option("path", path)
               .option("checkpointLocation", checkpoint_dir(checkpoint_base, "rejects"))
@@ -112,10 +113,12 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float
     return not pending
 
 
-def run_to_end(writer: DataStreamWriter, timeout: float = 600) -> StreamingQuery:
-    """Process everything available now, then stop (bounded replays, tests)."""
+def run_to_end(writer: DataStreamWriter, timeout: float | None = None) -> StreamingQuery:
+    """Process everything available now, then stop. ``timeout`` seconds, if given, bound the wait."""
     query = writer.trigger(availableNow=True).start()
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream {query.name} did not finish in {timeout} s")
     if query.exception() is not None:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from kestrel.functions.keywords import SALT_BUCKETS, classify, explode_tokens, lexicon_frame
+from kestrel.functions.keywords import classify, explode_tokens, lexicon_frame
 
 OUTPUT_COLUMNS = ("window_start", "window_end", "keyword", "appearances")
 
@@ -51,23 +51,19 @@ def keyword_counts(df: DataFrame, ts_col: str = "ts", text_col: str = "text", wi
     rows = as_event_time(df.filter(F.col(text_col).isNotNull()), ts_col)
     if delay is not None:
         rows = rows.withWatermark(ts_col, delay)
-    lex, broadcast = (None, False) if lexicon is None else lexicon_frame(df.sparkSession, lexicon)
-    salted = lex is not None and not broadcast and df.isStreaming
-    tokens = explode_tokens(rows, text_col, [ts_col], position_name="_pos" if salted else None)
-    if salted:
-        # No AQE in a stream to split a hot word's partition: salt the join by token position.
-        keywords = classify(tokens, lex, False, pos_mode=pos_mode, salt_col="_pos", salt_buckets=SALT_BUCKETS)
-        counts = keywords.groupBy(F.window(F.col(ts_col), width).alias("window"), "keyword") \
-            .agg(F.count("keyword").alias("appearances"))
-    elif lex is not None and not broadcast:
-        # A lexicon of unbounded size may be joined by shuffle: count each surface per window
-        # first, so the join sees one row per (window, surface) and never a hot word's raw rows.
+    lex = None if lexicon is None else lexicon_frame(df.sparkSession, lexicon)
+    # No AQE in a stream to split a hot word's partition: its raw tokens meet the lexicon salted.
+    salt = "_token" if lex is not None and df.isStreaming else None
+    tokens = explode_tokens(rows, text_col, [ts_col], salt_name=salt)
+    if lex is not None and not salt:
+        # Count each surface per window first, so the join sees one row per (window, surface) and
+        # never a hot word's raw rows.
         per_surface = tokens.groupBy(F.window(F.col(ts_col), width).alias("window"), "surface") \
             .agg(F.count("*").alias("n"))
-        counts = classify(per_surface, lex, False, pos_mode=pos_mode) \
+        counts = classify(per_surface, lex, pos_mode=pos_mode) \
             .groupBy("window", "keyword").agg(F.sum("n").alias("appearances"))
     else:
-        keywords = classify(tokens, lex, broadcast, pos_mode=pos_mode)
+        keywords = classify(tokens, lex, pos_mode=pos_mode, salt_col=salt)
         counts = keywords.groupBy(F.window(F.col(ts_col), width).alias("window"), "keyword") \
             .agg(F.count("keyword").alias("appearances"))
     return counts.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),

@@ -115,29 +115,52 @@ def test_stream_equals_batch_on_closed_windows(spark):
     assert key(streamed) == key(closed) and len(key(closed)) > 0
 
 
-def test_jdbc_batch_sink_skips_replayed_batch(spark, monkeypatch):
-    """The database calls are replaced by an in-memory table; the skip logic is what is tested."""
-    import kestrel.streaming.sinks as sinks
+class _Database:
+    """Tables in memory in the place of a database; ``fail`` makes the next reads or writes fail."""
 
-    stored = []
+    def __init__(self, monkeypatch):
+        import kestrel.streaming.sinks as sinks
 
-    def fake_read(spark_, url, table, properties=None, **_):
-        if not stored:
-            raise RuntimeError("table does not exist")
-        return spark_.createDataFrame([tuple(r) for r in stored], stored[0].__fields__)
+        self.tables, self.schemas, self.fail, self.writers = {}, {}, None, []
+        monkeypatch.setattr(sinks, "read_jdbc", self.read)
+        monkeypatch.setattr(sinks, "write_jdbc", self.write)
 
-    def fake_write(df, url, table, properties=None, mode="append", num_partitions=None, **_):
-        assert mode == "append" and num_partitions == 1
-        stored.extend(df.collect())
+    def read(self, spark, url, table, properties=None, **_):
+        if self.fail == "read":
+            raise RuntimeError("connection lost")
+        return spark.createDataFrame([tuple(r) for r in self.tables[table]], self.schemas[table])
 
-    monkeypatch.setattr(sinks, "read_jdbc", fake_read)
-    monkeypatch.setattr(sinks, "write_jdbc", fake_write)
-    sink = sinks.JdbcBatchSink("jdbc:none", "T")
+    def write(self, df, url, table, properties=None, mode="append", num_partitions=None, **_):
+        assert mode == "append"
+        rows = df.collect()
+        self.schemas.setdefault(table, df.schema)
+        self.tables.setdefault(table, []).extend(rows)
+        self.writers.append((table, num_partitions))
+        if self.fail == table:
+            raise RuntimeError("connection lost while writing")
+
+
+def test_jdbc_batch_sink_stores_a_replayed_batch_once(spark, monkeypatch):
+    import pytest
+
+    from kestrel.streaming.sinks import JdbcBatchSink
+
+    database = _Database(monkeypatch)
+    sink = JdbcBatchSink("jdbc:none", "T")
     batch = spark.createDataFrame([("a", 1), ("b", 2)], "keyword string, appearances long")
     sink(batch, 0)
-    sink(batch, 0)   # replay of batch 0
+    sink(batch, 0)  # replay of a committed batch
+    database.fail = "T"
+    with pytest.raises(RuntimeError):
+        sink(batch, 1)  # rows arrive, the commit does not
+    database.fail = "read"
+    with pytest.raises(RuntimeError):
+        sink(batch, 0)  # a lost connection is an error, not an empty table
+    database.fail = None
     sink(batch, 1)
-    assert sorted((r["keyword"], r["batch_id"]) for r in stored) == [("a", 0), ("a", 1), ("b", 0), ("b", 1)]
+    rows = sorted((r["keyword"], r["batch_id"]) for r in sink.committed_rows(spark).collect())
+    assert rows == [("a", 0), ("a", 1), ("b", 0), ("b", 1)]
+    assert {n for table, n in database.writers if table == "T"} == {None}  # as parallel as the batch
 
 
 def test_state_stays_bounded_by_the_watermark(spark, scratch):
@@ -155,7 +178,7 @@ def test_state_stays_bounded_by_the_watermark(spark, scratch):
     assert sink.read(spark).count() >= 4 * 20  # closed windows were emitted along the way
 
 
-def test_window_table_sink_bounds_files_per_day(spark, scratch):
+def test_one_day_batch_is_written_by_many_tasks_and_can_be_compacted(spark, scratch):
     import glob
 
     from kestrel.streaming.sinks import WindowTableSink
@@ -164,10 +187,41 @@ def test_window_table_sink_bounds_files_per_day(spark, scratch):
             for d in range(2) for s in range(0, 3000, 30)]
     batch = spark.createDataFrame(rows, "window_start timestamp, window_end timestamp, keyword string, "
                                         "appearances long").repartition(16)
-    sink = WindowTableSink(os.path.join(scratch, "t"), files_per_folder=2)
+    sink = WindowTableSink(os.path.join(scratch, "t"))
     sink(batch, 7)
     sink(batch, 7)  # replay
     for day in ("2024-01-01", "2024-01-02"):
         files = glob.glob(os.path.join(scratch, "t", f"window_day={day}", "batch_id=7", "part-*"))
-        assert 1 <= len(files) <= 2
+        assert len(files) > 4
     assert sink.read(spark).count() == len(rows)
+    sink.compact(spark, os.path.join(scratch, "c"), "window_start", "keyword")
+    assert len(glob.glob(os.path.join(scratch, "c", "window_day=2024-01-01", "part-*"))) < len(files)
+    assert spark.read.parquet(os.path.join(scratch, "c")).count() == len(rows)
+
+
+def test_batch_sink_read_raises_on_a_damaged_folder(spark, scratch):
+    import pytest
+
+    schema = spark.range(1).schema
+    sink = FileBatchSink(os.path.join(scratch, "t"))
+    assert sink.read(spark, schema=schema).count() == 0  # nothing written yet
+    os.makedirs(os.path.join(scratch, "t", "batch_id=0"))
+    with open(os.path.join(scratch, "t", "batch_id=0", "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        sink.read(spark, schema=schema).collect()
+
+
+def test_stream_queries_on_a_directory_of_part_files(spark, scratch):
+    """Tables stored as several part files: the stream queries see all of them."""
+    from kestrel.plans import stream_queries, text_queries
+    from kestrel.plans.tables import table
+
+    sf = "/root/testdata/sf0.001"
+    for name in ("events", "documents"):
+        table(spark, sf, name).repartition(3).write.parquet(f"{scratch}/{name}.parquet")
+    key = lambda d: sorted(tuple(r) for r in d.collect())
+    assert key(stream_queries.q_window_counts_stream(spark, scratch)) == key(stream_queries.q_window_counts_stream(spark, sf))
+    assert stream_queries.q_stream_foreach_batch(spark, scratch).count() == table(spark, sf, "events").count()
+    assert text_queries.q_window_counts_batch(spark, scratch).count() > 0
+    assert stream_queries.q_keyword_counts_stream(spark, scratch).count() == stream_queries.q_keyword_counts_stream(spark, sf).count()
