@@ -2,8 +2,9 @@
 
 A morphological analyzer segments running Japanese text into words and tags each with a part of
 speech and a base form, which the letter-run split cannot do. ``analyzed_tokens`` runs such an
-analyzer as an Arrow-batched pandas UDF (one call per batch of texts, not per row) and hands its
-``(surface, pos, base_form)`` triples to the same native rules as the lexicon path (F3-F8).
+analyzer as an Arrow-batched pandas UDF (texts travel in batches; the analyzer is called once per
+text) and hands its ``(surface, pos, base_form)`` triples to the same native rules as the lexicon path
+(F3-F8).
 
 The analyzer is any Python callable ``text -> iterable of (surface, pos, base_form)``, importable
 on the executors (shipped with ``--py-files`` or installed); a dictionary-backed analyzer should

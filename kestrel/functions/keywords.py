@@ -39,11 +39,6 @@ SEPARATOR_PATTERN = r"[^\p{L}\p{N}]+"
 POS_MODES = ("subclass", "level1")
 LEXICON_SCHEMA = StructType([StructField("surface", StringType()), StructField("pos", StringType()),
                              StructField("base_form", StringType())])
-# A lexicon given as Python rows has a known size; up to this many rows it is broadcast. Larger
-# dictionaries belong in a table (passed as a DataFrame), not in driver memory.
-LEXICON_BROADCAST_MAX_ROWS = 200_000
-# Copies of each lexicon row when a lexicon table is joined to raw tokens by shuffle.
-SALT_BUCKETS = 16
 
 
 def strip_urls(text: Column) -> Column:
@@ -113,59 +108,45 @@ def keyword_of(surface: Column, pos: Column, base_form: Column, pos_mode: str =
 
 
 def explode_tokens(df: DataFrame, text_col: str, keep: list[str], surface_name: str = "surface",
-                   position_name: str | None = None) -> DataFrame:
+                   salt_name: str | None = None) -> DataFrame:
     """One row per token that passes the surface rules (C6, F3-F5); NULL or empty text gives none.
-    With ``position_name`` the token's position in its text is kept too."""
-    if position_name:
-        tokens = df.select(*keep, F.posexplode(words(F.col(text_col))).alias(position_name, surface_name))
+    With ``salt_name`` each token also gets a hash of its text and its position in it: the same on a
+    retry, and spread evenly whatever the word and wherever it stands."""
+    if salt_name:
+        tokens = df.select(*keep, F.xxhash64(*keep, text_col).alias("_row"), F.posexplode(words(F.col(text_col))).alias("_pos", surface_name))
+        tokens = tokens.select(*keep, F.xxhash64("_row", "_pos").alias(salt_name), surface_name)
     else:
         tokens = df.select(*keep, F.explode(words(F.col(text_col))).alias(surface_name))
     return tokens.filter(surface_ok(F.col(surface_name)))
 
 
-def lexicon_frame(spark: SparkSession, entries: list[tuple[str, str, str]] | DataFrame) -> tuple[DataFrame, bool]:
-    """Lexicon as a DataFrame with one entry per surface, and whether to broadcast it.
+def lexicon_frame(spark: SparkSession, entries: list[tuple[str, str, str]] | DataFrame) -> DataFrame:
+    """Lexicon as a DataFrame with one entry per surface, so a token is never counted twice (of
+    several readings the smallest stays). Whether it is broadcast is left to Spark's size threshold."""
+    if not isinstance(entries, DataFrame):
+        entries = spark.createDataFrame(entries, LEXICON_SCHEMA)
+    one = entries.groupBy("surface").agg(F.min(F.struct("pos", "base_form")).alias("r"))
+    return one.select("surface", F.col("r.pos").alias("pos"), F.col("r.base_form").alias("base_form"))
 
-    Rows given in Python have a known count and are broadcast up to
-    ``LEXICON_BROADCAST_MAX_ROWS``; a lexicon DataFrame is left to Spark's size-based choice.
-    """
-    # One reading per surface (the smallest), so a token is never counted twice.
-    if isinstance(entries, DataFrame):
-        one = entries.groupBy("surface").agg(F.min(F.struct("pos", "base_form")).alias("r"))
-        return one.select("surface", F.col("r.pos").alias("pos"), F.col("r.base_form").alias("base_form")), False
-    readings: dict = {}
-    for surface, pos, base_form in entries:
-        key = (pos is not None, pos or "", base_form is not None, base_form or "")
-        if surface not in readings or key < readings[surface][0]:
-            readings[surface] = (key, (surface, pos, base_form))
-    rows = [row for _, row in readings.values()]
-    return spark.createDataFrame(rows, LEXICON_SCHEMA), len(rows) <= LEXICON_BROADCAST_MAX_ROWS
-
-
-def classify(tokens: DataFrame, lexicon: DataFrame | None, broadcast: bool = False,
-             surface_col: str = "surface", keyword_name: str = "keyword",
-             pos_mode: str = "subclass", salt_col: str | None = None,
-             salt_buckets: int = 0) -> DataFrame:
+
+def classify(tokens: DataFrame, lexicon: DataFrame | None, surface_col: str = "surface", keyword_name: str = "keyword",
+             pos_mode: str = "subclass", salt_col: str | None = None) -> DataFrame:
     """Turn surface rows into keyword rows (F6-F8), dropping tokens that give none.
 
-    All columns of ``tokens`` other than the surface (and the salt source) are kept. A lexicon
-    that is not broadcast is joined by shuffle; with ``salt_col`` and ``salt_buckets`` the join
-    key is (surface, salt): each token's salt comes from ``salt_col`` (e.g. its position in the
-    text, so retries give the same salt), each lexicon row is copied once per salt, and a word
-    holding a third of all tokens is spread over ``salt_buckets`` tasks instead of one.
+    All columns of ``tokens`` other than the surface (and the salt) are kept. With ``salt_col``, for
+    raw tokens, the join key is (surface, salt): the salt is the token's hash modulo the cluster's
+    default parallelism, each lexicon row is copied once per salt, and a word that holds a third of
+    all tokens is spread over all cores instead of one task.
     """
     keep = [c for c in tokens.columns if c not in (surface_col, salt_col)]
     surface = F.col(surface_col)
     if lexicon is None:
         return tokens.filter(noun_ok(surface)).select(*keep, surface.alias(keyword_name))
-    if broadcast:
-        lex = F.broadcast(lexicon)
-        joined = tokens.join(lex, tokens[surface_col] == lex["surface"], "left")
-    elif salt_col and salt_buckets > 1:
-        lex = lexicon.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-        salted = tokens.withColumn("_salt", F.pmod(F.col(salt_col), F.lit(salt_buckets)).cast("int"))
-        joined = salted.join(lex, (salted[surface_col] == lex["surface"]) & (salted["_salt"] == lex["_salt"]), "left")
-        tokens = salted
+    if salt_col:
+        salts = max(2, tokens.sparkSession.sparkContext.defaultParallelism)
+        lex = lexicon.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        tokens = tokens.withColumn("_salt", F.pmod(F.col(salt_col), F.lit(salts)).cast("int"))
+        joined = tokens.join(lex, (tokens[surface_col] == lex["surface"]) & (tokens["_salt"] == lex["_salt"]), "left")
     else:
         lex = lexicon
         joined = tokens.join(lex, tokens[surface_col] == lex["surface"], "left")
@@ -177,31 +158,26 @@ def classify(tokens: DataFrame, lexicon: DataFrame | None, broadcast: bool = Fal
 def extract_keywords(df: DataFrame, text_col: str, keep: list[str], lexicon=None,
                      pos_mode: str = "subclass", keyword_name: str = "keyword") -> DataFrame:
     """One row per keyword occurrence: ``keep`` columns plus ``keyword`` (U1 as a plan)."""
-    lex, broadcast = (None, False) if lexicon is None else lexicon_frame(df.sparkSession, lexicon)
-    salted = lex is not None and not broadcast
-    tokens = explode_tokens(df.filter(F.col(text_col).isNotNull()), text_col, keep,
-                            position_name="_pos" if salted else None)
-    return classify(tokens, lex, broadcast, keyword_name=keyword_name, pos_mode=pos_mode,
-                    salt_col="_pos" if salted else None, salt_buckets=SALT_BUCKETS if salted else 0)
+    lex = None if lexicon is None else lexicon_frame(df.sparkSession, lexicon)
+    salt = None if lex is None else "_token"
+    tokens = explode_tokens(df.filter(F.col(text_col).isNotNull()), text_col, keep, salt_name=salt)
+    return classify(tokens, lex, keyword_name=keyword_name, pos_mode=pos_mode, salt_col=salt)
 
 
 def count_keywords(df: DataFrame, text_col: str, group_cols: list[str], lexicon=None,
                    pos_mode: str = "subclass", count_name: str = "appearances") -> DataFrame:
     """Keyword appearances per group (and overall when ``group_cols`` is empty).
 
-    With a lexicon table of unbounded size (not broadcast), surfaces are counted per group before
-    the join, so the join sees each distinct surface once per group instead of every token; on a
-    stream, where that would add a stateful step, the join is salted instead.
+    With a lexicon, surfaces are counted per group before the join, so the join sees each distinct
+    surface once per group instead of every token; on a stream, where that would add a stateful
+    step, the join is salted instead.
     """
-    lex, broadcast = (None, False) if lexicon is None else lexicon_frame(df.sparkSession, lexicon)
-    shuffled_lexicon = lex is not None and not broadcast
-    salted = shuffled_lexicon and df.isStreaming
-    tokens = explode_tokens(df.filter(F.col(text_col).isNotNull()), text_col, group_cols,
-                            position_name="_pos" if salted else None)
-    if shuffled_lexicon and not salted:
+    lex = None if lexicon is None else lexicon_frame(df.sparkSession, lexicon)
+    salt = "_token" if lex is not None and df.isStreaming else None
+    tokens = explode_tokens(df.filter(F.col(text_col).isNotNull()), text_col, group_cols, salt_name=salt)
+    if lex is not None and not salt:
         per_surface = tokens.groupBy(*group_cols, "surface").agg(F.count("*").alias("_n"))
-        return (classify(per_surface, lex, False, pos_mode=pos_mode)
+        return (classify(per_surface, lex, pos_mode=pos_mode)
                 .groupBy(*group_cols, "keyword").agg(F.sum("_n").cast("bigint").alias(count_name)))
-    keywords = classify(tokens, lex, broadcast, pos_mode=pos_mode, salt_col="_pos" if salted else None,
-                        salt_buckets=SALT_BUCKETS if salted else 0)
+    keywords = classify(tokens, lex, pos_mode=pos_mode, salt_col=salt)
     return keywords.groupBy(*group_cols, "keyword").agg(F.count("keyword").alias(count_name))

@@ -35,17 +35,20 @@ def decode_messages(messages: DataFrame, column: str = "value", keep: list[str]
     )
 
 
-def split_rejects(decoded: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Rows with text go on; the rest are rejects with a reason.
+def split_rejects(decoded: DataFrame, column: str = "value", need_time: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Rows with text and a time go on; the rest are rejects with a reason (``malformed``,
+    ``no_text`` or ``bad_ts``). With ``need_time=False`` a text is enough.
 
     ``decoded`` must still hold the raw ``column`` (pass ``keep=[column]`` to ``decode_messages``).
     A decode failure is a reject instead of a failed stream.
     """
-    kept = decoded.filter(F.col("text").isNotNull()).drop(column)
-    reason = (F.when(F.col("id").isNull() & F.col("ts").isNull() & F.col("matching_rules").isNull(),
-                     F.lit("malformed"))
+    good = F.col("text").isNotNull() & (F.col("ts").isNotNull() if need_time else F.lit(True))
+    kept = decoded.filter(good).drop(column)
+    reason = (F.when(F.col("text").isNotNull(), F.lit("bad_ts"))
+              .when(F.col("id").isNull() & F.col("ts").isNull() & F.col("matching_rules").isNull(),
+                    F.lit("malformed"))
               .otherwise(F.lit("no_text")))
-    rejects = decoded.filter(F.col("text").isNull()).select(reason.alias("reason"), "id", F.col(column).alias("raw"))
+    rejects = decoded.filter(~good).select(reason.alias("reason"), "id", F.col(column).alias("raw"))
     return kept, rejects
 
 
@@ -77,20 +80,25 @@ def encode_messages(df: DataFrame, id_col: Column, text_col: Column, ts_text: Co
 
 
 def stamp_feed_lines(lines: DataFrame, stamp: Column | None = None, column: str = "value") -> DataFrame:
-    """Feed enrichment (Q11): each JSON-object line gets a top-level ``ts`` and is keyed by
-    ``data.id``. Every other field is passed through untouched, so the line is not re-encoded.
-    Blank keep-alive lines are dropped; a line with no ``data.id`` gets a NULL key, and a line that
-    is not a JSON object gets a NULL value (a reject, never published).
+    """Feed enrichment (Q11): each JSON-object line gets a top-level ``ts``, in the place of one it
+    may have, and is keyed by ``data.id``. The line is parsed once, as a whole; all other members keep
+    their values. Blank keep-alive lines are dropped; a line with no ``data.id`` gets a NULL key, and a
+    line that is not one JSON object gets a NULL value (a reject, never published).
+
+    Columns: ``key``, ``value``, and ``raw``, the line itself.
     """
     stamp = arrival_stamp() if stamp is None else stamp
-    body = F.trim(F.col(column))
-    inner = F.regexp_replace(body, r"\}$", "")
-    empty_object = F.regexp_like(body, F.lit(r"^\{\s*\}$"))
-    # Only a JSON object can take a field: anything else (an array, broken text) gets a NULL value.
-    is_object = body.startswith("{") & body.endswith("}") & F.json_object_keys(body).isNotNull()
-    # An ISO timestamp has no character that needs escaping inside a JSON string.
-    stamped = F.concat(F.when(empty_object, F.lit("{")).otherwise(F.concat(inner, F.lit(","))),
-                       F.lit('"ts":"'), stamp, F.lit('"}'))
-    return (lines.filter(F.length(body) > 0)
-            .select(F.get_json_object(body, "$.data.id").alias("key"),
-                    F.when(is_object, stamped).alias("value")))
+    # The parser stops at the end of the first value, so a line is read as a member of an object of
+    # two: the second, named by the line's hash, is there only if the line is one whole value.
+    mark = F.md5(F.col(column))
+    pair = F.concat(F.lit('{"v":'), F.col(column), F.lit(',"'), mark, F.lit('":0}'))
+    members = F.try_variant_get(F.try_parse_json(pair), "$", "map<string, variant>")
+    parsed = lines.filter(F.col(column).rlike(r"\S")).select(
+        F.col(column).alias("raw"), mark.alias("mark"), members.alias("m"), stamp.alias("stamp"))
+    whole = (F.size("m") == 2) & F.map_contains_key("m", F.col("mark"))
+    parsed = parsed.select("raw", "stamp", F.when(whole, F.col("m")["v"]).alias("v"))
+    is_object = F.schema_of_variant("v").startswith("OBJECT")
+    fields = F.map_filter(F.try_variant_get("v", "$", "map<string, variant>"), lambda k, _: k != "ts")
+    stamped = F.map_concat(fields, F.create_map(F.lit("ts"), F.col("stamp").cast("variant")))
+    return parsed.select(F.try_variant_get("v", "$.data.id", "string").alias("key"),
+                         F.when(is_object, F.to_json(stamped)).alias("value"), "raw")

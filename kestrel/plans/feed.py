@@ -17,14 +17,22 @@ from kestrel.sources.streams import text_line_stream
 
 
 def stamped_feed(lines: DataFrame) -> DataFrame:
-    """Publishable records only: lines that are not JSON objects (NULL value) are left out."""
-    return stamp_feed_lines(non_blank_lines(lines)).filter(F.col("value").isNotNull())
+    """Publishable records only; ``feed_rejects`` has the other lines."""
+    return stamp_feed_lines(non_blank_lines(lines)).filter(F.col("value").isNotNull()).select("key", "value")
+
+
+def feed_rejects(lines: DataFrame) -> DataFrame:
+    """Lines that are neither blank nor one JSON object."""
+    return stamp_feed_lines(non_blank_lines(lines)).filter(F.col("value").isNull()).select("raw")
 
 
 def publish_feed_files(spark: SparkSession, path: str, bootstrap_servers: str, topic: str,
-                       **kafka_options) -> DataFrame:
-    records = stamped_feed(read_json_lines(spark, path))
+                       rejects_path: str | None = None, **kafka_options) -> DataFrame:
+    lines = read_json_lines(spark, path)
+    records = stamped_feed(lines)
     write_kafka(records, bootstrap_servers, topic, **kafka_options)
+    if rejects_path:
+        feed_rejects(lines).write.text(rejects_path)
     return records
 
 

@@ -64,6 +64,18 @@ def test_duplicates_in_one_message_count_separately(spark):
     assert _keywords(spark, ["alpha beta alpha"]) == ["alpha", "beta", "alpha"]
 
 
+def test_hot_word_at_one_position_spreads_over_many_salts(spark):
+    """1,000 texts that start with the same word: its salts are as many as the join has, evenly used."""
+    from collections import Counter
+
+    from kestrel.functions.keywords import explode_tokens
+
+    texts = spark.createDataFrame([(i, f"RT w{i}") for i in range(1000)], "i int, text string")
+    tokens = explode_tokens(texts, "text", ["i"], salt_name="salt").filter("surface = 'RT'")
+    salts = Counter(r["s"] for r in tokens.select(F.pmod(F.col("salt"), F.lit(8)).alias("s")).collect())
+    assert len(salts) == 8 and max(salts.values()) < 200
+
+
 def test_lexicon_table_join_is_salted(spark, capsys):
     texts = ["犬 走っ " * 30, "ほげ 犬"]
     table = spark.createDataFrame(LEXICON, "surface string, pos string, base_form string")
