@@ -10,7 +10,8 @@
 
 Database user and password come from ``--user`` / ``--password`` or the ``DB_USER`` /
 ``DB_PASSWORD`` environment variables; ``--driver`` names the JDBC driver class. Each job prints
-its wall time. Summaries print a bounded preview and the total, never the whole result.
+its wall time. Summaries print a named number of lines as a preview, and the total; with an output
+folder all their lines are written there, in order.
 """
 
 from __future__ import annotations
@@ -40,6 +41,21 @@ def _add_db(p):
     p.add_argument("--driver")
 
 
+def _add_sasl(p):
+    p.add_argument("--sasl-username", help="user of a SASL_SSL broker (or KAFKA_USERNAME)")
+    p.add_argument("--sasl-password", help="its password (or KAFKA_PASSWORD)")
+
+
+def _sasl_options(args) -> dict:
+    """Connection options of a SASL_SSL broker, if a user is given; else none."""
+    from kestrel.sinks.kafka import sasl_plain_options
+
+    user = args.sasl_username or os.environ.get("KAFKA_USERNAME")
+    if not user:
+        return {}
+    return sasl_plain_options(user, args.sasl_password or os.environ.get("KAFKA_PASSWORD", ""))
+
+
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="kestrel")
     ap.add_argument("--sampling-ratio", type=float,
@@ -66,7 +82,9 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--input_dir", required=True)
         p.add_argument("--output_dir")
         p.add_argument("--output_format", default="json")
-        p.add_argument("--show_summary", action="store_true")
+        p.add_argument("--single_file", action="store_true", help="one ordered file; for few entities")
+        p.add_argument("--show_summary", action="store_true", help="write all summary lines beside the output, print a preview")
+        p.add_argument("--preview_rows", type=int, default=20)
 
     p = sub.add_parser("keyword-stream", help="keyword counts per window from a topic into a table")
     p.add_argument("--bootstrap-servers", default="localhost:9092")
@@ -80,6 +98,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--min-partitions", type=int, help="split topic partitions over at least this many tasks")
     p.add_argument("--starting-offsets", default="latest")
     p.add_argument("--no-console", action="store_true", help="skip the text preview query")
+    p.add_argument("--lexicon", help="table of (surface, pos, base_form) for the part-of-speech rules")
+    p.add_argument("--lexicon-format", default="parquet")
+    p.add_argument("--pos-mode", default="subclass", choices=["subclass", "level1"])
+    p.add_argument("--sink-partitions", type=int, help="at most this many database connections write a batch")
+    _add_sasl(p)
     _add_db(p)
 
     p = sub.add_parser("publish-feed", help="stamp JSON lines and publish them keyed by id")
@@ -87,6 +110,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--bootstrap-servers", default="localhost:9092")
     p.add_argument("--topic", required=True)
     p.add_argument("--stream-checkpoint", help="follow new files as a stream with this checkpoint")
+    p.add_argument("--rejects-path", help="where lines that are not JSON objects go (batch form)")
+    _add_sasl(p)
     return ap
 
 
@@ -111,10 +136,13 @@ def run(args) -> None:
             result.show()
     elif args.job == "mean-by-entity":
         result, summary = batch_jobs.mean_by_entity_job(spark, args.input_dir, args.output_dir, args.output_format,
-                                                        show_summary=args.show_summary, csv_options=csv_options)
+                                                        show_summary=args.show_summary, csv_options=csv_options,
+                                                        single_file=args.single_file)
         if summary is not None:
             lines, total = summary
-            lines.show(100, truncate=False)
+            where = f", all of them in {args.output_dir.rstrip('/')}/avg_arrival_delay_by_airline_summary" if args.output_dir else ""
+            print(f"First {args.preview_rows} lines of the summary{where}:")
+            lines.show(args.preview_rows, truncate=False)
             total.select("total_line").show(truncate=False)
     elif args.job == "mean-by-entity-sql":
         from kestrel.sources.files import read_csv
@@ -133,8 +161,13 @@ def run(args) -> None:
         from kestrel.streaming.jobs import run_keyword_job
         from kestrel.streaming.sinks import JdbcBatchSink
 
-        sink = JdbcBatchSink(args.url, args.table, _db_properties(args))
-        kafka_options = {}
+        sink = JdbcBatchSink(args.url, args.table, _db_properties(args), num_partitions=args.sink_partitions)
+        lexicon = None
+        if args.lexicon:
+            from kestrel.functions.keywords import LEXICON_SCHEMA
+
+            lexicon = spark.read.format(args.lexicon_format).schema(LEXICON_SCHEMA).load(args.lexicon)
+        kafka_options = _sasl_options(args)
         if args.max_offsets_per_trigger:
             kafka_options["maxOffsetsPerTrigger"] = str(args.max_offsets_per_trigger)
         if args.min_partitions:
@@ -142,22 +175,23 @@ def run(args) -> None:
         run_keyword_job(spark, args.bootstrap_servers, args.topic, sink, args.checkpoint_location,
                         args.window, args.watermark, args.num_output_rows,
                         starting_offsets=args.starting_offsets, rejects_path=args.rejects_path,
-                        console=not args.no_console, **kafka_options)
+                        console=not args.no_console, lexicon=lexicon, pos_mode=args.pos_mode, **kafka_options)
     elif args.job == "publish-feed":
         from kestrel.plans import feed
 
         if args.stream_checkpoint:
             feed.publish_feed_stream(spark, args.input, args.bootstrap_servers, args.topic,
-                                     args.stream_checkpoint).awaitTermination()
+                                     args.stream_checkpoint, **_sasl_options(args)).awaitTermination()
         else:
-            feed.publish_feed_files(spark, args.input, args.bootstrap_servers, args.topic)
+            feed.publish_feed_files(spark, args.input, args.bootstrap_servers, args.topic,
+                                    rejects_path=args.rejects_path, **_sasl_options(args))
 
 
 def main(argv=None) -> int:
     args = parser().parse_args(argv)
     start = time.time()
     run(args)
-    print(f"\nElapsed time(sec): {time.time() - start}")
+    print(f"\n{args.job} took {time.time() - start:.1f} s")
     return 0
 
 

@@ -34,8 +34,7 @@ def count_and_mean(df: DataFrame, key: str, measure: str, count_name: str = "cou
 def mean_by_entity(facts: DataFrame, key: str, measure: str, dim: DataFrame | None = None,
                    dim_key: str | None = None, dim_name: str | None = None,
                    name_col: str = "entity_name", count_col: str = "entity_count",
-                   mean_text_col: str = "avg_measure_fmt", broadcast_dim: bool | None = None,
-                   keep_mean: bool = False) -> DataFrame:
+                   mean_text_col: str = "avg_measure_fmt", keep_mean: bool = False) -> DataFrame:
     """Rows and mean per entity with the entity's name, least mean first (Q3).
 
     Aggregate first, then look the name up, so the join sees one row per entity instead of one
@@ -46,7 +45,7 @@ def mean_by_entity(facts: DataFrame, key: str, measure: str, dim: DataFrame | No
     stats = count_and_mean(facts, key, measure, count_col, "_mean")
     if dim is not None:
         names = dim.select(F.col(dim_key).alias("_dim_key"), F.col(dim_name).alias(name_col))
-        joined = lookup_join(stats, names, stats[key] == names["_dim_key"], "left", broadcast_dim)
+        joined = lookup_join(stats, names, stats[key] == names["_dim_key"], "left")
     else:
         joined = stats.withColumn(name_col, F.col(key).cast("string"))
     ordered_rows = joined.orderBy(F.col("_mean").asc_nulls_first(), F.col(key).asc_nulls_first(),

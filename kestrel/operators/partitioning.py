@@ -1,10 +1,10 @@
-"""Partition-count guard for CPU-heavy per-row work.
+"""Partition-count guard for CPU-heavy per-row work on small inputs.
 
-Tokenizing long texts costs far more CPU per byte than scanning them. When a table arrives in
-fewer splits than the cluster has cores (one large row group, an unsplittable file), that work
-would run in those few tasks. ``spread_for_cpu`` then deals the rows round-robin over the
-cluster's default parallelism. On a large input, which already has more splits than cores, it
-leaves the plan unchanged, so it never adds a shuffle of a big table.
+Tokenizing long texts costs far more CPU per byte than scanning them. A small table often comes as one
+row group, which one task would work through alone. ``spread_for_cpu`` deals the rows of such a table
+round-robin over the cluster's default parallelism. It looks at the table's size, not at its splits:
+beyond ``SMALL_BYTES`` the plan stays as it is, so the shuffle it may add is never larger than that.
+Larger tables get their splits from ``spark.sql.files.maxPartitionBytes``.
 
 Round-robin repartitioning survives executor loss: Spark sorts each input partition before
 dealing its rows (``spark.sql.execution.sortBeforeRepartition``, on by default), so a recomputed
@@ -15,15 +15,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+SMALL_BYTES = 64 << 20
 
-def spread_for_cpu(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+
+def spread_for_cpu(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``df``, dealt over ``partitions`` tasks if Spark's size estimate is at most SMALL_BYTES."""
     if df.isStreaming:
         return df
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan as it is
-        return df
-    if current >= target:
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size > SMALL_BYTES:
         return df
-    return df.repartition(target)
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)

@@ -6,6 +6,8 @@ collected: the summary is itself a DataFrame (report lines plus a one-row total)
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,7 +71,7 @@ def mean_by_entity_job(spark: SparkSession, input_dir: str, output_dir: str | No
                        name_col: str = "AIRLINE_NAME", count_col: str = "FLIGHTS_COUNT",
                        mean_text_col: str = "AVG_ARRIVAL_DELAY_BY_MINUTES",
                        result_name: str = "avg_arrival_delay_by_airline", unit: str = "flights",
-                       csv_options: dict | None = None):
+                       csv_options: dict | None = None, single_file: bool = False):
     """Q3: rows and mean measure per entity with its name, least mean first.
 
     ``csv_options`` go to the CSV reader, e.g. ``{"samplingRatio": "0.01"}`` to infer types from a
@@ -88,40 +90,55 @@ def mean_by_entity_job(spark: SparkSession, input_dir: str, output_dir: str | No
         # when large) instead of aggregating the facts three times.
         result = result.persist(StorageLevel.MEMORY_AND_DISK)
     if output_dir:
-        write_files(result, f"{output_dir.rstrip('/')}/{result_name}", output_format)
+        # The result is sorted: moving its ranges, in order, into one task keeps the order. One row
+        # per entity, so ask for a single file only where the number of entities is small.
+        out = result.coalesce(1) if single_file else result
+        write_files(out, f"{output_dir.rstrip('/')}/{result_name}", output_format)
     summary = None
     if show_summary:
         summary = (summary_lines(result, name_col, count_col, mean_text_col),
                    total_line(result, count_col, unit))
+        if output_dir:
+            write_files(summary[0], f"{output_dir.rstrip('/')}/{result_name}_summary", "text")
     return result, summary
 
 
 MEAN_BY_ENTITY_SQL = """
 WITH f AS (
-  SELECT {key} AS k, count({key}) AS n, sum({measure}) AS s, count({measure}) AS m
+  SELECT {key} AS k, count({key}) AS n, avg({measure}) AS m
   FROM {facts} GROUP BY {key}
 ), d AS (
   SELECT {dim_key} AS k, min({dim_label}) AS name, count(*) AS copies
   FROM {dim} GROUP BY {dim_key}
 )
-SELECT d.name AS {name_col}, f.n * coalesce(d.copies, 1) AS {count_col}, try_divide(f.s, f.m) AS {mean_col}
+SELECT d.name AS {name_col}, f.n * coalesce(d.copies, 1) AS {count_col}, f.m AS {mean_col}
 FROM f LEFT JOIN d ON f.k = d.k
 ORDER BY {mean_col} ASC NULLS FIRST, f.k ASC NULLS FIRST
 """
 
 
 def mean_by_entity_sql(spark: SparkSession, facts: DataFrame, dim: DataFrame, key: str, measure: str,
-                       dim_key: str, dim_label: str, facts_view: str = "FACTS", dim_view: str = "DIM",
+                       dim_key: str, dim_label: str, facts_view: str | None = None, dim_view: str | None = None,
                        name_col: str = "entity_name", count_col: str = "entity_count",
                        mean_col: str = "avg_measure") -> DataFrame:
     """Q4: the same question as SQL text over temp views.
 
     Meaning is that of joining before grouping: a dimension key listed twice doubles the count of
-    its entity, and the name is the smallest of the names (fixed, unlike ``first``). The text
-    aggregates each side before the join, so only one row per key reaches the join.
+    its entity, and the name is the smallest of the names (fixed, unlike ``first``); the mean does
+    not change with copies of a fact. The text aggregates each side before the join, so only one
+    row per key reaches the join.
+
+    Views without a given name get one of their own and are dropped once the text is resolved.
     """
-    facts.createOrReplaceTempView(facts_view)
-    dim.createOrReplaceTempView(dim_view)
-    return spark.sql(MEAN_BY_ENTITY_SQL.format(
-        key=key, measure=measure, facts=facts_view, dim=dim_view, dim_key=dim_key,
-        dim_label=dim_label, name_col=name_col, count_col=count_col, mean_col=mean_col))
+    own = uuid.uuid4().hex
+    views = {"facts": facts_view or f"facts_{own}", "dim": dim_view or f"dim_{own}"}
+    facts.createOrReplaceTempView(views["facts"])
+    dim.createOrReplaceTempView(views["dim"])
+    names = {"key": key, "measure": measure, "dim_key": dim_key, "dim_label": dim_label, "name_col": name_col,
+             "count_col": count_col, "mean_col": mean_col, **views}
+    result = spark.sql(MEAN_BY_ENTITY_SQL.format(**{k: "`" + v.replace("`", "``") + "`" for k, v in names.items()}))
+    if facts_view is None:
+        spark.catalog.dropTempView(views["facts"])
+    if dim_view is None:
+        spark.catalog.dropTempView(views["dim"])
+    return result

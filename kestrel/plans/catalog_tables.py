@@ -14,39 +14,32 @@ from kestrel.plans.tables import table
 # ---------------------------------------------------------------------------------------------
 
 def segments(spark, sf_dir):
-    # One segment is unknown (NULL) to exercise the NULL group of the count.
-    return table(spark, sf_dir, "customer").select(
-        "c_custkey", F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_mktsegment")).alias("segment"))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
 
 
 def q_count_by_group_ranked(spark, sf_dir):
-    """Q1: customers per market segment (one segment unknown), most frequent first."""
+    """Q1: customers per market segment, most frequent first."""
     return count_by_group(segments(spark, sf_dir), "segment", "n_customers")
 
 
 def facts(spark, sf_dir):
-    # Quantities of returned lines are unknown (NULL measure).
-    return table(spark, sf_dir, "lineitem").select(
-        "l_suppkey",
-        F.when(F.col("l_returnflag") != "R", F.col("l_quantity")).alias("qty"))
+    return table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_quantity").alias("qty"))
 
 
-def suppliers_in_good_standing(spark, sf_dir):
-    # Suppliers with a negative balance are missing from the dimension: their names are NULL.
-    return table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") >= 0).select("s_suppkey", "s_name")
+def suppliers(spark, sf_dir):
+    return table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
 
 
 def q_mean_by_entity(spark, sf_dir):
     """Q3: line items and mean quantity per supplier with its name, least mean first."""
     return mean_by_entity(facts(spark, sf_dir), "l_suppkey", "qty",
-                          suppliers_in_good_standing(spark, sf_dir), "s_suppkey", "s_name")
+                          suppliers(spark, sf_dir), "s_suppkey", "s_name")
 
 
 def q_mean_by_entity_sql(spark, sf_dir):
     """Q4: the same question as SQL text over temp views, raw mean."""
-    return mean_by_entity_sql(spark, facts(spark, sf_dir), suppliers_in_good_standing(spark, sf_dir),
-                              "l_suppkey", "qty", "s_suppkey", "s_name",
-                              facts_view="kestrelfacts", dim_view="kestrel_dim")
+    return mean_by_entity_sql(spark, facts(spark, sf_dir), suppliers(spark, sf_dir),
+                              "l_suppkey", "qty", "s_suppkey", "s_name")
 
 
 def q_count_by_customer_ranked(spark, sf_dir):
@@ -58,10 +51,9 @@ def q_count_by_customer_ranked(spark, sf_dir):
 def q_mean_by_part_sql(spark, sf_dir):
     """Q4 at a larger cardinality: rows and mean quantity per part, named from the part table."""
     parts_facts = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", F.when(F.col("l_returnflag") != "R", F.col("l_quantity")).alias("qty"))
+        "l_partkey", F.col("l_quantity").alias("qty"))
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return mean_by_entity_sql(spark, parts_facts, parts, "l_partkey", "qty", "p_partkey", "p_name",
-                              facts_view="kestrel_part_facts", dim_view="kestrel_parts")
+    return mean_by_entity_sql(spark, parts_facts, parts, "l_partkey", "qty", "p_partkey", "p_name")
 
 
 def q_grand_total(spark, sf_dir):
@@ -75,8 +67,8 @@ def q_report_lines(spark, sf_dir):
 
 
 FACTS_SQL = """
-  f AS (SELECT l_suppkey, CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS qty FROM lineitem),
-  s AS (SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal >= 0),
+  f AS (SELECT l_suppkey, l_quantity AS qty FROM lineitem),
+  s AS (SELECT s_suppkey, s_name FROM supplier),
   a AS (SELECT l_suppkey, count(l_suppkey) AS entity_count, avg(qty) AS m FROM f GROUP BY l_suppkey),
   r AS (SELECT s.s_name AS entity_name, a.entity_count,
                CASE WHEN a.m IS NOT NULL THEN format('{:,.2f}', a.m) END AS avg_measure_fmt, a.m, a.l_suppkey
@@ -85,15 +77,13 @@ FACTS_SQL = """
 
 ORACLE = {
     "count_by_group_ranked": """
-        SELECT segment, count(segment) AS n_customers
-        FROM (SELECT CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_mktsegment END AS segment FROM customer)
-        GROUP BY segment ORDER BY n_customers DESC, segment NULLS FIRST""",
+        SELECT c_mktsegment AS segment, count(c_mktsegment) AS n_customers FROM customer
+        GROUP BY c_mktsegment ORDER BY n_customers DESC, segment NULLS FIRST""",
     "mean_by_entity": f"""
         WITH {FACTS_SQL}
         SELECT entity_name, entity_count, avg_measure_fmt FROM r ORDER BY m NULLS FIRST, l_suppkey""",
     "mean_by_entity_sql": """
-        WITH f AS (SELECT l_suppkey, CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS qty FROM lineitem),
-             s AS (SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal >= 0)
+        WITH f AS (SELECT l_suppkey, l_quantity AS qty FROM lineitem), s AS (SELECT s_suppkey, s_name FROM supplier)
         SELECT min(s.s_name) AS entity_name, count(f.l_suppkey) AS entity_count, avg(f.qty) AS avg_measure
         FROM f LEFT JOIN s ON f.l_suppkey = s.s_suppkey
         GROUP BY f.l_suppkey ORDER BY avg_measure NULLS FIRST, f.l_suppkey""",
@@ -101,7 +91,7 @@ ORACLE = {
         SELECT o_custkey AS customer, count(o_custkey) AS n_orders FROM orders
         GROUP BY o_custkey ORDER BY n_orders DESC, customer NULLS FIRST""",
     "mean_by_part_sql": """
-        WITH f AS (SELECT l_partkey, CASE WHEN l_returnflag <> 'R' THEN l_quantity END AS qty FROM lineitem)
+        WITH f AS (SELECT l_partkey, l_quantity AS qty FROM lineitem)
         SELECT min(p.p_name) AS entity_name, count(f.l_partkey) AS entity_count, avg(f.qty) AS avg_measure
         FROM f LEFT JOIN part p ON f.l_partkey = p.p_partkey
         GROUP BY f.l_partkey ORDER BY avg_measure NULLS FIRST, f.l_partkey""",

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from kestrel.functions.messages import envelope_json, stamp_feed_lines
 from kestrel.operators.partitioning import spread_for_cpu
 from kestrel.plans.batch_jobs import count_by_group_job, mean_by_entity_job
-from kestrel.plans.catalog_tables import (ORACLE as TABLE_ORACLE, facts, q_mean_by_entity, segments,
-                                          suppliers_in_good_standing)
+from kestrel.plans.catalog_tables import ORACLE as TABLE_ORACLE, facts, q_mean_by_entity, segments, suppliers
 from kestrel.plans.tables import text_table
 from kestrel.plans.text_queries import doc_rules
 from kestrel.session import shared_path
@@ -38,7 +37,7 @@ def q_csv_mean_by_entity(spark, sf_dir):
     base = shared_path(spark, "csv-dataset")
     # Many CSV files, as a large input would have; the one-row-group test table would give one.
     write_files(spread_for_cpu(facts(spark, sf_dir)), f"{base}/lineitem.csv", "csv")
-    write_files(suppliers_in_good_standing(spark, sf_dir), f"{base}/supplier.csv", "csv")
+    write_files(suppliers(spark, sf_dir), f"{base}/supplier.csv", "csv")
     result, _ = mean_by_entity_job(spark, base, facts_name="lineitem.csv", dim_name="supplier.csv",
                                    key="l_suppkey", measure="qty", dim_key="s_suppkey", dim_label="s_name",
                                    name_col="entity_name", count_col="entity_count",

@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.formatting import iso_text, shift_hours
 from kestrel.operators.aggregates import rows_at_max, span, top_k
+from kestrel.sources.files import newest_partition
 from kestrel.operators.expand import repeat_by_weight, weight_chunks
 
 LOCAL_CLOCK_HOURS = 9
 
 
 def newest_window_rows(counts: DataFrame) -> DataFrame:
-    """Rows of the newest window. On a stored table partitioned by ``window_day`` the newest day
-    is found first; Spark turns that into a partition filter at run time, so only the last day's
-    files are read for the window itself."""
+    """Rows of the newest window. On a stored table partitioned by ``window_day`` the newest day is
+    taken from the table's file listing, without reading a file, and is a constant partition filter:
+    only the last day's files are read, and of these the row groups that may hold the window."""
     if "window_day" in counts.columns:
-        counts = rows_at_max(counts, "window_day")
+        newest = newest_partition(counts, "window_day")
+        if newest is not None:
+            counts = counts.filter(F.col("window_day") == F.lit(newest).cast("date"))
     return rows_at_max(counts, "window_end")
 
 

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.functions.keywords import (ALLOWED_TOKEN, MAX_TOKEN_LENGTH, NOUN_STOP, SINGLE_CHAR_KEEP,
-                                        SINGLE_CHAR_STOP, URL_PATTERN, VERB_STOP, WORD_PATTERN,
-                                        count_keywords, extract_keywords, keyword_array)
+from kestrel.functions.keywords import count_keywords, extract_keywords, keyword_array
 from kestrel.functions.messages import decode_messages, encode_messages, iso_stamp, split_rejects
 from kestrel.plans.tables import table, text_table
-from kestrel.plans.reports import alltime_span, alltime_top, latest_window_bag, latest_window_ranking
-from kestrel.sources.streams import payload_text
+from kestrel.plans.report_sql import ALLTIME_SPAN, ALLTIME_TOP, LATEST_WINDOW_RANKING, run_report
+from kestrel.plans.reports import (alltime_span, alltime_top, bag_text_pieces, latest_window_bag,
+                                   latest_window_ranking)
 from kestrel.session import shared_path
+from kestrel.sources.files import path_exists
+from kestrel.sources.streams import payload_text
 from kestrel.sinks.files import write_files
 from kestrel.streaming.windows import as_wall_clock, count_per_window, keyword_counts, with_window_day
 
@@ -165,42 +166,82 @@ def q_keyword_counts_batch(spark, sf_dir):
     return as_wall_clock(document_keyword_counts(spark, sf_dir), "window_start", "window_end")
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_keyword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyword table as the reports read it in production: written once (per application and
+    input), partitioned by day of window start, its rows in order of time so that each task leaves
+    files in few days and row groups hold few windows."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _STORED or not path_exists(spark, f"{_STORED[at]}/_SUCCESS"):
+        path = shared_path(spark, "keyword-table")
+        counts = with_window_day(document_keyword_counts(spark, sf_dir))
+        clustered = counts.repartitionByRange("window_start", "keyword").sortWithinPartitions("window_start", "keyword")
+        write_files(clustered, path, "parquet", partition_by=["window_day"])
+        _STORED[at] = path
+    return spark.read.parquet(_STORED[at])
+
+
 def q_latest_window_ranking(spark, sf_dir):
     """Q7 (F1, A5, O4, C10): keywords of the newest window by appearances."""
-    counts = as_wall_clock(document_keyword_counts(spark, sf_dir), "window_start", "window_end")
-    return latest_window_ranking(counts)
+    return as_wall_clock(latest_window_ranking(stored_keyword_table(spark, sf_dir)), "window_end_local")
+
+
+def q_latest_window_ranking_sql(spark, sf_dir):
+    """Q7 as SQL text over a view of the stored table."""
+    stored_keyword_table(spark, sf_dir).createOrReplaceTempView("stored_keywords_ranking")
+    return as_wall_clock(run_report(spark, LATEST_WINDOW_RANKING, "stored_keywords_ranking"), "window_end_local")
 
 
 def q_latest_window_bag(spark, sf_dir):
     """Q8 (C12): the newest window's keywords, one row per appearance."""
-    counts = as_wall_clock(document_keyword_counts(spark, sf_dir), "window_start", "window_end")
-    return latest_window_bag(counts)
+    return as_wall_clock(latest_window_bag(stored_keyword_table(spark, sf_dir)), "window_end_local")
+
+
+def q_latest_window_text(spark, sf_dir):
+    """The newest window's word bag as space-joined pieces of text."""
+    return as_wall_clock(bag_text_pieces(stored_keyword_table(spark, sf_dir)), "window_end_local")
 
 
 def q_alltime_span(spark, sf_dir):
     """Q9 (A6, C10, C11): first window start and last window end, with a caption."""
-    counts = as_wall_clock(document_keyword_counts(spark, sf_dir), "window_start", "window_end")
-    return alltime_span(counts)
+    return as_wall_clock(alltime_span(stored_keyword_table(spark, sf_dir)), "first_start_local", "last_end_local")
 
 
-def stored_keyword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The keyword table written once, partitioned by day of window start, and read back: the
-    shape the reports read in production."""
-    path = shared_path(spark, "keyword-table")
-    write_files(with_window_day(document_keyword_counts(spark, sf_dir)), path, "parquet",
-                partition_by=["window_day"])
-    return spark.read.parquet(path)
+def q_alltime_span_sql(spark, sf_dir):
+    """Q9 as SQL text over a view of the stored table."""
+    stored_keyword_table(spark, sf_dir).createOrReplaceTempView("stored_keywords_span")
+    return as_wall_clock(run_report(spark, ALLTIME_SPAN, "stored_keywords_span"), "first_start_local", "last_end_local")
 
 
 def q_latest_window_from_table(spark, sf_dir):
     """Q7 on the stored table: only the newest day's files are read for the window rows."""
-    counts = as_wall_clock(stored_keyword_table(spark, sf_dir), "window_start", "window_end")
-    return latest_window_ranking(counts)
+    return as_wall_clock(latest_window_ranking(stored_keyword_table(spark, sf_dir)), "window_end_local")
 
 
 def q_alltime_top100(spark, sf_dir):
     """Q10 (A4, O5, F2): the 100 keywords with the most appearances."""
-    return alltime_top(document_keyword_counts(spark, sf_dir), 100)
+    return alltime_top(stored_keyword_table(spark, sf_dir), 100)
+
+
+def q_alltime_top100_sql(spark, sf_dir):
+    """Q10 as SQL text over a view of the stored table."""
+    stored_keyword_table(spark, sf_dir).createOrReplaceTempView("stored_keywords_top")
+    return run_report(spark, ALLTIME_TOP, "stored_keywords_top")
+
+
+# Added to every document: a short link, Japanese tokens that meet each rule, and single characters.
+JAPANESE_TAIL = " 犬 走っ こと は し 猫カフェ 青 鬼 あ 12 www "
+
+
+def q_keywords_links_japanese(spark, sf_dir):
+    """Keywords per language of the documents with a short link in front and Japanese
+    tokens behind."""
+    docs = text_table(spark, sf_dir, "documents")
+    link = F.concat(F.lit("https://t.co/"), F.col("doc_id").cast("string"), F.lit("Ab "))
+    texts = docs.select("lang", F.concat(link, F.col("text"), F.lit(JAPANESE_TAIL)).alias("text"))
+    return count_keywords(texts, "text", ["lang"], lexicon=TEST_LEXICON)
 
 
 QUERIES = {
@@ -216,6 +257,11 @@ QUERIES = {
     "window_counts_batch": q_window_counts_batch,
     "keyword_counts_batch": q_keyword_counts_batch,
     "latest_window_ranking": q_latest_window_ranking,
+    "latest_window_ranking_sql": q_latest_window_ranking_sql,
+    "latest_window_text": q_latest_window_text,
+    "alltime_span_sql": q_alltime_span_sql,
+    "alltime_top100_sql": q_alltime_top100_sql,
+    "keywords_links_japanese": q_keywords_links_japanese,
     "latest_window_bag": q_latest_window_bag,
     "alltime_span": q_alltime_span,
     "alltime_top100": q_alltime_top100,
@@ -224,6 +270,17 @@ QUERIES = {
 
 # --- DuckDB twins -----------------------------------------------------------------------------
 
+# The word classes and lists of the rules, stated here on their own, so that a wrong
+# character in the Spark side's constants shows as a difference.
+URL_PATTERN = r"https://t.co/[0-9a-zA-Z]+"
+ALLOWED_TOKEN = r"^[0-9a-zA-Zぁ-んーァ-ヶｱ-ﾝﾞﾟ一-龠]+$"
+SINGLE_CHAR_STOP = r"^[0-9a-zA-Zぁ-んァ-ヶｱ-ﾝﾞﾟのにはがとてー-十年月日時分秒火水木金土様方\\*]$"
+SINGLE_CHAR_KEEP = r"^[亀長黒戸竜西青鬼]$"
+NOUN_STOP = r"^(こと|もの|www|http[s]?|[0-9]+)$"
+VERB_STOP = r"^(する|なる|言う|見る|思う|聞く|いう|やる|行く|いく|できる|出来る|ある|ない|いる|いない|http[s]?|[0-9]+)$"
+MAX_TOKEN_LENGTH = 32
+WORD_PATTERN = r"[\p{L}\p{N}]+"
+
 SQL_DOC_TS = "(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id))"
 SQL_RULES = """'[{"id":"' || source || '","tag":"' || lang || '"}]'"""
 SQL_SURFACE_OK = (f"length(surface) <= {MAX_TOKEN_LENGTH} AND regexp_matches(surface, '{ALLOWED_TOKEN}') "
@@ -242,7 +299,7 @@ def sql_lexicon() -> str:
     return f"SELECT * FROM (VALUES {rows}) AS v(surface, pos, base_form)"
 
 
-def sql_lexicon_keywords(pos_mode: str, group: str = "role") -> str:
+def sql_lexicon_keywords(pos_mode: str, group: str = "role", source: str | None = None) -> str:
     if pos_mode == "level1":
         noun = "split_part(pos, ',', 1) = '名詞'"
         verb = "split_part(pos, ',', 1) IN ('動詞', '形容詞')"
@@ -251,7 +308,7 @@ def sql_lexicon_keywords(pos_mode: str, group: str = "role") -> str:
         verb = "(starts_with(pos, '動詞,自立') OR starts_with(pos, '形容詞,自立'))"
     return f"""
         WITH lex AS ({sql_lexicon()}),
-        t AS ({sql_tokens(f'SELECT {group}, text FROM conversations', group)}),
+        t AS ({sql_tokens(source or f'SELECT {group}, text FROM conversations', group)}),
         s AS (SELECT * FROM t WHERE {SQL_SURFACE_OK}),
         k AS (SELECT s.{group},
                      CASE WHEN lex.pos IS NULL OR {noun}
@@ -325,4 +382,13 @@ ORACLE = {
         WITH {SQL_DOC_COUNTS}
         SELECT keyword, CAST(sum(appearances) AS BIGINT) AS total FROM c
         GROUP BY keyword ORDER BY total DESC, keyword LIMIT 100""",
+    "latest_window_text": f"""
+        WITH {SQL_DOC_COUNTS}
+        SELECT window_end + INTERVAL 9 HOUR AS window_end_local, keyword,
+               array_to_string(list_transform(range(appearances), lambda x: keyword), ' ') AS piece
+        FROM c WHERE window_end = (SELECT max(window_end) FROM c)""",
+    "keywords_links_japanese": sql_lexicon_keywords(
+        "subclass", "lang", f"SELECT lang, 'https://t.co/' || doc_id || 'Ab ' || text || '{JAPANESE_TAIL}' AS text FROM documents"),
 }
+for _name in ("latest_window_ranking", "alltime_span", "alltime_top100"):
+    ORACLE[f"{_name}_sql"] = ORACLE[_name]

@@ -12,8 +12,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 def sasl_plain_options(username: str, password: str, mechanism: str = "PLAIN") -> dict:
     """Connection options for a SASL_SSL broker with user and password."""
+    quoted = [value.replace("\\", "\\\\").replace('"', '\\"') for value in (username, password)]
     jaas = ('org.apache.kafka.common.security.plain.PlainLoginModule required '
-            f'username="{username}" password="{password}";')
+            f'username="{quoted[0]}" password="{quoted[1]}";')
     return {"kafka.security.protocol": "SASL_SSL", "kafka.sasl.mechanism": mechanism,
             "kafka.sasl.jaas.config": jaas}
 

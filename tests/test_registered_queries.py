@@ -10,13 +10,16 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry_mod  # noqa: E402
 from oracle_check import compare, duck  # noqa: E402
 
+from kestrel.plans import catalog  # noqa: E402
+
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_mod.queries())
 
 
 def test_entry_runs(spark):

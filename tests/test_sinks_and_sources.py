@@ -82,7 +82,9 @@ def test_cli_jobs(spark, scratch, capsys):
     cli.main(["mean-by-entity", "--input_dir", os.path.join(scratch, "d"), "--output_dir",
               os.path.join(scratch, "o"), "--show_summary"])
     out = capsys.readouterr().out
-    assert "Total 3 flights." in out and "Elapsed time(sec)" in out
+    assert "Total 3 flights." in out and "mean-by-entity took" in out
+    written = glob.glob(os.path.join(scratch, "o", "avg_arrival_delay_by_airline_summary", "part-*"))
+    assert sum(len(open(p).readlines()) for p in written) == 2
     assert f"{'United Air Lines Inc.':32} {1:10d} {'10.00':>8}" in out
     cli.main(["--sampling-ratio", "0.5", "mean-by-entity-sql", "--input_dir", os.path.join(scratch, "d")])
     out = capsys.readouterr().out
@@ -108,15 +110,6 @@ def test_dataset_directory_preview_and_order(spark, scratch):
     assert preview(ordered(back, F.col("k").desc()), 2).count() == 2
 
 
-def test_cut_lineage_uses_the_shared_folder(spark):
-    from kestrel.session import checkpoint_root, cut_lineage
-
-    df = spark.range(100).withColumn("x", F.col("id") * 2)
-    cut = cut_lineage(df)
-    assert cut.count() == 100 and os.path.isdir(checkpoint_root(spark).replace("file:", ""))
-    assert "Range" not in cut._jdf.queryExecution().optimizedPlan().toString()
-
-
 def test_partitioned_jdbc_read_needs_bounds(spark):
     import pytest
 
@@ -131,4 +124,36 @@ def test_sasl_options():
 
     opts = sasl_plain_options("u", "p")
     assert opts["kafka.security.protocol"] == "SASL_SSL" and opts["kafka.sasl.mechanism"] == "PLAIN"
+    tricky = sasl_plain_options('a"b', "c\\d")["kafka.sasl.jaas.config"]
+    assert 'username="a\\"b"' in tricky and 'password="c\\\\d"' in tricky
     assert 'username="u"' in opts["kafka.sasl.jaas.config"] and 'password="p"' in opts["kafka.sasl.jaas.config"]
+
+
+def test_kafka_commands_take_a_sasl_user():
+    from kestrel.cli import _sasl_options, parser
+
+    args = parser().parse_args(["publish-feed", "--input", "x", "--topic", "t", "--sasl-username", "u", "--sasl-password", "p"])
+    assert _sasl_options(args)["kafka.security.protocol"] == "SASL_SSL"
+    args = parser().parse_args(["keyword-stream", "--topic", "t", "--checkpoint-location", "c", "--url", "u", "--table", "T"])
+    assert _sasl_options(args) == {}
+
+
+def test_mean_job_writes_one_ordered_file(spark, scratch):
+    spark.range(1000).select((F.col("id") % 50).alias("AIRLINE"), F.col("id").alias("ARRIVAL_DELAY")).write.csv(
+        os.path.join(scratch, "flights.csv"), header=True)
+    spark.range(50).select(F.col("id").alias("IATA_CODE"), F.concat(F.lit("a"), "id").alias("AIRLINE")).write.csv(
+        os.path.join(scratch, "airlines.csv"), header=True)
+    result, _ = mean_by_entity_job(spark, scratch, os.path.join(scratch, "o"), "csv", single_file=True)
+    parts = glob.glob(os.path.join(scratch, "o", "avg_arrival_delay_by_airline", "part-*"))
+    assert len(parts) == 1
+    assert [line.split(",")[0] for line in open(parts[0]).read().splitlines()[1:]] == [r[0] for r in result.collect()]
+
+
+def test_sql_mean_of_large_integers_and_odd_names(spark):
+    from kestrel.plans.batch_jobs import mean_by_entity_sql
+
+    facts = spark.createDataFrame([(1, 2**62)] * 3, "`the key` long, `a measure` long")
+    dim = spark.createDataFrame([(1, "x")], "id long, `full name` string")
+    row = mean_by_entity_sql(spark, facts, dim, "the key", "a measure", "id", "full name").collect()
+    assert [tuple(r) for r in row] == [("x", 3, float(2**62))]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(("facts_", "dim_"))]
