@@ -159,27 +159,24 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
                          lambda texts: scan_texts(texts, worker_memo(key, lambda: Block(shared.value))), RESULT)
     # More windows than one block may hold: each block in a pass of its own, with the rows' matches
     # so far; the written pass in between keeps only one block at a time in a worker.
-    state = docs.select(*[named(c).alias(f"k{i}") for i, c in enumerate(keep)], named(text_col).cast("string").alias("text"))
     ids = [f"k{i}" for i in range(len(keep))]
+    state = docs.select(*[named(c).alias(k) for c, k in zip(keep, ids)], named(text_col).cast("string").alias("text"))
     so_far: list[str] = []
-    for j, (key, shared) in enumerate(blocks):
+    for key, shared in blocks:
         found = map_texts(state, "text", [*ids, "text", *so_far],
                           lambda texts, key=key, shared=shared: scan_texts(texts, worker_memo(key, lambda: Block(shared.value))),
                           RESULT)
-        names = RESULT_NAMES if not so_far else [f"next_{c}" for c in RESULT_NAMES]
-        found = found.toDF(*ids, "text", *so_far, *names)
-        if so_far:
-            found = found.select(*ids, "text", "n_words",
-                                 *[F.concat(c, f"next_{c}").alias(c) for c in ("spans", "items", "char_spans")])
-        so_far = RESULT_NAMES
-        state = found.checkpoint()
-    merged = state.select(
-        *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "n_words", union_of("spans").alias("spans"),
-        F.array_sort(F.array_distinct("items")).alias("items"), union_of("char_spans").alias("char_spans"))
+        lists = [F.concat(f"so_far_{c}", c) if so_far else F.col(c) for c in LISTS]
+        so_far = [f"so_far_{c}" for c in LISTS]
+        done = found.select(*ids, "text", "n_words", *[x.alias(c) for x, c in zip(lists, so_far)]).checkpoint()
+        state = done.drop("n_words")
+    merged = done.select(
+        *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "n_words", union_of("so_far_spans").alias("spans"),
+        F.array_sort(F.array_distinct("so_far_items")).alias("items"), union_of("so_far_char_spans").alias("char_spans"))
     return merged
 
 
-RESULT_NAMES = ["n_words", "spans", "items", "char_spans"]
+LISTS = ["spans", "items", "char_spans"]
 
 
 def union_of(column: str):
