@@ -3,8 +3,8 @@
 Documents with equal texts are linked. Every linked document starts in a shard of its own hash; in
 each round the documents of a group move towards the shard that holds most of their links, as far as
 that shard's quota has room. A round works on cells, the number of rows of a group in a shard, so it
-moves at most one row per group and shard, and a group of a third of all rows is 24 of them. Moves into
-a shard that is asked for more than its room are accepted in proportion. Documents without links
+handles at most one row per group and shard, and a group of a third of all rows is 24 of them. Moves
+into a shard that is asked for more than its room are accepted in part. Documents without links
 come last and fill every shard to its quota, so that counts are at most one apart (the law ``rows``).
 
 Places within a shard come from counts per (shard, salt) and row numbers within these, so no task
@@ -27,6 +27,10 @@ SHARDS = 24
 ROUNDS = 16
 #: rounds end when they move less than this share of the linked rows
 STILL = 0.001
+#: a move is large if it is more than the room's share of one in so many
+LARGE = 50
+#: a shard with less than this share of its quota left counts as full
+FULL = 0.02
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -63,23 +67,31 @@ def propagate(cells: DataFrame, quotas: list[int]) -> DataFrame:
         load = [0] * shards
         for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect():
             load[r["shard"]] = r["n"]
-        room = [max(0, q - n) for q, n in zip(quotas, load)]
+        room = [q - n if q - n >= FULL * q else 0 for q, n in zip(quotas, load)]
         open_cells = cells.withColumn("room", by_shard(room, "shard"))
         # the shard with most of a group's rows, among those with room; a full one keeps what it has
         best = F.max(F.when(F.col("room") > 0, F.struct("n", (-F.col("shard")).alias("minus")))).alias("best")
         wish = open_cells.groupBy("key").agg(best).where("best is not null").select("key", (-F.col("best.minus")).alias("target"), F.col("best.n").alias("most"))
         moves = open_cells.join(wish, "key").where((F.col("shard") != F.col("target")) & ((F.col("room") > 0) | (F.col("n") < F.col("most"))))
-        moves = stored(moves.select("key", "shard", "target", "n"), "moves")
-        asked = {r["target"]: r["n"] for r in moves.groupBy("target").agg(F.sum("n").alias("n")).collect()}
+        roomy = by_shard(room, "target")
+        moves = stored(moves.select("key", "shard", "target", "n", (F.col("n") * LARGE > roomy).alias("large")), "moves")
+        asked = {(r["target"], r["large"]): r["n"] for r in moves.groupBy("target", "large").agg(F.sum("n").alias("n")).collect()}
         if not asked:
             break
-        # a move is taken as a whole or not at all, unless it is large against the room: then a part is
-        ratio = [min(1.0, 0.98 * room[s] / asked[s]) if asked.get(s) else 0.0 for s in range(shards)]
-        part = F.element_at(F.array(*[F.lit(float(x)) for x in ratio]), F.col("target") + 1)
-        roomy = by_shard(room, "target")
+        # small moves are taken as a whole or not at all, by chance, in proportion to the room; large
+        # ones (a bounded number for a shard) the smallest first, so that stray rows come home
+        small, large = [0.0] * shards, [0] * shards
+        for t in range(shards):
+            few, many = asked.get((t, False), 0), asked.get((t, True), 0)
+            large[t] = min(many, int(room[t] * many / max(1, many + few, room[t])) if few + many > room[t] else many)
+            small[t] = min(1.0, 0.98 * (room[t] - large[t]) / few) if few else 0.0
+        part = F.element_at(F.array(*[F.lit(float(x)) for x in small]), F.col("target") + 1)
         whole = F.when(chance("key", "shard", F.lit(turn)) < part, F.col("n")).otherwise(0)
-        taken = F.when(F.col("n") * 50 > roomy, F.floor(F.col("n") * part)).otherwise(whole).cast("long")
-        moves = stored(moves.withColumn("taken", taken).where("taken > 0"), "taken")
+        before = Window.partitionBy("target").orderBy("n", "key", "shard").rowsBetween(Window.unboundedPreceding, -1)
+        left = by_shard(large, "target") - F.coalesce(F.sum("n").over(before), F.lit(0))
+        big = moves.where("large").withColumn("taken", F.greatest(F.lit(0), F.least("n", left)).cast("long"))
+        moves = big.unionAll(moves.where("not large").withColumn("taken", whole.cast("long")))
+        moves = stored(moves.where("taken > 0"), "taken")
         moved = moves.agg(F.sum("taken")).first()[0] or 0
         change = cells.unionAll(moves.select("key", "shard", (-F.col("taken")).alias("n")))
         change = change.unionAll(moves.select("key", F.col("target").alias("shard"), F.col("taken").alias("n")))
