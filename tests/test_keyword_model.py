@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.keywords import extract_keywords, keyword_array
 
+# The lists and character ranges of the rules, as the job must apply them.
 KEEP_SINGLE = set("亀長黒戸竜西青鬼")
 STOP_SINGLE_EXTRA = set("のにはがとて年月日時分秒火水木金土様方\\*")
 NOUN_STOP = {"こと", "もの", "www", "http", "https"}

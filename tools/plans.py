@@ -30,17 +30,17 @@ SCALE_NOTES = {
     "message_kept": "Map-only.",
     "keyword_tokens": "Split, token rules and partial count in one stage; one shuffle of partial counts. A hot word is one row per task in the exchange.",
     "keywords_per_document": "Map-only: a higher-order filter per document.",
-    "keyword_lexicon": "The lexicon is a bounded Python list (<= 200,000 rows), broadcast; partial counts before the one shuffle. A lexicon table of unknown size instead goes through count-per-surface first (count_keywords).",
+    "keyword_lexicon": "Surfaces are counted per role first (partial counts, one shuffle), then joined to the lexicon (broadcast only if Spark measures it small), then summed per keyword.",
     "keyword_lexicon_level1": "As keyword_lexicon.",
-    "keyword_lexicon_table": "The lexicon is a table of unknown size: surfaces are counted per role first (partial counts, one shuffle), then joined (Spark broadcasts it only if it measures small), then summed per keyword.",
-    "keyword_occurrences_table": "Raw tokens meet the lexicon table: unless Spark broadcasts it by measured size, the join key is (surface, position mod 16) with the lexicon copied 16 times, so a hot word spreads over 16 tasks.",
+    "keyword_lexicon_table": "As keyword_lexicon, with the lexicon as a table.",
+    "keyword_occurrences_table": "Raw tokens meet the lexicon table: unless Spark broadcasts it by measured size, the join key is (surface, token hash modulo the parallelism) with the lexicon copied once per salt, so a hot word spreads over all cores.",
     "window_counts_batch": "Partial count per (window, key); one shuffle.",
     "keyword_counts_batch": "As keyword_tokens, keyed by (window, keyword).",
-    "latest_window_ranking": "The scalar max(window_end) is pushed below the aggregate, so the main branch tokenizes only the newest window's texts; the subquery is one pass of split + max.",
+    "latest_window_ranking": "On the stored table partitioned by window_day: the newest day comes from the file listing and is a constant partition filter, so only that day's files are read; window_end is compared uncast.",
     "latest_window_bag": "As latest_window_ranking, then weights are cut into bounded pieces in three rounds with round-robin repartitions: no hot keyword's repetitions sit in one task.",
-    "alltime_span": "The optimizer drops the per-(window, keyword) aggregate: one pass of min/max over the token windows.",
-    "alltime_top100": "Here the window table is first computed from the documents (one shuffle of partial counts per (window, keyword)); the report itself is partial sums per keyword, one shuffle, and a per-partition top-100 merged once (TakeOrderedAndProject). On the stored table only the report's shuffle remains.",
-    "latest_window_from_table": "On the stored table partitioned by window_day, the newest day becomes a run-time partition filter: only that day's files are read.",
+    "alltime_span": "One pass of min/max over the stored table.",
+    "alltime_top100": "Over the stored table: partial sums per keyword, one shuffle, and a per-partition top-100 merged once (TakeOrderedAndProject).",
+    "latest_window_from_table": "As latest_window_ranking.",
     "keyword_counts_stream": "Stateful per (window, keyword) with state bounded by the watermark; micro-batch output goes to day/batch partitions with dynamic overwrite (replay-safe).",
     "window_counts_stream": "As keyword_counts_stream, keyed by event type.",
     "stream_foreach_batch": "Stateless; each batch lands in its own batch_id folder, overwritten on replay.",
@@ -51,7 +51,14 @@ SCALE_NOTES = {
     "file_sink_roundtrip_orc": "As file_sink_roundtrip_json.",
     "csv_mean_by_entity": "Type inference costs one extra pass over the CSV (bounded by samplingRatio on large inputs); then as mean_by_entity.",
     "csv_count_by_group": "As count_by_group_ranked, after an inference pass.",
-    "feed_enrichment": "Map-only: string edits and get_json_object per line.",
+    "feed_enrichment": "Map-only: one JSON parse per line.",
+    "latest_window_ranking_sql": "SQL text over the stored table: one scan for the newest window (max of window_end), one for its rows.",
+    "latest_window_text": "As latest_window_bag, each piece as text.",
+    "alltime_span_sql": "As alltime_span.",
+    "alltime_top100_sql": "As alltime_top100.",
+    "keywords_links_japanese": "As keyword_lexicon, per language.",
+    "window_counts_late_rows": "As window_counts_stream, in two deliveries over one checkpoint.",
+    "keyword_counts_stream_lexicon": "As keyword_counts_stream, with the raw tokens joined to the lexicon under a salted key.",
 }
 
 KEEP = re.compile(r"(Exchange|Aggregate|Join|Scan|Generate|Sort|TakeOrdered|Subquery|Window|Filter|Union|Expand|"
@@ -75,13 +82,13 @@ def compact(plan: str) -> str:
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     from kestrel.session import get_session
-    import __spark_entry__ as entry_mod
+    from kestrel.plans import catalog
 
     spark = get_session("local[8]", shuffle_partitions=8)
     out = ["# Physical plans of the registered queries", "",
            f"Generated by `tools/plans.py` on `{sf_dir}` (local mode, AQE on). Each query is run first, so the plans are AQE's final ones (`isFinalPlan=true`: coalesced shuffle reads, run-time join choices).",
            "Expression ids and file locations are stripped. Streams and file round-trips show the read of their output.", ""]
-    for name, fn in entry_mod.queries().items():
+    for name, fn in catalog.queries().items():
         df = fn(spark, sf_dir)
         df.collect()  # run it, so the plan shown is AQE's final one
         buf = io.StringIO()
