@@ -11,8 +11,9 @@ or is in the same class as it. No bucket is cut short. A pair that the samples p
 threshold is dropped, the others are verified on the whole texts. Classes are the connected
 components of verified pairs, found by repeated minimum labels and pointer jumping on the pairs.
 
-All joins are by hash keys without a fixed side; tables that later steps read again are written to
-the folder of ``spark.checkpoint.dir``, so a lost executor costs only its running tasks.
+All joins are by hash keys; a side is broadcast only when its counted rows are few. Tables that later
+steps read again are written to the folder of ``spark.checkpoint.dir``, so a lost executor costs
+only its running tasks.
 
 Defined cases: null and empty texts count as equal texts; a text without words is a near copy of
 equal texts only; rows that repeat are members of one class; a null doc_id takes part, and a class
@@ -39,8 +40,9 @@ BANDS, ROWS = 14, 4
 #: pairs whose share of equal samples is this far below the threshold are not verified (its standard
 #: error is 0.053 for a similarity of 0.8)
 MARGIN = 0.28
-#: keys up to this number (16 bytes each) are broadcast to pick out texts; more are joined by shuffle
-BROADCAST_KEYS = 500_000
+#: tables of at most so many rows of two keys (16 bytes each), or of a key and a signature, are
+#: broadcast; larger ones are joined by shuffle
+BROADCAST_ROWS, SIGNATURE_ROWS = 500_000, 60_000
 
 
 def text_key(text: Column) -> Column:
@@ -55,6 +57,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, which has that number of rows, to be broadcast if they are few."""
+    return F.broadcast(df) if rows <= most else df
+
+
 def nonempty(shingles: list, weights: Weights):
     """(numbers of the texts with shingles, their shingles and weights one after another, starts)."""
     some = [i for i, (found, _) in enumerate(shingles) if len(found)]
@@ -92,11 +99,11 @@ class Matcher:
 
         return map_texts(self.rows, self.text_col, keep, make, "signature binary")
 
-    def verified(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    def verified(self, pairs: DataFrame, n_pairs: int, texts: DataFrame) -> DataFrame:
         """The pairs (a, b) whose texts' weighted Jaccard reaches the threshold."""
         shared, memo, schema = self.shared, self.memo, pairs.schema
         ship_package(self.spark)
-        both = (pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
+        both = (texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")).join(sized(pairs, n_pairs), "b")
                 .join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
                 .select("a", "b", "text_a", "text_b"))
 
@@ -116,64 +123,80 @@ class Matcher:
     def classes(self, nodes: DataFrame) -> DataFrame:
         """(key, label) of every node in a class of two or more; ``nodes`` has key and signature."""
         width = 4 * ROWS
-        buckets = stored(nodes.where("signature is not null").select("key", F.explode(F.array(*[
-            F.xxhash64(F.lit(b), F.substring("signature", 1 + b * width, width)) for b in range(BANDS)])).alias("bucket")),
-            "buckets")
-        sizes = buckets.groupBy("bucket").count().where("count > 1")
-        members = buckets.join(sizes, "bucket")
-        score = members.groupBy("key").agg(F.sum("count").alias("score"))
-        members = stored(members.join(score, "key").select("bucket", "key", "count", "score"), "members")
-        if members.isEmpty():
+        bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
+                            lambda b: F.xxhash64(b, F.substring(F.col("signature"), 1 + b * width, F.lit(width))))
+        buckets = nodes.where("signature is not null").select("key", bands.alias("bands"))
+        buckets = stored(buckets.select("key", "bands", F.posexplode("bands").alias("band", "bucket")), "buckets")
+        sizes = stored(buckets.groupBy("bucket").count().where("count > 1"), "sizes")
+        members = buckets.join(sized(sizes, sizes.count()), "bucket")
+        score = stored(members.groupBy("key").agg(F.sum("count").alias("score")), "score")
+        n_keys = score.count()
+        if not n_keys:
             return self.spark.createDataFrame([], "key binary, label binary")
-        keys = stored(members.select("key").distinct().join(nodes, "key"), "signatures")
-        texts = self.texts_of(keys.select("key"))
+        members = stored(members.join(sized(score, n_keys), "key").select("bucket", "band", "bands", "key", "count", "score"), "members")
+        keys = stored(nodes.join(sized(score.select("key"), n_keys), "key"), "signatures")
+        texts = self.texts_of(keys.select("key"), n_keys)
         labels = keys.select("key", F.col("key").alias("label"))
-        largest = members.agg(F.max("count")).first()[0]
-        edges, tested = [], []
+        tested = []
         for first, last, best_only in rounds():
-            if first >= largest:
+            active = stored(self.unsettled(members.where(F.col("count") > first), labels, n_keys), "active")
+            if active.isEmpty():
                 break
-            active = self.unsettled(members.where(F.col("count") > first), labels)
-            pairs = self.candidates(active, keys, first, last)
-            for earlier in tested:
-                pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+            pairs = self.candidates(active, keys, n_keys, first, last)
+            for earlier, n in tested:
+                pairs = pairs.join(sized(earlier, n), ["a", "b"], "left_anti")
             if best_only:
                 pairs = pairs.groupBy("b").agg(F.max_by("a", F.struct("alike", "a")).alias("a"))
             pairs = stored(pairs.select("a", "b"), "pairs")
-            if pairs.isEmpty():
+            n_pairs = pairs.count()
+            if not n_pairs:
                 continue
-            tested.append(pairs)
-            edges.append(stored(self.verified(pairs, texts), "edges"))
-            labels = components(keys.select("key"), edges)
+            tested.append((pairs, n_pairs))
+            found = stored(self.verified(pairs, n_pairs, texts), "edges")
+            if found.isEmpty():
+                continue
+            # components of the classes so far, joined by the new pairs
+            now = sized(labels, n_keys)
+            between = found.join(now.select(F.col("key").alias("a"), F.col("label").alias("la")), "a")
+            between = between.join(now.select(F.col("key").alias("b"), F.col("label").alias("lb")), "b")
+            merged = components(between.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), n_keys)
+            renamed = merged.select(F.col("key").alias("label"), F.col("label").alias("least"))
+            joined = labels.join(sized(renamed, n_keys), "label", "left")
+            labels = stored(joined.select("key", F.coalesce("least", "label").alias("label")), "labels")
         return labels
 
     @staticmethod
-    def unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    def unsettled(members: DataFrame, labels: DataFrame, n_keys: int) -> DataFrame:
         """Members of the buckets that hold more than one class, with their classes."""
-        now = members.join(labels, "key")
+        now = members.join(sized(labels, n_keys), "key")
         mixed = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-        return now.join(mixed.select("bucket"), "bucket")
+        return now.join(mixed.select("bucket"), "bucket", "left_semi")
 
     @staticmethod
-    def candidates(active: DataFrame, keys: DataFrame, first: int, last: int) -> DataFrame:
+    def candidates(active: DataFrame, keys: DataFrame, n_keys: int, first: int, last: int) -> DataFrame:
         """(a, b, alike): the leaders number ``first`` to ``last`` of each bucket with all members of
         other classes, where the samples do not rule them out."""
         order = Window.partitionBy("bucket").orderBy(F.desc("score"), "key")
         lead = active.withColumn("place", F.row_number().over(order)).where(F.col("place") <= last)
-        lead = lead.where(F.col("place") > first).select("bucket", F.col("key").alias("a"), F.col("label").alias("label_a"))
-        met = lead.join(active.select("bucket", F.col("key").alias("b"), "label"), "bucket").where("label <> label_a")
+        lead = lead.where(F.col("place") > first).select(
+            "bucket", F.col("key").alias("a"), F.col("label").alias("label_a"), F.col("bands").alias("bands_a"))
+        met = active.select("bucket", "band", "bands", F.col("key").alias("b"), "label").join(lead, "bucket").where("label <> label_a")
+        if first:  # a pair meets in its first common bucket, where one of the two is a leader in some round
+            met = met.where(~F.exists(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: (k < F.col("band")) & (
+                F.get("bands", k) == F.get("bands_a", k))))
         met = met.select("a", "b").distinct()
-        met = met.join(keys.select(F.col("key").alias("b"), F.col("signature").alias("sb")), "b")
-        met = met.join(keys.select(F.col("key").alias("a"), F.col("signature").alias("sa")), "a")
-        same = [F.when(F.substring("sa", 1 + 4 * k, 4) == F.substring("sb", 1 + 4 * k, 4), 1).otherwise(0) for k in range(BANDS * ROWS)]
-        met = met.withColumn("alike", sum(same[1:], same[0])).where(F.col("alike") >= (THRESHOLD - MARGIN) * BANDS * ROWS)
+        small = sized(keys, n_keys, SIGNATURE_ROWS)
+        met = met.join(small.select(F.col("key").alias("b"), F.col("signature").alias("sb")), "b")
+        met = met.join(small.select(F.col("key").alias("a"), F.col("signature").alias("sa")), "a")
+        sample = lambda signature, k: F.substring(F.col(signature), 1 + 4 * k, F.lit(4))
+        same = F.filter(F.sequence(F.lit(0), F.lit(BANDS * ROWS - 1)), lambda k: sample("sa", k) == sample("sb", k))
+        met = met.withColumn("alike", F.size(same)).where(F.col("alike") >= (THRESHOLD - MARGIN) * BANDS * ROWS)
         return met.select("a", "b", "alike")
 
-    def texts_of(self, keys: DataFrame) -> DataFrame:
+    def texts_of(self, keys: DataFrame, n_keys: int) -> DataFrame:
         """(key, text) of the given nodes, written once for all rounds."""
         all_texts = self.rows.select(text_key(named(self.text_col)).alias("key"), named(self.text_col).alias("text"))
-        wanted = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-        return stored(all_texts.join(wanted, "key").dropDuplicates(["key"]), "texts")
+        return stored(all_texts.join(sized(keys, n_keys), "key").dropDuplicates(["key"]), "texts")
 
 
 def rounds():
@@ -186,24 +209,23 @@ def rounds():
         first, last = last, last * 4 + 1
 
 
-def components(vertices: DataFrame, edges: list[DataFrame]) -> DataFrame:
-    """(key, label): the least key of each vertex's connected component."""
-    both = [e.select("a", "b") for e in edges] + [e.select(F.col("b").alias("a"), F.col("a").alias("b")) for e in edges]
-    sides = both[0]
-    for more in both[1:]:
-        sides = sides.unionAll(more)
-    sides = stored(sides.distinct(), "sides")
+def components(edges: DataFrame, most: int) -> DataFrame:
+    """(key, label): the least key of the connected component of each vertex of the edges (a, b), of
+    which there are ``most`` at the utmost. Rounds of minimum labels of neighbours, and of the labels'
+    labels, until nothing changes."""
+    sides = stored(edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "sides")
     labels = stored(sides.groupBy("a").agg(F.min("b").alias("b")).select(
         F.col("a").alias("key"), F.least("a", "b").alias("label")), "labels")
+    small = lambda df: sized(df, most)  # noqa: E731  a row per vertex at most
     while True:
-        near = sides.join(labels.select(F.col("key").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(near, F.col("key") == F.col("a")).select("key", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        near = sides.join(small(labels.select(F.col("key").alias("b"), "label")), "b").groupBy("a").agg(F.min("label").alias("near"))
+        lower = near.join(small(labels.select(F.col("key").alias("a"), F.col("label").alias("old"))), "a")
+        lower = lower.select(F.col("a").alias("key"), "old", F.least("old", "near").alias("label"))
         targets = labels.select(F.col("key").alias("label"), F.col("label").alias("jump"))
-        after = stored(lower.join(targets, "label").select("key", "old", F.least("label", "jump").alias("label")), "labels")
+        after = stored(lower.join(small(targets), "label").select("key", "old", F.least("label", "jump").alias("label")), "labels")
         labels = after.select("key", "label")
         if after.where("old <> label").isEmpty():
-            break
-    return vertices.join(labels, "key", "left").select("key", F.coalesce("label", "key").alias("label"))
+            return labels
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -218,11 +240,15 @@ def classified(plain: DataFrame, extra: list[str] = []) -> DataFrame:  # noqa: B
     matcher = Matcher(plain.withColumn("key", text_key(F.col("text"))), "text")
     rows = stored(matcher.signed(["id", *extra, "key"]), "signed")
     nodes = rows.select("key", "signature").dropDuplicates(["key"])
-    labels = matcher.classes(nodes)
+    labels = stored(matcher.classes(nodes), "classes")
     each = rows.groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
-    each = each.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    whole = each.groupBy("label").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
-    each = each.join(whole, "label").select("key", "label", "class_id", "class_size", "copies")
+    each = each.join(sized(labels, labels.count()), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    each = stored(each, "nodes")
+    several = each.groupBy("label").agg(F.count(F.lit(1)).alias("texts"), F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
+    several = stored(several.where("texts > 1").drop("texts"), "several")
+    each = each.join(sized(several, several.count()), "label", "left").select(
+        "key", "label", F.when(F.col("class_size").isNull(), F.col("least")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("class_size", "copies").alias("class_size"), "copies")
     return rows.drop("signature").join(each, "key").select("id", *extra, "class_id", "class_size", "copies", "label")
 
 
@@ -243,9 +269,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     gone = stored(chosen.where(~stays).select("id", "row").distinct(), "gone")
     twice = stored(chosen.where(stays).groupBy("id", "row").count().where("count > 1").select("id", "row"), "twice")
 
-    def small(keys: DataFrame) -> DataFrame:
-        return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-
+    small = lambda keys: sized(keys, keys.count())
     marked = plain.withColumn("row", row)
     on = lambda keys: (marked[key].eqNullSafe(keys["id"])) & (marked["row"] == keys["row"])
     left = marked.join(small(gone), on(gone), "left_anti")
