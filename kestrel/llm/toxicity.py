@@ -9,9 +9,12 @@ evidence at exactly zero; long texts gather no noise that way.
 
 Training uses a bounded sample of labelled rows: at most about ``TRAIN_ROWS`` of them, half for
 each label if there are as many, drawn by a hash of doc_id. The labels are drawn before they meet
-the documents, so the join broadcasts a table of that bounded size and no text is shuffled. Only
-terms in ``MIN_ROWS`` different training texts, whose share of toxic texts is ``MIN_Z`` standard
-errors off the sample's, are used. All else works on every row and whole texts.
+the documents, so the join broadcasts a table of that bounded size and no text is shuffled. Terms in
+``MIN_ROWS`` different training texts are screened, on their own and in pairs: used are terms whose
+share of toxic texts is ``MIN_Z`` standard errors off the sample's (in a half/half sample
+four texts of one label are enough), and both terms of each pair whose texts' labels are not
+explained by its two terms, however even the labels of each term alone. All else works on every row
+and whole texts.
 
 Defined cases: a null or empty text scores the intercept; a doc_id that is labelled twice is toxic
 if any label says so; rows with a null label or a null doc_id train nothing, but are scored; equal
@@ -39,7 +42,9 @@ STEMS = (4, 5, 6, 7)
 FACTORS = 4
 TRAIN_ROWS = 16_000
 MIN_ROWS = 3
-MIN_Z = 4.0
+MIN_Z = 2.0
+#: a pair is used if chance gives e**-PAIR_ODDS such pairs, or fewer, among all that are screened
+PAIR_ODDS = 3.0
 EPOCHS = 60
 BATCH = 256
 RATE = 0.2
@@ -96,6 +101,63 @@ def logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
+def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Kullback-Leibler divergence of coins with shares p and q; q is neither 0 nor 1."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(p > 0, p * np.log(p / q), 0) + np.where(p < 1, (1 - p) * np.log((1 - p) / (1 - q)), 0)
+
+
+def paired_terms(lists: list[np.ndarray], y: np.ndarray, seen: np.ndarray, toxic: np.ndarray,
+                 used: np.ndarray) -> np.ndarray:
+    """Terms of pairs whose share of toxic texts is off what the two terms give by adding their own
+    log odds. A share of n texts this far off has a probability of at most exp(-n * divergence).
+    Pairs of used terms need no screen, and a pair needs the texts of one label that reach the bound
+    against the sample's share."""
+    share = y.mean()
+    screened = int((seen >= MIN_ROWS).sum())
+    bound = np.log(max(screened, 2) ** 2 / 2) + PAIR_ODDS
+    bad_least, clean_least = (max(MIN_ROWS, int(np.ceil(bound / -np.log(x)))) for x in (share, 1 - share))
+    often = np.flatnonzero((toxic >= bad_least) | (seen - toxic >= clean_least))
+    if not len(often):
+        return often
+    # terms of the same texts, as a word and its beginnings, are screened as one
+    marks, of_texts = np.random.default_rng(7).integers(0, 1 << 63, len(lists), np.uint64), np.zeros(1 << TERM_BITS, np.uint64)
+    for mark, terms in zip(marks, lists):
+        of_texts[terms] += mark
+    _, first, group = np.unique(of_texts[often], return_index=True, return_inverse=True)
+    number = np.full(1 << TERM_BITS, -1, np.int32)
+    number[often[first]] = np.arange(len(first))
+    rows = [(k := number[terms])[k >= 0] for terms in lists]
+    flat = np.concatenate(rows)
+    rows_of = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])[np.argsort(flat, kind="stable")]
+    del flat
+    size, bad_size = seen[often[first]], toxic[often[first]]
+    ends = np.cumsum(size)
+    smooth = (bad_size + share) / (size + 1)
+    odds = np.log(smooth / (1 - smooth))
+    known = np.isin(often[first], used)
+    found = np.zeros(len(first), bool)
+
+    def counts(own):
+        out = np.zeros(len(first), np.int64)
+        for at in range(0, len(own), 8 * BATCH):
+            out += np.bincount(np.concatenate([rows[i] for i in own[at:at + 8 * BATCH]]), minlength=len(first))
+        return out
+
+    for a in np.flatnonzero(~known).tolist():
+        own = rows_of[ends[a - 1] if a else 0:ends[a]]
+        bad = counts(own[y[own] == 1])
+        n = bad + counts(own[y[own] == 0])
+        # a term that is there whenever the other is tells no more than that one
+        b = np.flatnonzero((bad >= bad_least) | (n - bad >= clean_least))
+        b = b[(n[b] < size[a]) & (n[b] < size[b])]
+        expected = logistic(odds[a] + odds[b] - np.log(share / (1 - share)))
+        off = b[n[b] * divergence(bad[b] / n[b], expected) >= bound]
+        if len(off):
+            found[off] = found[a] = True
+    return often[found[group]]
+
+
 def train(samples: list[tuple[bytes, int]], prior: tuple[int, int]) -> Model:
     """Fit to (terms as int32 bytes, label) rows. ``prior``: labelled rows of class 0 and 1 that the
     sample stands for."""
@@ -108,12 +170,13 @@ def train(samples: list[tuple[bytes, int]], prior: tuple[int, int]) -> Model:
     if not len(y) or y.min() == y.max():
         share = min(max(prior[1] / total if total else 0.0, 1e-6), 1 - 1e-6)
         return Model(float(np.log(share / (1 - share))), np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)))
-    lists = [np.frombuffer(terms, np.int32).astype(np.int64) for terms, _ in rows]
+    lists = [np.frombuffer(terms, np.int32) for terms, _ in rows]
     seen = np.bincount(np.concatenate(lists), minlength=1 << TERM_BITS)
     toxic = np.bincount(np.concatenate([terms for terms, label in zip(lists, y) if label]), minlength=1 << TERM_BITS)
     share = y.mean()
     z = (toxic - seen * share) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
     used = np.flatnonzero((seen >= MIN_ROWS) & (np.abs(z) >= MIN_Z))
+    used = np.union1d(used, paired_terms(lists, y, seen, toxic, used))
     number = np.full(1 << TERM_BITS, -1)
     number[used] = np.arange(len(used))
     lists = [(k := number[terms])[k >= 0] for terms in lists]

@@ -82,6 +82,31 @@ def test_pairs_count_although_single_terms_do_not():
     assert np.abs(model.factors).max() > 0.05
 
 
+def test_pair_of_terms_that_are_even_on_their_own():
+    """Both: toxic; one: clean; neither: toxic as often as with either term."""
+    rng = np.random.default_rng(0)
+    texts, labels = [], []
+    for _ in range(4000):
+        a, b = rng.random(2) < 0.2
+        c = not a and not b and rng.random() < 0.25
+        texts.append(" ".join([f"f{rng.integers(3000)}x" for _ in range(40)] + ["qaz"] * int(a) + ["wsx"] * int(b) + ["zonk"] * int(c)))
+        labels.append(int((a and b) or c))
+    share = [np.mean([y for t, y in zip(texts, labels) if w in t.split()]) for w in ("qaz", "wsx")]
+    assert share == pytest.approx([np.mean(labels)] * 2, abs=0.03)
+    model = toxicity.train(list(zip(terms(texts), labels)), (4000 - sum(labels), sum(labels)))
+    scores = toxicity.scorer(model).scores(pa.array(["qaz wsx", "zonk", "qaz", "wsx", "plain"], pa.large_string()))
+    assert min(scores[:2]) > 0.5 and max(scores[2:]) < 0.2
+
+
+def test_an_insult_of_a_few_texts_counts():
+    rng = np.random.default_rng(1)
+    texts = [" ".join([f"f{rng.integers(50)}x" for _ in range(8)] + ["zonk"] * (k % 2 and k < 16) + ["vile"] * (k % 2 and k >= 16))
+             for k in range(2000)]
+    model = toxicity.train([(t, k % 2) for k, t in enumerate(terms(texts))], (1000, 1000))
+    scores = toxicity.scorer(model).scores(pa.array(["plain zonk", "plain"], pa.large_string()))
+    assert scores[0] > scores[1] + 0.05
+
+
 def test_toxicity_of_held_out_documents(spark):
     from kestrel.llm.queries import op6_toxicity, table
 
