@@ -5,7 +5,9 @@ strings that a byte-pair vocabulary can hardly shorten: ordinary words come out
 characters per token, random letters and digits at about two or fewer. Runs of key-like characters
 are tokenized, and those with a low ratio are reported as ``random``, unless they are known
 digests (hexadecimal strings of a digest's length, which the ``hex`` pattern already reports) or
-identifiers (UUIDs, numbers, dates and versions, words joined by punctuation, one-case words).
+identifiers (UUIDs, numbers, dates and versions, words joined by punctuation). Where the whole run
+passes, its stretches of parts that are no words are tested on their own, so that words in front do
+not hide a key; a long one-case part is a word only if its ratio is that of words.
 
 The ranks file of the vocabulary is read on the driver and broadcast; its size is checked.
 
@@ -35,13 +37,19 @@ ASSIGN_MIN = 6
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # 20 characters or more
 HEX = re.compile(r"[0-9a-f]{24,}")
 
-#: runs that may be keys: the shortest that can be told from a word by its tokens
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-MAX_CHARS_PER_TOKEN = 2.2
+#: runs that may be keys: the shortest that can be told from a word by its tokens; those under
+#: SHORT characters by a tighter ratio
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+MIN_CHARS, SHORT = 16, 20
+MAX_CHARS_PER_TOKEN, SHORT_CHARS_PER_TOKEN = 2.2, 1.8
 DIGEST_LENGTHS = frozenset({32, 40, 48, 56, 64, 96, 128})
 DIGEST = re.compile(r"[0-9a-fA-F]+")
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 #: words, numbers or one-letter parts joined by punctuation, as in file and variable names
+PART = re.compile(r"[A-Za-z0-9]+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,8}")
+#: a word this short between two parts that are none belongs to them
+LINK_CHARS = 3
 IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,8})(?:[-_/+=]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,8}))*[-_/+=]*")
 
 
@@ -61,14 +69,42 @@ def encoding(ranks: bytes):
                              mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs})
 
 
+def few_chars_per_token(run: str, encoder) -> bool:
+    most = MAX_CHARS_PER_TOKEN if len(run) >= SHORT else SHORT_CHARS_PER_TOKEN
+    return len(run) >= MIN_CHARS and len(run) <= most * len(encoder.encode_ordinary(run))
+
+
+def is_digest(run: str) -> bool:
+    return bool(DIGEST.fullmatch(run)) and (len(run) in DIGEST_LENGTHS or run.isdigit())
+
+
 def looks_random(run: str, encoder) -> bool:
     """Whether a run of key-like characters is neither a known digest nor an identifier, and its
     characters per token are few."""
-    if DIGEST.fullmatch(run) and (len(run) in DIGEST_LENGTHS or run.isdigit()):
-        return False
-    if UUID.fullmatch(run) or IDENTIFIER.fullmatch(run):
+    if is_digest(run) or UUID.fullmatch(run) or IDENTIFIER.fullmatch(run):
         return False
-    return len(run) <= MAX_CHARS_PER_TOKEN * len(encoder.encode_ordinary(run))
+    return few_chars_per_token(run, encoder)
+
+
+def random_stretches(run: str, encoder) -> list[tuple[int, int]]:
+    """(start, end) of the run if it looks random, else of its stretches of parts that are neither
+    words nor digests and whose characters per token are few."""
+    if UUID.fullmatch(run):
+        return []
+    if looks_random(run, encoder):
+        return [(0, len(run))]
+    stretches: list[tuple[int, int]] = []
+    joined = False  # whether only separators and short words lie behind the last stretch
+    for m in PART.finditer(run):
+        part = m[0]
+        if is_digest(part) or WORD.fullmatch(part) and not few_chars_per_token(part, encoder):
+            joined = joined and len(part) <= LINK_CHARS
+        elif joined:
+            stretches[-1] = (stretches[-1][0], m.end())
+        else:
+            stretches.append(m.span())
+            joined = True
+    return [(a, b) for a, b in stretches if not is_digest(run[a:b]) and few_chars_per_token(run[a:b], encoder)]
 
 
 def find_spans(text: str, encoder) -> list[tuple[str, int, int]]:
@@ -76,7 +112,7 @@ def find_spans(text: str, encoder) -> list[tuple[str, int, int]]:
     found = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= ASSIGN_MIN]
     found += [("access", *m.span()) for m in ACCESS.finditer(text)]
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
-    found += [("random", *m.span()) for m in CANDIDATE.finditer(text) if looks_random(m[0], encoder)]
+    found += [("random", m.start() + a, m.start() + b) for m in CANDIDATE.finditer(text) for a, b in random_stretches(m[0], encoder)]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

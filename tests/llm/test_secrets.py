@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 import public_tokenizers
 from helpers import SF, awkward, documents, empty
@@ -39,6 +41,27 @@ def test_random_strings_and_what_is_not_one():
         assert not [s for s in secrets.find_spans(f"x {text} y", ENCODER) if s[0] == "random"], text
 
 
+def test_random_strings_of_one_case_short_ones_and_those_behind_words():
+    rnd = random.Random(4)
+    key = lambda alphabet, n: "".join(rnd.choice(alphabet) for _ in range(n))
+    mixed, lower, upper = string.ascii_letters + string.digits, string.ascii_lowercase, string.ascii_uppercase
+    path = "services/production/settings/credentials/"
+    cases = [("", lower, 24), ("", upper, 24), ("", mixed, 16), ("", mixed, 19), (path, mixed, 24), (path, mixed, 16),
+             (path, lower, 24), ("deploy-key-for-staging=", mixed, 32), (path, mixed + "+/", 40)]
+    for before, alphabet, n in cases:
+        covered = 0
+        for _ in range(300):
+            own = key(alphabet, n)
+            spans = [s for s in secrets.find_spans(f"x {before}{own} y", ENCODER) if s[0] == "random"]
+            # a separator at either end of a key is not part of it
+            a, b = 2 + len(before) + n - len(own.lstrip("+/")), 2 + len(before) + len(own.rstrip("+/"))
+            covered += any(s[1] <= a and s[2] >= b for s in spans)
+        assert covered >= 0.93 * 300, (before, n, covered)
+    for text in ("site-packages/internationalization/documentation", "Donaudampfschifffahrtsgesellschaft/Handelskammer",
+                 "incomprehensibility", "2024-01-01/12-30-45/000001"):
+        assert not [s for s in secrets.find_spans(f"x {text} y", ENCODER) if s[0] == "random"], text
+
+
 def test_query_on_whole_documents(spark):
     from kestrel.llm.queries import op5_secret_scan, table
 
