@@ -74,13 +74,15 @@ def nonempty(shingles: list, weights: Weights):
 
 
 class Matcher:
-    """Near-duplicate search over one table of rows with a text."""
+    """Near-duplicate search over one table of rows with a text and its ``text_key``, ``key``."""
 
     def __init__(self, rows: DataFrame, text_col: str):
         self.rows, self.text_col = rows, text_col
         self.spark: SparkSession = rows.sparkSession
-        self.common = common_shingles(rows, text_col)
-        self.total = rows.count()
+        # frequencies are those among different texts, so copies of one text do not make it common
+        different = stored(rows.select("key", named(text_col).alias("text")).dropDuplicates(["key"]).select("text"), "different")
+        self.common = common_shingles(different, "text")
+        self.total = different.count()
         self.shared = self.spark.sparkContext.broadcast((self.common, self.total))
         self.memo = f"shingles-{uuid.uuid4()}"
 

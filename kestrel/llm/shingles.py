@@ -4,7 +4,8 @@ A text's shingles are its runs of ``WIDTH`` consecutive lower-case words (all it
 are fewer), as 64-bit hashes. A shingle weighs (1 + ln tf) * idf. The idf is 1 up to a document
 frequency of ``COMMON`` of all rows and falls with the logarithm of the frequency to ``FLOOR`` for
 a shingle of every row, so only common shingles need a stored frequency: there are at most
-(mean shingles per text) / COMMON of those, whatever the number of rows.
+(mean shingles per text) / COMMON of those, whatever the number of rows. The rows counted here are
+the caller's different texts.
 """
 
 from __future__ import annotations

@@ -96,6 +96,18 @@ def test_large_group_and_common_passage(spark):
     assert max(map(len, got)) >= 140
 
 
+def test_exact_copies_do_not_make_their_shingles_common(spark):
+    """An edited copy at a plain similarity of 0.815 of a text that a third of the rows repeat."""
+    rnd = random.Random(8)
+    w = [f"hot{k}" for k in range(200)]
+    text = " ".join(w)
+    for k in (30, 70, 110, 150):
+        w[k] = f"new{k}"
+    rows = list(enumerate([text] * 100 + [" ".join(w)] + [sentences(rnd, 40) for _ in range(199)]))
+    got = found_classes(near_dup.find(documents(spark, rows)))
+    assert got == brute_classes(rows) and max(map(len, got)) == 101
+
+
 def test_samples_agree_as_often_as_the_weighted_jaccard():
     rng = np.random.default_rng(1)
     sampler = Sampler(2000)
