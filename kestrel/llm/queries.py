@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe, decontaminate, fingerprints, language_id, licenses, lm_score, near_dup, secrets, sharding, toxicity
+from kestrel.llm import (bpe, decontaminate, fingerprints, language_id, licenses, lm_score, near_dup, secrets, sharding, spelling,
+                         toxicity)
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -104,8 +105,14 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(docs.withColumn("held_out", out), model, tokens, keep=["doc_id", "held_out"])
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, main form and root of every word of the documents, with a letter dropped from a run
+    in 199."""
+    return spelling.group(spelling.vocabulary(table(spark, sf_dir, "documents"), drop_every=199))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_near_dup, op2_language_id, op3_shards, op4_fingerprints, op5_secret_scan, op6_toxicity,
-                            op7_decontaminate, op8_bpe, op9_licenses, op10_lm_score)}
+                            op7_decontaminate, op8_bpe, op9_licenses, op10_lm_score, op11_spelling_variants)}
 
 ORACLE: dict[str, str] = {}
