@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import (bpe, decontaminate, fingerprints, language_id, licenses, lm_score, near_dup, secrets, sharding, spelling,
-                         toxicity)
+from kestrel.llm import (bpe, decontaminate, fingerprints, language_id, licenses, lm_score, near_dup, ngram_join, prefix_trie, secrets,
+                         sharding, spelling, toxicity)
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -111,8 +111,22 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group(spelling.vocabulary(table(spark, sf_dir, "documents"), drop_every=199))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of the conversations that begin with turns of others, with totals of every subtree."""
+    turns, totals = prefix_trie.spliced(prefix_trie.turns(table(spark, sf_dir, "conversations")))
+    return prefix_trie.build(turns, totals).select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves",
+        F.col("saved").alias("saved_tokens"), "ends_sha256")
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of similar sets of 4-word shingles."""
+    return ngram_join.find(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_near_dup, op2_language_id, op3_shards, op4_fingerprints, op5_secret_scan, op6_toxicity,
-                            op7_decontaminate, op8_bpe, op9_licenses, op10_lm_score, op11_spelling_variants)}
+                            op7_decontaminate, op8_bpe, op9_licenses, op10_lm_score, op11_spelling_variants,
+                            op12_prefix_trie, op13_ngram_join)}
 
 ORACLE: dict[str, str] = {}
