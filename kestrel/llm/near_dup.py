@@ -2,17 +2,15 @@
 weighted Jaccard similarity.
 
 Nodes are different texts, by a 128-bit hash; exact copies share a node from the start, so a group
-of copies costs one node. Each node's samples give ``BANDS`` band keys of ``ROWS`` samples; nodes
-with a common band key are candidates. Instead of all pairs of a bucket, every member is compared
-with the bucket's leaders: first one leader, the member that shares most buckets with others (in
-a group of edited copies that is their common original), then, among members that are not yet in one
-class, four more leaders, sixteen more and so on, until every member of a bucket has met every other
-or is in the same class as it. No bucket is cut short. A pair that the samples put clearly under the
-threshold is dropped, the others are verified on the whole texts. Classes are the connected
-components of verified pairs, found by repeated minimum labels and pointer jumping on the pairs.
-
-All joins are by hash keys; a side is broadcast only when its counted rows are few. Tables that later
-steps read again are written to the folder of ``spark.checkpoint.dir``, so a lost executor costs
+of copies costs one node. Each node's samples give ``BANDS`` band keys of ``ROWS`` samples; nodes with a
+common band key are candidates, and the nodes of a key are a group, joined inside tasks as ``group_join``
+says: by the first bands, then by all, then between the blocks of large groups. In a task the samples of
+each two members that are not yet in one class are compared; a pair that the samples put clearly under
+the threshold is dropped, the others are verified by the weighted Jaccard similarity of the whole texts,
+for one member against all others at a time. No bucket is cut short, and pairs do not leave the task.
+
+All joins between tables are by hash keys; a side is broadcast only when its counted rows are few. Tables
+that later steps read again are written to the folder of ``spark.checkpoint.dir``, so a lost executor costs
 only its running tasks.
 
 Defined cases: null and empty texts count as equal texts; a text without words is a near copy of
@@ -27,22 +25,24 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.llm.arrow_text import map_texts, named, ship_package, text_column, worker_memo
-from kestrel.llm.shingles import Sampler, Weights, common_shingles, text_shingles, weighted_jaccard
-from kestrel.session import shared_path
+from kestrel.llm.arrow_text import map_texts, named, pieces, text_column, worker_memo
+from kestrel.llm.graph import sized, stored
+from kestrel.llm.group_join import GroupJoin, shared_members
+from kestrel.llm.shingles import Sampler, Weights, common_shingles, text_shingles
 
 THRESHOLD = 0.8
 BANDS, ROWS = 14, 4
 #: pairs whose share of equal samples is this far below the threshold are not verified (its standard
 #: error is 0.053 for a similarity of 0.8)
 MARGIN = 0.28
-#: tables of at most so many rows of two keys (16 bytes each), or of a key and a signature, are
-#: broadcast; larger ones are joined by shuffle
-BROADCAST_ROWS, SIGNATURE_ROWS = 500_000, 60_000
+#: bands of the first round of joins
+FIRST_BANDS = 2
+#: a matrix of weights has so many bytes
+MATRIX_BYTES = 32 << 20
 
 
 def text_key(text: Column) -> Column:
@@ -50,18 +50,6 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The table written to the shared folder and read again."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def sized(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, which has that number of rows, to be broadcast if they are few."""
-    return F.broadcast(df) if rows <= most else df
-
-
 def nonempty(shingles: list, weights: Weights):
     """(numbers of the texts with shingles, their shingles and weights one after another, starts)."""
     some = [i for i, (found, _) in enumerate(shingles) if len(found)]
@@ -101,133 +89,67 @@ class Matcher:
 
         return map_texts(self.rows, self.text_col, keep, make, "signature binary")
 
-    def verified(self, pairs: DataFrame, n_pairs: int, texts: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose texts' weighted Jaccard reaches the threshold."""
-        shared, memo, schema = self.shared, self.memo, pairs.schema
-        ship_package(self.spark)
-        both = (texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")).join(sized(pairs, n_pairs), "b")
-                .join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
-                .select("a", "b", "text_a", "text_b"))
-
-        def run(batches):
-            weights, _ = worker_memo(memo, lambda: (Weights(*shared.value), Sampler(BANDS * ROWS)))
-            for batch in batches:
-                left, right = text_column(batch, "text_a"), text_column(batch, "text_b")
-                good = []
-                for at in range(0, len(left), 64):
-                    sides = [[(f, weights.of(f, n)) for f, n in text_shingles(side.slice(at, 64))] for side in (left, right)]
-                    good += [weighted_jaccard(a, b) >= THRESHOLD for a, b in zip(*sides)]
-                chosen = pa.array(good, pa.bool_())
-                yield pa.RecordBatch.from_arrays([batch.column(k).filter(chosen) for k in (0, 1)], names=["a", "b"])
-
-        return both.mapInArrow(run, schema)
-
     def classes(self, nodes: DataFrame) -> DataFrame:
-        """(key, label) of every node in a class of two or more; ``nodes`` has key and signature."""
+        """(key, label) of every node that shares a band with another one; ``nodes`` has key and signature."""
         width = 4 * ROWS
         bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                             lambda b: F.xxhash64(b, F.substring(F.col("signature"), 1 + b * width, F.lit(width))))
-        buckets = nodes.where("signature is not null").select("key", bands.alias("bands"))
-        buckets = stored(buckets.select("key", "bands", F.posexplode("bands").alias("band", "bucket")), "buckets")
-        sizes = stored(buckets.groupBy("bucket").count().where("count > 1"), "sizes")
-        members = buckets.join(sized(sizes, sizes.count()), "bucket")
-        score = stored(members.groupBy("key").agg(F.sum("count").alias("score")), "score")
-        n_keys = score.count()
+        nodes = stored(nodes.where("signature is not null"), "nodes")
+        buckets = nodes.select("key", F.posexplode(bands).alias("band", "token"))
+        members = shared_members(buckets)
+        keys = stored(members.select("key").distinct(), "keys")
+        n_keys = keys.count()
         if not n_keys:
-            return self.spark.createDataFrame([], "key binary, label binary")
-        members = stored(members.join(sized(score, n_keys), "key").select("bucket", "band", "bands", "key", "count", "score"), "members")
-        keys = stored(nodes.join(sized(score.select("key"), n_keys), "key"), "signatures")
-        texts = self.texts_of(keys.select("key"), n_keys)
-        labels = keys.select("key", F.col("key").alias("label"))
-        tested = []
-        for first, last, best_only in rounds():
-            active = stored(self.unsettled(members.where(F.col("count") > first), labels, n_keys), "active")
-            if active.isEmpty():
-                break
-            pairs = self.candidates(active, keys, n_keys, first, last)
-            for earlier, n in tested:
-                pairs = pairs.join(sized(earlier, n), ["a", "b"], "left_anti")
-            if best_only:
-                pairs = pairs.groupBy("b").agg(F.max_by("a", F.struct("alike", "a")).alias("a"))
-            pairs = stored(pairs.select("a", "b"), "pairs")
-            n_pairs = pairs.count()
-            if not n_pairs:
-                continue
-            tested.append((pairs, n_pairs))
-            found = stored(self.verified(pairs, n_pairs, texts), "edges")
-            if found.isEmpty():
-                continue
-            # components of the classes so far, joined by the new pairs
-            now = sized(labels, n_keys)
-            between = found.join(now.select(F.col("key").alias("a"), F.col("label").alias("la")), "a")
-            between = between.join(now.select(F.col("key").alias("b"), F.col("label").alias("lb")), "b")
-            merged = components(between.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), n_keys)
-            renamed = merged.select(F.col("key").alias("label"), F.col("label").alias("least"))
-            joined = labels.join(sized(renamed, n_keys), "label", "left")
-            labels = stored(joined.select("key", F.coalesce("least", "label").alias("label")), "labels")
-        return labels
-
-    @staticmethod
-    def unsettled(members: DataFrame, labels: DataFrame, n_keys: int) -> DataFrame:
-        """Members of the buckets that hold more than one class, with their classes."""
-        now = members.join(sized(labels, n_keys), "key")
-        mixed = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-        return now.join(mixed.select("bucket"), "bucket", "left_semi")
-
-    @staticmethod
-    def candidates(active: DataFrame, keys: DataFrame, n_keys: int, first: int, last: int) -> DataFrame:
-        """(a, b, alike): the leaders number ``first`` to ``last`` of each bucket with all members of
-        other classes, where the samples do not rule them out."""
-        order = Window.partitionBy("bucket").orderBy(F.desc("score"), "key")
-        lead = active.withColumn("place", F.row_number().over(order)).where(F.col("place") <= last)
-        lead = lead.where(F.col("place") > first).select(
-            "bucket", F.col("key").alias("a"), F.col("label").alias("label_a"), F.col("bands").alias("bands_a"))
-        met = active.select("bucket", "band", "bands", F.col("key").alias("b"), "label").join(lead, "bucket").where("label <> label_a")
-        if first:  # a pair meets in its first common bucket, where one of the two is a leader in some round
-            met = met.where(~F.exists(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: (k < F.col("band")) & (
-                F.get("bands", k) == F.get("bands_a", k))))
-        met = met.select("a", "b").distinct()
-        small = sized(keys, n_keys, SIGNATURE_ROWS)
-        met = met.join(small.select(F.col("key").alias("b"), F.col("signature").alias("sb")), "b")
-        met = met.join(small.select(F.col("key").alias("a"), F.col("signature").alias("sa")), "a")
-        sample = lambda signature, k: F.substring(F.col(signature), 1 + 4 * k, F.lit(4))
-        same = F.filter(F.sequence(F.lit(0), F.lit(BANDS * ROWS - 1)), lambda k: sample("sa", k) == sample("sb", k))
-        met = met.withColumn("alike", F.size(same)).where(F.col("alike") >= (THRESHOLD - MARGIN) * BANDS * ROWS)
-        return met.select("a", "b", "alike")
-
-    def texts_of(self, keys: DataFrame, n_keys: int) -> DataFrame:
-        """(key, text) of the given nodes, written once for all rounds."""
-        all_texts = self.rows.select(text_key(named(self.text_col)).alias("key"), named(self.text_col).alias("text"))
-        return stored(all_texts.join(sized(keys, n_keys), "key").dropDuplicates(["key"]), "texts")
-
-
-def rounds():
-    """(first, last, best_only): the leader alone and only its most alike pair of each member; then
-    leaders 1 to 5, then four times as many in each round."""
-    yield 0, 1, True
-    first, last = 0, 5
-    while True:
-        yield first, last, False
-        first, last = last, last * 4 + 1
-
+            return keys.select("key", F.col("key").alias("label"))
+        few = sized(keys, n_keys)
+        texts = self.rows.select("key", named(self.text_col).alias("text")).join(few, "key", "left_semi").dropDuplicates(["key"])
+        texts = stored(texts.join(nodes.join(few, "key", "left_semi"), "key"), "texts")
+        shared, memo = self.shared, self.memo
 
-def components(edges: DataFrame, most: int) -> DataFrame:
-    """(key, label): the least key of the connected component of each vertex of the edges (a, b), of
-    which there are ``most`` at the utmost. Rounds of minimum labels of neighbours, and of the labels'
-    labels, until nothing changes."""
-    sides = stored(edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "sides")
-    labels = stored(sides.groupBy("a").agg(F.min("b").alias("b")).select(
-        F.col("a").alias("key"), F.least("a", "b").alias("label")), "labels")
-    small = lambda df: sized(df, most)  # noqa: E731  a row per vertex at most
-    while True:
-        near = sides.join(small(labels.select(F.col("key").alias("b"), "label")), "b").groupBy("a").agg(F.min("label").alias("near"))
-        lower = near.join(small(labels.select(F.col("key").alias("a"), F.col("label").alias("old"))), "a")
-        lower = lower.select(F.col("a").alias("key"), "old", F.least("old", "near").alias("label"))
-        targets = labels.select(F.col("key").alias("label"), F.col("label").alias("jump"))
-        after = stored(lower.join(small(targets), "label").select("key", "old", F.least("label", "jump").alias("label")), "labels")
-        labels = after.select("key", "label")
-        if after.where("old <> label").isEmpty():
-            return labels
+        def connect(rows: pa.RecordBatch, before: np.ndarray) -> np.ndarray:
+            weights, _ = worker_memo(memo, lambda: (Weights(*shared.value), Sampler(BANDS * ROWS)))
+            column = text_column(rows, "text")
+            shingles = [s for a, b in pieces(column) for s in text_shingles(column.slice(a, b - a))]
+            samples = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint32).reshape(len(before), BANDS * ROWS)
+            return join_group([(found, weights.of(found, n)) for found, n in shingles], samples, before)
+
+        rounds = [members.where(F.col("band") < FIRST_BANDS), members.where(F.col("band") >= FIRST_BANDS)]
+        return GroupJoin(rounds, keys, n_keys, texts, connect).labels()
+
+
+def join_group(sets: list[tuple[np.ndarray, np.ndarray]], samples: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """New labels of a group's texts (shingles and weights, none empty): those equal in ``labels``, or that
+    verified pairs connect, are equal."""
+    labels, n = labels.copy(), len(sets)
+    found, inverse, holders = np.unique(np.concatenate([s[0] for s in sets]), return_inverse=True, return_counts=True)
+    bounds = np.concatenate([[0], np.cumsum([len(s[0]) for s in sets])])
+    several = holders > 1  # the others add nothing to any smaller weight
+    dense = np.cumsum(several) - 1
+    rows, weights = [], []
+    for (_, weight), a, b in zip(sets, bounds[:-1].tolist(), bounds[1:].tolist()):
+        at = inverse[a:b]
+        rows.append(dense[at[several[at]]])
+        weights.append(weight[several[at]])
+    total = np.array([s[1].sum() for s in sets])
+    least_alike = (THRESHOLD - MARGIN) * samples.shape[1]
+    width = max(1, MATRIX_BYTES // (8 * max(1, int(several.sum()))))
+    for first in range(0, n, width):
+        last = min(first + width, n)
+        held = np.zeros((int(several.sum()), last - first))
+        for x in range(first, last):
+            held[rows[x], x - first] = weights[x]
+        for y in range(first + 1, n):
+            upto = min(y, last)
+            near = np.flatnonzero(labels[first:upto] != labels[y])
+            near = near[(samples[first + near] == samples[y]).sum(1) >= least_alike]
+            if not len(near):
+                continue
+            least = np.minimum(held[rows[y]][:, near], weights[y][:, None]).sum(0)
+            good = near[least / (total[first + near] + total[y] - least) >= THRESHOLD]
+            if len(good):
+                same = np.unique(np.append(labels[first + good], labels[y]))
+                labels[np.isin(labels, same)] = same[0]
+    return labels
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

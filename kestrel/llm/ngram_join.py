@@ -1,11 +1,12 @@
 """Jaccard self join of documents' sets of word n-grams, by prefix trees.
 
 A document's set holds its distinct 4-word shingles as 64-bit hashes. All sets are written in one
-global order, rare shingles first: shingles found in many rows come last, by their counted rows, the
-others are in the order of their hashes (the order changes the work, never the result). Two sets of
-similarity 0.85 or more then share one of their first shingles, of which a set of n has
-n - ceil(0.85 n) + 1. So the texts that hold a shingle in front make up a group, and the groups are
-joined on their own, each by a prefix tree of its sets:
+global order, rare shingles first: by the counts of their words, so that shingles of rare words come
+first; shingles that many rows hold come last, by their counted rows. (The order changes the work, never
+the result, so its counts need not be exact: they are summed up over blocks of rows, and words or shingles
+that stand out in no block count as rare.) Two sets of similarity 0.85 or more then share one of their first
+shingles, of which a set of n has n - ceil(0.85 n) + 1. So the texts that hold a shingle in front make up a
+group, and the groups are joined on their own, each by a prefix tree of its sets:
 
 * The sets, in lexicographic order of their shingles' places, are the leaves of the tree; sets that
   begin alike share the nodes of their common beginning.
@@ -15,16 +16,15 @@ joined on their own, each by a prefix tree of its sets:
   in one component with the sets below.
 * A leaf's overlaps are exact; they are the links.
 
-Groups are joined in three rounds, with the components so far known to the next one: by each text's
-first shingle alone (where most near copies meet), then by all shingles in front, then between the
-blocks of groups that are larger than ``GROUP`` and still hold several components. There the
-members outside the largest component are put against all members, block by block, so every pair of
-texts that are not yet connected meets, and the work follows the members that are left over. Equal
-member lists are joined once. No group, list or candidate is cut short.
+Before that, candidates are narrowed down without texts. A member of a group stays only if another
+member may reach the required overlap with all the shingles behind the common one. Then the shingles in
+front alone are joined: the texts that may be similar by what they share in front and by what is left
+behind make up families. Each family goes to one task with its texts, once; a family of more than ``GROUP``
+texts is joined by its tokens. ``group_join`` says in which rounds groups are joined, so that large ones are
+split and no pair that is not yet connected is left out.
 
-Equal texts are one text from the start. The links of a group are returned as edges of a spanning
-forest (one less than the texts it connects), not as pairs. Tables that later steps read again are
-written to the folder of ``spark.checkpoint.dir``.
+Equal texts are one text from the start. Tables that later steps read again are written to the folder of
+``spark.checkpoint.dir``.
 
 Defined cases: a text without words (or null) has an empty set and is linked with nothing, not even with
 its copies; a text of one to three words has one shingle, all its words; rows with equal texts and a
@@ -43,83 +43,135 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm import group_join
 from kestrel.llm.arrow_text import byte_view, map_texts, named, pieces, ship_package, text_column, worker_memo
 from kestrel.llm.byte_words import TOKEN, window_hashes, word_bounds, word_hashes
-from kestrel.llm.near_dup import components, sized, stored, text_key
+from kestrel.llm.graph import sized, stored
+from kestrel.llm.group_join import GroupJoin, shared_members
+from kestrel.llm.near_dup import text_key
 
 WIDTH = 4
 #: two sets link at an overlap of SIMILAR hundredths of their union
 SIMILAR = 85
-#: shingles of at least this share of a block's rows are put last in the order. The list holds at most
-#: (mean shingles per text) / (OFTEN / 2) of them, whatever the number of rows.
-OFTEN = 0.005
+#: shingles in this share of a block's rows are put last in the order, and words of this share of a block's
+#: words count by their frequency. There are at most (mean shingles per text) / (OFTEN / 2) and
+#: 1 / (WORD_SHARE / 2) of them, whatever the number of rows.
+OFTEN, WORD_SHARE = 0.005, 0.00002
 BLOCK_ROWS, BLOCK_SHINGLES = 4000, 4_000_000
-#: larger groups are joined in blocks of about so many texts; a matrix of overlaps has so many bytes
-GROUP, MATRIX_BYTES = 400, 32 << 20
+WORDS, SHINGLES, ROWS, ALL_WORDS = 0, 1, 2, 3
+#: a matrix of overlaps has so many bytes
+MATRIX_BYTES = 32 << 20
 
 
-def text_sets(texts: pa.Array) -> list[np.ndarray]:
-    """The distinct shingles of each text, ascending."""
+def text_sets(texts: pa.Array, rarity: Rarity | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The distinct shingles of each text, ascending, and the rarity of each (without one, the words'
+    hashes of the text instead)."""
     flat, offsets = byte_view(texts)
     starts, ends, of_text = word_bounds(flat, offsets, TOKEN)
     words = word_hashes(flat, starts, ends)
     windows = window_hashes(words, WIDTH)
+    if rarity:
+        sums = np.concatenate([[0], np.cumsum(rarity.of(words))])
     out = []
     for first, last in zip(of_text[:-1].tolist(), of_text[1:].tolist()):
         if last - first >= WIDTH:
-            out.append(np.unique(windows[first:last - WIDTH + 1]))
+            found, at = np.unique(windows[first:last - WIDTH + 1], return_index=True)
+            size = WIDTH
         elif last > first:
             # fewer words make another kind of shingle: its number of words is part of its hash
-            out.append(window_hashes(words[first:last], last - first) ^ np.uint64(last - first))
+            size = last - first
+            found, at = window_hashes(words[first:last], size) ^ np.uint64(size), np.zeros(1, np.int64)
         else:
-            out.append(np.zeros(0, np.uint64))
+            found, at, size = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        out.append((found, sums[first + at + size] - sums[first + at] if rarity else words[first:last]))
     return out
 
 
-def frequent_shingles(docs: DataFrame, text_col: str) -> dict[int, int]:
-    """Shingles that stand out in blocks of rows, with their counts there; one pass over all texts."""
+class Rarity:
+    """How rare a word is, as a whole number: thousands of its negative decimal logarithm of frequency. All
+    words that stand out nowhere are equally rare."""
+
+    def __init__(self, counts: dict[int, int], total: int):
+        self.names = np.array(sorted(counts), np.int64).view(np.uint64)
+        order = np.argsort(self.names)
+        n = np.array([counts[k] for k in sorted(counts)], float)[order]
+        self.names = self.names[order]
+        least = int(-1000 * math.log10(WORD_SHARE / 4))
+        self.values = np.append(np.minimum(np.round(-1000 * np.log10(n / max(total, 1))), least).astype(np.int64), least)
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.names):
+            return np.full(len(words), self.values[-1])
+        at = np.minimum(np.searchsorted(self.names, words), len(self.names) - 1)
+        return self.values[np.where(self.names[at] == words, at, len(self.names))]
+
+
+def frequencies(docs: DataFrame, text_col: str) -> tuple[dict[int, int], dict[int, int], int]:
+    """(shingles that stand out in blocks of rows, with their rows there; words that stand out in blocks, with
+    their counts there; number of all words), from one pass over all texts."""
     ship_package(docs.sparkSession)
     texts = docs.select(named(text_col).cast("string").alias("text"))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: list[np.ndarray] = []
+        words: list[np.ndarray] = []
         size = 0
 
         def result():
             found, n = np.unique(np.concatenate(block), return_counts=True)
             often = n >= max(2, math.ceil(OFTEN / 2 * len(block)))
-            return pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(n[often])], names=["shingle", "n"])
+            every = np.concatenate(words)
+            known, many = np.unique(every, return_counts=True)
+            usual = many >= max(2, math.ceil(WORD_SHARE / 2 * len(every)))
+            kinds = np.repeat([SHINGLES, WORDS, ROWS, ALL_WORDS], [often.sum(), usual.sum(), 1, 1]).astype(np.int32)
+            names = np.concatenate([found[often].view(np.int64), known[usual].view(np.int64), [0, 0]])
+            return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(names), pa.array(
+                np.concatenate([n[often], many[usual], [len(block), len(every)]]))], names=["kind", "name", "n"])
 
         for batch in batches:
             column = text_column(batch, "text")
             for start, stop in pieces(column):
-                for found in text_sets(column.slice(start, stop - start)):
+                for found, own in text_sets(column.slice(start, stop - start)):
                     block.append(found)
-                    size += len(found)
+                    words.append(own)
+                    size += len(own)
                     if len(block) >= BLOCK_ROWS or size >= BLOCK_SHINGLES:
                         yield result()
-                        block, size = [], 0
+                        block, words, size = [], [], 0
         if block:
             yield result()
 
-    sums = texts.mapInArrow(local, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    return {r["shingle"]: r["n"] for r in sums.where(F.col("n") >= max(2, OFTEN / 2 * texts.count())).collect()}
+    sums = stored(texts.mapInArrow(local, "kind int, name long, n long").groupBy("kind", "name").agg(F.sum("n").alias("n")), "frequencies")
+    totals = {r["kind"]: r["n"] for r in sums.where(F.col("kind") >= ROWS).collect()}
+    least = {SHINGLES: max(2, OFTEN / 2 * totals.get(ROWS, 0)), WORDS: max(2, WORD_SHARE / 2 * totals.get(ALL_WORDS, 0))}
+    shingles, words = ({r["name"]: r["n"] for r in sums.where((F.col("kind") == kind) & (F.col("n") >= least[kind])).collect()}
+                       for kind in (SHINGLES, WORDS))
+    return shingles, words, totals.get(ALL_WORDS, 0)
 
 
 class Order:
-    """The global order of shingles: by counted rows, then by hash."""
+    """The global order of shingles: by counted rows, if those are many, then rare ones first, then by hash."""
 
     def __init__(self, counts: dict[int, int]):
         names = np.array(list(counts), np.int64).view(np.uint64)
         order = np.argsort(names)
-        self.names, self.counts = names[order], np.array(list(counts.values()), np.int64)[order]
+        self.names = names[order]
+        self.places = np.minimum(1000 * np.log2(1.0 + np.array(list(counts.values()))[order]), (1 << 15) - 1).astype(np.int64)
+
+    def codes(self, found: np.ndarray, rarity: np.ndarray) -> np.ndarray:
+        """A number per shingle that rises in the global order. Shingles of one number are told apart by
+        their hashes; that is needed only for their order, since a shared number makes candidates, no links."""
+        rows = np.zeros(len(found), np.int64)
+        if len(self.names):
+            at = np.minimum(np.searchsorted(self.names, found), len(self.names) - 1)
+            rows = np.where(self.names[at] == found, self.places[at], 0)
+        return rows << 48 | (65535 - rarity) << 32 | (found >> np.uint64(32)).view(np.int64)
 
-    def sorted(self, found: np.ndarray) -> np.ndarray:
-        """Positions that put ascending shingles into the global order."""
-        if not len(self.names) or not len(found):
-            return np.arange(len(found))
-        at = np.minimum(np.searchsorted(self.names, found), len(self.names) - 1)
-        return np.argsort(np.where(self.names[at] == found, self.counts[at], 0), kind="stable")
+    def sorted(self, found: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions that put shingles into the global order, their codes in that order)."""
+        codes = self.codes(found, rarity)
+        at = np.lexsort((found, codes))
+        return at, codes[at]
 
 
 def in_front(n: int) -> int:
@@ -127,15 +179,15 @@ def in_front(n: int) -> int:
     return n - (SIMILAR * n + 99) // 100 + 1 if n else 0
 
 
-def join_group(sets: list[np.ndarray], labels: np.ndarray, order: Order) -> np.ndarray:
-    """New labels of the sets of a group (ascending arrays of shingles, none empty): sets that were
-    equal in ``labels``, or that links connect, are equal."""
+def join_group(sets: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, order: Order) -> np.ndarray:
+    """New labels of the sets of a group (shingles, none empty, and their rarities): sets that were equal in
+    ``labels``, or that links connect, are equal."""
     labels = labels.copy()
     n = len(sets)
-    sizes = np.array([len(s) for s in sets])
-    found, inverse, holders = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    sizes = np.array([len(s) for s, _ in sets])
+    found, at, inverse, holders = np.unique(np.concatenate([s for s, _ in sets]), return_index=True, return_inverse=True, return_counts=True)
     place = np.empty(len(found), np.int64)
-    place[order.sorted(found)] = np.arange(len(found))
+    place[order.sorted(found, np.concatenate([r for _, r in sets])[at])[0]] = np.arange(len(found))
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     rows = [np.sort(place[inverse[a:b]]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
     by = sorted(range(n), key=lambda i: rows[i].astype(">u4").tobytes())
@@ -195,127 +247,113 @@ def walk(rows_of: list, sizes: np.ndarray, shared: np.ndarray, labels: np.ndarra
     return labels
 
 
+def ordered(found: tuple[dict[int, int], dict[int, int], int]) -> tuple[Order, Rarity]:
+    shingles, words, total = found
+    return Order(shingles), Rarity(words, total)
+
+
 class Joiner:
     """The join over one table of rows with a text, ``key`` (the text's ``text_key``) and ``id``."""
 
     def __init__(self, rows: DataFrame):
         self.rows, self.spark = rows, rows.sparkSession
-        self.shared = self.spark.sparkContext.broadcast(frequent_shingles(rows, "text"))
+        self.shared = self.spark.sparkContext.broadcast(frequencies(rows, "text"))
         self.memo = f"ngrams-{uuid.uuid4()}"
 
     def signed(self) -> DataFrame:
-        """id, key, n_shingles, and front: the first shingles of the set in the global order."""
+        """id, key, n_shingles, and front: the codes of the set's first shingles in the global order."""
         shared, memo = self.shared, self.memo
 
         def make(texts: pa.Array):
-            order = worker_memo(memo, lambda: Order(shared.value))
-            sets = text_sets(texts)
-            fronts = [found[order.sorted(found)][:in_front(len(found))].view(np.int64) for found in sets]
-            return [pa.array([len(s) for s in sets], pa.int64()), pa.array(fronts, pa.list_(pa.int64()))]
+            order, rarity = worker_memo(memo, lambda: ordered(shared.value))
+            sets = text_sets(texts, rarity)
+            fronts = [order.sorted(found, rare)[1][:in_front(len(found))] for found, rare in sets]
+            return [pa.array([len(s) for s, _ in sets], pa.int64()), pa.array(fronts, pa.list_(pa.int64()))]
 
         return map_texts(self.rows, "text", ["id", "key"], make, "n_shingles long, front array<long>")
 
     def labels(self, signed: DataFrame) -> DataFrame:
-        """(key, label) of every text that shares a shingle in front with another one."""
-        nodes = stored(signed.where("n_shingles > 0").select("key", "front").dropDuplicates(["key"]), "fronts")
-        fronts = nodes.select("key", F.posexplode("front").alias("at", "token"))
-        several = fronts.groupBy("token").count().where("count > 1").drop("count")
-        members = stored(fronts.join(several, "token").select("token", "key", (F.col("at") == 0).alias("first")), "members")
-        keys = stored(members.select("key").distinct(), "keys")
-        self.n_keys = keys.count()
-        labels = keys.select("key", F.col("key").alias("label"))
-        if not self.n_keys:
-            return labels
-        self.texts = stored(self.rows.select("key", "text").join(sized(keys, self.n_keys), "key", "left_semi").dropDuplicates(["key"]), "texts")
-        for some in (members.where("first"), members):
-            mixed = self.mixed(some, labels)
-            labels = self.merged(labels, self.joined(self.lists(mixed), labels))
-        return self.merged(labels, self.joined(self.blocks(self.mixed(members, labels)), labels))
-
-    def mixed(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """The members of the tokens that hold several components: token, key, label, and the token's
-        number of members, as ``size``."""
-        now = members.select("token", "key").join(sized(labels, self.n_keys), "key")
-        tokens = now.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("x"), F.max("label").alias("y"))
-        return stored(now.join(tokens.where("x <> y").select("token", "size"), "token"), "mixed")
+        """(key, label) of every text that may be similar to another one."""
+        nodes = stored(signed.where("n_shingles > 0").select("key", "n_shingles", "front").dropDuplicates(["key"]), "fronts")
+        fronts = nodes.select("key", F.col("n_shingles").alias("n"), F.posexplode("front").alias("at", "token"))
+        members = stored(possible(shared_members(fronts)), "possible")
+        keys, n_keys = self.counted(members)
+        if not n_keys:
+            return keys.select("key", F.col("key").alias("label"))
+        heads = stored(nodes.join(sized(keys, n_keys), "key", "left_semi"), "heads")
+        families = GroupJoin([members.where("at = 0"), members], keys, n_keys, heads, connect_fronts).labels()
+
+        # families of a task's size meet once, as a whole; larger ones by their tokens, which are each family's own
+        sizes = families.groupBy("label").count().where("count > 1")
+        sizes = stored(families.join(sizes, "label").select("key", "label", "count"), "families")
+        small = sizes.where(F.col("count") <= group_join.GROUP).select(F.xxhash64("label").alias("token"), "key")
+        large = members.join(sized(sizes.where(F.col("count") > group_join.GROUP), n_keys), "key").select(
+            F.xxhash64("token", "label").alias("token"), "key", "at")
+        large = shared_members(large)
+        keys, n_keys = self.counted(sizes)
+        texts = stored(self.rows.select("key", "text").join(sized(keys, n_keys), "key", "left_semi").dropDuplicates(["key"]), "texts")
+        shared, memo = self.shared, self.memo
 
-    @staticmethod
-    def lists(mixed: DataFrame) -> DataFrame:
-        """(task, key): the members of each token, in parts of about GROUP, every list of members once."""
-        part = F.pmod(F.xxhash64("key"), F.ceil(F.col("size") / GROUP))
-        lists = mixed.groupBy("token", part.alias("part")).agg(F.sort_array(F.collect_set("key")).alias("keys"))
-        lists = lists.where(F.size("keys") > 1).select("keys").distinct()
-        return lists.select(F.xxhash64("keys").alias("task"), F.explode("keys").alias("key"))
+        def connect(rows: pa.RecordBatch, before: np.ndarray) -> np.ndarray:
+            (order, rarity), column = worker_memo(memo, lambda: ordered(shared.value)), text_column(rows, "text")
+            return join_group([s for a, b in pieces(column) for s in text_sets(column.slice(a, b - a), rarity)], before, order)
+
+        return GroupJoin([small, large.where("at = 0"), large], keys, n_keys, texts, connect).labels()
 
     @staticmethod
-    def blocks(mixed: DataFrame) -> DataFrame:
-        """(task, key) for the tokens of more than GROUP members: the members outside the token's
-        largest component, in blocks, each with every block of members."""
-        mixed = mixed.where(F.col("size") > GROUP)
-        each = mixed.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
-        tokens = each.groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.first("size").alias("all"),
-                                           F.max("n").alias("n")).select(
-            "token", "most", F.ceil(F.col("all") / GROUP).alias("blocks"), F.ceil((F.col("all") - F.col("n")) / GROUP).alias("rest"))
-        rows = mixed.join(tokens, "token").select("token", "key", "blocks", "rest", (F.col("label") != F.col("most")).alias("out"))
-        name = F.xxhash64("key")
-        upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
-        everyone = rows.select("token", "key", F.pmod(name, F.col("blocks")).alias("i"), F.explode(upto("rest")).alias("j"))
-        others = rows.where("out").select("token", "key", F.explode(upto("blocks")).alias("i"), F.pmod(name, F.col("rest")).alias("j"))
-        both = everyone.unionAll(others.select("token", "key", "i", "j"))
-        return both.select(F.xxhash64("token", "i", "j").alias("task"), "key").distinct()
-
-    def joined(self, tasks: DataFrame, labels: DataFrame) -> DataFrame:
-        """Edges (a, b) between members of the tasks, which connect what their links connect."""
-        ship_package(self.spark)
-        shared, memo = self.shared, self.memo
-        rows = tasks.join(sized(labels, self.n_keys), "key").join(self.texts, "key").select("task", "key", "label", "text")
-        rows = rows.repartition("task").sortWithinPartitions("task")
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            order = worker_memo(memo, lambda: Order(shared.value))
-
-            def edges(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-                whole = pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if len(parts) > 1 else parts[0]
-                texts = text_column(whole, "text")
-                sets = [s for a, b in pieces(texts) for s in text_sets(texts.slice(a, b - a))]
-                _, before = np.unique(np.array(whole.column("label").to_pylist(), object), return_inverse=True)
-                after = join_group(sets, before, order) if len(sets) > 1 else before
-                # one edge for each component that goes into another
-                lead = dict(zip(after.tolist(), range(len(after))))
-                seen: set[int] = set()
-                pairs = [(i, lead[new]) for i, (old, new) in enumerate(zip(before.tolist(), after.tolist()))
-                         if before[lead[new]] != old and not (old in seen or seen.add(old))]
-                keys = whole.column("key")
-                return pa.RecordBatch.from_arrays([keys.take(pa.array([p[k] for p in pairs], pa.int64())) for k in (0, 1)], names=["a", "b"])
-
-            held: list[pa.RecordBatch] = []
-            task = None
-            for batch in batches:
-                names = batch.column("task").to_numpy()
-                cuts = [0, *(1 + np.flatnonzero(names[1:] != names[:-1])).tolist(), len(names)] if len(names) else []
-                for a, b in zip(cuts[:-1], cuts[1:]):
-                    if held and names[a] != task:
-                        yield edges(held)
-                        held = []
-                    task = names[a]
-                    held.append(batch.slice(a, b - a))
-            if held:
-                yield edges(held)
-
-        return rows.mapInArrow(run, "a binary, b binary")
-
-    def merged(self, labels: DataFrame, edges: DataFrame) -> DataFrame:
-        """The labels after the edges have joined their components."""
-        edges = stored(edges.distinct(), "edges")
-        if edges.isEmpty():
-            return labels
-        now = sized(labels, self.n_keys)
-        between = edges.join(now.select(F.col("key").alias("a"), F.col("label").alias("la")), "a")
-        between = between.join(now.select(F.col("key").alias("b"), F.col("label").alias("lb")), "b")
-        found = components(between.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), self.n_keys)
-        renamed = found.select(F.col("key").alias("label"), F.col("label").alias("least"))
-        after = labels.join(sized(renamed, self.n_keys), "label", "left")
-        return stored(after.select("key", F.coalesce("least", "label").alias("label")), "labels")
+    def counted(members: DataFrame) -> tuple[DataFrame, int]:
+        keys = stored(members.select("key").distinct(), "keys")
+        return keys, keys.count()
+
+
+def possible(members: DataFrame) -> DataFrame:
+    """The (token, key, n, at) rows that another row of the token may be similar to, if the token is the
+    first shingle that the two share: all shingles behind it together must be enough. Tokens of more than GROUP
+    rows are kept whole."""
+    sizes = members.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
+    sizes = members.join(sizes, "token")
+    few = sizes.where(F.col("size") <= group_join.GROUP).groupBy("token").agg(F.collect_list(F.struct("key", "n", "at")).alias("rows"))
+    enough = lambda x, y: (100 + SIMILAR) * F.least(x["n"] - x["at"], y["n"] - y["at"]) >= SIMILAR * (x["n"] + y["n"])
+    kept = F.filter("rows", lambda x: F.exists("rows", lambda y: (x["key"] != y["key"]) & enough(x, y)))
+    few = few.select("token", F.explode(kept).alias("r")).select("token", "r.key", "r.n", "r.at")
+    return few.unionAll(sizes.where(F.col("size") > group_join.GROUP).select("token", "key", "n", "at"))
+
+
+def connect_fronts(rows: pa.RecordBatch, labels: np.ndarray) -> np.ndarray:
+    """New labels of a group's texts: those equal in ``labels``, and those that may be similar as far as their
+    first shingles tell (what they share in front, and all that is left behind), are equal."""
+    labels, sizes = labels.copy(), rows.column("n_shingles").to_numpy()
+    fronts = [f.values.to_numpy() for f in rows.column("front")]
+    n, lasts = len(fronts), np.array([f[-1] for f in fronts])
+    # rows of a set that stand before the last one in front of another
+    before = np.stack([np.searchsorted(f, lasts, side="left") for f in fronts])
+    found, inverse, holders = np.unique(np.concatenate(fronts), return_inverse=True, return_counts=True)
+    several = holders > 1
+    dense = np.cumsum(several) - 1
+    bounds = np.concatenate([[0], np.cumsum([len(f) for f in fronts])])
+    own = []
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        at = inverse[a:b]
+        own.append(np.unique(dense[at[several[at]]], return_counts=True))
+    width = max(1, MATRIX_BYTES // (4 * max(1, int(several.sum()))))
+    for first in range(0, n, width):
+        last = min(first + width, n)
+        held = np.zeros((int(several.sum()), last - first), np.int32)
+        for x in range(first, last):
+            held[own[x][0], x - first] = own[x][1]
+        for y in range(first + 1, n):
+            upto = min(y, last)
+            near = np.flatnonzero(labels[first:upto] != labels[y])
+            if not len(near):
+                continue
+            x = first + near
+            shared = np.minimum(held[own[y][0]][:, near], own[y][1][:, None]).sum(0)
+            most = shared + np.minimum(sizes[x] - before[x, y], sizes[y] - before[y, x])
+            good = x[(100 + SIMILAR) * most >= SIMILAR * (sizes[x] + sizes[y])]
+            if len(good):
+                same = np.unique(np.append(labels[good], labels[y]))
+                labels[np.isin(labels, same)] = same[0]
+    return labels
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

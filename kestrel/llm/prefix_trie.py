@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.arrow_text import named, ship_package
-from kestrel.llm.near_dup import stored
+from kestrel.llm.graph import stored
 
 #: larger components are split by joins, the others inside a task
 LOCAL = 20_000

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.arrow_text import named, ship_package, text_column
-from kestrel.llm.near_dup import stored
+from kestrel.llm.graph import stored
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
 #: words of fewer letters or occurrences are not looked at

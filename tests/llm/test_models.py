@@ -140,36 +140,40 @@ def tokens(text):
     return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(UPPER)) + ["\0end"]
 
 
-def ppm(training, text):
+def ppm(training, text, orders=lm_score.ORDER):
     """Prediction by partial matching, symbol by symbol, with exclusion."""
-    tables = [defaultdict(Counter) for _ in range(3)]
+    start = b"\xff" * orders
+    tables = [defaultdict(Counter) for _ in range(orders + 1)]
     for t in training:
-        data = b"\xff\xff" + (t or "").encode() + b"\xff"
-        for k in range(2, len(data)):
-            for order in range(3):
+        data = start + (t or "").encode() + b"\xff"
+        for k in range(orders, len(data)):
+            for order in range(orders + 1):
                 tables[order][data[k - order:k]][data[k]] += 1
-    total, data = 0.0, b"\xff\xff" + (text or "").encode() + b"\xff"
-    for k in range(2, len(data)):
-        gone, p = set(), 1.0
-        for order in (2, 1, 0):
-            seen = tables[order].get(data[k - order:k], Counter())
-            n = {s: c for s, c in seen.items() if s not in gone}
-            escape = 0 if len(gone | set(n)) == 256 else len(n) if n else 1
-            if data[k] in n:
-                p *= n[data[k]] / (sum(n.values()) + escape)
-                break
-            p *= escape / (sum(n.values()) + escape)
-            gone |= set(n)
-        else:
-            p /= 256 - len(gone)
-        total += math.log10(p)
+    total, data = 0.0, start + (text or "").encode() + b"\xff"
+    for k in range(orders, len(data)):
+        total += math.log10(probability(tables, data[k - orders:k], data[k]))
     return total
 
 
-@pytest.mark.parametrize("hot", [1 << 18, 5])
-def test_scores_equal_brute_force(spark, monkeypatch, hot):
-    """Also with nearly all tokens beyond the broadcast ones."""
+def probability(tables, context, symbol):
+    gone, p = set(), 1.0
+    for order in range(len(context), -1, -1):
+        seen = tables[order].get(context[len(context) - order:], Counter())
+        n = {s: c for s, c in seen.items() if s not in gone}
+        escape = len(n) if n else 1
+        if symbol in n:
+            return p * n[symbol] / (sum(n.values()) + escape)
+        p *= escape / (sum(n.values()) + escape)
+        gone |= set(n)
+    return p / (256 - len(gone))
+
+
+@pytest.mark.parametrize("hot, block", [(1 << 18, 1 << 20), (5, 7), (0, 1 << 20)])
+def test_scores_equal_brute_force(spark, monkeypatch, hot, block):
+    """Also with nearly all tokens and strings beyond the broadcast ones, and texts cut into blocks."""
     monkeypatch.setattr(lm_score, "HOT_TOKENS", hot)
+    monkeypatch.setattr(lm_score, "HOT_GRAMS", hot)
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", block)
     training = [(1, "the cat sat on the mat"), (2, "The dog\tsat é"), (3, None), (4, "aaaa aaaa"), (5, "the the the")]
     tested = training + [(6, "a new cat"), (7, ""), (8, "zebra zebra \x00 日本"), (None, "cat"), (6, "a new cat")]
     model, counts = lm_score.fit(documents(spark, training))
@@ -184,12 +188,34 @@ def test_scores_equal_brute_force(spark, monkeypatch, hot):
     assert [g[5] for g in got] == pytest.approx([e[5] for e in expected], abs=2e-3)
 
 
-def test_probabilities_of_a_context_sum_to_one():
-    rng = np.random.default_rng(2)
-    names = np.unique(rng.integers(0, 1 << 24, 3000))
-    table = lm_score.log_table(names, rng.integers(1, 50, len(names))).reshape(-1, 256)
-    some = np.concatenate([np.unique(names >> 8)[:300], rng.integers(0, 1 << 16, 300)])
-    assert (10.0 ** table[some].astype(float)).sum(1) == pytest.approx(1, abs=1e-4)
+def test_probabilities_of_a_context_sum_to_one(spark):
+    training = documents(spark, [(1, "abracadabra abrupt"), (2, "abra cadabra é"), (3, "brab")])
+    _, tables = lm_score.fit(training)
+    for context in (b"abra", b"\xff\xff\xff\xff", b"zabr", b"zzra", b"zzzz", b"zzzb"):
+        names = [(int.from_bytes(context + bytes([s]), "big"),) for s in range(256)]
+        costs = [r["cost"] for r in tables.orders.costs(spark.createDataFrame(names, "name long")).collect()]
+        assert len(costs) == 256 and sum(10 ** c for c in costs) == pytest.approx(1)
+
+
+def test_what_is_learned_grows_with_the_corpus(spark):
+    """Far more contexts than orders up to two can tell apart, and repeated phrases cost little."""
+    rnd = np.random.default_rng(4)
+    training = [(i, "".join(map(chr, rnd.integers(97, 123, 3000)))) for i in range(60)] + [(99, "an unusual phrase, zq ")] * 3
+    model, tables = lm_score.fit(documents(spark, training))
+    assert tables.orders.strings[-1].count() == len(model.grams[0]) > 150_000
+    found = lm_score.score(documents(spark, [(1, "an unusual phrase, zq "), (2, "an unknown phrase, qz ")]), model, tables, ["doc_id"])
+    scores = {r["doc_id"]: r["score"] for r in found.collect()}
+    assert scores[1] > -12 and scores[1] > scores[2] + 8
+
+
+def test_hash_table_finds_all_and_only_its_names():
+    rnd = np.random.default_rng(5)
+    names = np.unique(rnd.integers(0, 1 << 40, 5000))
+    known, other = names[::2], names[1::2]
+    table = lm_score.HashTable(known, np.arange(len(known), dtype=np.float32))
+    values, found = table.find(np.concatenate([known, other]))
+    assert found.tolist() == [True] * len(known) + [False] * len(other) and values[:len(known)].tolist() == list(range(len(known)))
+    assert not lm_score.HashTable(known[:0], np.zeros(0)).find(known)[1].any()
 
 
 def test_lm_query_on_whole_documents(spark):

@@ -4,10 +4,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from helpers import UPPER, awkward, documents, empty
-from kestrel.llm import ngram_join
+from kestrel.llm import group_join, ngram_join
 from kestrel.llm.queries import op13_ngram_join
 
 TOKENS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -78,33 +79,68 @@ def test_mixed_families_in_blocks(spark, monkeypatch):
     expected = brute(rows)
     assert len({c for _, _, c in expected}) > 20
     for group, matrix in ((400, 1 << 25), (7, 600)):
-        monkeypatch.setattr(ngram_join, "GROUP", group)
+        monkeypatch.setattr(group_join, "GROUP", group)
         monkeypatch.setattr(ngram_join, "MATRIX_BYTES", matrix)
         assert rows_of(ngram_join.find(documents(spark, rows))) == expected
 
 
-def test_group_join_equals_all_pairs():
+def random_groups(trials):
+    """(sets with rarities, labels, order) of groups of sets that are similar, or nearly so."""
     rng = np.random.default_rng(3)
-    for trial in range(150):
+    for trial in range(trials):
         universe = rng.integers(0, 1 << 62, 60).astype(np.uint64)
+        rarity = dict(zip(universe.tolist(), rng.integers(0, 3, 60).tolist()))
         base = rng.permutation(universe)[:40]
         sets = [np.unique(np.concatenate([base[rng.random(40) < 0.93], rng.permutation(universe)[:rng.integers(0, 5)]]))
                 for _ in range(rng.integers(2, 12))]
-        sets = [s for s in sets if len(s)]
+        sets = [(s, np.array([rarity[x] for x in s.tolist()])) for s in sets if len(s)]
         order = ngram_join.Order({int(x): int(n) for x, n in zip(universe[:9].view(np.int64), rng.integers(2, 5, 9))})
-        before = rng.integers(0, 9, len(sets)) if trial % 2 else np.arange(len(sets))
-        found = ngram_join.join_group(sets, before, order)
-        label = before.copy()
-        for i in range(len(sets)):
-            for j in range(i):
-                if linked(set(sets[i].tolist()), set(sets[j].tolist())):
-                    label[label == label[i]] = label[j]
+        yield sets, rng.integers(0, 9, len(sets)) if trial % 2 else np.arange(len(sets)), order
+
+
+def linked_labels(sets, labels):
+    label = labels.copy()
+    for i in range(len(sets)):
+        for j in range(i):
+            if linked(set(sets[i][0].tolist()), set(sets[j][0].tolist())):
+                label[label == label[i]] = label[j]
+    return label
+
+
+def test_group_join_equals_all_pairs():
+    for sets, before, order in random_groups(150):
+        found, label = ngram_join.join_group(sets, before, order), linked_labels(sets, before)
         assert (np.equal.outer(found, found) == np.equal.outer(label, label)).all()
 
 
+@pytest.mark.parametrize("matrix", [1 << 25, 400])
+def test_families_of_fronts_hold_every_link(monkeypatch, matrix):
+    monkeypatch.setattr(ngram_join, "MATRIX_BYTES", matrix)
+    apart = 0
+    for sets, before, order in random_groups(150):
+        fronts = [order.sorted(s, r)[1][:ngram_join.in_front(len(s))].tolist() for s, r in sets]
+        rows = pa.RecordBatch.from_arrays([pa.array([len(s) for s, _ in sets]), pa.array(fronts, pa.list_(pa.int64()))], names=["n_shingles", "front"])
+        found, label = ngram_join.connect_fronts(rows, before), linked_labels(sets, before)
+        assert (np.equal.outer(label, label) <= np.equal.outer(found, found)).all()
+        apart += len(set(found.tolist())) > 1
+    assert apart  # some sets that share a few shingles are told apart
+    one, two = np.arange(0, 200, dtype=np.uint64), np.arange(150, 350, dtype=np.uint64)
+    order = ngram_join.Order({})
+    fronts = [order.sorted(s << np.uint64(32), np.zeros(200, np.int64))[1][:ngram_join.in_front(200)].tolist() for s in (one, two, one)]
+    rows = pa.RecordBatch.from_arrays([pa.array([200] * 3), pa.array(fronts, pa.list_(pa.int64()))], names=["n_shingles", "front"])
+    assert ngram_join.connect_fronts(rows, np.arange(3)).tolist() == [0, 1, 0]
+
+
+def test_possible_members(spark):
+    """The first common shingle of two similar sets leaves enough behind it in both."""
+    rows = spark.createDataFrame([(1, b"a", 100, 0), (1, b"b", 90, 0), (2, b"a", 100, 20), (2, b"b", 90, 1), (3, b"a", 100, 3), (3, b"c", 40, 0)],
+                                 "token long, key binary, n long, at int")
+    assert sorted((r["token"], bytes(r["key"])) for r in ngram_join.possible(rows).collect()) == [(1, b"a"), (1, b"b")]
+
+
 def test_boundary_of_the_similarity():
     sets = [np.arange(0, 100, dtype=np.uint64), np.arange(0, 85, dtype=np.uint64), np.arange(16, 100, dtype=np.uint64)]
-    found = ngram_join.join_group(sets, np.arange(3), ngram_join.Order({}))
+    found = ngram_join.join_group([(s, np.zeros(len(s), np.int64)) for s in sets], np.arange(3), ngram_join.Order({}))
     assert found[0] == found[1] != found[2]
 
 
