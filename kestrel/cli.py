@@ -101,10 +101,16 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--lexicon", help="table of (surface, pos, base_form) for the part-of-speech rules")
     p.add_argument("--lexicon-format", default="parquet")
     p.add_argument("--pos-mode", default="subclass", choices=["subclass", "level1"])
+    p.add_argument("--hot-words", nargs="*", help="words so frequent that their lexicon lookup is spread over tasks")
     p.add_argument("--sink-partitions", type=int, help="at most this many database connections write a batch")
     _add_sasl(p)
     _add_db(p)
 
+    p = sub.add_parser("keyword-report", help="a report over the keyword table that keyword-stream fills")
+    p.add_argument("--report", default="latest", choices=["latest", "span", "top"])
+    p.add_argument("--rows", type=int, default=100)
+    _add_db(p)
+
     p = sub.add_parser("publish-feed", help="stamp JSON lines and publish them keyed by id")
     p.add_argument("--input", required=True)
     p.add_argument("--bootstrap-servers", default="localhost:9092")
@@ -175,7 +181,16 @@ def run(args) -> None:
         run_keyword_job(spark, args.bootstrap_servers, args.topic, sink, args.checkpoint_location,
                         args.window, args.watermark, args.num_output_rows,
                         starting_offsets=args.starting_offsets, rejects_path=args.rejects_path,
-                        console=not args.no_console, lexicon=lexicon, pos_mode=args.pos_mode, **kafka_options)
+                        console=not args.no_console, lexicon=lexicon, pos_mode=args.pos_mode,
+                        hot_surfaces=args.hot_words, **kafka_options)
+    elif args.job == "keyword-report":
+        from kestrel.plans import reports
+        from kestrel.streaming.sinks import JdbcBatchSink
+
+        counts = JdbcBatchSink(args.url, args.table, _db_properties(args)).committed_rows(spark)
+        report = {"latest": reports.latest_window_ranking, "span": reports.alltime_span,
+                  "top": lambda c: reports.alltime_top(c, args.rows)}[args.report]
+        report(counts).show(args.rows, truncate=False)
     elif args.job == "publish-feed":
         from kestrel.plans import feed
 

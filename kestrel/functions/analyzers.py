@@ -8,8 +8,13 @@ text) and hands its ``(surface, pos, base_form)`` triples to the same native rul
 
 The analyzer is any Python callable ``text -> iterable of (surface, pos, base_form)``, importable
 on the executors (shipped with ``--py-files`` or installed); a dictionary-backed analyzer should
-build its tokenizer once per worker process (a module-level or cached object), not per call. The UDF is marked nondeterministic so the optimizer neither runs it
-twice nor moves it.
+build its tokenizer once per worker process (a module-level or cached object), not per call. The UDF is
+marked nondeterministic so the optimizer neither runs it twice nor moves it.
+
+``batch_tokens`` is the form for analyzers that work on many texts at once: the callable gets the texts of
+an Arrow batch as an array and returns three columns and the number of tokens of each text, so no object
+is made per token, and texts whose words are needed under several keys are analyzed once. An accumulator
+counts calls and texts.
 """
 
 from __future__ import annotations
@@ -19,7 +24,8 @@ from collections.abc import Callable, Iterable
 import sys
 
 import pandas as pd
-from pyspark import cloudpickle
+import pyarrow as pa
+from pyspark import Accumulator, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -63,3 +69,36 @@ def analyzed_tokens(df: DataFrame, text_col: str, keep: list[str], analyze: Anal
     return (tokens.filter(surface_ok(surface))
             .select(*keep, keyword.alias(keyword_name))
             .filter(F.col(keyword_name).isNotNull()))
+
+
+#: texts of a batch -> (tokens of each text, surfaces, parts of speech, base forms), the last three flat
+BatchAnalyzer = Callable[[pa.Array], tuple[list[int], list[str], list[str | None], list[str | None]]]
+
+
+def batch_tokens(df: DataFrame, text_col: str, keep: list[str], analyze: BatchAnalyzer, pos_mode: str = "subclass",
+                 keyword_name: str = "keyword", calls: Accumulator | None = None, texts: Accumulator | None = None) -> DataFrame:
+    """One row per keyword occurrence, tokens and tags from a batch analyzer, called once per Arrow batch.
+    ``calls`` and ``texts`` count what it was asked (a retried task counts again)."""
+    _ship_by_value(__name__)
+    rows = df.filter(F.col(text_col).isNotNull()).select(*keep, strip_urls(F.col(text_col)).alias("_text"))
+    schema = StructType([rows.schema[c] for c in keep] + TOKEN_TYPE.elementType.fields)
+    names = schema.names
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sizes, *columns = analyze(batch.column("_text"))
+            if calls is not None:
+                calls.add(1)
+            if texts is not None:
+                texts.add(batch.num_rows)
+            place = pa.array([i for i, n in enumerate(sizes) for _ in range(n)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(place) for c in keep]
+                                             + [pa.array(c, pa.string()) for c in columns], names=names)
+
+    tokens = rows.mapInArrow(run, schema)
+    surface = F.col("surface")
+    return (tokens.filter(surface_ok(surface))
+            .select(*keep, keyword_of(surface, F.col("pos"), F.col("base_form"), pos_mode).alias(keyword_name))
+            .filter(F.col(keyword_name).isNotNull()))

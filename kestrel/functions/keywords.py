@@ -129,23 +129,37 @@ def lexicon_frame(spark: SparkSession, entries: list[tuple[str, str, str]] | Dat
     return one.select("surface", F.col("r.pos").alias("pos"), F.col("r.base_form").alias("base_form"))
 
 
+def hot_surfaces(tokens: DataFrame, surface_col: str = "surface", tasks: int | None = None) -> list[str]:
+    """The surfaces that hold more than half of one task's share of all tokens, of ``tasks`` tasks (the
+    cluster's default parallelism): at most twice as many as there are tasks. One pass over the tokens
+    with a partial aggregate; the grand total comes with it."""
+    tasks = tasks or max(2, tokens.sparkSession.sparkContext.defaultParallelism)
+    counts = tokens.rollup(surface_col).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("total"))
+    top = counts.orderBy(F.desc("n"), F.desc("total")).limit(2 * tasks + 1).collect()
+    total = max((r["n"] for r in top if r["total"]), default=0)
+    return sorted(r[surface_col] for r in top if not r["total"] and r["n"] * 2 * tasks > total)
+
+
 def classify(tokens: DataFrame, lexicon: DataFrame | None, surface_col: str = "surface", keyword_name: str = "keyword",
-             pos_mode: str = "subclass", salt_col: str | None = None) -> DataFrame:
+             pos_mode: str = "subclass", salt_col: str | None = None, hot: list[str] | None = None) -> DataFrame:
     """Turn surface rows into keyword rows (F6-F8), dropping tokens that give none.
 
     All columns of ``tokens`` other than the surface (and the salt) are kept. With ``salt_col``, for
-    raw tokens, the join key is (surface, salt): the salt is the token's hash modulo the cluster's
-    default parallelism, each lexicon row is copied once per salt, and a word that holds a third of
-    all tokens is spread over all cores instead of one task.
+    raw tokens, and ``hot``, the surfaces found to be hot, the join key is (surface, salt): a hot token's salt
+    is its hash modulo the cluster's default parallelism, and a hot lexicon row is copied once per salt, so
+    a word that holds a third of all tokens is spread over all cores. Every other word has one salt and
+    one lexicon row.
     """
     keep = [c for c in tokens.columns if c not in (surface_col, salt_col)]
     surface = F.col(surface_col)
     if lexicon is None:
         return tokens.filter(noun_ok(surface)).select(*keep, surface.alias(keyword_name))
-    if salt_col:
+    if salt_col and hot:
         salts = max(2, tokens.sparkSession.sparkContext.defaultParallelism)
-        lex = lexicon.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        tokens = tokens.withColumn("_salt", F.pmod(F.col(salt_col), F.lit(salts)).cast("int"))
+        copies = F.when(F.col("surface").isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        lex = lexicon.withColumn("_salt", F.explode(copies))
+        salt = F.when(surface.isin(hot), F.pmod(F.col(salt_col), F.lit(salts))).otherwise(F.lit(0))
+        tokens = tokens.withColumn("_salt", salt.cast("int"))
         joined = tokens.join(lex, (tokens[surface_col] == lex["surface"]) & (tokens["_salt"] == lex["_salt"]), "left")
     else:
         lex = lexicon
@@ -157,20 +171,24 @@ def classify(tokens: DataFrame, lexicon: DataFrame | None, surface_col: str = "s
 
 def extract_keywords(df: DataFrame, text_col: str, keep: list[str], lexicon=None,
                      pos_mode: str = "subclass", keyword_name: str = "keyword") -> DataFrame:
-    """One row per keyword occurrence: ``keep`` columns plus ``keyword`` (U1 as a plan)."""
+    """One row per keyword occurrence: ``keep`` columns plus ``keyword`` (U1 as a plan). With a lexicon, a
+    first pass over the tokens finds the hot words, which alone are salted."""
     lex = None if lexicon is None else lexicon_frame(df.sparkSession, lexicon)
     salt = None if lex is None else "_token"
-    tokens = explode_tokens(df.filter(F.col(text_col).isNotNull()), text_col, keep, salt_name=salt)
-    return classify(tokens, lex, keyword_name=keyword_name, pos_mode=pos_mode, salt_col=salt)
+    rows = df.filter(F.col(text_col).isNotNull())
+    hot = hot_surfaces(explode_tokens(rows, text_col, [])) if salt else None
+    tokens = explode_tokens(rows, text_col, keep, salt_name=salt)
+    return classify(tokens, lex, keyword_name=keyword_name, pos_mode=pos_mode, salt_col=salt, hot=hot)
 
 
 def count_keywords(df: DataFrame, text_col: str, group_cols: list[str], lexicon=None,
-                   pos_mode: str = "subclass", count_name: str = "appearances") -> DataFrame:
+                   pos_mode: str = "subclass", count_name: str = "appearances",
+                   hot: list[str] | None = None) -> DataFrame:
     """Keyword appearances per group (and overall when ``group_cols`` is empty).
 
     With a lexicon, surfaces are counted per group before the join, so the join sees each distinct
     surface once per group instead of every token; on a stream, where that would add a stateful
-    step, the join is salted instead.
+    step, the ``hot`` surfaces (as ``hot_surfaces`` finds them in earlier rows) are salted instead.
     """
     lex = None if lexicon is None else lexicon_frame(df.sparkSession, lexicon)
     salt = "_token" if lex is not None and df.isStreaming else None
@@ -179,5 +197,5 @@ def count_keywords(df: DataFrame, text_col: str, group_cols: list[str], lexicon=
         per_surface = tokens.groupBy(*group_cols, "surface").agg(F.count("*").alias("_n"))
         return (classify(per_surface, lex, pos_mode=pos_mode)
                 .groupBy(*group_cols, "keyword").agg(F.sum("_n").cast("bigint").alias(count_name)))
-    keywords = classify(tokens, lex, pos_mode=pos_mode, salt_col=salt)
+    keywords = classify(tokens, lex, pos_mode=pos_mode, salt_col=salt, hot=hot)
     return keywords.groupBy(*group_cols, "keyword").agg(F.count("keyword").alias(count_name))

@@ -79,11 +79,61 @@ def encode_messages(df: DataFrame, id_col: Column, text_col: Column, ts_text: Co
                      envelope_json(id_col, text_col, ts_text, rules).alias("value"))
 
 
+#: the tokens of a JSON text: strings (no control characters, known escapes), single structural
+#: characters, blanks, and runs of anything else. The possessive forms neither go back nor recurse.
+JSON_TOKEN = (r'"[^"\\\x00-\x1F]*+(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\\x00-\x1F]*+)*+"'
+              r'|[{}\[\]:,]|[ \t\r\n]++|[^ \t\r\n"{}\[\]:,]++')
+#: what numbers, true, false and null are made of
+JSON_PLAIN = r"^[-+.0-9a-zE]++$"
+
+
+def _member_span(tokens: Column, name: str) -> Column:
+    """Where the last member ``name`` of the outermost object has its value, and where that object ends:
+    a struct of places in code points (``first`` is -1 without such a member). One pass over the tokens
+    with a state of a few numbers, so the work is linear in the line."""
+    zero, no = F.lit(0), F.lit(False)
+    start = F.struct(zero.alias("at"), zero.alias("depth"), no.alias("naming"), no.alias("hit"), no.alias("inside"), F.lit(-1).alias("open"),
+                     F.lit(-1).alias("first"), F.lit(-1).alias("last"), zero.alias("full"), F.lit(-1).alias("end"), no.alias("some"))
+
+    def step(s: Column, token: Column) -> Column:
+        size = F.length(token)
+        blank = token.rlike(r"^[ \t\r\n]")
+        opens, closes = token.isin("{", "["), token.isin("}", "]")
+        top = s["depth"] == 1
+        text = token.startswith('"')
+        # an escaped name is compared after unescaping
+        same = (token == f'"{name}"') | (token.contains("\\") & F.coalesce(
+            F.get_json_object(F.concat(F.lit('{"k":'), token, F.lit("}")), "$.k") == name, no))
+        named = top & s["naming"] & text
+        value_begins = top & (token == ":")
+        value_ends = top & (token.isin(",", "}"))
+        starts = s["inside"] & (s["open"] < 0) & ~blank  # first token of the value
+        open_at = F.when(starts, s["at"]).otherwise(s["open"])
+        closed = s["inside"] & value_ends
+        return F.struct(
+            (s["at"] + size).alias("at"),
+            (s["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)).alias("depth"),
+            F.when(blank, s["naming"]).when((s["depth"] == 0) & (token == "{"), True).otherwise(top & (token == ",")).alias("naming"),
+            F.when(named, same).when(value_begins | value_ends, no).otherwise(s["hit"]).alias("hit"),
+            F.when(value_begins, s["hit"]).when(value_ends, no).otherwise(s["inside"]).alias("inside"),
+            F.when(value_begins | value_ends, F.lit(-1)).otherwise(open_at).alias("open"),
+            F.when(closed, s["open"]).otherwise(s["first"]).alias("first"),
+            F.when(closed, s["full"]).otherwise(s["last"]).alias("last"),
+            F.when(blank, s["full"]).otherwise(s["at"] + size).alias("full"),
+            F.when(top & (token == "}"), s["at"]).otherwise(s["end"]).alias("end"),
+            (s["some"] | named).alias("some"))
+
+    return F.aggregate(tokens, start, step)
+
+
 def stamp_feed_lines(lines: DataFrame, stamp: Column | None = None, column: str = "value") -> DataFrame:
-    """Feed enrichment (Q11): each JSON-object line gets a top-level ``ts``, in the place of one it
-    may have, and is keyed by ``data.id``. The line is parsed once, as a whole; all other members keep
-    their values. Blank keep-alive lines are dropped; a line with no ``data.id`` gets a NULL key, and a
-    line that is not one JSON object gets a NULL value (a reject, never published).
+    """Feed enrichment (Q11): each JSON-object line gets a top-level ``ts``, in the place of the value
+    that it may have, and is keyed by ``data.id``. The line is not written anew: the stamp is spliced into
+    its text, so numbers of any size, the order of members, members that repeat and blanks come out as
+    they went in. (Of several ``ts`` members the last one, which readers take, is replaced.)
+
+    Blank keep-alive lines are dropped; a line with no ``data.id`` gets a NULL key, and a line that is
+    not one JSON object gets a NULL value (a reject, never published).
 
     Columns: ``key``, ``value``, and ``raw``, the line itself.
     """
@@ -92,13 +142,18 @@ def stamp_feed_lines(lines: DataFrame, stamp: Column | None = None, column: str
     # two: the second, named by the line's hash, is there only if the line is one whole value.
     mark = F.md5(F.col(column))
     pair = F.concat(F.lit('{"v":'), F.col(column), F.lit(',"'), mark, F.lit('":0}'))
-    members = F.try_variant_get(F.try_parse_json(pair), "$", "map<string, variant>")
     parsed = lines.filter(F.col(column).rlike(r"\S")).select(
-        F.col(column).alias("raw"), mark.alias("mark"), members.alias("m"), stamp.alias("stamp"))
-    whole = (F.size("m") == 2) & F.map_contains_key("m", F.col("mark"))
-    parsed = parsed.select("raw", "stamp", F.when(whole, F.col("m")["v"]).alias("v"))
-    is_object = F.schema_of_variant("v").startswith("OBJECT")
-    fields = F.map_filter(F.try_variant_get("v", "$", "map<string, variant>"), lambda k, _: k != "ts")
-    stamped = F.map_concat(fields, F.create_map(F.lit("ts"), F.col("stamp").cast("variant")))
-    return parsed.select(F.try_variant_get("v", "$.data.id", "string").alias("key"),
-                         F.when(is_object, F.to_json(stamped)).alias("value"), "raw")
+        F.col(column).alias("raw"), F.regexp_extract_all(F.col(column), F.lit(JSON_TOKEN), F.lit(0)).alias("tokens"),
+        (F.json_object_keys(pair) == F.array(F.lit("v"), mark)).alias("whole"), F.to_json(F.struct(stamp.alias("ts"))).alias("stamp"))
+    # the parser also takes strings in single quotes; such a line has a token that JSON does not have
+    strict = F.forall("tokens", lambda t: t.rlike(r'^[ \t\r\n"{}\[\]:,]') | t.rlike(JSON_PLAIN)) & (F.array_join("tokens", "") == F.col("raw"))
+    parsed = parsed.select("raw", "tokens", "stamp", (F.coalesce("whole", F.lit(False)) & strict & F.ltrim("raw").startswith("{")).alias("good"))
+    spans = parsed.select("raw", "good", F.expr("substring(stamp, 7, length(stamp) - 7)").alias("stamp"),
+                          F.when(F.col("good"), _member_span(F.col("tokens"), "ts")).alias("s"))
+    part = lambda a, b: F.substring("raw", a + 1, b - a)
+    replaced = F.concat(part(F.lit(0), F.col("s.first")), F.col("stamp"), part(F.col("s.last"), F.length("raw")))
+    added = F.concat(part(F.lit(0), F.col("s.end")), F.when(F.col("s.some"), F.lit(",")).otherwise(F.lit("")), F.lit('"ts":'),
+                     F.col("stamp"), part(F.col("s.end"), F.length("raw")))
+    return spans.select(
+        F.when(F.col("good"), F.from_json("raw", StructType([StructField("data", DATA_SCHEMA)]))["data"]["id"]).alias("key"),
+        F.when(F.col("good"), F.when(F.col("s.first") >= 0, replaced).otherwise(added)).alias("value"), "raw")

@@ -3,25 +3,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.functions.formatting import iso_text, shift_hours
 from kestrel.operators.aggregates import rows_at_max, span, top_k
-from kestrel.sources.files import newest_partition
 from kestrel.operators.expand import repeat_by_weight, weight_chunks
+from kestrel.sources.files import partition_values, read_partitions
 
 LOCAL_CLOCK_HOURS = 9
 
 
+class KeywordTable:
+    """A stored keyword table partitioned by ``window_day`` (the day of the window start). The days come from
+    one listing of its folders, so a report lists and reads the files of the days that it needs only."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.days = partition_values(spark, path, "window_day")
+
+    def all(self) -> DataFrame:
+        return self.spark.read.parquet(self.path)
+
+    def newest_day(self) -> DataFrame:
+        """The rows of the newest day, which hold the newest window."""
+        return self._of(self.days[-1:])
+
+    def edge_days(self) -> DataFrame:
+        """The rows of the first and the last day, which hold the first start and the last end."""
+        return self._of(sorted({*self.days[:1], *self.days[-1:]}))
+
+    def _of(self, days: list[str]) -> DataFrame:
+        return read_partitions(self.spark, self.path, "window_day", days) if days else self.all()
+
+
 def newest_window_rows(counts: DataFrame) -> DataFrame:
-    """Rows of the newest window. On a stored table partitioned by ``window_day`` the newest day is
-    taken from the table's file listing, without reading a file, and is a constant partition filter:
-    only the last day's files are read, and of these the row groups that may hold the window."""
-    if "window_day" in counts.columns:
-        newest = newest_partition(counts, "window_day")
-        if newest is not None:
-            counts = counts.filter(F.col("window_day") == F.lit(newest).cast("date"))
+    """Rows of the newest window (of a stored table, pass its newest day)."""
     return rows_at_max(counts, "window_end")
 
 

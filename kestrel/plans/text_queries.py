@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.functions.analyzers import batch_tokens
+from kestrel.functions.keywords import WORD_PATTERN as TOKEN_PATTERN
 from kestrel.functions.keywords import count_keywords, extract_keywords, keyword_array
+from kestrel.functions.segmentation import segmented_keywords
 from kestrel.functions.messages import decode_messages, encode_messages, iso_stamp, split_rejects
 from kestrel.plans.tables import table, text_table
 from kestrel.plans.report_sql import ALLTIME_SPAN, ALLTIME_TOP, LATEST_WINDOW_RANKING, run_report
-from kestrel.plans.reports import (alltime_span, alltime_top, bag_text_pieces, latest_window_bag,
+from kestrel.plans.reports import (KeywordTable, alltime_span, alltime_top, bag_text_pieces, latest_window_bag,
                                    latest_window_ranking)
 from kestrel.session import shared_path
-from kestrel.sources.files import path_exists
+from kestrel.sources.files import input_version, path_exists
 from kestrel.sources.streams import payload_text
 from kestrel.sinks.files import write_files
 from kestrel.streaming.windows import as_wall_clock, count_per_window, keyword_counts, with_window_day
@@ -166,68 +169,83 @@ def q_keyword_counts_batch(spark, sf_dir):
     return as_wall_clock(document_keyword_counts(spark, sf_dir), "window_start", "window_end")
 
 
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, str, str], str] = {}
 
 
-def stored_keyword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The keyword table as the reports read it in production: written once (per application and
-    input), partitioned by day of window start, its rows in order of time so that each task leaves
-    files in few days and row groups hold few windows."""
-    at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _STORED or not path_exists(spark, f"{_STORED[at]}/_SUCCESS"):
-        path = shared_path(spark, "keyword-table")
-        counts = with_window_day(document_keyword_counts(spark, sf_dir))
-        clustered = counts.repartitionByRange("window_start", "keyword").sortWithinPartitions("window_start", "keyword")
-        write_files(clustered, path, "parquet", partition_by=["window_day"])
-        _STORED[at] = path
-    return spark.read.parquet(_STORED[at])
+def build_keyword_table(spark: SparkSession, sf_dir: str) -> KeywordTable:
+    """The keyword table as the reports read it in production: partitioned by day of window start, its rows
+    in order of time so that each task leaves files in few days and row groups hold few windows."""
+    path = shared_path(spark, "keyword-table")
+    counts = with_window_day(document_keyword_counts(spark, sf_dir))
+    clustered = counts.repartitionByRange("window_start", "keyword").sortWithinPartitions("window_start", "keyword")
+    write_files(clustered, path, "parquet", partition_by=["window_day"])
+    _STORED[_state_of(spark, sf_dir)] = path
+    return KeywordTable(spark, path)
+
+
+def _state_of(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    return spark.sparkContext.applicationId, sf_dir, input_version(spark, f"{sf_dir.rstrip('/')}/documents.parquet")
+
+
+def stored_keyword_table(spark: SparkSession, sf_dir: str) -> KeywordTable:
+    """The table built from the documents as they are now: built again whenever a file of the input has
+    been added, removed or changed."""
+    path = _STORED.get(_state_of(spark, sf_dir))
+    if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
+        return build_keyword_table(spark, sf_dir)
+    return KeywordTable(spark, path)
+
+
+def q_keyword_table_build(spark, sf_dir):
+    """K1, Q5: the keyword table of the reports, built anew and read back."""
+    return as_wall_clock(build_keyword_table(spark, sf_dir).all(), "window_start", "window_end")
 
 
 def q_latest_window_ranking(spark, sf_dir):
     """Q7 (F1, A5, O4, C10): keywords of the newest window by appearances."""
-    return as_wall_clock(latest_window_ranking(stored_keyword_table(spark, sf_dir)), "window_end_local")
+    return as_wall_clock(latest_window_ranking(stored_keyword_table(spark, sf_dir).newest_day()), "window_end_local")
 
 
 def q_latest_window_ranking_sql(spark, sf_dir):
-    """Q7 as SQL text over a view of the stored table."""
-    stored_keyword_table(spark, sf_dir).createOrReplaceTempView("stored_keywords_ranking")
+    """Q7 as SQL text over a view of the stored table's newest day."""
+    stored_keyword_table(spark, sf_dir).newest_day().createOrReplaceTempView("stored_keywords_ranking")
     return as_wall_clock(run_report(spark, LATEST_WINDOW_RANKING, "stored_keywords_ranking"), "window_end_local")
 
 
 def q_latest_window_bag(spark, sf_dir):
     """Q8 (C12): the newest window's keywords, one row per appearance."""
-    return as_wall_clock(latest_window_bag(stored_keyword_table(spark, sf_dir)), "window_end_local")
+    return as_wall_clock(latest_window_bag(stored_keyword_table(spark, sf_dir).newest_day()), "window_end_local")
 
 
 def q_latest_window_text(spark, sf_dir):
     """The newest window's word bag as space-joined pieces of text."""
-    return as_wall_clock(bag_text_pieces(stored_keyword_table(spark, sf_dir)), "window_end_local")
+    return as_wall_clock(bag_text_pieces(stored_keyword_table(spark, sf_dir).newest_day()), "window_end_local")
 
 
 def q_alltime_span(spark, sf_dir):
     """Q9 (A6, C10, C11): first window start and last window end, with a caption."""
-    return as_wall_clock(alltime_span(stored_keyword_table(spark, sf_dir)), "first_start_local", "last_end_local")
+    return as_wall_clock(alltime_span(stored_keyword_table(spark, sf_dir).edge_days()), "first_start_local", "last_end_local")
 
 
 def q_alltime_span_sql(spark, sf_dir):
-    """Q9 as SQL text over a view of the stored table."""
-    stored_keyword_table(spark, sf_dir).createOrReplaceTempView("stored_keywords_span")
+    """Q9 as SQL text over a view of the stored table's first and last day."""
+    stored_keyword_table(spark, sf_dir).edge_days().createOrReplaceTempView("stored_keywords_span")
     return as_wall_clock(run_report(spark, ALLTIME_SPAN, "stored_keywords_span"), "first_start_local", "last_end_local")
 
 
 def q_latest_window_from_table(spark, sf_dir):
-    """Q7 on the stored table: only the newest day's files are read for the window rows."""
-    return as_wall_clock(latest_window_ranking(stored_keyword_table(spark, sf_dir)), "window_end_local")
+    """Q7 over a table built for this call, whatever was stored before."""
+    return as_wall_clock(latest_window_ranking(build_keyword_table(spark, sf_dir).newest_day()), "window_end_local")
 
 
 def q_alltime_top100(spark, sf_dir):
     """Q10 (A4, O5, F2): the 100 keywords with the most appearances."""
-    return alltime_top(stored_keyword_table(spark, sf_dir), 100)
+    return alltime_top(stored_keyword_table(spark, sf_dir).all(), 100)
 
 
 def q_alltime_top100_sql(spark, sf_dir):
     """Q10 as SQL text over a view of the stored table."""
-    stored_keyword_table(spark, sf_dir).createOrReplaceTempView("stored_keywords_top")
+    stored_keyword_table(spark, sf_dir).all().createOrReplaceTempView("stored_keywords_top")
     return run_report(spark, ALLTIME_TOP, "stored_keywords_top")
 
 
@@ -244,6 +262,57 @@ def q_keywords_links_japanese(spark, sf_dir):
     return count_keywords(texts, "text", ["lang"], lexicon=TEST_LEXICON)
 
 
+def letter_run_analyzer(texts):
+    """A batch analyzer: letter runs of all texts of a batch; runs of three letters are verbs, the rest nouns."""
+    import re
+
+    found = [re.findall(r"[^\W_]+", t) for t in texts.to_pylist()]
+    flat = [w for ws in found for w in ws]
+    verbs = [len(w) == 3 for w in flat]
+    return ([len(ws) for ws in found], flat, ["動詞,自立,*,*" if v else "名詞,一般,*,*" for v in verbs],
+            [w + "る" if v else w for w, v in zip(flat, verbs)])
+
+
+def q_keyword_batch_analyzer(spark, sf_dir):
+    """Keywords per conversation role from an external analyzer that takes a batch of texts at once."""
+    conv = text_table(spark, sf_dir, "conversations")
+    return batch_tokens(conv, "text", ["role"], letter_run_analyzer).groupBy("role", "keyword").agg(
+        F.count("*").alias("appearances"))
+
+
+# --- running text -----------------------------------------------------------------------------
+
+def running_text(text: F.Column) -> F.Column:
+    """The text with two of each three blanks gone: runs of up to three words."""
+    return F.regexp_replace(text, r"([^ \t\r\n]+)[ \t\r\n]+([^ \t\r\n]+)[ \t\r\n]+([^ \t\r\n]+)", "$1$2$3")
+
+
+def corpus_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lexicon of the documents' own words of three or more occurrences: frequent words are cheap; words of
+    one or two letters are particles, those of three verbs, the others nouns."""
+    docs = text_table(spark, sf_dir, "documents")
+    words = docs.select(F.explode(F.regexp_extract_all("text", F.lit(TOKEN_PATTERN), F.lit(0))).alias("surface"))
+    counts = words.groupBy("surface").count().where("count >= 3")
+    size = F.length("surface")
+    return counts.select(
+        "surface", F.when(size <= 2, "助詞,係助詞,*,*").when(size == 3, "動詞,自立,*,*").otherwise("名詞,一般,*,*").alias("pos"),
+        F.when(size == 3, F.concat("surface", F.lit("る"))).otherwise(F.col("surface")).alias("base_form"),
+        (8000 - 700 * F.length(F.col("count").cast("string")) + 150 * size).alias("cost"))
+
+
+def q_keyword_segments(spark, sf_dir):
+    """Keywords per language of running text, cut into words by a least-cost lattice over a
+    lexicon of the corpus (broadcast as a trie)."""
+    docs = text_table(spark, sf_dir, "documents").select("lang", running_text(F.col("text")).alias("text"))
+    return segmented_keywords(docs, "text", ["lang"], corpus_lexicon(spark, sf_dir))
+
+
+def q_keyword_segments_joined(spark, sf_dir):
+    """The same with a lexicon taken as too large to broadcast: its entries are joined to the runs."""
+    docs = text_table(spark, sf_dir, "documents").select("lang", running_text(F.col("text")).alias("text"))
+    return segmented_keywords(docs, "text", ["lang"], corpus_lexicon(spark, sf_dir), trie_rows=0)
+
+
 QUERIES = {
     "message_decode": q_message_decode,
     "message_rejects": q_message_rejects,
@@ -256,6 +325,10 @@ QUERIES = {
     "keyword_occurrences_table": q_keyword_occurrences_table,
     "window_counts_batch": q_window_counts_batch,
     "keyword_counts_batch": q_keyword_counts_batch,
+    "keyword_batch_analyzer": q_keyword_batch_analyzer,
+    "keyword_segments": q_keyword_segments,
+    "keyword_segments_joined": q_keyword_segments_joined,
+    "keyword_table_build": q_keyword_table_build,
     "latest_window_ranking": q_latest_window_ranking,
     "latest_window_ranking_sql": q_latest_window_ranking_sql,
     "latest_window_text": q_latest_window_text,
@@ -390,5 +463,57 @@ ORACLE = {
     "keywords_links_japanese": sql_lexicon_keywords(
         "subclass", "lang", f"SELECT lang, 'https://t.co/' || doc_id || 'Ab ' || text || '{JAPANESE_TAIL}' AS text FROM documents"),
 }
+# Running text: every span of a run that is a word or may be an unknown one, then the dynamic program over the
+# places of a run (a fold that appends the best way to reach each place), then the cuts backwards.
+ORACLE["keyword_segments"] = f"""
+    WITH texts AS (SELECT lang, regexp_replace(text,
+            '([^ \\t\\r\\n]+)[ \\t\\r\\n]+([^ \\t\\r\\n]+)[ \\t\\r\\n]+([^ \\t\\r\\n]+)', '\\1\\2\\3', 'g') AS text FROM documents),
+    lex AS (SELECT surface, CASE WHEN length(surface) <= 2 THEN '助詞,係助詞,*,*' WHEN length(surface) = 3 THEN '動詞,自立,*,*'
+                                 ELSE '名詞,一般,*,*' END AS pos,
+                   CASE WHEN length(surface) = 3 THEN surface || 'る' ELSE surface END AS base_form,
+                   8000 - 700 * length(CAST(count(*) AS VARCHAR)) + 150 * length(surface) AS cost
+            FROM (SELECT unnest(regexp_extract_all(text, '{WORD_PATTERN}')) AS surface FROM documents)
+            GROUP BY surface HAVING count(*) >= 3),
+    counted AS (SELECT lang, surface AS run, count(*) AS n FROM ({sql_tokens('texts', 'lang')}) GROUP BY ALL),
+    places AS (SELECT run, length(run) AS n, unnest(range(length(run))) AS s FROM (SELECT DISTINCT run FROM counted)),
+    classes AS (SELECT *, CASE WHEN regexp_matches(substr(run, s + 1, 1), '[ぁ-ゟ]') THEN 1
+                               WHEN regexp_matches(substr(run, s + 1, 1), '[ァ-ヿｦ-ﾟ]') THEN 2
+                               WHEN regexp_matches(substr(run, s + 1, 1), '[㐀-鿿々]') THEN 3
+                               WHEN regexp_matches(substr(run, s + 1, 1), '[0-9]') THEN 4 ELSE 0 END AS class FROM places),
+    bounds AS (SELECT *, lead(class) OVER (PARTITION BY run ORDER BY s) IS DISTINCT FROM class AS bound FROM classes),
+    ends AS (SELECT *, min(CASE WHEN bound THEN s + 1 END)
+                 OVER (PARTITION BY run ORDER BY s ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS class_end FROM bounds),
+    spans AS (
+      SELECT run, s, e, min(cost) FILTER (WHERE known) AS kc, min(cost) FILTER (WHERE NOT known) AS uc FROM (
+        SELECT run, s, s + k AS e, cost, true AS known
+        FROM (SELECT run, s, unnest(range(1, least(n - s, 64) + 1)) AS k FROM places) JOIN lex ON substr(run, s + 1, k) = surface
+        UNION ALL SELECT run, s, s + 1, 21000, false FROM ends
+        UNION ALL SELECT run, s, class_end, 20000 + 1000 * (class_end - s), false FROM ends)
+      GROUP BY run, s, e),
+    steps AS (SELECT run, e, list(struct_pack(c := CAST(least(kc, uc) AS BIGINT), w := CAST(1 AS BIGINT), s := CAST(s AS BIGINT))) AS l
+              FROM spans GROUP BY run, e),
+    folds AS (SELECT run, list(l ORDER BY e) AS ls FROM steps GROUP BY run),
+    dp AS (SELECT run, list_reduce(list_prepend([struct_pack(c := CAST(0 AS BIGINT), w := CAST(0 AS BIGINT), s := CAST(0 AS BIGINT))], ls),
+             lambda acc, x: list_append(acc, list_sort(list_transform(x, lambda y: struct_pack(
+               c := acc[y.s + 1].c + y.c, w := acc[y.s + 1].w + 1, s := y.s)))[1])) AS best FROM folds),
+    back AS (SELECT run, list_reduce(list_prepend([CAST(len(best) - 1 AS BIGINT)], list_transform(range(len(best)), lambda x: [x])),
+               lambda acc, x: CASE WHEN acc[-1] = 0 THEN acc ELSE list_append(acc, best[acc[-1] + 1].s) END) AS cuts FROM dp),
+    cut AS (SELECT run, cuts[i] AS e, cuts[i + 1] AS s FROM (SELECT run, cuts, unnest(range(1, len(cuts))) AS i FROM back)),
+    tagged AS (SELECT cut.run, substr(cut.run, cut.s + 1, cut.e - cut.s) AS surface, coalesce(kc <= uc, kc IS NOT NULL) AS known
+               FROM cut JOIN spans ON cut.run = spans.run AND cut.s = spans.s AND cut.e = spans.e),
+    k AS (SELECT t.run, CASE WHEN NOT known OR starts_with(pos, '名詞')
+                                  THEN CASE WHEN NOT regexp_matches(t.surface, '{NOUN_STOP}') THEN t.surface END
+                             WHEN starts_with(pos, '動詞,自立')
+                                  THEN CASE WHEN NOT regexp_matches(base_form, '{VERB_STOP}') THEN base_form END END AS keyword
+          FROM (SELECT * FROM tagged WHERE {SQL_SURFACE_OK}) t LEFT JOIN lex ON t.surface = lex.surface)
+    SELECT lang, keyword, CAST(sum(n) AS BIGINT) AS appearances FROM counted JOIN k ON counted.run = k.run
+    WHERE keyword IS NOT NULL GROUP BY lang, keyword"""
+ORACLE["keyword_batch_analyzer"] = f"""
+    WITH t AS ({sql_tokens('SELECT role, text FROM conversations', 'role')})
+    SELECT role, CASE WHEN length(surface) = 3 THEN surface || 'る' ELSE surface END AS keyword, count(*) AS appearances FROM t
+    WHERE {SQL_SURFACE_OK} AND CASE WHEN length(surface) = 3 THEN NOT regexp_matches(surface || 'る', '{VERB_STOP}') ELSE {SQL_NOUN_OK} END
+    GROUP BY ALL"""
+ORACLE["keyword_segments_joined"] = ORACLE["keyword_segments"]
+ORACLE["keyword_table_build"] = f"WITH {SQL_DOC_COUNTS} SELECT *, CAST(window_start AS DATE) AS window_day FROM c"
 for _name in ("latest_window_ranking", "alltime_span", "alltime_top100"):
     ORACLE[f"{_name}_sql"] = ORACLE[_name]

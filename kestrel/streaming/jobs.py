@@ -13,17 +13,38 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from kestrel.functions.messages import decode_messages, split_rejects
+from kestrel.session import ROCKSDB_PROVIDER
 from kestrel.sinks.console import console_stream_writer
 from kestrel.sources.streams import payload_text
 from kestrel.streaming.windows import keyword_counts
 
 BatchSink = Callable[[DataFrame, int], None]
 
+#: how long one of several queries is waited for before the next one is looked at
+POLL_SECONDS = 0.2
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, off the JVM heap; the session's own setting
+    comes back afterwards (a query keeps the one it was started with)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
 
 def checkpoint_dir(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
@@ -46,9 +67,11 @@ def with_trigger(writer: DataStreamWriter, trigger: dict | None) -> DataStreamWr
 def keyword_sink_writer(messages: DataFrame, sink: BatchSink, checkpoint_base: str,
                         window: str = "30 seconds", watermark: str = "30 seconds", lexicon=None,
                         pos_mode: str = "subclass", trigger: dict | None = None,
-                        query_name: str = "keywords to database") -> DataStreamWriter:
+                        query_name: str = "keywords to database", hot_surfaces: list[str] | None = None) -> DataStreamWriter:
+    """``hot_surfaces``: words so frequent that their lexicon lookup is salted (see ``hot_surfaces`` in
+    ``functions.keywords``, over an earlier day's texts)."""
     texts, _ = decoded_texts(messages)
-    counts = keyword_counts(texts, "ts", "text", window, watermark, lexicon, pos_mode)
+    counts = keyword_counts(texts, "ts", "text", window, watermark, lexicon, pos_mode, hot_surfaces)
     writer = (counts.writeStream.outputMode("append").foreachBatch(sink)
               .option("checkpointLocation", checkpoint_dir(checkpoint_base, "database-sink"))
               .queryName(query_name))
@@ -63,6 +86,15 @@ def text_console_writer(messages: DataFrame, checkpoint_base: str, num_output_ro
     return with_trigger(writer, trigger)
 
 
+def text_table_writer(messages: DataFrame, path: str, checkpoint_base: str, trigger: dict | None = None,
+                      query_name: str = "texts to table") -> DataStreamWriter:
+    """Q6 with a table in the place of the console: id and text of every message that has a text."""
+    texts, _ = decoded_texts(messages, need_time=False)
+    writer = (texts.select("id", "text").writeStream.format("parquet").outputMode("append").option("path", path)
+              .option("checkpointLocation", checkpoint_dir(checkpoint_base, "texts")).queryName(query_name))
+    return with_trigger(writer, trigger)
+
+
 def rejects_writer(messages: DataFrame, path: str, checkpoint_base: str,
                    trigger: dict | None = None) -> DataStreamWriter:
     """Messages without text or time, with the reason, to a file table (exactly once via the file sink log)."""
@@ -76,14 +108,27 @@ def rejects_writer(messages: DataFrame, path: str, checkpoint_base: str,
 def start_keyword_job(spark: SparkSession, messages: DataFrame, sink: BatchSink, checkpoint_base: str,
                       window: str = "30 seconds", watermark: str = "30 seconds", num_output_rows: int = 128,
                       lexicon=None, pos_mode: str = "subclass", trigger: dict | None = None,
-                      console: bool = True, rejects_path: str | None = None) -> list[StreamingQuery]:
-    """Start the keyword query, and the console and rejects queries when asked for."""
-    started = [keyword_sink_writer(messages, sink, checkpoint_base, window, watermark, lexicon,
-                                   pos_mode, trigger).start()]
+                      console: bool = True, rejects_path: str | None = None,
+                      texts_path: str | None = None, hot_surfaces: list[str] | None = None) -> list[StreamingQuery]:
+    """Start the keyword query, and the console, text table and rejects queries when asked for. All of
+    them run at once over one source definition, each with its own checkpoint (T6); if one cannot be
+    started, those already started are stopped."""
+    writers = [keyword_sink_writer(messages, sink, checkpoint_base, window, watermark, lexicon, pos_mode, trigger,
+                                   hot_surfaces=hot_surfaces)]
     if console:
-        started.append(text_console_writer(messages, checkpoint_base, num_output_rows, trigger).start())
+        writers.append(text_console_writer(messages, checkpoint_base, num_output_rows, trigger))
+    if texts_path:
+        writers.append(text_table_writer(messages, texts_path, checkpoint_base, trigger))
     if rejects_path:
-        started.append(rejects_writer(messages, rejects_path, checkpoint_base, trigger).start())
+        writers.append(rejects_writer(messages, rejects_path, checkpoint_base, trigger))
+    started: list[StreamingQuery] = []
+    try:
+        for writer in writers:
+            started.append(writer.start())
+    except Exception:
+        for query in started:
+            query.stop()
+        raise
     return started
 
 
@@ -91,23 +136,23 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float
     """Wait until every query ends or ``timeout`` seconds pass; returns whether all ended.
 
     The first failure of any query is raised at once and stops the others (T9), instead of
-    going unnoticed while the job waits on another query.
+    going unnoticed while the job waits on another query. Only these queries are looked at, so what other
+    queries of the session do neither ends nor prolongs the wait.
     """
     deadline = None if timeout is None else time.monotonic() + timeout
     pending = list(queries)
     while pending:
-        left = None if deadline is None else max(0.0, deadline - time.monotonic())
-        try:
-            spark.streams.awaitAnyTermination(left)
-        except Exception:
-            for q in pending:
-                if q.isActive:
-                    q.stop()
-            raise
         for q in list(pending):
-            if not q.isActive:
+            left = POLL_SECONDS if deadline is None else min(POLL_SECONDS, max(0.01, deadline - time.monotonic()))
+            try:
+                ended = q.awaitTermination(left)
+            except Exception:
+                for other in queries:
+                    if other.isActive:
+                        other.stop()
+                raise
+            if ended:
                 pending.remove(q)
-        spark.streams.resetTerminated()
         if deadline is not None and time.monotonic() >= deadline:
             break
     return not pending
@@ -131,7 +176,8 @@ def run_keyword_job(spark: SparkSession, bootstrap_servers: str, topic: str, sin
                     num_output_rows: int = 128, lexicon=None, pos_mode: str = "subclass",
                     starting_offsets: str = "latest", fail_on_data_loss: bool = False,
                     trigger: dict | None = None, rejects_path: str | None = None,
-                    timeout: float | None = None, console: bool = True, **kafka_options) -> list[StreamingQuery]:
+                    timeout: float | None = None, console: bool = True, hot_surfaces: list[str] | None = None,
+                    **kafka_options) -> list[StreamingQuery]:
     """Q5 + Q6 as one job: subscribe to ``topic``, count keywords per window into ``sink``
     (e.g. ``JdbcBatchSink``), print texts, and wait; a failure of either query ends the job.
 
@@ -143,7 +189,8 @@ def run_keyword_job(spark: SparkSession, bootstrap_servers: str, topic: str, sin
     messages = kafka_stream(spark, bootstrap_servers, topic, starting_offsets, fail_on_data_loss,
                             **kafka_options)
     started = start_keyword_job(spark, messages, sink, checkpoint_location, window, watermark,
-                                num_output_rows, lexicon, pos_mode, trigger, console, rejects_path)
+                                num_output_rows, lexicon, pos_mode, trigger, console, rejects_path,
+                                hot_surfaces=hot_surfaces)
     await_all(spark, started, timeout)
     return started
 

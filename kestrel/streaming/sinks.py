@@ -6,12 +6,14 @@ was not recorded). These sinks make that harmless:
 * ``FileBatchSink`` writes batch N to its own folders ``batch_id=N`` with dynamic partition
   overwrite, so a replay replaces the earlier attempt, partial or complete. The folders read
   back as one table partitioned by ``batch_id`` (and any time partition columns).
+* ``CommittedFileSink`` writes each attempt to a folder of its own and commits it with a small file;
+  readers see committed attempts only.
 * ``JdbcBatchSink`` writes a batch from all its partitions, marked with the batch id and an attempt
   of its own, and then one row (batch id, attempt) to a commit table. A batch whose id is committed is
   skipped; rows of an attempt that was never committed are left out by ``committed_rows``. The
   commit check is a filtered query pushed to the database, on a table of one row per batch.
 
-A failing read is an error in both: it never counts as "nothing stored".
+A failing read is an error in all: it never counts as "nothing stored".
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.sinks.jdbc import write_jdbc
-from kestrel.sources.files import path_exists
+from kestrel.sources.files import path_exists, write_small_file
 from kestrel.sources.jdbc import read_jdbc
 from kestrel.streaming.windows import with_window_day
 
@@ -83,6 +85,49 @@ class WindowTableSink(FileBatchSink):
         super().__call__(with_window_day(batch_df), batch_id)
 
 
+class CommittedFileSink:
+    """Micro-batches as attempts, for file systems without a folder overwrite to rely on: every attempt at
+    batch N writes a folder of its own, ``rows/batch_id=N/attempt=...``, and is committed by one small file,
+    ``commits/N``, that names it. A committed batch is not written again. ``read`` returns the rows of
+    committed attempts only; what a dead attempt left behind, whole or in part, is never seen.
+
+    A commit file counts only with its whole line, so one cut short by a crash commits nothing. A stream has
+    one driver, so no two attempts at a batch run at once.
+    """
+
+    def __init__(self, path: str, fmt: str = "parquet", **options):
+        self.path, self.fmt, self.options = path.rstrip("/"), fmt, options
+        self.rows, self.commits = f"{self.path}/rows", f"{self.path}/commits"
+
+    def write_attempt(self, batch_df: DataFrame, batch_id: int) -> str:
+        attempt = f"a{uuid.uuid4().hex}"
+        batch_df.write.format(self.fmt).options(**self.options).save(f"{self.rows}/batch_id={batch_id}/attempt={attempt}")
+        return attempt
+
+    def committed(self, spark) -> DataFrame:
+        """(batch_id, attempt) of every commit."""
+        if not path_exists(spark, self.commits):
+            return spark.createDataFrame([], "batch_id long, attempt string")
+        lines = spark.read.text(self.commits).where(F.col("value").rlike("^[0-9]+ a[0-9a-f]{32};$"))
+        parts = F.split(F.rtrim("value", F.lit(";")), " ")
+        return lines.select(parts[0].cast("long").alias("batch_id"), parts[1].alias("attempt"))
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        if not self.committed(spark).filter(F.col("batch_id") == batch_id).isEmpty():
+            return
+        attempt = self.write_attempt(batch_df, batch_id)
+        write_small_file(spark, f"{self.commits}/{batch_id}", f"{batch_id} {attempt};\n")
+
+    def read(self, spark, schema=None) -> DataFrame:
+        """The rows of committed attempts; empty (with ``schema``) before the first one."""
+        if schema is not None and not path_exists(spark, self.rows):
+            return spark.createDataFrame([], schema)
+        rows = spark.read.format(self.fmt).load(self.rows).withColumn("batch_id", F.col("batch_id").cast("long"))
+        # the partition columns of the join let Spark skip the folders of other attempts
+        return rows.join(self.committed(spark), ["batch_id", "attempt"], "left_semi").drop("batch_id", "attempt")
+
+
 class JdbcBatchSink:
     """See the module's text. ``num_partitions`` bounds the connections that write at once (None:
     one for each partition of the batch); ``table`` gets the columns ``batch_id`` and ``attempt``."""

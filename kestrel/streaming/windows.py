@@ -41,18 +41,20 @@ def count_per_window(df: DataFrame, ts_col: str, key_col: str, width: str = "30
 
 
 def keyword_counts(df: DataFrame, ts_col: str = "ts", text_col: str = "text", width: str = "30 seconds",
-                   delay: str | None = None, lexicon=None, pos_mode: str = "subclass") -> DataFrame:
+                   delay: str | None = None, lexicon=None, pos_mode: str = "subclass",
+                   hot_surfaces: list[str] | None = None) -> DataFrame:
     """Q5: keyword appearances per (window, keyword) from texts with an event time.
 
     Tokens are exploded and checked per row, then the lexicon (if any) is joined, then counted.
     The count runs a partial aggregate before the shuffle, so a frequent keyword reaches the
-    exchange once per task. Rows with NULL text are skipped (see ``split_rejects``).
+    exchange once per task. ``hot_surfaces`` names the words that a stream salts. Rows with NULL text are skipped (see ``split_rejects``).
     """
     rows = as_event_time(df.filter(F.col(text_col).isNotNull()), ts_col)
     if delay is not None:
         rows = rows.withWatermark(ts_col, delay)
     lex = None if lexicon is None else lexicon_frame(df.sparkSession, lexicon)
-    # No AQE in a stream to split a hot word's partition: its raw tokens meet the lexicon salted.
+    # No AQE in a stream to split a hot word's partition: the tokens of the words named as hot meet the
+    # lexicon salted.
     salt = "_token" if lex is not None and df.isStreaming else None
     tokens = explode_tokens(rows, text_col, [ts_col], salt_name=salt)
     if lex is not None and not salt:
@@ -63,7 +65,7 @@ def keyword_counts(df: DataFrame, ts_col: str = "ts", text_col: str = "text", wi
         counts = classify(per_surface, lex, pos_mode=pos_mode) \
             .groupBy("window", "keyword").agg(F.sum("n").alias("appearances"))
     else:
-        keywords = classify(tokens, lex, pos_mode=pos_mode, salt_col=salt)
+        keywords = classify(tokens, lex, pos_mode=pos_mode, salt_col=salt, hot=hot_surfaces)
         counts = keywords.groupBy(F.window(F.col(ts_col), width).alias("window"), "keyword") \
             .agg(F.count("keyword").alias("appearances"))
     return counts.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
