@@ -83,7 +83,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--output_dir")
         p.add_argument("--output_format", default="json")
         p.add_argument("--single_file", action="store_true", help="one ordered file; for few entities")
-        p.add_argument("--show_summary", action="store_true", help="write all summary lines beside the output, print a preview")
+        p.add_argument("--show_summary", action="store_true", help="write all summary lines beside the output and print a preview; without an output folder print them all")
         p.add_argument("--preview_rows", type=int, default=20)
 
     p = sub.add_parser("keyword-stream", help="keyword counts per window from a topic into a table")
@@ -146,9 +146,13 @@ def run(args) -> None:
                                                         single_file=args.single_file)
         if summary is not None:
             lines, total = summary
-            where = f", all of them in {args.output_dir.rstrip('/')}/avg_arrival_delay_by_airline_summary" if args.output_dir else ""
-            print(f"First {args.preview_rows} lines of the summary{where}:")
-            lines.show(args.preview_rows, truncate=False)
+            if args.output_dir:
+                where = f"{args.output_dir.rstrip('/')}/avg_arrival_delay_by_airline_summary"
+                print(f"First {args.preview_rows} lines of the summary, all of them in {where}:")
+                lines.show(args.preview_rows, truncate=False)
+            else:  # the whole report, a partition at a time
+                for row in lines.toLocalIterator():
+                    print(row["line"])
             total.select("total_line").show(truncate=False)
     elif args.job == "mean-by-entity-sql":
         from kestrel.sources.files import read_csv

@@ -11,29 +11,31 @@ Where the lexicon has no word, a single character or the rest of a run of one cl
 for each of its characters. Unknown words are nouns, as everywhere in the keyword rules.
 
 A lexicon of at most ``TRIE_ROWS`` entries is broadcast and walked as a trie (its size is counted first).
-For a larger one the substrings of each distinct run are joined with the lexicon, so a run travels with
-the few entries that it can use; the lattice is the same. Either way each distinct run is cut once, in Arrow
-batches, however often it occurs.
+A larger one is dealt into blocks of about that size by the hash of the surface. Each block in turn is
+broadcast and names the entries that a run can use; a run then travels with its few entries, and the lattice
+is the same. Either way each distinct run is cut once, in Arrow batches, however often it occurs.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from kestrel.functions.keywords import keyword_of, surface_ok, words
+from kestrel.session import shared_path
 
 LEXICON_SCHEMA = StructType([StructField("surface", StringType()), StructField("pos", StringType()),
                              StructField("base_form", StringType()), StructField("cost", IntegerType())])
+ENTRIES = ArrayType(LEXICON_SCHEMA)
 TOKENS = ArrayType(StructType([StructField("surface", StringType()), StructField("pos", StringType()),
                                StructField("base_form", StringType())]))
-#: a larger lexicon is joined instead of broadcast
+#: a larger lexicon is broadcast in blocks of about so many entries
 TRIE_ROWS = 300_000
 UNKNOWN, PER_CHARACTER = 20_000, 1_000
 
@@ -94,6 +96,22 @@ class Lattice:
             found.append((class_end, UNKNOWN + PER_CHARACTER * (class_end - at), None))
         return found
 
+    def entries_in(self, run: str) -> list[dict]:
+        """The entries whose surfaces the run holds, once each."""
+        found = {}
+        for at in range(len(run)):
+            end = at + 1
+            part = run[at:end]
+            while part in self.prefixes:
+                entry = self.prefixes[part]
+                if entry is not None:
+                    found[part] = entry
+                if end == len(run):
+                    break
+                end += 1
+                part = run[at:end]
+        return [{"surface": w, "pos": pos, "base_form": base, "cost": cost} for w, (cost, pos, base) in found.items()]
+
     def cut(self, run: str) -> list[dict]:
         """The words of the cheapest path."""
         return self.connected(run) if self.connections else self.plain(run)
@@ -139,35 +157,45 @@ class Lattice:
         return {"surface": surface, "pos": entry and entry[1], "base_form": entry and entry[2]}
 
 
+def by_trie(spark: SparkSession, entries: list[tuple], use: Callable[[Lattice], Callable[[str], list[dict]]], result: ArrayType,
+            connections: Connections | None = None):
+    """A pandas UDF over runs; ``use`` picks what the trie of the broadcast entries does with each run."""
+    shared = spark.sparkContext.broadcast(entries)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        act = use(Lattice(shared.value, connections))
+        for batch in batches:
+            yield batch.map(act)
+
+    return F.pandas_udf(run, result)
+
+
 def cut_runs(runs: DataFrame, lexicon: DataFrame, connections: Connections | None = None, trie_rows: int = TRIE_ROWS) -> DataFrame:
     """(run, tokens) for distinct ``run`` rows and a lexicon of LEXICON_SCHEMA's columns."""
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark, run = runs.sparkSession, F.col("run")
     lexicon = lexicon.select("surface", "pos", "base_form", F.col("cost").cast("int").alias("cost")).where("length(surface) > 0")
-    if lexicon.limit(trie_rows + 1).count() <= trie_rows:
-        shared = runs.sparkSession.sparkContext.broadcast([tuple(r) for r in lexicon.collect()])
-
-        def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            lattice = Lattice(shared.value, connections)
-            for batch in batches:
-                yield batch.map(lattice.cut)
-
-        return runs.select("run", F.pandas_udf(cut, TOKENS)(F.col("run")).alias("tokens"))
-
-    longest = lexicon.agg(F.max(F.length("surface"))).first()[0]
-    places = F.sequence(F.lit(1), F.length("run"))
-    sizes = F.sequence(F.lit(1), F.lit(longest))
-    parts = F.flatten(F.transform(places, lambda i: F.transform(
-        F.filter(sizes, lambda k: i + k - 1 <= F.length("run")), lambda k: F.substring(F.col("run"), i, k))))
-    # far more substrings than Spark's estimate tells, so neither side is to be broadcast
-    found = runs.select("run", F.explode(F.array_distinct(parts)).alias("surface")).join(lexicon.hint("merge"), "surface")
-    entries = found.groupBy("run").agg(F.collect_list(F.struct("surface", "pos", "base_form", "cost")).alias("entries"))
+    few = [tuple(r) for r in lexicon.limit(trie_rows + 1).collect()]
+    if len(few) <= trie_rows:
+        return runs.select("run", by_trie(spark, few, lambda lattice: lattice.cut, TOKENS, connections)(run).alias("tokens"))
+
+    path = shared_path(spark, "lexicon")
+    lexicon.write.parquet(path)
+    stored = spark.read.schema(LEXICON_SCHEMA).parquet(path)
+    blocks = -(-stored.count() // trie_rows)
+    found = None
+    for block in range(blocks):
+        own = stored.where(F.pmod(F.xxhash64("surface"), F.lit(blocks)) == block).collect()
+        part = runs.select("run", by_trie(spark, [tuple(r) for r in own], lambda lattice: lattice.entries_in, ENTRIES)(run).alias("entries"))
+        found = part if found is None else found.unionAll(part)
+    entries = found.groupBy("run").agg(F.flatten(F.collect_list("entries")).alias("entries"))  # a list from each block
 
     def cut_own(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        own = lambda entries: [] if entries is None else [(e["surface"], e["pos"], e["base_form"], e["cost"]) for e in entries]
-        for run, entries in batches:
-            yield pd.Series([Lattice(own(e), connections).cut(r) for r, e in zip(run, entries)])
+        for batch, lists in batches:
+            yield pd.Series([Lattice([(e["surface"], e["pos"], e["base_form"], e["cost"]) for e in own], connections).cut(r)
+                             for r, own in zip(batch, lists)])
 
-    return runs.join(entries.hint("merge"), "run", "left").select("run", F.pandas_udf(cut_own, TOKENS)("run", "entries").alias("tokens"))
+    return entries.select("run", F.pandas_udf(cut_own, TOKENS)("run", "entries").alias("tokens"))
 
 
 def segmented_keywords(df: DataFrame, text_col: str, group_cols: list[str], lexicon: DataFrame, pos_mode: str = "subclass",

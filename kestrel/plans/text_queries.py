@@ -78,6 +78,16 @@ def q_message_kept(spark, sf_dir):
     return kept.select("id", "text", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+def q_message_bad_times(spark, sf_dir):
+    """French messages have a time that is none: where a time is needed they are rejects, which keep
+    their id and the raw message."""
+    docs = text_table(spark, sf_dir, "documents")
+    ts = F.when(F.col("lang") == "fr", F.lit("yesterday")).otherwise(iso_stamp(doc_time()))
+    messages = encode_messages(docs, F.col("doc_id"), F.col("text"), ts, doc_rules())
+    _, rejects = split_rejects(decode_messages(payload_text(messages.select("value")), keep=["value"]))
+    return rejects.select("reason", "id", F.get_json_object("raw", "$.data.text").alias("text"))
+
+
 # --- keywords ---------------------------------------------------------------------------------
 
 def q_keyword_tokens(spark, sf_dir):
@@ -307,16 +317,17 @@ def q_keyword_segments(spark, sf_dir):
     return segmented_keywords(docs, "text", ["lang"], corpus_lexicon(spark, sf_dir))
 
 
-def q_keyword_segments_joined(spark, sf_dir):
-    """The same with a lexicon taken as too large to broadcast: its entries are joined to the runs."""
+def q_keyword_segments_blocks(spark, sf_dir):
+    """The same with a lexicon taken as too large to broadcast at once: in blocks of about 8,000 entries."""
     docs = text_table(spark, sf_dir, "documents").select("lang", running_text(F.col("text")).alias("text"))
-    return segmented_keywords(docs, "text", ["lang"], corpus_lexicon(spark, sf_dir), trie_rows=0)
+    return segmented_keywords(docs, "text", ["lang"], corpus_lexicon(spark, sf_dir), trie_rows=8000)
 
 
 QUERIES = {
     "message_decode": q_message_decode,
     "message_rejects": q_message_rejects,
     "message_kept": q_message_kept,
+    "message_bad_times": q_message_bad_times,
     "keyword_tokens": q_keyword_tokens,
     "keywords_per_document": q_keywords_per_document,
     "keyword_lexicon": q_keyword_lexicon,
@@ -327,7 +338,7 @@ QUERIES = {
     "keyword_counts_batch": q_keyword_counts_batch,
     "keyword_batch_analyzer": q_keyword_batch_analyzer,
     "keyword_segments": q_keyword_segments,
-    "keyword_segments_joined": q_keyword_segments_joined,
+    "keyword_segments_blocks": q_keyword_segments_blocks,
     "keyword_table_build": q_keyword_table_build,
     "latest_window_ranking": q_latest_window_ranking,
     "latest_window_ranking_sql": q_latest_window_ranking_sql,
@@ -412,6 +423,7 @@ ORACLE = {
     "message_kept": f"""
         SELECT CAST(doc_id AS VARCHAR) AS id, text, {SQL_DOC_TS} AS ts FROM documents
         WHERE lang NOT IN ('de', 'es')""",
+    "message_bad_times": "SELECT 'bad_ts' AS reason, CAST(doc_id AS VARCHAR) AS id, text FROM documents WHERE lang = 'fr'",
     "keyword_tokens": f"""
         WITH t AS ({sql_tokens('SELECT text FROM documents', '')})
         SELECT surface AS keyword, count(*) AS appearances FROM t
@@ -513,7 +525,7 @@ ORACLE["keyword_batch_analyzer"] = f"""
     SELECT role, CASE WHEN length(surface) = 3 THEN surface || 'る' ELSE surface END AS keyword, count(*) AS appearances FROM t
     WHERE {SQL_SURFACE_OK} AND CASE WHEN length(surface) = 3 THEN NOT regexp_matches(surface || 'る', '{VERB_STOP}') ELSE {SQL_NOUN_OK} END
     GROUP BY ALL"""
-ORACLE["keyword_segments_joined"] = ORACLE["keyword_segments"]
+ORACLE["keyword_segments_blocks"] = ORACLE["keyword_segments"]
 ORACLE["keyword_table_build"] = f"WITH {SQL_DOC_COUNTS} SELECT *, CAST(window_start AS DATE) AS window_day FROM c"
 for _name in ("latest_window_ranking", "alltime_span", "alltime_top100"):
     ORACLE[f"{_name}_sql"] = ORACLE[_name]

@@ -100,7 +100,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store): "
                            "a machine-local folder is not visible to the other executors")
     root = tempfile.mkdtemp(prefix="kestrel-ckpt-")
