@@ -151,7 +151,8 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ship_package(spark)
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(named(id_col).alias("id"), F.coalesce(named(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(partitions, "id").sortWithinPartitions("id", "text")
+    # the beginning of the text splits the rows of a hot id, in the order of whole texts
+    rows = rows.repartitionByRange(partitions, F.col("id"), F.substring("text", 1, 64)).sortWithinPartitions("id", "text")
     made = T.StructType.fromDDL(RESULT).fields
     rim = [T.StructField("part", T.LongType()), T.StructField("rim", T.StringType()), T.StructField("text", T.StringType())]
     schema = T.StructType([rows.schema["id"], *made, *rim])

@@ -124,7 +124,8 @@ class GroupJoin:
             if held:
                 yield edges(held)
 
-        return rows.mapInArrow(run, "a binary, b binary")
+        kind = self.keys.schema["key"].dataType.simpleString()
+        return rows.mapInArrow(run, f"a {kind}, b {kind}")
 
     def merged(self, labels: DataFrame, edges: DataFrame) -> DataFrame:
         """The labels after the edges have joined their components."""

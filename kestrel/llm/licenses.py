@@ -16,6 +16,7 @@ other columns of the input are not read; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
+#: numbers that are summed up at once
+CHUNK = 256
+
 #: phrases whose every place counts, and their labels
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
@@ -163,19 +167,42 @@ def n_words_in(spaced: Column) -> Column:
     return ((F.octet_length(spaced) - F.octet_length(F.replace(spaced, F.lit(" ")))) / 2).cast("long")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` refers to it (also inside a function
+    that is applied to the elements of an array)."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running_sums(lengths: Column) -> Column:
+    """The sum of an array's numbers up to each place. Sums are taken in chunks and the chunks' sums are
+    added afterwards, so no array grows by a number at a time and the work is linear in its size."""
+    none = F.array().cast("array<int>")
+    start = F.struct(F.lit(0).alias("sum"), none.alias("sums"))
+    add = lambda made, x: F.struct((made["sum"] + x).alias("sum"), F.concat(made["sums"], F.array(made["sum"] + x)).alias("sums"))
+    running = lambda numbers: F.aggregate(numbers, start, add, lambda made: made["sums"])
+
+    def in_chunks(numbers: Column) -> Column:
+        last = F.ceil(F.size(numbers) / CHUNK).cast("int") - 1
+        return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda k: running(F.slice(numbers, k * CHUNK + 1, CHUNK)))
+
+    def moved(chunks: Column) -> Column:
+        totals = F.transform(chunks, lambda c: F.coalesce(F.try_element_at(c, F.lit(-1)), F.lit(0)))
+        before = F.slice(running(F.concat(F.array(F.lit(0)), totals)), F.lit(1), F.size(chunks))
+        return F.flatten(F.zip_with(chunks, before, lambda c, plus: F.transform(c, lambda x: x + plus)))
+
+    return bound(lengths, lambda numbers: bound(in_chunks(numbers), moved))
+
+
 def match_list(words: Column, rule: Column) -> Column:
     """All matches of a rule: (start, -end, -priority, label, confidence), the order of the sweep."""
-    pieces, found = F.split(words, rule["pattern"], -1), F.regexp_extract_all(words, rule["pattern"], F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<a: int, b: int>>").alias("spans"))
-    step = lambda made, p: F.struct(
-        (made["at"] + F.length(p["piece"]) + F.length(p["match"])).alias("at"),
-        F.concat(made["spans"], F.array(F.struct((made["at"] + F.length(p["piece"])).alias("a"),
-                                                 (made["at"] + F.length(p["piece"]) + F.length(p["match"])).alias("b")))).alias("spans"))
-    pairs = F.arrays_zip(F.slice(pieces, 1, F.size(found)).alias("piece"), found.alias("match"))
-    spans = F.aggregate(pairs, start, step, lambda made: made["spans"])
-    return F.transform(spans, lambda s: F.struct(
-        s["a"].alias("start"), (-s["b"]).alias("last"), (-rule["priority"]).alias("rank"),
-        rule["label"].alias("label"), rule["confidence"].alias("confidence")))
+    def listed(found: Column) -> Column:
+        pieces = F.slice(F.split(words, rule["pattern"], -1), F.lit(1), F.size(found))
+        lengths = F.zip_with(pieces, found, lambda p, m: F.length(p) + F.length(m))
+        return F.zip_with(running_sums(lengths), found, lambda end, m: F.struct(
+            (end - F.length(m)).alias("start"), (-end).alias("last"), (-rule["priority"]).alias("rank"),
+            rule["label"].alias("label"), rule["confidence"].alias("confidence")))
+
+    return bound(F.regexp_extract_all(words, rule["pattern"], F.lit(0)), listed)
 
 
 def swept(matches: Column) -> Column:

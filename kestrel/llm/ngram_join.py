@@ -273,14 +273,14 @@ class Joiner:
         return map_texts(self.rows, "text", ["id", "key"], make, "n_shingles long, front array<long>")
 
     def labels(self, signed: DataFrame) -> DataFrame:
-        """(key, label) of every text that may be similar to another one."""
-        nodes = stored(signed.where("n_shingles > 0").select("key", "n_shingles", "front").dropDuplicates(["key"]), "fronts")
-        fronts = nodes.select("key", F.col("n_shingles").alias("n"), F.posexplode("front").alias("at", "token"))
-        members = stored(possible(shared_members(fronts)), "possible")
+        """(key, label) of every text that may be similar to another one; texts go by numbers in between."""
+        nodes = signed.where("n_shingles > 0").select(F.col("key").alias("name"), "n_shingles", "front").dropDuplicates(["name"])
+        nodes = stored(nodes.withColumn("key", F.monotonically_increasing_id()), "nodes")
+        members = stored(possible(nodes), "possible")
         keys, n_keys = self.counted(members)
         if not n_keys:
-            return keys.select("key", F.col("key").alias("label"))
-        heads = stored(nodes.join(sized(keys, n_keys), "key", "left_semi"), "heads")
+            return signed.select("key", F.col("key").alias("label")).where("false")
+        heads = stored(nodes.drop("name").join(sized(keys, n_keys), "key", "left_semi"), "heads")
         families = GroupJoin([members.where("at = 0"), members], keys, n_keys, heads, connect_fronts).labels()
 
         # families of a task's size meet once, as a whole; larger ones by their tokens, which are each family's own
@@ -291,14 +291,19 @@ class Joiner:
             F.xxhash64("token", "label").alias("token"), "key", "at")
         large = shared_members(large)
         keys, n_keys = self.counted(sizes)
-        texts = stored(self.rows.select("key", "text").join(sized(keys, n_keys), "key", "left_semi").dropDuplicates(["key"]), "texts")
+        names = stored(nodes.select("key", "name").join(sized(keys, n_keys), "key", "left_semi"), "names")
+        texts = self.rows.select(F.col("key").alias("name"), "text").join(sized(names, n_keys), "name").dropDuplicates(["name"])
+        texts = stored(texts.select("key", "text"), "texts")
         shared, memo = self.shared, self.memo
 
         def connect(rows: pa.RecordBatch, before: np.ndarray) -> np.ndarray:
             (order, rarity), column = worker_memo(memo, lambda: ordered(shared.value)), text_column(rows, "text")
             return join_group([s for a, b in pieces(column) for s in text_sets(column.slice(a, b - a), rarity)], before, order)
 
-        return GroupJoin([small, large.where("at = 0"), large], keys, n_keys, texts, connect).labels()
+        labels = GroupJoin([small, large.where("at = 0"), large], keys, n_keys, texts, connect).labels()
+        of = names.select(F.col("key").alias("label"), F.col("name").alias("label_name"))
+        labels = labels.join(sized(names, n_keys), "key").join(sized(of, n_keys), "label")
+        return labels.select(F.col("name").alias("key"), F.col("label_name").alias("label"))
 
     @staticmethod
     def counted(members: DataFrame) -> tuple[DataFrame, int]:
@@ -306,17 +311,23 @@ class Joiner:
         return keys, keys.count()
 
 
-def possible(members: DataFrame) -> DataFrame:
-    """The (token, key, n, at) rows that another row of the token may be similar to, if the token is the
-    first shingle that the two share: all shingles behind it together must be enough. Tokens of more than GROUP
-    rows are kept whole."""
-    sizes = members.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
-    sizes = members.join(sizes, "token")
-    few = sizes.where(F.col("size") <= group_join.GROUP).groupBy("token").agg(F.collect_list(F.struct("key", "n", "at")).alias("rows"))
-    enough = lambda x, y: (100 + SIMILAR) * F.least(x["n"] - x["at"], y["n"] - y["at"]) >= SIMILAR * (x["n"] + y["n"])
+def possible(nodes: DataFrame) -> DataFrame:
+    """(token, key, n, at): the shingles in front of each text (with the set's size and the shingle's place)
+    that another text has in front, too, and may be similar to if it is the first shingle that the two share:
+    all shingles from there on together must be enough. Tokens of more than GROUP rows are kept whole."""
+    # one long for size and place, since every shingle in front of every text is shuffled here
+    place = F.shiftleft("n_shingles", 32).bitwiseOR(F.col("at").cast("long"))
+    fronts = nodes.select("key", "n_shingles", F.posexplode("front").alias("at", "token")).select("token", "key", place.alias("place"))
+    counts = fronts.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    rows = fronts.join(counts, "token")
+    n, at = lambda r: F.shiftright(r["place"], 32), lambda r: r["place"].bitwiseAND(F.lit((1 << 32) - 1))
+    rest = lambda r: n(r) - at(r)
+    enough = lambda x, y: (100 + SIMILAR) * F.least(rest(x), rest(y)) >= SIMILAR * (n(x) + n(y))
+    few = rows.where(F.col("size") <= group_join.GROUP).groupBy("token").agg(F.collect_list(F.struct("key", "place")).alias("rows"))
     kept = F.filter("rows", lambda x: F.exists("rows", lambda y: (x["key"] != y["key"]) & enough(x, y)))
-    few = few.select("token", F.explode(kept).alias("r")).select("token", "r.key", "r.n", "r.at")
-    return few.unionAll(sizes.where(F.col("size") > group_join.GROUP).select("token", "key", "n", "at"))
+    few = few.select("token", F.explode(kept).alias("r")).select("token", "r.key", "r.place")
+    every = few.unionAll(rows.where(F.col("size") > group_join.GROUP).select("token", "key", "place"))
+    return every.select("token", "key", n(every).alias("n"), at(every).cast("int").alias("at"))
 
 
 def connect_fronts(rows: pa.RecordBatch, labels: np.ndarray) -> np.ndarray:

@@ -88,3 +88,24 @@ def test_awkward_rows(spark):
     rows = licenses.scan(awkward(spark)).collect()
     assert len(rows) == awkward(spark).count() and all(r["labels"] == [] and r["score"] == 0 for r in rows)
     assert {r["doc_id"]: r["n_words"] for r in rows}[2] == 0 and licenses.scan(empty(spark)).count() == 0
+
+
+def test_running_sums_of_any_size(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(licenses, "CHUNK", 4)
+    sizes = [0, 1, 3, 4, 5, 8, 9, 31]
+    df = spark.createDataFrame([(n, [k % 5 + 1 for k in range(n)]) for n in sizes], "n int, a array<int>")
+    for r in df.select("n", "a", licenses.running_sums(F.col("a")).alias("s")).collect():
+        assert r["s"] == [sum(r["a"][:k + 1]) for k in range(r["n"])]
+
+
+def test_many_matches_in_one_text(spark):
+    """Work that is linear in the matches of one text: a hundred thousand phrases take seconds."""
+    import time
+
+    n = 100_000
+    began = time.monotonic()
+    row = licenses.scan(documents(spark, [(1, "mit license " * n)])).collect()[0]
+    assert (row["n_base"], row["first_word"], row["last_word"], row["labels"]) == (n, 0, 2 * n - 2, ["mit"])
+    assert time.monotonic() - began < 120

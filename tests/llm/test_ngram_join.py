@@ -133,9 +133,10 @@ def test_families_of_fronts_hold_every_link(monkeypatch, matrix):
 
 def test_possible_members(spark):
     """The first common shingle of two similar sets leaves enough behind it in both."""
-    rows = spark.createDataFrame([(1, b"a", 100, 0), (1, b"b", 90, 0), (2, b"a", 100, 20), (2, b"b", 90, 1), (3, b"a", 100, 3), (3, b"c", 40, 0)],
-                                 "token long, key binary, n long, at int")
-    assert sorted((r["token"], bytes(r["key"])) for r in ngram_join.possible(rows).collect()) == [(1, b"a"), (1, b"b")]
+    fronts = {1: (100, [11, 500, 501, 33]), 2: (90, [11, 33]), 3: (40, [33]), 4: (100, [900 + i for i in range(20)] + [44]), 5: (90, [44])}
+    nodes = spark.createDataFrame([(k, n, f) for k, (n, f) in fronts.items()], "key long, n_shingles long, front array<long>")
+    found = sorted((r["token"], r["key"], r["n"], r["at"]) for r in ngram_join.possible(nodes).collect())
+    assert found == [(11, 1, 100, 0), (11, 2, 90, 0), (33, 1, 100, 3), (33, 2, 90, 1)]
 
 
 def test_boundary_of_the_similarity():

@@ -14,7 +14,7 @@ from kestrel.llm import catalog, queries, toxicity
 
 def test_stages_and_registration(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dup", "decontaminate", "secrets", "bpe"]
-    assert "pipeline" in catalog.queries() and {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert "pipeline" in catalog.queries() and {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
 
 
 def test_each_stage_equals_brute_force_on_its_input(spark):

@@ -137,3 +137,19 @@ def test_fingerprints_of_awkward_rows(spark):
     assert fingerprints.compare_neighbours(empty(spark)).count() == 0
     single = fingerprints.compare_neighbours(documents(spark, [(1, "alone")])).collect()
     check_neighbours(single, [(1, "alone")])
+
+
+def test_rows_of_a_hot_id_are_spread_over_partitions(spark):
+    """One id with most rows: its texts go to several partitions, and still meet in the order of texts."""
+    from pyspark.sql import functions as F
+
+    rows = [(7, f"text number {i % 997:04d} of a hot id") for i in range(2000)] + [(i, f"other {i}") for i in range(300)]
+    docs = documents(spark, rows)
+    order = sorted(((i, t.encode()) for i, t in rows), key=lambda r: r)
+    expected = sorted(hashlib.sha256((t.decode()[:len(t) - len(t) // 2] + f.decode()[:len(t) // 2]).encode()).hexdigest()
+                      for (_, t), (_, f) in zip(order, order[1:] + order[:1]))
+    found = fingerprints.compare_neighbours(docs, partitions=8)
+    assert sorted(r["edited_sha256"] for r in found.collect()) == expected
+    parts = docs.select(F.col("doc_id").alias("id"), "text").repartitionByRange(8, F.col("id"), F.substring("text", 1, 64))
+    sizes = [r["count"] for r in parts.where("id = 7").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 5 and max(sizes) < 1000
