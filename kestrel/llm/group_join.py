@@ -40,10 +40,10 @@ def shared_members(tokens: DataFrame) -> DataFrame:
 
 class GroupJoin:
     """The join of (token, key) members, in the rounds given; ``rows`` has a row per key, with the columns
-    that ``connect`` reads."""
+    that ``connect`` reads. ``group`` (GROUP, if not given) is the size beyond which groups are split."""
 
-    def __init__(self, rounds: list[DataFrame], keys: DataFrame, n_keys: int, rows: DataFrame, connect: Connect):
-        self.rounds = [r.select("token", "key") for r in rounds]
+    def __init__(self, rounds: list[DataFrame], keys: DataFrame, n_keys: int, rows: DataFrame, connect: Connect, group: int | None = None):
+        self.rounds, self.group = [r.select("token", "key") for r in rounds], group or GROUP
         self.keys, self.n_keys, self.rows, self.connect = keys, n_keys, rows, connect
 
     def labels(self) -> DataFrame:
@@ -54,7 +54,7 @@ class GroupJoin:
             if not mixed.isEmpty():
                 labels = self.merged(labels, self.joined(self.lists(mixed), labels))
         for members in self.rounds:
-            large = self.mixed(members, labels).where(F.col("size") > GROUP)
+            large = self.mixed(members, labels).where(F.col("size") > self.group)
             if not large.isEmpty():
                 labels = self.merged(labels, self.joined(self.blocks(large), labels))
         return labels
@@ -66,22 +66,20 @@ class GroupJoin:
         tokens = now.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("x"), F.max("label").alias("y"))
         return stored(now.join(tokens.where("x <> y").select("token", "size"), "token"), "mixed")
 
-    @staticmethod
-    def lists(mixed: DataFrame) -> DataFrame:
-        """(task, key): the members of each token, in parts of about GROUP, every list of members once."""
-        part = F.pmod(F.xxhash64("key"), F.ceil(F.col("size") / GROUP))
+    def lists(self, mixed: DataFrame) -> DataFrame:
+        """(task, key): the members of each token, in parts of about ``group``, every list of members once."""
+        part = F.pmod(F.xxhash64("key"), F.ceil(F.col("size") / self.group))
         lists = mixed.groupBy("token", part.alias("part")).agg(F.sort_array(F.collect_set("key")).alias("keys"))
         lists = lists.where(F.size("keys") > 1).select("keys").distinct()
         return lists.select(F.xxhash64("keys").alias("task"), F.explode("keys").alias("key"))
 
-    @staticmethod
-    def blocks(mixed: DataFrame) -> DataFrame:
-        """(task, key) for tokens of more than GROUP members: the members outside the token's largest
+    def blocks(self, mixed: DataFrame) -> DataFrame:
+        """(task, key) for tokens of more than ``group`` members: the members outside the token's largest
         component, in blocks, each with every block of members."""
         each = mixed.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
         tokens = each.groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.first("size").alias("all"),
                                            F.max("n").alias("n")).select(
-            "token", "most", F.ceil(F.col("all") / GROUP).alias("blocks"), F.ceil((F.col("all") - F.col("n")) / GROUP).alias("rest"))
+            "token", "most", F.ceil(F.col("all") / self.group).alias("blocks"), F.ceil((F.col("all") - F.col("n")) / self.group).alias("rest"))
         rows = mixed.join(tokens, "token").select("token", "key", "blocks", "rest", (F.col("label") != F.col("most")).alias("out"))
         name = F.xxhash64("key")
         upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
@@ -90,11 +88,15 @@ class GroupJoin:
         both = everyone.unionAll(others.select("token", "key", "i", "j"))
         return both.select(F.xxhash64("token", "i", "j").alias("task"), "key").distinct()
 
+    def placed(self, tasks: DataFrame, labels: DataFrame) -> DataFrame:
+        """The rows of the tasks' members, with task and label."""
+        return tasks.join(sized(labels, self.n_keys), "key").join(self.rows, "key")
+
     def joined(self, tasks: DataFrame, labels: DataFrame) -> DataFrame:
         """Edges (a, b) between members of the tasks, which connect what their links connect."""
         ship_package(tasks.sparkSession)
         connect = self.connect
-        rows = tasks.join(sized(labels, self.n_keys), "key").join(self.rows, "key")
+        rows = self.placed(tasks, labels)
         rows = rows.repartition("task").sortWithinPartitions("task")
 
         def edges(parts: list[pa.RecordBatch]) -> pa.RecordBatch:

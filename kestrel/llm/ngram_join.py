@@ -59,6 +59,8 @@ SIMILAR = 85
 OFTEN, WORD_SHARE = 0.005, 0.00002
 BLOCK_ROWS, BLOCK_SHINGLES = 4000, 4_000_000
 WORDS, SHINGLES, ROWS, ALL_WORDS = 0, 1, 2, 3
+#: groups of texts without their texts may be so many times as large as others
+FRONTS = 3
 #: a matrix of overlaps has so many bytes
 MATRIX_BYTES = 32 << 20
 
@@ -156,16 +158,18 @@ class Order:
         names = np.array(list(counts), np.int64).view(np.uint64)
         order = np.argsort(names)
         self.names = names[order]
-        self.places = np.minimum(1000 * np.log2(1.0 + np.array(list(counts.values()))[order]), (1 << 15) - 1).astype(np.int64)
+        self.places = np.minimum(np.log2(1.0 + np.array(list(counts.values()))[order]), 15).astype(np.int64)
 
     def codes(self, found: np.ndarray, rarity: np.ndarray) -> np.ndarray:
-        """A number per shingle that rises in the global order. Shingles of one number are told apart by
-        their hashes; that is needed only for their order, since a shared number makes candidates, no links."""
+        """A number per shingle that rises in the global order: 31 bits (counted rows, rarity, part of the hash)
+        that are enough to compare texts by, and 32 more of the hash. Shingles of one number are told apart
+        by their hashes; that is needed only for their order, since a shared number makes candidates, no links."""
         rows = np.zeros(len(found), np.int64)
         if len(self.names):
             at = np.minimum(np.searchsorted(self.names, found), len(self.names) - 1)
             rows = np.where(self.names[at] == found, self.places[at], 0)
-        return rows << 48 | (65535 - rarity) << 32 | (found >> np.uint64(32)).view(np.int64)
+        high = rows << 27 | (16383 - (rarity >> 1)) << 13 | (found >> np.uint64(51)).view(np.int64)
+        return high << 32 | (found & np.uint64(0xFFFFFFFF)).view(np.int64)
 
     def sorted(self, found: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions that put shingles into the global order, their codes in that order)."""
@@ -252,6 +256,15 @@ def ordered(found: tuple[dict[int, int], dict[int, int], int]) -> tuple[Order, R
     return Order(shingles), Rarity(words, total)
 
 
+class MovedOnce(GroupJoin):
+    """A group join whose rows are large beside its tasks: few tasks go to the rows, so that the rows move
+    once, to their tasks, and not before that to their keys."""
+
+    def placed(self, tasks: DataFrame, labels: DataFrame) -> DataFrame:
+        tasks = stored(tasks, "tasks")
+        return self.rows.join(sized(tasks, tasks.count()), "key").join(sized(labels, self.n_keys), "key")
+
+
 class Joiner:
     """The join over one table of rows with a text, ``key`` (the text's ``text_key``) and ``id``."""
 
@@ -280,8 +293,10 @@ class Joiner:
         keys, n_keys = self.counted(members)
         if not n_keys:
             return signed.select("key", F.col("key").alias("label")).where("false")
-        heads = stored(nodes.drop("name").join(sized(keys, n_keys), "key", "left_semi"), "heads")
-        families = GroupJoin([members.where("at = 0"), members], keys, n_keys, heads, connect_fronts).labels()
+        short = F.transform("front", lambda x: F.shiftright(x, 32).cast("int")).alias("front")
+        heads = nodes.select("key", "n_shingles", short).join(sized(keys, n_keys), "key", "left_semi")
+        families = MovedOnce([members.where("at = 0"), members], keys, n_keys, stored(heads, "heads"), connect_fronts,
+                             FRONTS * group_join.GROUP).labels()
 
         # families of a task's size meet once, as a whole; larger ones by their tokens, which are each family's own
         sizes = families.groupBy("label").count().where("count > 1")
@@ -300,7 +315,7 @@ class Joiner:
             (order, rarity), column = worker_memo(memo, lambda: ordered(shared.value)), text_column(rows, "text")
             return join_group([s for a, b in pieces(column) for s in text_sets(column.slice(a, b - a), rarity)], before, order)
 
-        labels = GroupJoin([small, large.where("at = 0"), large], keys, n_keys, texts, connect).labels()
+        labels = MovedOnce([small, large.where("at = 0"), large], keys, n_keys, texts, connect).labels()
         of = names.select(F.col("key").alias("label"), F.col("name").alias("label_name"))
         labels = labels.join(sized(names, n_keys), "key").join(sized(of, n_keys), "label")
         return labels.select(F.col("name").alias("key"), F.col("label_name").alias("label"))
