@@ -33,15 +33,15 @@ SCALE_NOTES = {
     "keyword_lexicon": "Surfaces are counted per role first (partial counts, one shuffle), then joined to the lexicon (broadcast only if Spark measures it small), then summed per keyword.",
     "keyword_lexicon_level1": "As keyword_lexicon.",
     "keyword_lexicon_table": "As keyword_lexicon, with the lexicon as a table.",
-    "keyword_occurrences_table": "Raw tokens meet the lexicon table: unless Spark broadcasts it by measured size, the join key is (surface, token hash modulo the parallelism) with the lexicon copied once per salt, so a hot word spreads over all cores.",
+    "keyword_occurrences_table": "Raw tokens meet the lexicon table: unless Spark broadcasts it by measured size, the words found hot in a first pass are salted (token hash modulo the parallelism) with their lexicon rows copied once per salt; all other words have one salt and one row.",
     "window_counts_batch": "Partial count per (window, key); one shuffle.",
     "keyword_counts_batch": "As keyword_tokens, keyed by (window, keyword).",
-    "latest_window_ranking": "On the stored table partitioned by window_day: the newest day comes from the file listing and is a constant partition filter, so only that day's files are read; window_end is compared uncast.",
+    "latest_window_ranking": "On the stored table partitioned by window_day: one listing of day folders, then only the newest day's folder is listed and read; window_end is compared uncast.",
     "latest_window_bag": "As latest_window_ranking, then weights are cut into bounded pieces in three rounds with round-robin repartitions: no hot keyword's repetitions sit in one task.",
-    "alltime_span": "One pass of min/max over the stored table.",
+    "alltime_span": "One pass of min/max over the first and the last day's folders; no other file is listed or read.",
     "alltime_top100": "Over the stored table: partial sums per keyword, one shuffle, and a per-partition top-100 merged once (TakeOrderedAndProject).",
-    "latest_window_from_table": "As latest_window_ranking.",
-    "keyword_counts_stream": "Stateful per (window, keyword) with state bounded by the watermark; micro-batch output goes to day/batch partitions with dynamic overwrite (replay-safe).",
+    "latest_window_from_table": "Builds the table for the call, then as latest_window_ranking.",
+    "keyword_counts_stream": "Eight micro-batches in order of time, state per (window, keyword) in RocksDB and bounded by the watermark; output goes to day/batch partitions with dynamic overwrite (replay-safe).",
     "window_counts_stream": "As keyword_counts_stream, keyed by event type.",
     "stream_foreach_batch": "Stateless; each batch lands in its own batch_id folder, overwritten on replay.",
     "stream_passthrough": "Stateless; exactly-once through the file sink's log.",
@@ -51,14 +51,30 @@ SCALE_NOTES = {
     "file_sink_roundtrip_orc": "As file_sink_roundtrip_json.",
     "csv_mean_by_entity": "Type inference costs one extra pass over the CSV (bounded by samplingRatio on large inputs); then as mean_by_entity.",
     "csv_count_by_group": "As count_by_group_ranked, after an inference pass.",
-    "feed_enrichment": "Map-only: one JSON parse per line.",
-    "latest_window_ranking_sql": "SQL text over the stored table: one scan for the newest window (max of window_end), one for its rows.",
+    "feed_enrichment": "Map-only: one pass over the tokens of each line, linear in its length; the line is spliced, not written anew.",
+    "latest_window_ranking_sql": "SQL text over the newest day's folder: one scan for the newest window, one for its rows.",
     "latest_window_text": "As latest_window_bag, each piece as text.",
     "alltime_span_sql": "As alltime_span.",
     "alltime_top100_sql": "As alltime_top100.",
     "keywords_links_japanese": "As keyword_lexicon, per language.",
     "window_counts_late_rows": "As window_counts_stream, in two deliveries over one checkpoint.",
-    "keyword_counts_stream_lexicon": "As keyword_counts_stream, with the raw tokens joined to the lexicon under a salted key.",
+    "keyword_counts_stream_lexicon": "As keyword_counts_stream, with raw tokens joined to the lexicon; the words found hot are salted.",
+    "message_bad_times": "Map-only.",
+    "keyword_batch_analyzer": "Map-only Arrow batches to the analyzer, then partial counts and one shuffle.",
+    "keyword_segments": "Runs counted per language first; each distinct run is cut once in Arrow batches by a broadcast trie of checked size; two joins on the run, whose sides hold a row per (language, run) and per (run, keyword).",
+    "keyword_segments_blocks": "As keyword_segments, with a pass over the distinct runs for each block of the lexicon and one shuffle that gathers a run's few entries.",
+    "keyword_table_build": "As keyword_counts_batch, then a range shuffle by time, written by day.",
+    "stream_progress": "A row per micro-batch, written by the listener.",
+    "concurrent_queries": "Two streams over one source definition; a union of their tables.",
+    "committed_reads": "Scan of all attempts semi-joined to the commits (a row per batch); the join's partition columns prune the folders of other attempts.",
+    "arrival_stamps": "Map-only.",
+    "ordered_file_lines": "One count per split, a window over the splits' rows (not the lines), and a join on (file, split) that is broadcast by size.",
+    "ordered_part_lines": "As ordered_file_lines, over many files.",
+    "object_store_path": "Plain scan.",
+    "count_by_group_null_key": "As count_by_group_ranked.",
+    "mean_by_entity_null_measure": "As mean_by_entity.",
+    "mean_by_entity_unmatched": "As mean_by_entity.",
+    "mean_by_entity_sql_unmatched": "As mean_by_entity_sql.",
 }
 
 KEEP = re.compile(r"(Exchange|Aggregate|Join|Scan|Generate|Sort|TakeOrdered|Subquery|Window|Filter|Union|Expand|"
