@@ -129,8 +129,10 @@ def paired_terms(lists: list[np.ndarray], y: np.ndarray, seen: np.ndarray, toxic
     number[often[first]] = np.arange(len(first))
     rows = [(k := number[terms])[k >= 0] for terms in lists]
     flat = np.concatenate(rows)
-    rows_of = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])[np.argsort(flat, kind="stable")]
+    order = np.argsort(flat, kind="stable")
     del flat
+    rows_of = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])[order]
+    del order
     size, bad_size = seen[often[first]], toxic[often[first]]
     ends = np.cumsum(size)
     smooth = (bad_size + share) / (size + 1)
@@ -177,9 +179,10 @@ def train(samples: list[tuple[bytes, int]], prior: tuple[int, int]) -> Model:
     z = (toxic - seen * share) / np.sqrt(np.maximum(seen, 1) * share * (1 - share))
     used = np.flatnonzero((seen >= MIN_ROWS) & (np.abs(z) >= MIN_Z))
     used = np.union1d(used, paired_terms(lists, y, seen, toxic, used))
-    number = np.full(1 << TERM_BITS, -1)
+    number = np.full(1 << TERM_BITS, -1, np.int32)
     number[used] = np.arange(len(used))
     lists = [(k := number[terms])[k >= 0] for terms in lists]
+    del samples, labels_of, rows  # the terms of all words are not needed any more
 
     rng = np.random.default_rng(7)
     weights, factors = np.zeros(len(used)), rng.normal(0, 0.01, (len(used), FACTORS))
@@ -243,7 +246,8 @@ def fit(docs: DataFrame, labels: DataFrame, trains: Column | None = None, id_col
         return [[terms.tobytes() for terms in distinct_terms(pieces)]]
 
     rows = map_texts(texts, "text", ["label"], make, "terms binary").collect()
-    return train([(bytes(r["terms"]), r["label"]) for r in rows], (count.get(0, 0), count.get(1, 0)))
+    # taken out one by one, so that the driver holds the terms once, and not at all when they are numbered
+    return train([(bytes(r["terms"]), r["label"]) for r in (rows.pop() for _ in range(len(rows)))], (count.get(0, 0), count.get(1, 0)))
 
 
 class Scorer(NamedTuple):
