@@ -128,13 +128,13 @@ def paired_terms(lists: list[np.ndarray], y: np.ndarray, seen: np.ndarray, toxic
     number = np.full(1 << TERM_BITS, -1, np.int32)
     number[often[first]] = np.arange(len(first))
     rows = [(k := number[terms])[k >= 0] for terms in lists]
-    flat = np.concatenate(rows)
-    order = np.argsort(flat, kind="stable")
-    del flat
-    rows_of = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])[order]
-    del order
     size, bad_size = seen[often[first]], toxic[often[first]]
     ends = np.cumsum(size)
+    # the texts of each term, ascending, term after term
+    rows_of, place = np.empty(int(ends[-1]), np.int32), ends - size
+    for i, terms in enumerate(rows):
+        rows_of[place[terms]] = i
+        place[terms] += 1
     smooth = (bad_size + share) / (size + 1)
     odds = np.log(smooth / (1 - smooth))
     known = np.isin(often[first], used)
