@@ -3,8 +3,11 @@
 import itertools
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from kestrel.functions import segmentation
 from kestrel.functions.segmentation import PER_CHARACTER, UNKNOWN, Lattice, character_class, cut_runs, segmented_keywords
 
 LEXICON = [("今日", "名詞,副詞可能,*,*", "今日", 4000), ("は", "助詞,係助詞,*,*", "は", 3000), ("東京", "名詞,固有名詞,*,*", "東京", 3000),
@@ -126,3 +129,33 @@ def test_empty_lexicon_and_no_rows(spark):
     none = lexicon(spark).where("false")
     assert [r["keyword"] for r in segmented_keywords(rows(spark, ["東京abc"]), "text", [], none).collect()] != []
     assert segmented_keywords(rows(spark, ["x"]).where("false"), "text", [], lexicon(spark)).count() == 0
+
+
+@pytest.mark.parametrize("block", [1, 2, 5, 100])
+def test_runs_cut_at_once_are_cut_as_one_by_one(block):
+    """All runs of a chunk, by tries of some entries each, against the lattice of each run."""
+    rng = random.Random(block)
+    for letters in ("ab", "abcd12", "あア亜々9x", "a\U00020000\U00020001é"):
+        words = sorted({"".join(rng.choice(letters) for _ in range(rng.randrange(1, 7))) for _ in range(40)})
+        entries = [(w, "名詞", w, rng.choice([-3, 1000, 9000, 21000, 22000, 30000])) for w in words]
+        tries = [segmentation.Trie([w for w, *_ in e], np.array([x[3] for x in e], np.int64), *[pa.array([x[i] for x in e]) for i in (1, 2)])
+                 for e in (entries[i:i + block] for i in range(0, len(entries), block))]
+        runs = ["".join(rng.choice(letters) for _ in range(rng.randrange(0, 30))) for _ in range(200)]
+        of, *found = segmentation.cut_chunk(runs, tries, len(tries), None)
+        found = list(zip(of.tolist(), *(x.to_pylist() for x in found)))
+        lattice = Lattice(entries)
+        assert found == [(i, w["surface"], w["pos"], w["base_form"]) for i, run in enumerate(runs) for w in lattice.cut(run)]
+
+
+def test_blocks_of_a_lexicon_add_no_pass_over_the_runs(spark):
+    """One step over the runs, however many blocks the lexicon has, and no shuffle of runs or of their entries."""
+    runs = spark.range(3).selectExpr("CAST(id AS string) AS run")
+    plan = cut_runs(runs, lexicon(spark), trie_rows=2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan and "Union" not in plan
+
+
+def test_each_group_counts_its_own_words(spark):
+    """Rows of a null group, and of runs that several groups hold."""
+    df = spark.createDataFrame([(None, "東京都"), ("a", "東京都"), ("a", "東京都 東"), ("b", "zz東")], "g string, text string")
+    found = {(r["g"], r["keyword"]): r["appearances"] for r in segmented_keywords(df, "text", ["g"], lexicon(spark), trie_rows=4).collect()}
+    assert found == {(None, "東京"): 1, (None, "都"): 1, ("a", "東京"): 2, ("a", "都"): 2, ("a", "東"): 1, ("b", "zz"): 1, ("b", "東"): 1}

@@ -61,8 +61,8 @@ SCALE_NOTES = {
     "keyword_counts_stream_lexicon": "As keyword_counts_stream, with raw tokens joined to the lexicon; the words found hot are salted.",
     "message_bad_times": "Map-only.",
     "keyword_batch_analyzer": "Map-only Arrow batches to the analyzer, then partial counts and one shuffle.",
-    "keyword_segments": "Runs counted per language first; each distinct run is cut once in Arrow batches by a broadcast trie of checked size; two joins on the run, whose sides hold a row per (language, run) and per (run, keyword).",
-    "keyword_segments_blocks": "As keyword_segments, with a pass over the distinct runs for each block of the lexicon and one shuffle that gathers a run's few entries.",
+    "keyword_segments": "Runs counted per language first; each counted run is cut where its count is, in chunks, by broadcast tries of the lexicon's blocks; then one shuffle of the words' counts, no join.",
+    "keyword_segments_blocks": "As keyword_segments, with many blocks: each is walked from the places of a chunk that lie in its range only.",
     "keyword_table_build": "As keyword_counts_batch, then a range shuffle by time, written by day.",
     "stream_progress": "A row per micro-batch, written by the listener.",
     "concurrent_queries": "Two streams over one source definition; a union of their tables.",
