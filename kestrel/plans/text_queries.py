@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kestrel.functions.analyzers import batch_tokens
 from kestrel.functions.keywords import WORD_PATTERN as TOKEN_PATTERN
-from kestrel.functions.keywords import count_keywords, extract_keywords, keyword_array
+from kestrel.functions.keywords import classify, count_keywords, explode_tokens, extract_keywords, keyword_array
 from kestrel.functions.segmentation import segmented_keywords
 from kestrel.functions.messages import decode_messages, encode_messages, iso_stamp, split_rejects
 from kestrel.plans.tables import table, text_table
@@ -180,15 +180,41 @@ def q_keyword_counts_batch(spark, sf_dir):
 
 
 _STORED: dict[tuple[str, str, str], str] = {}
+#: a task counts the keywords of about so many bytes of (compressed) texts in windows of at most so many characters
+TASK_TEXT, WINDOW_TEXT = 8 << 20, 32 << 20
+
+
+def keywords_in_place(texts: DataFrame) -> DataFrame:
+    """The counts of Q5 of (window_start, text) rows, counted in the tasks that the texts are dealt to by time."""
+    size = int(texts._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    tasks = max(texts.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_TEXT))
+    tokens = explode_tokens(texts.repartitionByRange(tasks, "window_start"), "text", ["window_start"])
+    counts = classify(tokens, None).groupBy("window_start", "keyword").agg(F.count("keyword").alias("appearances"))
+    return counts.select("window_start", (F.col("window_start") + F.expr("INTERVAL 30 SECONDS")).alias("window_end"), "keyword", "appearances")
+
+
+def in_order_of_time(counts: DataFrame) -> DataFrame:
+    """The rows of each partition by day, window and keyword."""
+    return with_window_day(counts).sortWithinPartitions("window_day", "window_start", "keyword")
 
 
 def build_keyword_table(spark: SparkSession, sf_dir: str) -> KeywordTable:
     """The keyword table as the reports read it in production: partitioned by day of window start, its rows
-    in order of time so that each task leaves files in few days and row groups hold few windows."""
+    in order of time so that each task leaves files in few days and row groups hold few windows.
+
+    The texts go in order of time to the tasks that count them, so only texts are shuffled; their counts, which
+    are larger, are not. Windows of more than WINDOW_TEXT characters are counted by keyword in all tasks."""
     path = shared_path(spark, "keyword-table")
-    counts = with_window_day(document_keyword_counts(spark, sf_dir))
-    clustered = counts.repartitionByRange("window_start", "keyword").sortWithinPartitions("window_start", "keyword")
-    write_files(clustered, path, "parquet", partition_by=["window_day"])
+    docs = table(spark, sf_dir, "documents").select(doc_time().alias("ts"), "text")
+    texts = docs.select(F.window("ts", "30 seconds").start.alias("window_start"), "text").where("text IS NOT NULL")
+    sizes = texts.groupBy("window_start").agg(F.sum(F.length("text")).alias("size"))
+    crowded = [r["window_start"] for r in sizes.where(F.col("size") > WINDOW_TEXT).select(F.unix_seconds("window_start").alias("window_start")).collect()]
+    apart = F.unix_seconds("window_start").isin(crowded) if crowded else F.lit(False)
+    counts = in_order_of_time(keywords_in_place(texts.where(~apart)))
+    if crowded:
+        few = keyword_counts(texts.where(apart), "window_start", "text", "30 seconds")
+        counts = counts.unionAll(in_order_of_time(few.repartitionByRange("window_start", "keyword")))
+    write_files(counts, path, "parquet", partition_by=["window_day"])
     _STORED[_state_of(spark, sf_dir)] = path
     return KeywordTable(spark, path)
 

@@ -89,3 +89,23 @@ def test_weight_expansion_property(spark, weights, max_chunk, fanout):
     assert got == expected
     units = repeat_by_weight(df, "w", max_chunk=max_chunk, fanout=fanout).groupBy("k").count().collect()
     assert {r["k"]: r["count"] for r in units} == expected
+
+
+def test_stored_table_counts_each_text_where_it_is_dealt_to(spark, tmp_path, monkeypatch):
+    """Rows of null times and texts, of one window that is larger than a task's share, and of many days; no
+    shuffle after the one of the texts."""
+    from kestrel.plans import text_queries
+
+    rows = [(i, f"w{i % 7} alpha beta alpha", "en", "s") for i in range(0, 400_000, 4000)]
+    rows += [(5, "gamma alpha", "en", "s"), (None, "lost", "en", "s"), (6, None, "en", "s"), *[(31, f"crowd c{i} crowd", "en", "s") for i in range(300)]]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    expected = sorted(map(tuple, text_queries.document_keyword_counts(spark, str(tmp_path)).collect()))
+    assert expected
+    for most in (32 << 20, 1000):
+        monkeypatch.setattr(text_queries, "WINDOW_TEXT", most)
+        stored = text_queries.build_keyword_table(spark, str(tmp_path))
+        found = stored.all().select("window_start", "window_end", "keyword", "appearances")
+        assert sorted(map(tuple, found.collect())) == expected and len(stored.days) == 5
+    texts = spark.read.parquet(f"{tmp_path}/documents.parquet").selectExpr("timestamp_seconds(doc_id) AS window_start", "text")
+    plan = text_queries.in_order_of_time(text_queries.keywords_in_place(texts))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") + plan.count("Exchange(") == 1, plan
