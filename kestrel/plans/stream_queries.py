@@ -30,8 +30,16 @@ WINDOW_TABLE_SCHEMA = StructType([
 ])
 
 
-#: a feed comes in so many files, in order of time; a stream takes one of them per micro-batch
-FEED_FILES = 8
+#: a feed comes in at least so many files, in order of time, each of about FEED_BYTES of its table at most; a stream
+#: takes one of them per micro-batch, so a batch, and the windows that it leaves open, do not grow with the feed
+FEED_FILES, FEED_BYTES = 8, 64 << 20
+#: the same for a stream that takes four files at once and keeps its state in memory
+SMALL_FEED_BYTES = 8 << 20
+
+
+def feed_files(source: DataFrame, file_bytes: int) -> int:
+    """How many files the feed of a stored table comes in."""
+    return max(FEED_FILES, -(-int(source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) // file_bytes))
 
 
 def write_in_order(rows: DataFrame, time_col: str, path: str, fmt: str, files: int = FEED_FILES, keep_time: bool = True) -> str:
@@ -42,7 +50,7 @@ def write_in_order(rows: DataFrame, time_col: str, path: str, fmt: str, files: i
     return path
 
 
-def write_document_feed(spark: SparkSession, sf_dir: str, blank_lines: bool = False) -> str:
+def write_document_feed(spark: SparkSession, sf_dir: str, blank_lines: bool = False, file_bytes: int | None = None) -> str:
     """Documents as a JSON-line feed in the shared folder (one envelope per line, in files of ascending
     time); optionally a blank keep-alive line after each French message."""
     docs = text_table(spark, sf_dir, "documents")
@@ -50,7 +58,8 @@ def write_document_feed(spark: SparkSession, sf_dir: str, blank_lines: bool = Fa
     with_blank = F.lit(blank_lines) & (F.col("lang") == "fr")
     lines = docs.select(doc_time().alias("ts"), F.explode(F.when(with_blank, F.array(line, F.lit(""))).otherwise(F.array(line)))
                         .alias("value"))
-    return write_in_order(lines, "ts", shared_path(spark, "feed"), "text", keep_time=False)
+    files = feed_files(table(spark, sf_dir, "documents"), file_bytes or FEED_BYTES)
+    return write_in_order(lines, "ts", shared_path(spark, "feed"), "text", files, keep_time=False)
 
 
 def run_bounded(spark: SparkSession, writer: DataStreamWriter) -> StreamingQuery:
@@ -82,7 +91,7 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_window_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, StreamingQuery]:
     events = table(spark, sf_dir, "events").select("ts", "event_type")
-    feed = write_in_order(events, "ts", shared_path(spark, "events-feed"), "parquet")
+    feed = write_in_order(events, "ts", shared_path(spark, "events-feed"), "parquet", feed_files(events, FEED_BYTES))
     counts = count_per_window(file_stream(spark, feed, events.schema, max_files_per_trigger=1), "ts", "event_type",
                               "30 minutes", delay="30 minutes")
     sink = FileBatchSink(shared_path(spark, "event-windows"))
@@ -142,7 +151,7 @@ def q_keyword_counts_stream_lexicon(spark, sf_dir):
 def q_concurrent_queries(spark, sf_dir):
     """The keyword query and the text query of the job run at once over one feed, each with its own
     checkpoint; the rows of both."""
-    messages = text_line_stream(spark, write_document_feed(spark, sf_dir), max_files_per_trigger=4)
+    messages = text_line_stream(spark, write_document_feed(spark, sf_dir, file_bytes=SMALL_FEED_BYTES), max_files_per_trigger=4)
     sink, texts = WindowTableSink(shared_path(spark, "keywords")), shared_path(spark, "texts")
     started = start_keyword_job(spark, messages, sink, shared_path(spark, "ckpt"), trigger={"availableNow": True},
                                 console=False, texts_path=texts)

@@ -253,3 +253,22 @@ def test_only_hot_words_are_salted(spark):
     copies = F.when(F.col("surface").isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     assert lexicon_frame(spark, lexicon).select(F.explode(copies)).count() == 400 + salts
     assert hot_surfaces(tokens.where("false")) == []
+
+
+def part_files(path):
+    return [f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part-")]
+
+
+def test_batches_do_not_grow_with_the_feed(spark, monkeypatch):
+    """A larger table makes more files of its feed, not larger ones, and the same rows."""
+    made = []
+    write = stream_queries.write_in_order
+    monkeypatch.setattr(stream_queries, "write_in_order", lambda *a, **k: made.append(write(*a, **k)) or made[-1])
+    before = sorted(map(str, stream_queries.q_window_counts_stream(spark, SF).collect()))
+    monkeypatch.setattr(stream_queries, "FEED_BYTES", 2_500)
+    assert sorted(map(str, stream_queries.q_window_counts_stream(spark, SF).collect())) == before
+    assert len(part_files(made[0])) <= stream_queries.FEED_FILES < len(part_files(made[1]))
+    small = stream_queries.write_document_feed(spark, SF, file_bytes=25_000)
+    assert stream_queries.FEED_FILES < len(part_files(small))
+    whole = stream_queries.write_document_feed(spark, SF, file_bytes=1 << 30)
+    assert sorted(spark.read.text(small).collect()) == sorted(spark.read.text(whole).collect())
