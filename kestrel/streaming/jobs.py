@@ -32,18 +32,21 @@ POLL_SECONDS = 0.2
 
 @contextmanager
 def rocksdb_state(spark: SparkSession):
-    """Queries started inside keep their state in RocksDB, off the JVM heap; the session's own setting
-    comes back afterwards (a query keeps the one it was started with)."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB_PROVIDER)
+    """Queries started inside keep their state in RocksDB, off the JVM heap, and commit a batch by its changes alone;
+    the session's own settings come back afterwards (a query keeps those it was started with)."""
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+                "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def checkpoint_dir(base: str, name: str) -> str:
