@@ -265,7 +265,7 @@ def test_batches_do_not_grow_with_the_feed(spark, monkeypatch):
     write = stream_queries.write_in_order
     monkeypatch.setattr(stream_queries, "write_in_order", lambda *a, **k: made.append(write(*a, **k)) or made[-1])
     before = sorted(map(str, stream_queries.q_window_counts_stream(spark, SF).collect()))
-    monkeypatch.setattr(stream_queries, "FEED_BYTES", 2_500)
+    monkeypatch.setattr(stream_queries, "FEED_BYTES", 600)
     assert sorted(map(str, stream_queries.q_window_counts_stream(spark, SF).collect())) == before
     assert len(part_files(made[0])) <= stream_queries.FEED_FILES < len(part_files(made[1]))
     small = stream_queries.write_document_feed(spark, SF, file_bytes=25_000)
