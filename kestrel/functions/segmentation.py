@@ -13,8 +13,8 @@ for each of its characters. Unknown words are nouns, as everywhere in the keywor
 The lexicon, in order of its surfaces, is dealt into blocks of at most ``TRIE_ROWS`` entries, each of which
 tasks make into a trie and which are broadcast. Runs are cut in chunks of a bounded number of characters: each block
 in turn is walked from those places of the chunk whose first characters lie in its range, so a further block
-adds no work to the places of the others, and a task holds one block at a time. Then the lattices of all runs
-of the chunk are filled in at once, place by place. Each distinct run of a group is cut once, however often it
+adds no work to the places of the others, and a task holds one block at a time. Then the lattices of the chunk's
+runs are filled in, place by place, for as many runs at once as stay in a core's cache. Each distinct run of a group is cut once, however often it
 occurs, where its counts are; no run is shuffled for its words.
 """
 
@@ -39,8 +39,10 @@ TOKEN = StructType([StructField("surface", StringType()), StructField("pos", Str
 TOKENS = ArrayType(TOKEN)
 #: a larger lexicon is broadcast in blocks of at most so many entries
 TRIE_ROWS = 300_000
-#: runs are cut in chunks of about so many characters for each block, and of at most so many times as many
+#: runs are cut in chunks of about so many characters for every eight blocks, and of at most so many times as many
 CHUNK, CHUNKS = 100_000, 20
+#: the lattices of runs of about so many characters are filled in at once
+PIECE = 100_000
 UNKNOWN, PER_CHARACTER = 20_000, 1_000
 
 Connections = dict[tuple[str, str], int]
@@ -147,7 +149,7 @@ class Lattice:
 
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(the characters of all texts as numbers, where each text begins, and the end)."""
-    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.int32)
     return flat, np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])
 
 
@@ -193,8 +195,13 @@ class Trie:
         threes = first_three(flat, starts, bounds[1:])
         short = np.maximum(0, 3 - sizes)
         few = short > 0
-        self.ranges = np.concatenate([np.stack([threes, threes + (np.int64(1) << 21 * short)], 1)[few],
-                                      [[threes[0], threes[-1] + 1]] if len(threes) else np.zeros((0, 2), np.int64)]).astype(np.int64)
+        ranges = np.concatenate([np.stack([threes, threes + (np.int64(1) << 21 * short)], 1)[few],
+                                 [[threes[0], threes[-1] + 1]] if len(threes) else np.zeros((0, 2), np.int64)]).astype(np.int64)
+        #: those that do not overlap, ascending
+        ranges = ranges[np.argsort(ranges[:, 0], kind="stable")]
+        upto = np.maximum.accumulate(ranges[:, 1])
+        first = np.flatnonzero(np.concatenate([[True], ranges[1:, 0] > upto[:-1]])) if len(ranges) else np.zeros(0, np.int64)
+        self.ranges = np.stack([ranges[first, 0], np.maximum.reduceat(ranges[:, 1], first) if len(first) else first], 1)
 
     @classmethod
     def of(cls, state: dict) -> Trie:
@@ -222,10 +229,7 @@ class Trie:
 
     def places(self, threes: np.ndarray) -> np.ndarray:
         """Which of the ascending ``threes`` may begin a word of the block."""
-        marks = np.zeros(len(threes) + 1, np.int64)
-        for side, step in ((0, 1), (1, -1)):
-            np.add.at(marks, np.searchsorted(threes, self.ranges[:, side]), step)
-        return np.flatnonzero(np.cumsum(marks[:-1]) > 0)
+        return np.concatenate([np.arange(a, b) for a, b in np.searchsorted(threes, self.ranges).tolist()] or [np.zeros(0, np.int64)])
 
     def words(self, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, entry) of the words that begin at the starts, whose runs end at ``ends``."""
@@ -235,7 +239,7 @@ class Trie:
             at = at + 1
             entries = self.entry[nodes]
             known = np.flatnonzero((nodes > 0) & (entries >= 0))
-            out.append((starts[known], at[known], entries[known].astype(np.int64)))
+            out.append((starts[known], at[known], entries[known]))
             on = np.flatnonzero((nodes > 0) & (at < ends))
             nodes, at, starts, ends = nodes[on], at[on], starts[on], ends[on]
         return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (zip(*out) if out else [()] * 3))
@@ -245,18 +249,18 @@ def cut_chunk(runs: list[str], tries: Iterable[Trie], n_tries: int, connections:
     """(number of the run, surface, part of speech, base form) of each word of the runs, in order."""
     flat, bounds = code_points(runs)
     sizes = np.diff(bounds)
-    of = np.repeat(np.arange(len(runs)), sizes)
-    every, ends = np.arange(len(flat)), bounds[1:][of]
+    of = np.repeat(np.arange(len(runs), dtype=np.int32), sizes)
+    every, ends = np.arange(len(flat), dtype=np.int32), np.repeat(bounds[1:].astype(np.int32), sizes)
     if n_tries > 1:
         threes = first_three(flat, every, ends)
-        by = np.argsort(threes, kind="stable")
+        by = np.argsort(threes).astype(np.int32)
         threes = threes[by]
     found, pos, base, n_entries = [], [], [], 0
     for trie in tries:
         starts = by[trie.places(threes)] if n_tries > 1 else every
         starts, stops, entries = trie.words(flat, starts, ends[starts])
         used, entries = np.unique(entries, return_inverse=True) if n_tries > 1 else (np.arange(len(trie.costs)), entries)
-        found.append((starts, stops, entries + n_entries, trie.costs[used][entries]))
+        found.append((starts, stops, (entries + n_entries).astype(np.int32), trie.costs[used][entries]))
         n_entries += len(used)
         pos.append(trie.pos.take(pa.array(used)))
         base.append(trie.base.take(pa.array(used)))
@@ -266,9 +270,13 @@ def cut_chunk(runs: list[str], tries: Iterable[Trie], n_tries: int, connections:
     if connections:
         return cut_connected(runs, of[starts], [joined[a:b] for a, b in zip(starts.tolist(), stops.tolist())],
                              pos.take(pa.array(entries)).to_pylist(), base.take(pa.array(entries)).to_pylist(), costs.tolist(), connections)
-    at, stop, entry = least_cuts(flat, bounds, of, starts, stops, entries, costs)
+    at, entry = least_cuts(flat, bounds, of, starts, stops, entries, costs)
     index = pa.array(entry, mask=entry < 0)
-    return of[at], pa.array([joined[a:b] for a, b in zip(at.tolist(), stop.tolist())], pa.string()), pos.take(index), base.take(index)
+    # the words follow one another without a gap, so the runs' own text is that of the words
+    width = np.concatenate([[0], np.cumsum(1 + (flat >= 0x80) + (flat >= 0x800) + (flat >= 0x10000), dtype=np.int64)])
+    offsets = width[np.append(at, len(flat))].astype(np.int32)
+    surfaces = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(joined.encode()))
+    return of[at], surfaces, pos.take(index), base.take(index)
 
 
 def cut_connected(runs: list[str], of: np.ndarray, surfaces: list, pos: list, base: list, costs: list, connections: Connections):
@@ -282,15 +290,33 @@ def cut_connected(runs: list[str], of: np.ndarray, surfaces: list, pos: list, ba
             *(pa.array([w[name] for w in flat], pa.string()) for name in ("surface", "pos", "base_form")))
 
 
-def least_cuts(flat, bounds, of, starts, stops, entries, costs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, entry or -1) of the words of the cheapest paths, ascending: ``Lattice.plain`` for all runs at once,
-    place by place from their beginnings. The words given (start, end, entry, cost) are the known ones."""
+def least_cuts(flat, bounds, of, starts, stops, entries, costs) -> tuple[np.ndarray, np.ndarray]:
+    """(start, entry or -1) of the words of the cheapest paths, ascending: ``Lattice.plain`` for many runs at once. The
+    words given (start, end, entry, cost) are the known ones."""
     sizes = np.diff(bounds)
-    seen = np.bincount(flat)
-    kinds = np.zeros(len(seen), np.int8)
-    for c in np.flatnonzero(seen).tolist():
-        kinds[c] = character_class(chr(c))
-    classes = kinds[flat]
+    longest = max(1, int(sizes.max(initial=0)))
+    firsts = np.flatnonzero(np.diff(bounds[:-1] // PIECE, prepend=-1))  # the runs that pieces begin with
+    lasts = np.append(firsts[1:], len(sizes))
+    # (piece, place) of each place of the runs as one number, and of the words
+    key = np.arange(len(flat)) + np.repeat(np.repeat(np.arange(len(firsts)) * longest, lasts - firsts) - bounds[:-1], sizes)
+    key = key.astype(np.uint16 if len(firsts) * longest < 1 << 16 else np.int64)[starts]
+    by = np.argsort(key, kind="stable")
+    key = key[by]
+    cuts = np.searchsorted(key, np.arange(len(firsts) + 1) * longest).tolist()
+    found = []
+    for i, (first, last) in enumerate(zip(firsts.tolist(), lasts.tolist())):
+        mine, a, b = by[cuts[i]:cuts[i + 1]], int(bounds[first]), int(bounds[last])
+        at, entry = least_cuts_of(flat[a:b], bounds[first:last + 1] - a, of[a:b] - first, key[cuts[i]:cuts[i + 1]].astype(np.int64) - i * longest,
+                                  starts[mine] - a, stops[mine] - a, entries[mine], costs[mine])
+        found.append((at + a, entry))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+
+
+def least_cuts_of(flat, bounds, of, place, starts, stops, entries, costs) -> tuple[np.ndarray, np.ndarray]:
+    """``least_cuts`` of a piece, place by place from the beginnings of its runs; the known words ascend by their places."""
+    sizes = np.diff(bounds)
+    letters, inverse = np.unique(flat, return_inverse=True)
+    classes = np.array([character_class(chr(c)) for c in letters.tolist()], np.int8)[inverse]
     last = np.ones(len(flat), bool)  # the last place of a stretch of one class
     last[:-1] = (classes[1:] != classes[:-1]) | (of[1:] != of[:-1])
     class_ends = np.flatnonzero(last)[np.cumsum(last) - last] + 1 if len(flat) else np.zeros(0, np.int64)
@@ -308,11 +334,8 @@ def least_cuts(flat, bounds, of, starts, stops, entries, costs) -> tuple[np.ndar
         cost[to], count[to], start[to] = total[better], many[better], begin[better]
         word[to] = -1 if entry is None else entry[better]
 
-    longest = int(sizes.max()) if len(sizes) else 0
-    place = starts - bounds[:-1][of[starts]]
-    by = np.argsort(place.astype(np.uint16) if longest < 1 << 16 else place, kind="stable")
-    starts, stops, entries, costs = starts[by], stops[by], entries[by], costs[by]
-    cuts = np.searchsorted(place[by], np.arange(longest + 1))
+    longest = int(sizes.max(initial=0))
+    cuts = np.searchsorted(place, np.arange(longest + 1))
     long_first = np.argsort(-sizes, kind="stable")
     firsts, many = bounds[:-1][long_first], np.searchsorted(-sizes[long_first], -np.arange(longest), side="left")
     for p in range(longest):
@@ -323,15 +346,15 @@ def least_cuts(flat, bounds, of, starts, stops, entries, costs) -> tuple[np.ndar
         at = at[class_ends[at] > at + 1]
         reach(at, class_ends[at], UNKNOWN + PER_CHARACTER * (class_ends[at] - at), None)
 
-    ends, found = np.zeros(len(flat), np.int64), np.zeros(len(flat), np.int64)  # of the word that begins at a place
+    begins, found = np.zeros(len(flat), bool), np.zeros(len(flat), np.int64)  # of the word that begins at a place
     runs, end = np.flatnonzero(sizes > 0), bounds[1:][sizes > 0]
     while len(runs):
         begin = start[end + runs]
-        ends[begin], found[begin] = end, word[end + runs]
+        begins[begin], found[begin] = True, word[end + runs]
         on = begin > bounds[runs]
         runs, end = runs[on], begin[on]
-    begin = np.flatnonzero(ends)
-    return begin, ends[begin], found[begin]
+    begin = np.flatnonzero(begins)
+    return begin, found[begin]
 
 
 def lexicon_tries(lexicon: DataFrame, trie_rows: int) -> list[Broadcast]:
@@ -359,7 +382,7 @@ def lexicon_tries(lexicon: DataFrame, trie_rows: int) -> list[Broadcast]:
             yield from tries(held, 1)
 
     spark = lexicon.sparkSession
-    return [spark.sparkContext.broadcast(pickle.loads(r["trie"])) for r in rows.mapInArrow(build, "trie binary").toLocalIterator()]
+    return [spark.sparkContext.broadcast(pickle.loads(r["trie"])) for r in rows.mapInArrow(build, "trie binary").toLocalIterator(prefetchPartitions=True)]
 
 
 def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
@@ -395,7 +418,7 @@ def with_words(rows: DataFrame, lexicon: DataFrame, connections: Connections | N
             block.__dict__.pop("_value", None)  # a worker holds one block at a time
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, CHUNK * min(CHUNKS, len(shared))):
+        for batch in chunks(batches, CHUNK * min(CHUNKS, -(-len(shared) // 8))):
             texts = [r or "" for r in batch.column("run").to_pylist()]
             of, *words = cut_chunk(texts, blocks(), len(shared), connections)
             if as_list:

@@ -159,3 +159,26 @@ def test_each_group_counts_its_own_words(spark):
     df = spark.createDataFrame([(None, "東京都"), ("a", "東京都"), ("a", "東京都 東"), ("b", "zz東")], "g string, text string")
     found = {(r["g"], r["keyword"]): r["appearances"] for r in segmented_keywords(df, "text", ["g"], lexicon(spark), trie_rows=4).collect()}
     assert found == {(None, "東京"): 1, (None, "都"): 1, ("a", "東京"): 2, ("a", "都"): 2, ("a", "東"): 1, ("b", "zz"): 1, ("b", "東"): 1}
+
+
+def test_lattices_are_filled_in_by_pieces(monkeypatch):
+    """A chunk's lattices are filled in for a bounded number of characters at once, whatever the chunk's size; the words
+    are those of the runs one by one, from blocks that overlap in their ranges too."""
+    rng = random.Random(5)
+    entries = sorted({"".join(rng.choice("abcあア漢1𠮷") for _ in range(rng.randint(1, 4))): rng.randint(1, 9) * 4000 for _ in range(90)}.items())
+    runs = ["".join(rng.choice("abcdあいア漢字12𠮷") for _ in range(rng.randint(0, 12))) for _ in range(300)]
+    tries = [segmentation.Trie([w for w, _ in part], np.array([c for _, c in part]), pa.array(["名詞"] * len(part)), pa.array([w for w, _ in part]))
+             for part in (entries[i:i + 7] for i in range(0, len(entries), 7))]
+    sizes, whole = [], segmentation.least_cuts_of
+
+    def recorded(flat, *rest):
+        sizes.append(len(flat))
+        return whole(flat, *rest)
+
+    monkeypatch.setattr(segmentation, "PIECE", 100)
+    monkeypatch.setattr(segmentation, "least_cuts_of", recorded)
+    of, surfaces, pos, base = segmentation.cut_chunk(runs, tries, len(tries), None)
+    lattice = segmentation.Lattice([(w, "名詞", w, c) for w, c in entries])
+    expected = [(i, w["surface"], w["pos"], w["base_form"]) for i, run in enumerate(runs) for w in lattice.cut(run)]
+    assert list(zip(of.tolist(), surfaces.to_pylist(), pos.to_pylist(), base.to_pylist())) == expected
+    assert len(sizes) > 10 and max(sizes) < 100 + 2 * 12
