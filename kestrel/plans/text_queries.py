@@ -180,13 +180,15 @@ def q_keyword_counts_batch(spark, sf_dir):
 
 
 _STORED: dict[tuple[str, str, str], str] = {}
-#: a task counts the keywords of about so many bytes of (compressed) texts in windows of at most so many characters
-TASK_TEXT, WINDOW_TEXT = 8 << 20, 32 << 20
+#: a task counts the keywords of about so many characters of texts, in windows of at most so many
+TASK_TEXT, WINDOW_TEXT = 6 << 20, 6 << 20
 
 
-def keywords_in_place(texts: DataFrame) -> DataFrame:
-    """The counts of Q5 of (window_start, text) rows, counted in the tasks that the texts are dealt to by time."""
-    size = int(texts._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def keywords_in_place(texts: DataFrame, size: int | None = None) -> DataFrame:
+    """The counts of Q5 of (window_start, text) rows of ``size`` characters (counted first if not given), counted in
+    the tasks that the texts are dealt to by time."""
+    if size is None:
+        size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     tasks = max(texts.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_TEXT))
     tokens = explode_tokens(texts.repartitionByRange(tasks, "window_start"), "text", ["window_start"])
     counts = classify(tokens, None).groupBy("window_start", "keyword").agg(F.count("keyword").alias("appearances"))
@@ -203,14 +205,18 @@ def build_keyword_table(spark: SparkSession, sf_dir: str) -> KeywordTable:
     in order of time so that each task leaves files in few days and row groups hold few windows.
 
     The texts go in order of time to the tasks that count them, so only texts are shuffled; their counts, which
-    are larger, are not. Windows of more than WINDOW_TEXT characters are counted by keyword in all tasks."""
+    are larger, are not. Tasks are made for the characters that the texts have, however well they are compressed, and are
+    small enough to count and sort them in memory. Windows of more than WINDOW_TEXT characters are counted by keyword
+    in all tasks."""
     path = shared_path(spark, "keyword-table")
     docs = table(spark, sf_dir, "documents").select(doc_time().alias("ts"), "text")
     texts = docs.select(F.window("ts", "30 seconds").start.alias("window_start"), "text").where("text IS NOT NULL")
     sizes = texts.groupBy("window_start").agg(F.sum(F.length("text")).alias("size"))
-    crowded = [r["window_start"] for r in sizes.where(F.col("size") > WINDOW_TEXT).select(F.unix_seconds("window_start").alias("window_start")).collect()]
+    many = F.col("size") > WINDOW_TEXT
+    found = sizes.agg(F.sum(F.when(~many, F.col("size"))).alias("size"), F.collect_list(F.when(many, F.unix_seconds("window_start"))).alias("crowded")).first()
+    crowded = found["crowded"]
     apart = F.unix_seconds("window_start").isin(crowded) if crowded else F.lit(False)
-    counts = in_order_of_time(keywords_in_place(texts.where(~apart)))
+    counts = in_order_of_time(keywords_in_place(texts.where(~apart), found["size"] or 0))
     if crowded:
         few = keyword_counts(texts.where(apart), "window_start", "text", "30 seconds")
         counts = counts.unionAll(in_order_of_time(few.repartitionByRange("window_start", "keyword")))

@@ -109,3 +109,24 @@ def test_stored_table_counts_each_text_where_it_is_dealt_to(spark, tmp_path, mon
     texts = spark.read.parquet(f"{tmp_path}/documents.parquet").selectExpr("timestamp_seconds(doc_id) AS window_start", "text")
     plan = text_queries.in_order_of_time(text_queries.keywords_in_place(texts))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") + plan.count("Exchange(") == 1, plan
+
+
+def test_texts_that_compress_well_make_as_many_tasks_as_others(spark, tmp_path, monkeypatch):
+    """Equal texts take hardly any room in a file; the tasks of the table's build follow their characters."""
+    from kestrel.plans import text_queries
+
+    monkeypatch.setattr(text_queries, "TASK_TEXT", 20_000)
+    text = " ".join(f"word{i}" for i in range(200))
+    rows = [(i * 60, text, "en", "s") for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    seen, whole = [], text_queries.keywords_in_place
+
+    def recorded(*args):
+        counts = whole(*args)
+        seen.append(counts.rdd.getNumPartitions())
+        return counts
+
+    monkeypatch.setattr(text_queries, "keywords_in_place", recorded)
+    stored = text_queries.build_keyword_table(spark, str(tmp_path))
+    assert seen[0] >= 400 * len(text) // 20_000
+    assert stored.all().count() == 400 * 200
