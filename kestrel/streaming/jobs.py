@@ -22,7 +22,7 @@ from kestrel.functions.messages import decode_messages, split_rejects
 from kestrel.session import ROCKSDB_PROVIDER
 from kestrel.sinks.console import console_stream_writer
 from kestrel.sources.streams import payload_text
-from kestrel.streaming.windows import keyword_counts
+from kestrel.streaming.windows import count_window_texts, keyword_counts, texts_per_window
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -72,10 +72,15 @@ def keyword_sink_writer(messages: DataFrame, sink: BatchSink, checkpoint_base: s
                         pos_mode: str = "subclass", trigger: dict | None = None,
                         query_name: str = "keywords to database", hot_surfaces: list[str] | None = None) -> DataStreamWriter:
     """``hot_surfaces``: words so frequent that their lexicon lookup is salted (see ``hot_surfaces`` in
-    ``functions.keywords``, over an earlier day's texts)."""
+    ``functions.keywords``, over an earlier day's texts). The windows' texts are kept in state until the watermark closes
+    them; their keywords are counted on the way to the sink."""
     texts, _ = decoded_texts(messages)
-    counts = keyword_counts(texts, "ts", "text", window, watermark, lexicon, pos_mode, hot_surfaces)
-    writer = (counts.writeStream.outputMode("append").foreachBatch(sink)
+    closed = texts_per_window(texts, "ts", "text", window, watermark)
+
+    def count_and_store(batch_df: DataFrame, batch_id: int) -> None:
+        sink(count_window_texts(batch_df, lexicon, pos_mode, hot_surfaces), batch_id)
+
+    writer = (closed.writeStream.outputMode("append").foreachBatch(count_and_store)
               .option("checkpointLocation", checkpoint_dir(checkpoint_base, "database-sink"))
               .queryName(query_name))
     return with_trigger(writer, trigger)

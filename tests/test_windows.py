@@ -178,6 +178,22 @@ def test_state_stays_bounded_by_the_watermark(spark, scratch):
     assert sink.read(spark).count() >= 4 * 20  # closed windows were emitted along the way
 
 
+def test_state_holds_texts_not_words(spark, scratch):
+    """A row of state per distinct text of an open window, however many words it has; repeated texts count each time."""
+    feed = os.path.join(scratch, "feed")
+    os.makedirs(feed)
+    words = " ".join(f"k{i}" for i in range(200))
+    for b in range(4):
+        _write_batch(feed, b, [_message(b * 10 + j, b * 30 + j, words if j < 3 else f"{words} other") for j in range(5)])
+    sink = FileBatchSink(os.path.join(scratch, "out"))
+    query = run_to_end(keyword_sink_writer(text_line_stream(spark, feed, max_files_per_trigger=1), sink,
+                                           os.path.join(scratch, "ckpt"), "30 seconds", "30 seconds"))
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 3 * 2
+    rows = sink.read(spark).groupBy("window_start", "keyword").agg(F.count("*").alias("rows"), F.sum("appearances").alias("n")).collect()
+    assert {(r["rows"], r["n"]) for r in rows if r["keyword"] != "other"} == {(1, 5)}
+    assert {(r["rows"], r["n"]) for r in rows if r["keyword"] == "other"} == {(1, 2)}
+
+
 def test_one_day_batch_is_written_by_many_tasks_and_can_be_compacted(spark, scratch):
     import glob
 
