@@ -17,8 +17,9 @@ group, and the groups are joined on their own, each by a prefix tree of its sets
 * A leaf's overlaps are exact; they are the links.
 
 Before that, candidates are narrowed down without texts. A member of a group stays only if another
-member may reach the required overlap with all the shingles behind the common one. Then the shingles in
-front alone are joined: the texts that may be similar by what they share in front and by what is left
+member may reach the required overlap with all the shingles behind the common one, and if the two sets'
+sketches allow it: a sketch has a bit for the parity of the shingles of each hash value, so two sets differ in at
+least as many shingles as their sketches do in bits. Then the shingles in front alone are joined: the texts that may be similar by what they share in front and by what is left
 behind make up families. Each family goes to one task with its texts, once; a family of more than ``GROUP``
 texts is joined by its tokens. ``group_join`` says in which rounds groups are joined, so that large ones are
 split and no pair that is not yet connected is left out.
@@ -63,6 +64,8 @@ WORDS, SHINGLES, ROWS, ALL_WORDS = 0, 1, 2, 3
 FRONTS = 3
 #: a matrix of overlaps has so many bytes
 MATRIX_BYTES = 32 << 20
+#: a sketch has 64 bits at least, and so many times as many at most; tokens of more rows are not narrowed by sketches
+SKETCH_WORDS, SKETCH_ROWS = 32, 20_000
 
 
 def text_sets(texts: pa.Array, rarity: Rarity | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -183,6 +186,65 @@ def in_front(n: int) -> int:
     return n - (SIMILAR * n + 99) // 100 + 1 if n else 0
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """The parities of a set's shingles by 64 or more values of their hash, about half as many as shingles or more.
+    Half of a sketch's words, added to the other half without carry, is the sketch of half the length."""
+    bits = 64
+    while 2 * bits < len(found) and bits < 64 * SKETCH_WORDS:
+        bits *= 2
+    at = (found * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)).astype(np.int64) & (bits - 1)
+    return np.packbits(np.bincount(at, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+class Sketches:
+    """The sketches of rows, each at its own length and at all shorter ones."""
+
+    def __init__(self, column: pa.Array):
+        column = column.cast(pa.large_binary())
+        flat, offsets = byte_view(column)
+        lengths = np.diff(offsets) // 8
+        self.level = np.log2(lengths).astype(np.int64)  # 2 ** level words
+        self.rows, self.at = {}, {}
+        longer, above = np.zeros(0, np.int64), None
+        for level in range(int(self.level.max(initial=0)), -1, -1):
+            own = np.flatnonzero(self.level == level)
+            words = flat[offsets[own][:, None] + np.arange(8 << level)].view(np.uint64)
+            if above is not None:
+                words = np.concatenate([words, above[:, :1 << level] ^ above[:, 1 << level:]])
+            longer, above = np.concatenate([own, longer]), words
+            self.rows[level], self.at[level] = words, np.full(len(self.level), -1)
+            self.at[level][longer] = np.arange(len(longer))
+
+    def differ(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """In how many bits the sketches of rows x differ from those of rows y, pair by pair."""
+        level, out = np.minimum(self.level[x], self.level[y]), np.zeros(len(x), np.int64)
+        for one in np.unique(level).tolist():
+            for part in np.array_split(np.flatnonzero(level == one), 1 + (len(x) << one) // (1 << 20)):
+                both = self.rows[one][self.at[one][x[part]]] ^ self.rows[one][self.at[one][y[part]]]
+                out[part] = np.bitwise_count(both).sum(1, dtype=np.int64)
+        return out
+
+
+def with_partner(token: np.ndarray, n: np.ndarray, at: np.ndarray, sketches: Sketches) -> np.ndarray:
+    """Whether each row (in the order of token and n) has another one of its token that it may be similar to."""
+    kept, rest = np.zeros(len(n), bool), n - at
+    first, step = np.arange(len(n)), 0
+    while len(first):
+        step += 1
+        first = first[first + step < len(n)]
+        other = first + step
+        # larger ones are too large for this row from here on
+        first = first[(token[first] == token[other]) & (SIMILAR * n[other] <= 100 * n[first])]
+        x, y = first, first + step
+        both = n[x] + n[y]
+        open_ = ~(kept[x] & kept[y]) & ((100 + SIMILAR) * np.minimum(rest[x], rest[y]) >= SIMILAR * both)
+        x, y, both = x[open_], y[open_], both[open_]
+        least = -(-SIMILAR * both // (100 + SIMILAR))
+        good = sketches.differ(x, y) <= both - 2 * least
+        kept[x[good]] = kept[y[good]] = True
+    return kept
+
+
 def join_group(sets: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, order: Order) -> np.ndarray:
     """New labels of the sets of a group (shingles, none empty, and their rarities): sets that were equal in
     ``labels``, or that links connect, are equal."""
@@ -274,22 +336,23 @@ class Joiner:
         self.memo = f"ngrams-{uuid.uuid4()}"
 
     def signed(self) -> DataFrame:
-        """id, key, n_shingles, and front: the codes of the set's first shingles in the global order."""
+        """id, key, n_shingles, front (the codes of the set's first shingles in the global order), and its sketch."""
         shared, memo = self.shared, self.memo
 
         def make(texts: pa.Array):
             order, rarity = worker_memo(memo, lambda: ordered(shared.value))
             sets = text_sets(texts, rarity)
             fronts = [order.sorted(found, rare)[1][:in_front(len(found))] for found, rare in sets]
-            return [pa.array([len(s) for s, _ in sets], pa.int64()), pa.array(fronts, pa.list_(pa.int64()))]
+            return [pa.array([len(s) for s, _ in sets], pa.int64()), pa.array(fronts, pa.list_(pa.int64())),
+                    pa.array([sketch(s) for s, _ in sets], pa.binary())]
 
-        return map_texts(self.rows, "text", ["id", "key"], make, "n_shingles long, front array<long>")
+        return map_texts(self.rows, "text", ["id", "key"], make, "n_shingles long, front array<long>, sketch binary")
 
     def labels(self, signed: DataFrame) -> DataFrame:
         """(key, label) of every text that may be similar to another one; texts go by numbers in between."""
-        nodes = signed.where("n_shingles > 0").select(F.col("key").alias("name"), "n_shingles", "front").dropDuplicates(["name"])
+        nodes = signed.where("n_shingles > 0").select(F.col("key").alias("name"), "n_shingles", "front", "sketch").dropDuplicates(["name"])
         nodes = stored(nodes.withColumn("key", F.monotonically_increasing_id()), "nodes")
-        members = stored(possible(nodes), "possible")
+        members = stored(narrowed(stored(possible(nodes), "possible"), nodes), "narrowed")
         keys, n_keys = self.counted(members)
         if not n_keys:
             return signed.select("key", F.col("key").alias("label")).where("false")
@@ -327,22 +390,55 @@ class Joiner:
 
 
 def possible(nodes: DataFrame) -> DataFrame:
-    """(token, key, n, at): the shingles in front of each text (with the set's size and the shingle's place)
+    """(token, key, n, at, size): the shingles in front of each text (with the set's size, the shingle's place and texts)
     that another text has in front, too, and may be similar to if it is the first shingle that the two share:
     all shingles from there on together must be enough. Tokens of more than GROUP rows are kept whole."""
     # one long for size and place, since every shingle in front of every text is shuffled here
     place = F.shiftleft("n_shingles", 32).bitwiseOR(F.col("at").cast("long"))
     fronts = nodes.select("key", "n_shingles", F.posexplode("front").alias("at", "token")).select("token", "key", place.alias("place"))
     counts = fronts.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    rows = fronts.join(counts, "token")
+    rows = stored(fronts.join(counts, "token"), "rows")  # read twice
     n, at = lambda r: F.shiftright(r["place"], 32), lambda r: r["place"].bitwiseAND(F.lit((1 << 32) - 1))
     rest = lambda r: n(r) - at(r)
     enough = lambda x, y: (100 + SIMILAR) * F.least(rest(x), rest(y)) >= SIMILAR * (n(x) + n(y))
-    few = rows.where(F.col("size") <= group_join.GROUP).groupBy("token").agg(F.collect_list(F.struct("key", "place")).alias("rows"))
+    few = rows.where(F.col("size") <= group_join.GROUP).groupBy("token").agg(
+        F.first("size").alias("size"), F.collect_list(F.struct("key", "place")).alias("rows"))
     kept = F.filter("rows", lambda x: F.exists("rows", lambda y: (x["key"] != y["key"]) & enough(x, y)))
-    few = few.select("token", F.explode(kept).alias("r")).select("token", "r.key", "r.place")
-    every = few.unionAll(rows.where(F.col("size") > group_join.GROUP).select("token", "key", "place"))
-    return every.select("token", "key", n(every).alias("n"), at(every).cast("int").alias("at"))
+    few = few.select("token", "size", F.explode(kept).alias("r")).select("token", "r.key", "r.place", "size")
+    every = few.unionAll(rows.where(F.col("size") > group_join.GROUP).select("token", "key", "place", "size"))
+    return every.select("token", "key", n(every).alias("n"), at(every).cast("int").alias("at"), "size")
+
+
+def narrowed(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(token, key, at): the members that another member of their token may be similar to by sizes, places and
+    sketches. Tokens of more than SKETCH_ROWS rows are kept whole."""
+    ship_package(members.sparkSession)
+    few = members.where(F.col("size") <= SKETCH_ROWS).join(nodes.select("key", "sketch"), "key").select("token", "key", "n", "at", "sketch")
+    few = few.repartition("token").sortWithinPartitions("token", "n")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def result(table: pa.Table) -> pa.RecordBatch:
+            whole = table.combine_chunks().to_batches()[0]
+            token, n, at = (whole.column(c).to_numpy().astype(np.int64) for c in ("token", "n", "at"))
+            return whole.select(["token", "key", "at"]).filter(pa.array(with_partner(token, n, at, Sketches(whole.column("sketch")))))
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= SKETCH_ROWS:
+                names = batch.column("token").to_numpy()
+                cut = int(np.argmax(names == names[-1]))  # where the last token begins
+                if cut or held[-2:-1] and held[-2].column("token")[-1].as_py() != names[0]:
+                    ready = [*held[:-1], batch.slice(0, cut)]
+                    yield result(pa.Table.from_batches(ready))
+                    held = [batch.slice(cut)]
+        if held:
+            yield result(pa.Table.from_batches(held))
+
+    few = few.mapInArrow(run, "token long, key long, at int")
+    return few.unionAll(members.where(F.col("size") > SKETCH_ROWS).select("token", "key", "at"))
 
 
 def connect_fronts(rows: pa.RecordBatch, labels: np.ndarray) -> np.ndarray:

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import UPPER, awkward, documents, empty
 from kestrel.llm import group_join, ngram_join
@@ -140,6 +141,44 @@ def test_possible_members(spark):
     assert found == [(11, 1, 100, 0), (11, 2, 90, 0), (33, 1, 100, 3), (33, 2, 90, 1)]
 
 
+def test_sketches_keep_every_similar_pair_and_no_others(spark):
+    """Texts that only share a passage in front are no candidates, however many; similar ones of any size stay."""
+    rng = np.random.default_rng(5)
+    passage = rng.integers(0, 1 << 62, 12).astype(np.uint64)
+    rows, pairs = [], set()
+    for token in range(6):
+        sets = []
+        for i in range(60):
+            own = np.unique(np.concatenate([passage, rng.integers(0, 1 << 62, rng.integers(40, 900)).astype(np.uint64)]))
+            sets.append(own)
+            if i % 10 == 0:  # just similar, and just not
+                most = (100 * len(own)) // ngram_join.SIMILAR - len(own)
+                for extra in (most, most + 1):
+                    sets.append(np.unique(np.concatenate([own, rng.integers(0, 1 << 62, extra).astype(np.uint64)])))
+        for i, x in enumerate(sets):
+            if any(i != j and linked(set(x.tolist()), set(y.tolist())) for j, y in enumerate(sets)):
+                pairs.add((token, 1000 * token + i))
+        rows += [(token, 1000 * token + i, len(x), 0, len(sets), bytearray(ngram_join.sketch(x))) for i, x in enumerate(sets)]
+    members = spark.createDataFrame(rows, "token long, key long, n long, at int, size long, sketch binary")
+    nodes = members.select("key", "sketch")
+    found = {(r["token"], r["key"]) for r in ngram_join.narrowed(members.drop("sketch"), nodes).collect()}
+    assert found >= pairs and len(pairs) >= 72
+    assert len(found) <= len(pairs) + 12 < len(rows) / 3
+    whole = ngram_join.narrowed(members.drop("sketch", "size").withColumn("size", F.lit(10 ** 6)), nodes)
+    assert whole.count() == len(rows)
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(6)
+    sets = [rng.integers(0, 400, rng.integers(0, 1 << rng.integers(1, 13))).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D) for _ in range(60)]
+    sets = [np.unique(s) for s in sets] + [np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64)) for n in (1, 127, 128, 129, 5000, 9000)]
+    sketches = ngram_join.Sketches(pa.array([ngram_join.sketch(s) for s in sets], pa.binary()))
+    x, y = (a.ravel() for a in np.indices((len(sets), len(sets))))
+    found = sketches.differ(x, y)
+    apart = np.array([len(np.setxor1d(sets[a], sets[b])) for a, b in zip(x, y)])
+    assert (found <= apart).all() and (found[x == y] == 0).all() and found.max() > 500
+
+
 def test_boundary_of_the_similarity():
     sets = [np.arange(0, 100, dtype=np.uint64), np.arange(0, 85, dtype=np.uint64), np.arange(16, 100, dtype=np.uint64)]
     found = ngram_join.join_group([(s, np.zeros(len(s), np.int64)) for s in sets], np.arange(3), ngram_join.Order({}))
