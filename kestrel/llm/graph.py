@@ -23,20 +23,20 @@ def sized(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
-def components(edges: DataFrame, most: int) -> DataFrame:
-    """(key, label): the least key of the connected component of each vertex of the edges (a, b), of
-    which there are ``most`` at the utmost. Rounds of minimum labels of neighbours, and of the labels'
-    labels, until nothing changes."""
-    sides = stored(edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "sides")
+def components(sides: DataFrame, most: int) -> DataFrame:
+    """(key, label): the least key of the connected component of each vertex of the edges (a, b), which are
+    written, each in both directions; there are ``most`` vertices at the utmost. Rounds of minimum labels of
+    neighbours, and of the labels' labels, until no edge has two labels."""
     labels = stored(sides.groupBy("a").agg(F.min("b").alias("b")).select(
         F.col("a").alias("key"), F.least("a", "b").alias("label")), "labels")
-    small = lambda df: sized(df, most)  # noqa: E731  a row per vertex at most
+
+    def named(key: str, label: str) -> DataFrame:
+        return sized(labels.select(F.col("key").alias(key), F.col("label").alias(label)), most)  # a row per vertex at most
+
     while True:
-        near = sides.join(small(labels.select(F.col("key").alias("b"), "label")), "b").groupBy("a").agg(F.min("label").alias("near"))
-        lower = near.join(small(labels.select(F.col("key").alias("a"), F.col("label").alias("old"))), "a")
-        lower = lower.select(F.col("a").alias("key"), "old", F.least("old", "near").alias("label"))
-        targets = labels.select(F.col("key").alias("label"), F.col("label").alias("jump"))
-        after = stored(lower.join(small(targets), "label").select("key", "old", F.least("label", "jump").alias("label")), "labels")
-        labels = after.select("key", "label")
-        if after.where("old <> label").isEmpty():
+        ends = sides.where("a < b").join(named("a", "x"), "a").join(named("b", "y"), "b")
+        if ends.where("x <> y").isEmpty():
             return labels
+        near = sides.join(named("b", "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
+        lower = near.join(named("a", "old"), "a").select(F.col("a").alias("key"), F.least("old", "near").alias("x"))
+        labels = stored(lower.join(named("x", "y"), "x").join(named("y", "label"), "y").select("key", "label"), "labels")

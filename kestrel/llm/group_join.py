@@ -9,7 +9,7 @@ components. There the members outside the largest component are put against all
 by block, so every pair of texts that are not yet connected meets, and the work follows the members that
 are left over. Groups that hold one component are left alone, and equal member lists are joined once. No
 group, list or pair is cut short, and no pair leaves its task: a group returns the edges of a spanning
-forest, one less than the texts it connects.
+forest of the components it connects, from the least of them to each other one.
 """
 
 from __future__ import annotations
@@ -49,14 +49,20 @@ class GroupJoin:
     def labels(self) -> DataFrame:
         """(key, label) of every key: the least key of its component."""
         labels = self.keys.select("key", F.col("key").alias("label"))
+        large = []
         for members in self.rounds:
             mixed = self.mixed(members, labels)
+            n_rows = mixed.count()
+            if n_rows:
+                # only these may hold several components later on
+                large.append(mixed.where(F.col("size") > self.group).select("token", "key"))
+                labels = self.merged(labels, self.joined(self.lists(mixed), labels, n_rows))
+        for members in large:
+            if members.isEmpty():
+                continue
+            mixed = self.mixed(members, labels)
             if not mixed.isEmpty():
-                labels = self.merged(labels, self.joined(self.lists(mixed), labels))
-        for members in self.rounds:
-            large = self.mixed(members, labels).where(F.col("size") > self.group)
-            if not large.isEmpty():
-                labels = self.merged(labels, self.joined(self.blocks(large), labels))
+                labels = self.merged(labels, self.joined(self.blocks(mixed), labels))
         return labels
 
     def mixed(self, members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -88,28 +94,27 @@ class GroupJoin:
         both = everyone.unionAll(others.select("token", "key", "i", "j"))
         return both.select(F.xxhash64("token", "i", "j").alias("task"), "key").distinct()
 
-    def placed(self, tasks: DataFrame, labels: DataFrame) -> DataFrame:
-        """The rows of the tasks' members, with task and label."""
+    def placed(self, tasks: DataFrame, labels: DataFrame, most: int | None) -> DataFrame:
+        """The rows of the tasks' members, with task and label; ``tasks`` has ``most`` rows at the utmost, if known."""
         return tasks.join(sized(labels, self.n_keys), "key").join(self.rows, "key")
 
-    def joined(self, tasks: DataFrame, labels: DataFrame) -> DataFrame:
-        """Edges (a, b) between members of the tasks, which connect what their links connect."""
+    def joined(self, tasks: DataFrame, labels: DataFrame, most: int | None = None) -> DataFrame:
+        """Edges (a, b) between components of the tasks' members, in both directions, which connect what the
+        members' links connect: in each task those to the least of the components that become one."""
         ship_package(tasks.sparkSession)
         connect = self.connect
-        rows = self.placed(tasks, labels)
+        rows = self.placed(tasks, labels, most)
         rows = rows.repartition("task").sortWithinPartitions("task")
 
         def edges(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
             whole = pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if len(parts) > 1 else parts[0]
-            _, before = np.unique(np.array(whole.column("label").to_pylist(), object), return_inverse=True)
-            after = connect(whole, before) if before.any() else before
-            # one edge for each component that goes into another
-            lead = dict(zip(after.tolist(), range(len(after))))
-            seen: set[int] = set()
-            pairs = [(i, lead[new]) for i, (old, new) in enumerate(zip(before.tolist(), after.tolist()))
-                     if before[lead[new]] != old and not (old in seen or seen.add(old))]
-            keys = whole.column("key")
-            return pa.RecordBatch.from_arrays([keys.take(pa.array([p[k] for p in pairs], pa.int64())) for k in (0, 1)], names=["a", "b"])
+            found, first, before = np.unique(np.array(whole.column("label").to_pylist(), object), return_index=True, return_inverse=True)
+            after = (connect(whole, before) if len(found) > 1 else before)[first]
+            least: dict[int, int] = {}
+            pairs = [(old, to) for old, new in enumerate(after.tolist()) if (to := least.setdefault(new, old)) != old]
+            labels = whole.column("label").take(pa.array(first))
+            a, b = (labels.take(pa.array([p[k] for p in pairs] + [p[1 - k] for p in pairs], pa.int64())) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[pa.RecordBatch] = []
@@ -130,14 +135,11 @@ class GroupJoin:
         return rows.mapInArrow(run, f"a {kind}, b {kind}")
 
     def merged(self, labels: DataFrame, edges: DataFrame) -> DataFrame:
-        """The labels after the edges have joined their components."""
-        edges = stored(edges.distinct(), "edges")
-        if edges.isEmpty():
+        """The labels after the edges between them have joined their components."""
+        sides = stored(edges, "edges")
+        if sides.isEmpty():
             return labels
-        now = sized(labels, self.n_keys)
-        between = edges.join(now.select(F.col("key").alias("a"), F.col("label").alias("la")), "a")
-        between = between.join(now.select(F.col("key").alias("b"), F.col("label").alias("lb")), "b")
-        found = components(between.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), self.n_keys)
+        found = components(sides, self.n_keys)
         renamed = found.select(F.col("key").alias("label"), F.col("label").alias("least"))
         after = labels.join(sized(renamed, self.n_keys), "label", "left")
         return stored(after.select("key", F.coalesce("least", "label").alias("label")), "labels")

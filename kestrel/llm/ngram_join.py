@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from kestrel.llm import group_join
 from kestrel.llm.arrow_text import byte_view, map_texts, named, pieces, ship_package, text_column, worker_memo
 from kestrel.llm.byte_words import TOKEN, window_hashes, word_bounds, word_hashes
-from kestrel.llm.graph import sized, stored
+from kestrel.llm.graph import BROADCAST_ROWS, sized, stored
 from kestrel.llm.group_join import GroupJoin, shared_members
 from kestrel.llm.near_dup import text_key
 
@@ -322,9 +322,11 @@ class MovedOnce(GroupJoin):
     """A group join whose rows are large beside its tasks: few tasks go to the rows, so that the rows move
     once, to their tasks, and not before that to their keys."""
 
-    def placed(self, tasks: DataFrame, labels: DataFrame) -> DataFrame:
-        tasks = stored(tasks, "tasks")
-        return self.rows.join(sized(tasks, tasks.count()), "key").join(sized(labels, self.n_keys), "key")
+    def placed(self, tasks: DataFrame, labels: DataFrame, most: int | None) -> DataFrame:
+        if most is None or most > BROADCAST_ROWS:
+            tasks = stored(tasks, "tasks")
+            most = tasks.count()
+        return self.rows.join(sized(tasks, most), "key").join(sized(labels, self.n_keys), "key")
 
 
 class Joiner:
@@ -378,7 +380,8 @@ class Joiner:
             (order, rarity), column = worker_memo(memo, lambda: ordered(shared.value)), text_column(rows, "text")
             return join_group([s for a, b in pieces(column) for s in text_sets(column.slice(a, b - a), rarity)], before, order)
 
-        labels = MovedOnce([small, large.where("at = 0"), large], keys, n_keys, texts, connect).labels()
+        # no family is in both parts of the first round
+        labels = MovedOnce([small.unionAll(large.where("at = 0").select("token", "key")), large], keys, n_keys, texts, connect).labels()
         of = names.select(F.col("key").alias("label"), F.col("name").alias("label_name"))
         labels = labels.join(sized(names, n_keys), "key").join(sized(of, n_keys), "label")
         return labels.select(F.col("name").alias("key"), F.col("label_name").alias("label"))

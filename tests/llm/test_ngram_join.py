@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import UPPER, awkward, documents, empty
-from kestrel.llm import group_join, ngram_join
+from kestrel.llm import graph, group_join, ngram_join
 from kestrel.llm.byte_words import mix
 from kestrel.llm.queries import op13_ngram_join
 
@@ -179,6 +179,37 @@ def test_sketches_bound_the_difference():
     assert (found <= apart).all() and (found[x == y] == 0).all() and found.max() > 500
 
 
+def test_steps_of_a_join_are_few(spark, monkeypatch):
+    """Every step costs its tasks anew, however few rows it has: links are written once, as those between components,
+    labels that already agree take no further round, and families of both kinds are joined in one round."""
+    rng = random.Random(11)
+    rows = family(rng, 30, 5, 0) + [r for i in range(9) for r in family(rng, 3, 3, 100 + 10 * i)]
+    names = []
+    write = graph.stored
+    for module in (graph, group_join, ngram_join):
+        monkeypatch.setattr(module, "stored", lambda df, name: names.append(name) or write(df, name))
+    monkeypatch.setattr(group_join, "GROUP", 7)
+    assert rows_of(ngram_join.find(documents(spark, rows))) == brute(rows)
+    assert len(names) <= 40, names
+
+
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_components_equal_a_plain_search(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(graph, "sized", lambda df, rows, most=broadcast: F.broadcast(df) if rows <= most else df)
+    rng = random.Random(12)
+    edges = [(i, i + 1) for i in range(12)] + [(100, 200 - i) for i in range(20)]
+    edges += [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(45)]
+    names = rng.sample(range(1000), 400)
+    edges = [(names[a], names[b]) for a, b in edges if a != b]
+    least = {v: v for e in edges for v in e}
+    for _ in edges:
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    sides = spark.createDataFrame([s for a, b in edges for s in ((a, b), (b, a))], "a long, b long")
+    found = {r["key"]: r["label"] for r in graph.components(sides, len(least)).collect()}
+    assert found == least and len(set(least.values())) > 5
+
+
 def test_boundary_of_the_similarity():
     sets = [np.arange(0, 100, dtype=np.uint64), np.arange(0, 85, dtype=np.uint64), np.arange(16, 100, dtype=np.uint64)]
     found = ngram_join.join_group([(s, np.zeros(len(s), np.int64)) for s in sets], np.arange(3), ngram_join.Order({}))
