@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -84,6 +85,28 @@ def get_session(master: str | None = None, app_name: str = "kestrel",
     return spark
 
 
+@contextmanager
+def settings_of(spark: SparkSession, settings: dict[str, str]):
+    """The session with ``settings`` inside the block; its own come back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def shuffles_dropped(spark: SparkSession):
+    """Inside the block a job's shuffle files go when it ends, not whenever the driver's garbage collector finds that
+    nothing holds them any more. For jobs whose result is stored or collected; streams started inside keep to it."""
+    return settings_of(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Event-time windows and the fixed clock shift are defined on UTC instants."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

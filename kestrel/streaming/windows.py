@@ -75,19 +75,23 @@ def keyword_counts(df: DataFrame, ts_col: str = "ts", text_col: str = "text", wi
 def texts_per_window(df: DataFrame, ts_col: str = "ts", text_col: str = "text", width: str = "30 seconds",
                      delay: str | None = None) -> DataFrame:
     """The stateful half of Q5 on a stream: the distinct texts of each window, and ``times``, how often each came.
-    State holds a row per text of an open window, where counted keywords would take a row per word of it."""
+    State holds a row per text of an open window, where counted keywords would take a row per word of it. Texts are told
+    apart by their SHA-256: the key of a row, which is written again when its window closes, does not hold the text."""
     rows = as_event_time(df.filter(F.col(text_col).isNotNull()), ts_col)
     if delay is not None:
         rows = rows.withWatermark(ts_col, delay)
-    return rows.groupBy(F.window(F.col(ts_col), width).alias("window"), F.col(text_col).alias("text")) \
-        .agg(F.count(F.lit(1)).alias("times"))
+    counts = rows.groupBy(F.window(F.col(ts_col), width).alias("window"), F.unhex(F.sha2(F.col(text_col), 256)).alias("_sha")) \
+        .agg(F.first(text_col).alias("text"), F.count(F.lit(1)).alias("times"))
+    return counts.select("window", "text", "times")
 
 
-def count_window_texts(texts: DataFrame, lexicon=None, pos_mode: str = "subclass", hot_surfaces: list[str] | None = None) -> DataFrame:
+def count_window_texts(texts: DataFrame, lexicon=None, pos_mode: str = "subclass", hot_surfaces: list[str] | None = None,
+                       one_reading: bool = False) -> DataFrame:
     """The other half, on the closed windows of a micro-batch: the rows of ``keyword_counts`` from those of
     ``texts_per_window``. A window is emitted once and as a whole, so its counts are final. A batch of a stream has no
-    AQE either: the words named as hot meet the lexicon salted."""
-    lex = None if lexicon is None else lexicon_frame(texts.sparkSession, lexicon)
+    AQE either: the words named as hot meet the lexicon salted. ``one_reading``: the lexicon is a DataFrame with one entry
+    per surface, as ``lexicon_frame`` and ``stored_lexicon`` give it."""
+    lex = lexicon if lexicon is None or one_reading else lexicon_frame(texts.sparkSession, lexicon)
     salt = "_token" if lex is not None else None
     tokens = explode_tokens(texts, "text", ["window", "times"], salt_name=salt)
     counts = classify(tokens, lex, pos_mode=pos_mode, salt_col=salt, hot=hot_surfaces) \

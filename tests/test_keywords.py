@@ -84,3 +84,18 @@ def test_lexicon_table_join_is_salted(spark, capsys):
     salted.explain()
     assert "_salt" in capsys.readouterr().out
     assert sorted(r["keyword"] for r in salted.collect()) == sorted(_keywords(spark, texts, LEXICON))
+
+
+def test_shortcuts_of_the_rules_keep_their_patterns(spark):
+    """Tokens that are allowed, or kept as nouns, without a look at the pattern are those that it allows or keeps."""
+    from kestrel.functions.keywords import ALLOWED_TOKEN, NOUN_STOP, explode_tokens, noun_ok
+
+    texts = ["", " ", "12 0 9a a9 007x www wwww ww http https httpss h w こと ことも もの も x", "é über straße 犬 ｱ 青 鬼 あ ⅷ ² ٣ ñandú Ωmega",
+             "a" * 33 + " " + "b" * 32 + " 犬" * 3 + " :x ;9 http:9 /8", "w" * 5 + " こ こと1 https0"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    words = df.select(F.explode(F.split("text", r"[^\p{L}\p{N}]+")).alias("surface"))
+    one = F.expr("length(surface) = 1")
+    kept = sorted(r["surface"] for r in explode_tokens(df, "text", ["i"]).where("length(surface) > 1").collect())
+    assert kept == sorted(r["surface"] for r in words.where(~one & F.col("surface").rlike(ALLOWED_TOKEN) & (F.length("surface") <= 32)).collect())
+    surfaces = spark.createDataFrame([(s,) for s in [None, "", "12\n", "www\n", " 12", ":", "9:", "-1", "+"] + [w for t in texts for w in t.split()]], "s string")
+    assert surfaces.where(~noun_ok(F.col("s")).eqNullSafe(~F.col("s").rlike(NOUN_STOP))).count() == 0

@@ -2,6 +2,7 @@
 
 import os
 import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -272,3 +273,52 @@ def test_batches_do_not_grow_with_the_feed(spark, monkeypatch):
     assert stream_queries.FEED_FILES < len(part_files(small))
     whole = stream_queries.write_document_feed(spark, SF, file_bytes=1 << 30)
     assert sorted(spark.read.text(small).collect()) == sorted(spark.read.text(whole).collect())
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def bytes_under(path, end=""):
+    return sum(os.path.getsize(os.path.join(folder, f)) for folder, _, names in os.walk(path.removeprefix("file:")) for f in names if f.endswith(end))
+
+
+def test_the_disk_of_a_keyword_stream_is_bounded(spark, scratch, monkeypatch):
+    """No shuffle outlives its job; the feed is packed; a text goes through the state's changes once, packed, and not again
+    when its window closes; a batch takes no more state partitions than it fills."""
+    texts = F.concat_ws(" ", *[F.concat(F.lit("keyword"), F.substring(F.md5(F.concat(F.col("id"), F.lit(f"-{i}"))), 1, 8)) for i in range(100)])
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), texts.alias("text"), F.lit("en").alias("lang"), F.lit("web").alias("source"))
+    docs.write.parquet(f"{scratch}/documents.parquet")
+    raw = docs.agg(F.sum(F.length("text"))).first()[0]
+    made, named = [], stream_queries.shared_path
+    monkeypatch.setattr(stream_queries, "shared_path", lambda *a: made.append(named(*a)) or made[-1])
+    monkeypatch.setattr(stream_queries, "BATCH_PARTITIONS", 2, raising=False)
+    key = "spark.sql.shuffle.partitions"
+    before, files = spark.conf.get(key), shuffle_files(spark)
+    spark.conf.set(key, "40")
+    try:
+        stored, query = stream_queries.keyword_stream(spark, scratch, text_queries.lexicon_table(spark), ["the"])
+        assert spark.conf.get(key) == "40"
+    finally:
+        spark.conf.set(key, before)
+    until = time.monotonic() + 5  # files are removed by another thread
+    while shuffle_files(spark) - files and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - files
+    assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == max(2, spark.sparkContext.defaultParallelism)
+    feed, checkpoint = [next(p for p in made if f"/{name}-" in p) for name in ("feed", "ckpt")]
+    assert bytes_under(checkpoint, ".changelog") < 0.9 * raw and bytes_under(feed) < 0.95 * raw
+    assert stored.agg(F.sum("appearances")).first()[0] == 100 * docs.where("doc_id < 540").count()  # closed windows, whole
+
+
+def test_hot_words_come_from_one_pass(spark):
+    """Both the most frequent words and the number of all tokens are read from one count of the tokens."""
+    from kestrel.functions.keywords import hot_surfaces
+
+    seen = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda w: (seen.add(1), w)[1])
+    words = spark.range(4000).select(F.when(F.col("id") % 4 == 0, "hot").otherwise(F.concat(F.lit("w"), F.col("id"))).alias("surface"))
+    words = words.select(count("surface").alias("surface"))
+    assert hot_surfaces(words, tasks=4) == ["hot"] and seen.value == 4000
+    assert hot_surfaces(words.where("surface != 'hot'"), tasks=4) == []

@@ -241,3 +241,27 @@ def test_stream_queries_on_a_directory_of_part_files(spark, scratch):
     assert stream_queries.q_stream_foreach_batch(spark, scratch).count() == table(spark, sf, "events").count()
     assert text_queries.q_window_counts_batch(spark, scratch).count() > 0
     assert stream_queries.q_keyword_counts_stream(spark, scratch).count() == stream_queries.q_keyword_counts_stream(spark, sf).count()
+
+
+def test_window_texts_meet_any_lexicon_alike(spark, scratch):
+    """A lexicon prepared once and stored, broadcast by its size or too large for that, gives the rows of one prepared anew."""
+    from kestrel.functions.keywords import stored_lexicon
+    from kestrel.streaming.windows import count_window_texts
+
+    rows = [(BASE + dt.timedelta(seconds=30 * w), BASE + dt.timedelta(seconds=30 * w + 30), f"the dog is w{i} http {i} über 犬", 1 + i % 2)
+            for w in range(3) for i in range(50)]
+    texts = spark.createDataFrame(rows, "start timestamp, end timestamp, text string, times long").selectExpr(
+        "named_struct('start', start, 'end', end) AS window", "text", "times")
+    lexicon = [("the", "連体詞,*,*,*", "the"), ("is", "動詞,自立,*,*", "be"), ("is", "名詞,一般", "is"), ("犬", "名詞,一般,*,*", "犬")]
+    stored = stored_lexicon(spark, lexicon, os.path.join(scratch, "lexicon"))
+    assert stored.count() == 3
+    counted = lambda *a, **k: sorted(map(tuple, count_window_texts(texts, *a, **k).collect()))
+    expected = counted(lexicon, hot_surfaces=["is"])
+    assert {(r[2], r[3]) for r in expected if not r[2].startswith("w")} == {("be", 75), ("dog", 75), ("犬", 75)}
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    for limit in ("10MB", "-1"):
+        spark.conf.set(key, limit)
+        try:
+            assert counted(stored, hot_surfaces=["is"], one_reading=True) == expected
+        finally:
+            spark.conf.unset(key)
