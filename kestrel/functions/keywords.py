@@ -42,8 +42,9 @@ LEXICON_SCHEMA = StructType([StructField("surface", StringType()), StructField("
 
 
 def strip_urls(text: Column) -> Column:
-    """Delete short links (C7); the ``.`` of the pattern matches any character."""
-    return F.regexp_replace(text, F.lit(URL_PATTERN), F.lit(""))
+    """Delete short links (C7); the ``.`` of the pattern matches any character. Only texts with what a link begins with
+    are searched."""
+    return F.when(text.contains("https://t"), F.regexp_replace(text, F.lit(URL_PATTERN), F.lit(""))).otherwise(text)
 
 
 def words(text: Column) -> Column:

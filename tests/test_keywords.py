@@ -99,3 +99,12 @@ def test_shortcuts_of_the_rules_keep_their_patterns(spark):
     assert kept == sorted(r["surface"] for r in words.where(~one & F.col("surface").rlike(ALLOWED_TOKEN) & (F.length("surface") <= 32)).collect())
     surfaces = spark.createDataFrame([(s,) for s in [None, "", "12\n", "www\n", " 12", ":", "9:", "-1", "+"] + [w for t in texts for w in t.split()]], "s string")
     assert surfaces.where(~noun_ok(F.col("s")).eqNullSafe(~F.col("s").rlike(NOUN_STOP))).count() == 0
+
+
+def test_links_go_wherever_they_stand(spark):
+    """Texts without the beginning of a link are not searched for one; the others lose what the pattern matches."""
+    from kestrel.functions.keywords import URL_PATTERN, strip_urls
+
+    texts = [None, "", "no link", "https://t.co/a1B", "x https://t-co/9 y https://t.co/Zz", "https://tXco/a", "http://t.co/a", "HTTPS://T.CO/a", "https://t.co/"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert df.where(~strip_urls(F.col("t")).eqNullSafe(F.regexp_replace("t", URL_PATTERN, ""))).count() == 0
