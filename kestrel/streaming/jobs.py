@@ -31,8 +31,8 @@ POLL_SECONDS = 0.2
 
 
 #: state in RocksDB, committed by the changes of a batch. Every text of the feed goes through these changes, so they are
-#: well compressed, and few batches' are kept: a query goes on from its last batch, or the one before it. (Changes go
-#: once a snapshot, which Spark makes every ten batches, stands for them.) Without fallocate a partition takes the disk
+#: well compressed, and Spark need keep few batches' (it may drop those before older snapshots, one every ten batches; in
+#: a run of 24 batches none had gone): a query goes on from its last batch, or the one before it. Without fallocate a partition takes the disk
 #: that it fills, not some 4 MB more.
 ROCKSDB_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
